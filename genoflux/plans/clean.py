@@ -132,6 +132,15 @@ FEED = CleanSpec(renames=FEED_RENAMES, int_lenient=True, suppressed=FEED_SUPPRES
 OPEN = CleanSpec(renames=OPEN_RENAMES, int_lenient=False, suppressed=OPEN_SUPPRESSED)
 
 
+def _masker(spec: Mapping):
+    def tv(k, v):
+        expr = v
+        for name, (fill, lead, trail) in spec.items():
+            expr = F.when(k == F.lit(name), mask_edge_gaps(v, fill, lead, trail)).otherwise(expr)
+        return expr
+    return tv
+
+
 def mask_sequences(df: DataFrame, masks: Mapping) -> DataFrame:
     """Edge-gap masking inside the sequence maps; absent names stay absent."""
     out = {}
@@ -139,12 +148,7 @@ def mask_sequences(df: DataFrame, masks: Mapping) -> DataFrame:
         if mcol not in df.columns:
             continue
 
-        def tv(k, v, spec=spec):
-            expr = v
-            for name, (fill, lead, trail) in spec.items():
-                expr = F.when(k == F.lit(name), mask_edge_gaps(v, fill, lead, trail)).otherwise(expr)
-            return expr
-        out[mcol] = F.transform_values(q(mcol), tv)
+        out[mcol] = F.transform_values(q(mcol), _masker(spec))
     return df.withColumns(out) if out else df
 
 

@@ -93,24 +93,29 @@ def _candidate_array(keys: list[Column]) -> Column:
     return F.array(*items)
 
 
-def _walk(m: Column) -> Column:
-    """Leaf pattern code chosen by the two-node walk, or null (no rule)."""
+def _walk(df: DataFrame, m: str, out: str) -> DataFrame:
+    """Add ``out`` = leaf pattern code chosen by the two-node walk over the
+    pattern set ``m`` (null: no rule).  One projection per level keeps every
+    expression small (no shared-subexpression blow-up across levels)."""
     def has(code: Column) -> Column:
-        return F.coalesce(F.map_contains_key(m, code), F.lit(False))
+        return F.coalesce(F.map_contains_key(F.col(m), code), F.lit(False))
 
-    a: Column = F.lit("")
-    b: Column = F.lit(None).cast("string")
-    alive: Column = F.lit(True)
+    df = df.withColumns({"_a": F.lit(""), "_b": F.lit(None).cast("string"), "_alive": F.lit(True)})
+    a, b = F.col("_a"), F.col("_b")
     for level in range(_LEVELS):
         ae, aw = F.concat(a, F.lit("e")), F.concat(a, F.lit("w"))
         be, bw = F.concat(b, F.lit("e")), F.concat(b, F.lit("w"))
-        full = F.when(has(ae), ae).when(b.isNotNull() & has(be), be)
-        wild = F.when(has(aw), aw).when(b.isNotNull() & has(bw), bw)
-        alive = alive & (full.isNotNull() | wild.isNotNull())
+        df = df.withColumns({
+            "_f": F.when(has(ae), ae).when(b.isNotNull() & has(be), be),
+            "_w": F.when(has(aw), aw).when(b.isNotNull() & has(bw), bw)})
+        f, w = F.col("_f"), F.col("_w")
+        alive = F.col("_alive") & (f.isNotNull() | w.isNotNull())
         if level == _LEVELS - 1:
-            return F.when(alive, F.coalesce(full, wild))
-        a, b = F.coalesce(full, wild), F.when(full.isNotNull(), wild)
-    raise AssertionError
+            df = df.withColumn(out, F.when(alive, F.coalesce(f, w)))
+        else:
+            df = df.withColumns({"_a": F.coalesce(f, w), "_b": F.when(f.isNotNull(), w),
+                                 "_alive": alive})
+    return df.drop("_a", "_b", "_alive", "_f", "_w")
 
 
 def lookup(tuples: DataFrame, prefixes: DataFrame, cols=("c0", "c1", "c2", "c3"),
@@ -123,8 +128,8 @@ def lookup(tuples: DataFrame, prefixes: DataFrame, cols=("c0", "c1", "c2", "c3")
     hit = cand.join(pref, "path", "inner")
     found = hit.groupBy(*cols).agg(
         F.map_from_entries(F.collect_list(F.struct("code", "right"))).alias("_m"))
-    leaf = _walk(F.col("_m"))
-    found = found.select(*cols, F.try_element_at(F.col("_m"), leaf).alias("rule"))
+    found = _walk(found, "_m", "_leaf")
+    found = found.select(*cols, F.try_element_at(F.col("_m"), F.col("_leaf")).alias("rule"))
     return tuples.join(found, list(cols), "left")
 
 
@@ -133,48 +138,47 @@ def _apply(rule: Column, cur: list[Column]) -> list[Column]:
             .otherwise(rule[f"r{i}"]) for i, c in enumerate(cur)]
 
 
-def resolve_tuples(tuples: DataFrame, rules: DataFrame, checkpoint_every: int = 1) -> DataFrame:
+def resolve_tuples(tuples: DataFrame, rules: DataFrame) -> DataFrame:
     """Distinct normalised tuples ``(c0..c3)`` -> resolved ``(c0..c3, n0..n3)``
     after applying rules until the tuple no longer changes (case-sensitive)
-    or no rule applies."""
-    prefixes = prefix_table(rules)
-    prefixes = maybe_broadcast(cut_lineage(prefixes))
+    or no rule applies.
+
+    Each round works only on the tuples that changed in the previous round;
+    its state is checkpointed to the shared folder (bounded lineage, survives
+    executor loss), and one small aggregate decides whether to go on."""
+    prefixes = maybe_broadcast(cut_lineage(prefix_table(rules)))
     cols = ["c0", "c1", "c2", "c3"]
-    state = tuples.select(*cols, *[F.col(c).alias(f"n{i}") for i, c in enumerate(cols)],
-                          F.lit(0).alias("steps"))
-    done = None
-    active = cut_lineage(state)
-    rounds = 0
+    ns = [f"n{i}" for i in range(4)]
+    active = tuples.select(*cols, *[F.col(c).alias(n) for c, n in zip(cols, ns)],
+                           F.lit(0).alias("steps"))
+    finished_parts = []
     while True:
-        cur = active.select(*[F.col(f"n{i}").alias(c) for i, c in enumerate(cols)]).distinct()
+        cur = active.select(*[F.col(n).alias(c) for c, n in zip(cols, ns)]).distinct()
         looked = lookup(cur, prefixes, cols, broadcast_rules=False)
-        nxt = [F.col(f"x{i}") for i in range(4)]
-        looked = looked.select(*[F.col(c).alias(f"n{i}") for i, c in enumerate(cols)],
-                               *[v.alias(f"x{i}") for i, v in enumerate(_apply(F.col("rule"),
-                                                                                [F.col(c) for c in cols]))])
-        joined = active.join(looked, [f"n{i}" for i in range(4)], "left")
+        applied = _apply(F.col("rule"), [F.col(c) for c in cols])
+        looked = looked.select(*[F.col(c).alias(n) for c, n in zip(cols, ns)],
+                               *[v.alias(f"x{i}") for i, v in enumerate(applied)])
+        joined = active.join(looked, ns, "left")
         changed = F.lit(False)
         for i in range(4):
             changed = changed | ~F.col(f"x{i}").eqNullSafe(F.col(f"n{i}"))
-        step = joined.select(*cols, *[F.col(f"n{i}") for i in range(4)], *nxt, "steps",
-                             changed.alias("_chg"))
-        step = cut_lineage(step)
-        finished = step.where(~F.col("_chg")).select(*cols, *[f"n{i}" for i in range(4)])
-        moving = step.where("_chg").select(
-            *cols, *[F.col(f"x{i}").alias(f"n{i}") for i in range(4)],
-            (F.col("steps") + 1).alias("steps"))
-        done = finished if done is None else done.unionByName(finished)
-        rounds += 1
-        if rounds % checkpoint_every == 0:
-            done = cut_lineage(done)
-        if moving.isEmpty():
+        step = cut_lineage(joined.select(*cols, *ns, *[f"x{i}" for i in range(4)], "steps",
+                                         changed.alias("_chg")))
+        finished_parts.append(step.where(~F.col("_chg")).select(*cols, *ns))
+        stats = step.agg(F.count_if("_chg").alias("n"),
+                         F.max(F.when(F.col("_chg"), F.col("steps") + 1)).alias("m")).first()
+        if not stats["n"]:
             break
-        over = moving.where(F.col("steps") > MAX_APPLICATIONS)
-        if not over.isEmpty():
+        if stats["m"] > MAX_APPLICATIONS:
             raise RuntimeError(
                 f"more than {MAX_APPLICATIONS} location rules applied to one tuple; "
-                f"the rules are likely cyclic: {over.first()}")
-        active = moving
+                "the rules are likely cyclic")
+        active = step.where("_chg").select(
+            *cols, *[F.col(f"x{i}").alias(f"n{i}") for i in range(4)],
+            (F.col("steps") + 1).alias("steps"))
+    done = finished_parts[0]
+    for p in finished_parts[1:]:
+        done = done.unionByName(p)
     return done
 
 

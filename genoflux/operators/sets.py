@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import q
@@ -31,3 +31,23 @@ def sort_output(df: DataFrame, key: str, tiebreak: Sequence[str] = ()) -> DataFr
     """Stable global sort by one key (range partitioning + per-task sort;
     ties keep ``tiebreak`` order).  Only needed for sorted *output*."""
     return df.orderBy(F.col(key).asc_nulls_first(), *[F.col(t) for t in tiebreak])
+
+
+def sorted_positions(df: DataFrame, key: str, tiebreak: Sequence[str] = (), name: str = "pos",
+                     partitions: int | None = None) -> DataFrame:
+    """1-based position of each row in the global order ``(key, tiebreak)``
+    without funnelling rows through one task: range-partition + per-task
+    sort, local index from the task's row counter, and per-partition offsets
+    from a table with one row per partition (bounded, broadcast)."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [key, *tiebreak]
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn("_pid", F.spark_partition_id().cast("long"))
+              .withColumn("_loc", F.monotonically_increasing_id() - F.col("_pid") * F.lit(1 << 33)))
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
+    return (ranged.join(F.broadcast(offsets), "_pid")
+            .withColumn(name, (F.col("_off") + F.col("_loc") + 1).cast("long"))
+            .drop("_pid", "_loc", "_off"))

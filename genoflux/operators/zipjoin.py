@@ -30,6 +30,19 @@ def _hot_rows(df: DataFrame, hot_rows: int | None) -> int:
     return int(v) if v else DEFAULT_HOT_ROWS
 
 
+def content_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
+    """A deterministic tiebreak when no file order is recorded: a 64-bit
+    hash of the row content (maps hashed through their sorted JSON form).
+    Rows with equal hashes are identical in practice, so their relative
+    order does not change the result."""
+    parts = []
+    for c, t in df.dtypes:
+        col = F.col(f"`{c}`")
+        parts.append(F.to_json(F.map_from_entries(F.array_sort(F.map_entries(col))))
+                     if t.startswith("map<") else col)
+    return df.withColumn(name, F.xxhash64(*parts))
+
+
 def with_file_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
     """Deterministic file order for a file scan: (path, split start, row
     position within the split).  Must be applied directly on the scan,
@@ -74,7 +87,7 @@ def key_row_number(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
                           ["_pid", *keys])
               .withColumn(rn, (F.col("_off") + F.col("_pos") - F.col("_first") + 1).cast("long"))
               .drop("_pid", "_pos", "_first", "_off"))
-    return cold_rn.unionByName(hot_rn.select(*cold_rn.columns))
+    return cold_rn.unionByName(hot_rn.select(*[F.col(f"`{c}`") for c in cold_rn.columns]))
 
 
 def fallback_key(df: DataFrame, primary: str, alternative: str, name: str = "key",

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.sequences import insertion_list, insertions_by_gene
 from ..operators.frames import SEQUENCE_COLS, copy_column, override_when, q
 from ..operators.sets import distinct_values
-from ..operators.zipjoin import fallback_key, key_row_number, zip_long
+from ..operators.zipjoin import content_ordinal, fallback_key, key_row_number, zip_long
 from .clean import FEED, LINEAGE_FIELDS, OPEN, CleanSpec, clean
 
 KEY, RN = "_key", "_rn"
@@ -30,7 +30,7 @@ def _number(df: DataFrame, primary: str, alternative: str, ordinal: str,
     if ordinal not in df.columns:
         # No file order recorded: a content hash is a deterministic tiebreak
         # (rows with equal hashes are identical in practice).
-        df = df.withColumn(ordinal, F.xxhash64(*[q(c) for c in df.columns]))
+        df = content_ordinal(df, ordinal)
     return key_row_number(fallback_key(df, primary, alternative, KEY), KEY, ordinal, RN, hot_rows)
 
 
@@ -79,8 +79,7 @@ def _join_inputs(base: DataFrame, base_key: str, qc: DataFrame, aligned: DataFra
     an = _number(aligned, "sample_name", "seqName", ordinal, hot_rows).select(
         KEY, RN, F.col("sequence").alias("_aligned"))
     if ordinal not in translations.columns:
-        translations = translations.withColumn(
-            ordinal, F.xxhash64(*[q(c) for c in translations.columns]))
+        translations = content_ordinal(translations, ordinal)
     gn = zip_long(fallback_key(translations, "sample_name", "seqName", KEY), KEY, "gene",
                   "sequence", ordinal, RN, "_genes", hot_rows)
     out = b.join(qn, [KEY, RN], "left").join(an, [KEY, RN], "left")
@@ -115,7 +114,7 @@ def enrich_open(metadata: DataFrame, qc: DataFrame, sequences: DataFrame, aligne
                                    ordinal, hot_rows)
     assembled = _assemble(joined, base_cols, qc_cols, genes, "_unaligned")
     assembled = assembled.withColumn("id", q("strain")).select("id", *[
-        c for c in assembled.columns if c != "id"])
+        q(c) for c in assembled.columns if c != "id"])
     out = clean(assembled, spec)
     out = copy_column(out, "genbankAccessionRev", "usherTree")
     out = out.where(F.col("strain").isNotNull())

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import q_columns, q_diff, q_io, q_joins
+from . import q_columns, q_diff, q_io, q_jobs, q_joins
 
-_MODULES = [q_diff, q_columns, q_joins, q_io]
+_MODULES = [q_diff, q_columns, q_joins, q_io, q_jobs]
 
 
 def prepare_session(spark: SparkSession) -> None:

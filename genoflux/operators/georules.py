@@ -118,19 +118,33 @@ def _walk(df: DataFrame, m: str, out: str) -> DataFrame:
     return df.drop("_a", "_b", "_alive", "_f", "_w")
 
 
+def _rule_for(rows: DataFrame, prefixes: DataFrame, key_cols: list[str]) -> DataFrame:
+    """Add ``rule`` (right side struct, null if none) to rows whose columns
+    are unique as a whole.  The rows' 30 candidate prefix paths meet the
+    broadcast rule-prefix table map-side; one aggregation (partial on the map
+    side, so the 30x expansion never crosses the network) collects the hits
+    per row, and the walk runs as plain expressions."""
+    keys = [F.lower(F.col(f"`{c}`")) for c in key_cols]
+    carried = rows.columns
+    cand = rows.select("*", F.inline(_candidate_array(keys)))
+    hit = cand.join(prefixes, "path", "left")
+    found = hit.groupBy(*[F.col(f"`{c}`") for c in carried]).agg(F.map_from_entries(F.collect_list(
+        F.when(F.col("_hit"), F.struct("code", "right")))).alias("_m"))
+    found = _walk(found, "_m", "_leaf")
+    return found.withColumn("rule", F.try_element_at(F.col("_m"), F.col("_leaf"))).drop("_m", "_leaf")
+
+
+def _prefixes_for_join(prefixes: DataFrame) -> DataFrame:
+    return prefixes.withColumn("_hit", F.lit(True))
+
+
 def lookup(tuples: DataFrame, prefixes: DataFrame, cols=("c0", "c1", "c2", "c3"),
            broadcast_rules: bool = True) -> DataFrame:
     """For distinct normalised tuples, the applicable rule's right side
-    (struct r0..r3, null if none).  One join + one group per call."""
-    keys = [F.lower(F.col(c)) for c in cols]
-    cand = tuples.select(*cols, F.inline(_candidate_array(keys)))
-    pref = maybe_broadcast(prefixes) if broadcast_rules else prefixes
-    hit = cand.join(pref, "path", "inner")
-    found = hit.groupBy(*cols).agg(
-        F.map_from_entries(F.collect_list(F.struct("code", "right"))).alias("_m"))
-    found = _walk(found, "_m", "_leaf")
-    found = found.select(*cols, F.try_element_at(F.col("_m"), F.col("_leaf")).alias("rule"))
-    return tuples.join(found, list(cols), "left")
+    (struct r0..r3, null if none)."""
+    pref = _prefixes_for_join(prefixes)
+    pref = maybe_broadcast(pref) if broadcast_rules else pref
+    return _rule_for(tuples.select(*cols), pref, list(cols))
 
 
 def _apply(rule: Column, cur: list[Column]) -> list[Column]:
@@ -138,47 +152,82 @@ def _apply(rule: Column, cur: list[Column]) -> list[Column]:
             .otherwise(rule[f"r{i}"]) for i, c in enumerate(cur)]
 
 
-def resolve_tuples(tuples: DataFrame, rules: DataFrame) -> DataFrame:
+def _apply_once(state: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """One rule application to every row of ``(c0..c3, n0..n3, s0..s3,
+    steps)``; ``_chg`` tells whether the current tuple changed, ``_cyc``
+    whether it came back to the saved tuple ``s`` (Brent's cycle check: the
+    saved tuple is refreshed whenever the step count reaches a power of two,
+    so any cycle is seen within a small multiple of its length -- such a
+    chain can never terminate, so it is reported without running to the
+    application limit)."""
+    ns = [f"n{i}" for i in range(4)]
+    ss = [f"s{i}" for i in range(4)]
+    looked = _rule_for(state.select("c0", "c1", "c2", "c3", *ns, *ss, "steps", "_cycseen"),
+                       prefixes, ns)
+    nxt = _apply(F.col("rule"), [F.col(n) for n in ns])
+    changed = F.lit(False)
+    back = F.lit(True)
+    for i, x in enumerate(nxt):
+        changed = changed | ~x.eqNullSafe(F.col(f"n{i}"))
+        back = back & x.eqNullSafe(F.col(f"s{i}"))
+    steps = F.col("steps") + changed.cast("int")
+    refresh = changed & (steps.bitwiseAND(steps - 1) == 0)
+    return looked.select(
+        "c0", "c1", "c2", "c3", *[x.alias(n) for x, n in zip(nxt, ns)],
+        *[F.when(refresh, x).otherwise(F.col(s)).alias(s) for x, s in zip(nxt, ss)],
+        steps.alias("steps"), changed.alias("_chg"),
+        (F.col("_cycseen") | (changed & back)).alias("_cycseen"))
+
+
+def resolve_tuples(tuples: DataFrame, rules: DataFrame, per_round: int = 4,
+                   checkpoint_every: int = 2) -> DataFrame:
     """Distinct normalised tuples ``(c0..c3)`` -> resolved ``(c0..c3, n0..n3)``
     after applying rules until the tuple no longer changes (case-sensitive)
     or no rule applies.
 
-    Each round works only on the tuples that changed in the previous round;
-    its state is checkpointed to the shared folder (bounded lineage, survives
-    executor loss), and one small aggregate decides whether to go on."""
-    prefixes = maybe_broadcast(cut_lineage(prefix_table(rules)))
+    A round applies the rules ``per_round`` times in one plan; rows whose
+    last application changed nothing are final.  Only still-changing rows go
+    on; their state is persisted, and checkpointed to the shared folder every
+    ``checkpoint_every`` rounds (bounded lineage, survives executor loss).
+    One small aggregate per round decides whether to continue.  More than
+    1000 applications on one tuple, or a tuple that provably cycles, fails
+    the job as cyclic rules."""
+    # The prefix table grows with the rule file only (4 rows per rule); its
+    # measured size still gates the broadcast.
+    prefixes = maybe_broadcast(_prefixes_for_join(prefix_table(rules)))
     cols = ["c0", "c1", "c2", "c3"]
-    ns = [f"n{i}" for i in range(4)]
-    active = tuples.select(*cols, *[F.col(c).alias(n) for c, n in zip(cols, ns)],
-                           F.lit(0).alias("steps"))
-    finished_parts = []
+    active = tuples.select(*cols, *[F.col(c).alias(f"n{i}") for i, c in enumerate(cols)],
+                           *[F.col(c).alias(f"s{i}") for i, c in enumerate(cols)],
+                           F.lit(0).alias("steps"), F.lit(False).alias("_cycseen"))
+    finished_parts, persisted = [], []
+    rounds = 0
     while True:
-        cur = active.select(*[F.col(n).alias(c) for c, n in zip(cols, ns)]).distinct()
-        looked = lookup(cur, prefixes, cols, broadcast_rules=False)
-        applied = _apply(F.col("rule"), [F.col(c) for c in cols])
-        looked = looked.select(*[F.col(c).alias(n) for c, n in zip(cols, ns)],
-                               *[v.alias(f"x{i}") for i, v in enumerate(applied)])
-        joined = active.join(looked, ns, "left")
-        changed = F.lit(False)
-        for i in range(4):
-            changed = changed | ~F.col(f"x{i}").eqNullSafe(F.col(f"n{i}"))
-        step = cut_lineage(joined.select(*cols, *ns, *[f"x{i}" for i in range(4)], "steps",
-                                         changed.alias("_chg")))
-        finished_parts.append(step.where(~F.col("_chg")).select(*cols, *ns))
-        stats = step.agg(F.count_if("_chg").alias("n"),
-                         F.max(F.when(F.col("_chg"), F.col("steps") + 1)).alias("m")).first()
+        step = active
+        for _ in range(per_round):
+            step = _apply_once(step, prefixes)
+        step = step.persist()
+        persisted.append(step)
+        stats = step.agg(F.count_if("_chg").alias("n"), F.max("steps").alias("m"),
+                         F.count_if("_cycseen").alias("c")).first()
+        finished_parts.append(step.where(~F.col("_chg")).select(*cols, *[f"n{i}" for i in range(4)]))
+        if stats["c"] or (stats["n"] and stats["m"] > MAX_APPLICATIONS):
+            for p in persisted:
+                p.unpersist()
+            raise RuntimeError(
+                f"location rules applied without end (more than {MAX_APPLICATIONS} "
+                "applications would be needed); the rules are cyclic")
         if not stats["n"]:
             break
-        if stats["m"] > MAX_APPLICATIONS:
-            raise RuntimeError(
-                f"more than {MAX_APPLICATIONS} location rules applied to one tuple; "
-                "the rules are likely cyclic")
-        active = step.where("_chg").select(
-            *cols, *[F.col(f"x{i}").alias(f"n{i}") for i in range(4)],
-            (F.col("steps") + 1).alias("steps"))
+        rounds += 1
+        active = step.where("_chg").drop("_chg")
+        if rounds % checkpoint_every == 0:
+            active = cut_lineage(active)
     done = finished_parts[0]
     for p in finished_parts[1:]:
         done = done.unionByName(p)
+    done = cut_lineage(done)
+    for p in persisted:
+        p.unpersist()
     return done
 
 

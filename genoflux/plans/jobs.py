@@ -21,6 +21,7 @@ from ..operators.georules import map_locations
 from ..operators.sets import sort_output, union_all, union_distinct
 from .clean import FEED, FEED_NULL_MARKERS, OPEN, CleanSpec
 from .enrich import enrich_entries, enrich_open, lineages
+from ..session import cut_lineage
 
 
 def normalise_feed(feed: DataFrame, rules: DataFrame | None, framing: str = "plain") -> DataFrame:
@@ -49,15 +50,26 @@ class Prepared:
 
 def prepare(feed: DataFrame, rules: DataFrame | None, previous_hashes: DataFrame,
             id_col: str = "gisaidEpiIsl", sort_changed: bool = True,
-            old_ordinal: str | None = None) -> Prepared:
+            old_ordinal: str | None = None, stage: bool = True) -> Prepared:
     """Normalise + fingerprint the feed, diff against the previous hashes and
-    extract the added/changed entries (sorted by id for the aligner)."""
+    extract the added/changed entries (sorted by id for the aligner).
+
+    With ``stage=True`` the normalised entries (with their fingerprints) and
+    the diff are written once as stage tables in the shared checkpoint folder:
+    every later output reads them instead of re-running normalisation, and a
+    lost executor re-reads files instead of recomputing the feed."""
     entries = normalise_feed(feed, rules)
+    if stage:
+        entries = cut_lineage(entries)
     hashes = hash_table(entries, id_col)
     diff = _diff(previous_hashes, hashes, id_col, old_ordinal)
+    if stage:
+        diff = cut_lineage(diff)
     changed = extract_added_or_changed(entries, diff, id_col).drop("md5")
     if sort_changed:
         changed = sort_output(changed, id_col)
+    if stage:
+        changed = cut_lineage(changed)
     return Prepared(entries.drop("md5"), hashes, diff, changed)
 
 

@@ -10,6 +10,7 @@ from ..operators.frames import flatten_publish
 from ..operators.sets import sorted_positions
 from ..plans import jobs as J
 from ..plans.clean import FEED
+from ..session import cut_lineage
 from .common import table
 from .q_joins import GEO_RULES, _prefix_values, sql_geo_lookup
 
@@ -173,6 +174,8 @@ def _refresh(spark, sf):
     qc1, al1, tr1 = _aligner_output(spark, sf, p1.changed)
     empty_pub = spark.createDataFrame([], "gisaidEpiIsl string")
     pub1, lin1 = J.finish(p1.changed, qc1, al1, tr1, ["S"], empty_pub, p1.diff, None, "v1")
+    # the previous snapshot is a written table, as after a publish
+    pub1, lin1 = cut_lineage(pub1), cut_lineage(lin1)
     # current run: v2 against v1's hashes and published rows
     p2 = J.prepare(_feed(spark, sf, 2), rules, p1.hashes)
     qc2, al2, tr2 = _aligner_output(spark, sf, p2.changed)

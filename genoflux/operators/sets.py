@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .frames import q
 
 
@@ -38,13 +39,17 @@ def sorted_positions(df: DataFrame, key: str, tiebreak: Sequence[str] = (), name
     """1-based position of each row in the global order ``(key, tiebreak)``
     without funnelling rows through one task: range-partition + per-task
     sort, local index from the task's row counter, and per-partition offsets
-    from a table with one row per partition (bounded, broadcast)."""
+    from a table with one row per partition (bounded, broadcast).  The
+    sorted rows are written once to the shared checkpoint folder so counts
+    and rows come from the same partitioning (a re-planned range exchange
+    could sample different bounds)."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [key, *tiebreak]
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id().cast("long"))
-              .withColumn("_loc", F.monotonically_increasing_id() - F.col("_pid") * F.lit(1 << 33)))
+    ranged = cut_lineage(
+        df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        .withColumn("_pid", F.spark_partition_id().cast("long"))
+        .withColumn("_loc", F.monotonically_increasing_id() - F.col("_pid") * F.lit(1 << 33)))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 HOT_ROWS_CONF = "genoflux.zip.hotKeyRows"
 DEFAULT_HOT_ROWS = 1_000_000
 
@@ -56,34 +58,44 @@ def with_file_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
 def key_row_number(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str,
                    rn: str = "rn", hot_rows: int | None = None) -> DataFrame:
     """Add ``rn`` = 1-based position of the row within its key by ``order``
-    (``order`` must be unique within a key for a deterministic result)."""
+    (``order`` must be unique within a key for a deterministic result).
+
+    One key-only aggregate finds keys above the hot limit.  Without hot keys
+    (the usual case) the plan is a plain window.  With hot keys, their rows
+    are range-partitioned on ``(key, order)`` -- a hot key spreads over many
+    tasks -- and each row's task-local index is written once with the rows
+    to the shared checkpoint folder, so the per-(partition, key) offsets and
+    the rows themselves come from the same materialised partitioning (a
+    re-planned range exchange could sample different bounds)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, str) else list(order)
     spark = df.sparkSession
     limit = _hot_rows(df, hot_rows)
+    kcols = [F.col(f"`{k}`") for k in keys]
 
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > limit).select(*keys))
-    # Bounded: at most rows / limit keys can exceed the limit.
-    hot_b = F.broadcast(hot)
+    hot = (df.groupBy(*kcols).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > limit).select(*kcols))
+    w = Window.partitionBy(*kcols).orderBy(*[F.col(f"`{o}`") for o in order])
+    if hot.isEmpty():
+        return df.withColumn(rn, F.row_number().over(w).cast("long"))
 
-    cold = df.join(hot_b, keys, "left_anti")
-    w = Window.partitionBy(*keys).orderBy(*order)
-    cold_rn = cold.withColumn(rn, F.row_number().over(w).cast("long"))
+    # Bounded: at most rows / limit keys can exceed the limit.
+    hot_b = F.broadcast(cut_lineage(hot))
+    cold_rn = df.join(hot_b, keys, "left_anti").withColumn(rn, F.row_number().over(w).cast("long"))
 
-    hot_rows_df = df.join(hot_b, keys, "left_semi")
     nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (hot_rows_df.repartitionByRange(nparts, *keys, *order)
-              .sortWithinPartitions(*keys, *order)
-              .withColumn("_pid", F.spark_partition_id().cast("long"))
-              .withColumn("_pos", F.monotonically_increasing_id()
-                          - F.col("_pid") * F.lit(1 << 33)))
+    ranged = cut_lineage(
+        df.join(hot_b, keys, "left_semi")
+        .repartitionByRange(nparts, *kcols, *[F.col(f"`{o}`") for o in order])
+        .sortWithinPartitions(*kcols, *[F.col(f"`{o}`") for o in order])
+        .withColumn("_pid", F.spark_partition_id().cast("long"))
+        .withColumn("_pos", F.monotonically_increasing_id() - F.col("_pid") * F.lit(1 << 33)))
     # One row per (partition, hot key): bounded by hot keys x partitions.
-    spans = ranged.groupBy("_pid", *keys).agg(F.min("_pos").alias("_first"),
-                                             F.count(F.lit(1)).alias("_cnt"))
-    ws = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    spans = ranged.groupBy("_pid", *kcols).agg(F.min("_pos").alias("_first"),
+                                              F.count(F.lit(1)).alias("_cnt"))
+    ws = Window.partitionBy(*kcols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.withColumn("_off", F.coalesce(F.sum("_cnt").over(ws), F.lit(0)))
-    hot_rn = (ranged.join(F.broadcast(spans.select("_pid", *keys, "_first", "_off")),
+    hot_rn = (ranged.join(F.broadcast(spans.select("_pid", *kcols, "_first", "_off")),
                           ["_pid", *keys])
               .withColumn(rn, (F.col("_off") + F.col("_pos") - F.col("_first") + 1).cast("long"))
               .drop("_pid", "_pos", "_first", "_off"))

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import q_columns, q_diff, q_io, q_jobs, q_joins
+from . import q_columns, q_diff, q_io, q_jobs, q_joins, q_stream
 
-_MODULES = [q_diff, q_columns, q_joins, q_io, q_jobs]
+_MODULES = [q_diff, q_columns, q_joins, q_io, q_jobs, q_stream]
 
 
 def prepare_session(spark: SparkSession) -> None:

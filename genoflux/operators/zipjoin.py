@@ -60,8 +60,10 @@ def key_row_number(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
     """Add ``rn`` = 1-based position of the row within its key by ``order``
     (``order`` must be unique within a key for a deterministic result).
 
-    One key-only aggregate finds keys above the hot limit.  Without hot keys
-    (the usual case) the plan is a plain window.  With hot keys, their rows
+    One key-only aggregate (partial, map-side combined) gives the largest
+    group and the number of keys above the hot limit.  All keys unique (the
+    usual one-row-per-sample input): ``rn = 1`` with no shuffle at all.  No
+    hot keys: a plain window.  With hot keys, their rows
     are range-partitioned on ``(key, order)`` -- a hot key spreads over many
     tasks -- and each row's task-local index is written once with the rows
     to the shared checkpoint folder, so the per-(partition, key) offsets and
@@ -73,11 +75,15 @@ def key_row_number(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
     limit = _hot_rows(df, hot_rows)
     kcols = [F.col(f"`{k}`") for k in keys]
 
-    hot = (df.groupBy(*kcols).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > limit).select(*kcols))
+    counts = df.groupBy(*kcols).agg(F.count(F.lit(1)).alias("_n"))
+    stats = counts.agg(F.max("_n").alias("mx"), F.count_if(F.col("_n") > limit).alias("hot")).first()
+    if stats["mx"] is None or stats["mx"] <= 1:
+        # every key unique (the usual one-row-per-sample input): no window
+        return df.withColumn(rn, F.lit(1).cast("long"))
     w = Window.partitionBy(*kcols).orderBy(*[F.col(f"`{o}`") for o in order])
-    if hot.isEmpty():
+    if not stats["hot"]:
         return df.withColumn(rn, F.row_number().over(w).cast("long"))
+    hot = counts.where(F.col("_n") > limit).select(*kcols)
 
     # Bounded: at most rows / limit keys can exceed the limit.
     hot_b = F.broadcast(cut_lineage(hot))

@@ -37,34 +37,39 @@ def read_ndjson(spark: SparkSession, path: str | Sequence[str], schema: T.Struct
 
 
 def read_fasta(spark: SparkSession, path: str | Sequence[str], id_col: str = "sample_name",
-               ordinal: str | None = None) -> DataFrame:
+               ordinal: str | None = None, check_preamble: bool = False) -> DataFrame:
     """FASTA records ``(id, sequence)``.
 
     The header is the whole first line after ``>`` (description kept, not
     trimmed); the sequence is the following non-blank lines concatenated
     untrimmed; an empty sequence is allowed.  Records are cut by Hadoop's
     record reader on the separator ``\\n>``, so one large file splits across
-    many tasks with no driver pass.  The first record of each file (found by a
-    one-row-per-file aggregate) must start with ``>``: text before the first
-    header fails the job.
+    many tasks, in one pass, with no driver involvement.
+
+    The separator consumes the ``>`` of every record but a file's first, so
+    a leading ``>`` marks (and is stripped from) a file's first record.
+    ``check_preamble=True`` additionally finds each file's first record
+    exactly (one row per file from a second, metadata-only pass) and fails
+    the job on text before the first header.
     """
     raw = with_file_ordinal(spark.read.option("lineSep", "\n>").text(path), "_o")
-    firsts = (raw.where(F.col("_o.b") == 0).groupBy(F.col("_o.f").alias("_f"))
-              .agg(F.min("_o.i").alias("_i0")))
-    rec = raw.join(F.broadcast(firsts), raw["_o.f"] == firsts["_f"], "left")
-    is_first = F.coalesce((F.col("_o.b") == 0) & (F.col("_o.i") == F.col("_i0")), F.lit(False))
     v = F.regexp_replace(F.col("value"), "\r", "")
     lines = F.split(v, "\n")
     head = F.get(lines, 0)
     body = F.filter(F.slice(lines, 2, 1 << 30), lambda x: x.rlike(r"(?U)\S"))
-    preamble = is_first & ~v.startswith(">")
-    header = F.when(is_first, F.substring(head, 2, 1 << 30)).otherwise(head)
-    header = F.when(preamble, F.raise_error(F.concat(
-        F.lit("text before the first FASTA header in "), F.col("_o.f"))).cast("string")
-    ).otherwise(header)
-    out = rec.select(header.alias(id_col), F.array_join(body, "").alias("sequence"),
-                     *([F.col("_o").alias(ordinal)] if ordinal else []))
-    return out
+    if check_preamble:
+        # Bounded: one row per input file.
+        firsts = (raw.where(F.col("_o.b") == 0).groupBy(F.col("_o.f").alias("_f"))
+                  .agg(F.min("_o.i").alias("_i0")))
+        raw = raw.join(F.broadcast(firsts), raw["_o.f"] == firsts["_f"], "left")
+        is_first = F.coalesce((F.col("_o.b") == 0) & (F.col("_o.i") == F.col("_i0")), F.lit(False))
+        header = F.when(is_first & ~v.startswith(">"), F.raise_error(F.concat(
+            F.lit("text before the first FASTA header in "), F.col("_o.f"))).cast("string")
+        ).when(is_first, F.substring(head, 2, 1 << 30)).otherwise(head)
+    else:
+        header = F.when(v.startswith(">"), F.substring(head, 2, 1 << 30)).otherwise(head)
+    return raw.select(header.alias(id_col), F.array_join(body, "").alias("sequence"),
+                      *([F.col("_o").alias(ordinal)] if ordinal else []))
 
 
 def read_tsv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None,

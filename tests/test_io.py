@@ -32,7 +32,15 @@ def test_fasta_crlf_and_many_files(spark, tmp_dir):
 def test_fasta_preamble_fails(spark, tmp_dir):
     write(tmp_dir, "a.fasta", "junk\n>s1\nAC\n")
     with pytest.raises(Exception):
-        R.read_fasta(spark, tmp_dir).collect()
+        R.read_fasta(spark, tmp_dir, check_preamble=True).collect()
+
+
+def test_fasta_exact_mode_matches(spark, tmp_dir):
+    write(tmp_dir, "a.fasta", ">s1 desc\nACGT\n\nTT\n>s2\n>s3\nAA\n")
+    write(tmp_dir, "b.fasta", ">t1\nGG\n")
+    fast = sorted(tuple(r) for r in R.read_fasta(spark, tmp_dir).collect())
+    exact = sorted(tuple(r) for r in R.read_fasta(spark, tmp_dir, check_preamble=True).collect())
+    assert fast == exact == [("s1 desc", "ACGTTT"), ("s2", ""), ("s3", "AA"), ("t1", "GG")]
 
 
 def test_fasta_roundtrip(spark, tmp_dir):

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import row_md5
+from ..session import BROADCAST_MAX_BYTES, payload_bytes
 
 ADDED, CHANGED, UNCHANGED, DELETED = "added", "changed", "unchanged", "deleted"
 STATUSES = (ADDED, CHANGED, UNCHANGED, DELETED)
@@ -89,8 +90,27 @@ def extract_added_or_changed(entries: DataFrame, diff: DataFrame, entry_id: str
     return extract_by_status(entries, diff, (ADDED, CHANGED), entry_id)
 
 
+def moved_ids(diff: DataFrame) -> DataFrame:
+    """Ids of the diff with no ``unchanged`` status (added, changed, deleted).
+    A narrow aggregate; usually a small fraction of a snapshot."""
+    return (diff.groupBy("id").agg(F.max(F.col("status") == F.lit(UNCHANGED)).alias("_u"))
+            .where(~F.col("_u")).select("id"))
+
+
 def extract_unchanged(previous: DataFrame, diff: DataFrame, entry_id: str = "id",
-                      strict: bool = False) -> DataFrame:
+                      strict: bool = False, previous_matches_diff: bool = False) -> DataFrame:
+    """Rows of the previous snapshot whose id is unchanged.
+
+    With ``previous_matches_diff=True`` (the previous snapshot holds exactly
+    the ids of the previous fingerprints, as a published pair does) this is
+    the previous snapshot minus the *moved* ids; when the moved set measures
+    small it is broadcast, so the wide snapshot is filtered map-side instead
+    of being shuffled.  Otherwise (or when the moved set is large) it is the
+    semi-join with the unchanged ids."""
+    if previous_matches_diff and not strict:
+        moved = moved_ids(diff)
+        if payload_bytes(moved, ["id"]) <= BROADCAST_MAX_BYTES:
+            return previous.join(F.broadcast(moved), previous[entry_id] == moved["id"], "left_anti")
     return extract_by_status(previous, diff, (UNCHANGED,), entry_id,
                              exclude=(ADDED, CHANGED) if strict else ())
 

@@ -89,7 +89,9 @@ def finish(changed: DataFrame, qc: DataFrame, aligned: DataFrame, translations:
     ``(published, lineages)``."""
     enriched = enrich_entries(changed, qc, aligned, translations, genes, dataset_version, spec)
     new_rows = flatten_publish(enriched, aligned_aa=list(aligned_aa if aligned_aa is not None else genes))
-    unchanged = extract_unchanged(previous_published, diff, id_col)
+    # The previous published snapshot and the previous fingerprints were
+    # written together, so the moved-id anti-join applies.
+    unchanged = extract_unchanged(previous_published, diff, id_col, previous_matches_diff=True)
     published = union_all([unchanged, new_rows])
     lin = lineages(enriched)
     if previous_lineages is not None:

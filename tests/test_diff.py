@@ -42,3 +42,13 @@ def test_extract_semijoins(spark):
     assert sorted(r.id for r in D.extract_added_or_changed(entries, diff).collect()) == ["a", "c"]
     assert sorted(r.id for r in D.extract_unchanged(entries, diff).collect()) == ["b", "c"]
     assert sorted(r.id for r in D.extract_unchanged(entries, diff, strict=True).collect()) == ["b"]
+
+
+def test_unchanged_via_moved_ids_matches_semijoin(spark):
+    prev = spark.createDataFrame([(i, f"v{i}") for i in ("a", "b", "c", "d")], "id string, v string")
+    diff = spark.createDataFrame([("a", "unchanged"), ("b", "changed"), ("c", "deleted"),
+                                  ("d", "unchanged"), ("d", "changed"), ("e", "added")],
+                                 "id string, status string")
+    semi = sorted(r.id for r in D.extract_unchanged(prev, diff).collect())
+    anti = sorted(r.id for r in D.extract_unchanged(prev, diff, previous_matches_diff=True).collect())
+    assert semi == anti == ["a", "d"]

@@ -94,7 +94,7 @@ def payload_bytes(df: DataFrame, cols: list[str]) -> int:
     for c in cols:
         t = types[c]
         if t in ("string", "binary"):
-            parts.append(F.coalesce(F.length(F.col(c)), F.lit(0)).cast("long"))
+            parts.append(F.coalesce(F.length(F.col(f"`{c}`")), F.lit(0)).cast("long"))
         else:
             parts.append(F.lit(8).cast("long"))
     size = parts[0] if parts else F.lit(0)
@@ -112,10 +112,15 @@ def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> Data
     return df
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a Parquet stage table under the shared checkpoint
+    folder and continue from the files: the plan is computed once (an RDD
+    checkpoint recomputes it for the write), later reads prune columns, and
+    a lost executor re-reads files instead of recomputing the lineage."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
 
 
 def lit_col(v) -> Column:

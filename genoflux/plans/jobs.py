@@ -50,26 +50,31 @@ class Prepared:
 
 def prepare(feed: DataFrame, rules: DataFrame | None, previous_hashes: DataFrame,
             id_col: str = "gisaidEpiIsl", sort_changed: bool = True,
-            old_ordinal: str | None = None, stage: bool = True) -> Prepared:
+            old_ordinal: str | None = None, stage: bool = True,
+            stage_root: str | None = None) -> Prepared:
     """Normalise + fingerprint the feed, diff against the previous hashes and
     extract the added/changed entries (sorted by id for the aligner).
 
     With ``stage=True`` the normalised entries (with their fingerprints) and
     the diff are written once as stage tables in the shared checkpoint folder:
     every later output reads them instead of re-running normalisation, and a
-    lost executor re-reads files instead of recomputing the feed."""
+    lost executor re-reads files instead of recomputing the feed.  With
+    ``stage_root`` the stage tables are kept there (``entries``, ``diff``,
+    ``changed``) instead of under the checkpoint folder."""
+    def at(name):
+        return f"{stage_root.rstrip('/')}/{name}" if stage_root else None
     entries = normalise_feed(feed, rules)
     if stage:
-        entries = cut_lineage(entries)
+        entries = cut_lineage(entries, path=at("entries"))
     hashes = hash_table(entries, id_col)
     diff = _diff(previous_hashes, hashes, id_col, old_ordinal)
     if stage:
-        diff = cut_lineage(diff)
+        diff = cut_lineage(diff, path=at("diff"))
     changed = extract_added_or_changed(entries, diff, id_col).drop("md5")
     if sort_changed:
         changed = sort_output(changed, id_col)
     if stage:
-        changed = cut_lineage(changed)
+        changed = cut_lineage(changed, path=at("changed"))
     return Prepared(entries.drop("md5"), hashes, diff, changed)
 
 

@@ -112,13 +112,13 @@ def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> Data
     return df
 
 
-def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
     """Write ``df`` once as a Parquet stage table under the shared checkpoint
     folder and continue from the files: the plan is computed once (an RDD
     checkpoint recomputes it for the write), later reads prune columns, and
     a lost executor re-reads files instead of recomputing the lineage."""
     spark = df.sparkSession
-    path = shared_path(spark, name)
+    path = path or shared_path(spark, name)
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 

@@ -103,3 +103,29 @@ def test_java_framed_md5(spark):
     framed = bytes.fromhex("ACED0005757200025B42ACF317F8060854E00200007870") + len(payload).to_bytes(4, "big") + payload
     df = spark.createDataFrame([('{"a":1}',)], "j string")
     assert df.select(md5_of_json(F.col("j"), "java")).first()[0] == hashlib.md5(framed).hexdigest()
+
+
+def test_compressed_inputs_by_extension(spark, tmp_dir):
+    import gzip
+
+    import zstandard
+    body = b'{"covv_accession_id": "EPI_1", "sequence": "AC"}\n{"covv_accession_id": "EPI_2"}\n'
+    os.makedirs(os.path.join(tmp_dir, "z"))
+    with open(os.path.join(tmp_dir, "z", "feed.ndjson.zst"), "wb") as f:
+        # two concatenated frames, as an appending writer produces
+        f.write(zstandard.ZstdCompressor().compress(body[:49]))
+        f.write(zstandard.ZstdCompressor().compress(body[49:]))
+    with gzip.open(os.path.join(tmp_dir, "z", "more.ndjson.gz"), "wb") as f:
+        f.write(b'{"covv_accession_id": "EPI_3"}\n')
+    got = sorted(r.covv_accession_id for r in R.read_ndjson(spark, os.path.join(tmp_dir, "z"), R.FEED_SCHEMA).collect())
+    assert got == ["EPI_1", "EPI_2", "EPI_3"]
+
+
+def test_compressed_sinks(spark, tmp_dir):
+    df = spark.createDataFrame([("a", {"k": "v"})], "id string, m map<string,string>")
+    out = os.path.join(tmp_dir, "gz")
+    W.write_ndjson(df, out, compression="gzip")
+    assert any(f.endswith(".gz") for f in os.listdir(out))
+    assert R.read_ndjson(spark, out, "id string, m map<string,string>").first()["m"] == {"k": "v"}
+    W.write_parquet(df, os.path.join(tmp_dir, "pq"))
+    assert any("zstd" in f for f in os.listdir(os.path.join(tmp_dir, "pq")))

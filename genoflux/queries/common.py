@@ -1,10 +1,11 @@
 """Shared helpers for the driver-table queries.
 
 Snapshot derivation used by the diff family: the ``orders`` table read
-whole, split into an *old* and a *new* snapshot by deterministic key
-predicates (old lacks keys = 0 mod 10, new lacks keys = 1 mod 10 and has the
-priority of keys = 0 mod 7 edited).  Every row is read and fingerprinted;
-the predicates only decide which snapshot a row belongs to.
+whole and seen at two points in time.  The *old* snapshot holds the orders
+placed before 2000; the *new* one holds every order except finished orders
+from before 1996 (archived, hence deleted), and pending orders have been
+re-prioritised since (changed).  Every row is read and fingerprinted; the
+predicates only decide which snapshot a row belongs to.
 """
 
 from __future__ import annotations
@@ -30,14 +31,22 @@ ORDER_FIELDS = ("o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority",
                 "o_orderstatus", "o_totalprice_cents")
 
 
+SNAPSHOT_TIME = "2000-01-01"   # the old snapshot was taken then
+ARCHIVED_BEFORE = "1996-01-01"  # finished orders older than this left the new one
+
+
 def old_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_record(table(spark, sf_dir, "orders")).where(F.col("o_orderkey") % 10 != 0)
+    o = table(spark, sf_dir, "orders")
+    return order_record(o.where(F.col("o_orderdate") < F.lit(SNAPSHOT_TIME).cast("timestamp_ntz")))
 
 
 def new_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rec = order_record(table(spark, sf_dir, "orders")).where(F.col("o_orderkey") % 10 != 1)
+    o = table(spark, sf_dir, "orders")
+    archived = (F.col("o_orderstatus") == "F") & (
+        F.col("o_orderdate") < F.lit(ARCHIVED_BEFORE).cast("timestamp_ntz"))
+    rec = order_record(o.where(~archived))
     return rec.withColumn("o_orderpriority", F.when(
-        F.col("o_orderkey") % 7 == 0, F.concat("o_orderpriority", F.lit("*"))
+        F.col("o_orderstatus") == "P", F.concat("o_orderpriority", F.lit("*"))
     ).otherwise(F.col("o_orderpriority")))
 
 
@@ -49,11 +58,12 @@ SQL_ORDER_RECORD = """
          strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority
   FROM orders"""
 
-SQL_OLD = f"SELECT * FROM ({SQL_ORDER_RECORD}) WHERE o_orderkey % 10 <> 0"
+SQL_OLD = f"SELECT * FROM ({SQL_ORDER_RECORD}) WHERE o_orderdate < '{SNAPSHOT_TIME}'"
 SQL_NEW = f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice_cents, o_orderdate,
-         CASE WHEN o_orderkey % 7 = 0 THEN o_orderpriority || '*' ELSE o_orderpriority END
+         CASE WHEN o_orderstatus = 'P' THEN o_orderpriority || '*' ELSE o_orderpriority END
            AS o_orderpriority
-  FROM ({SQL_ORDER_RECORD}) WHERE o_orderkey % 10 <> 1"""
+  FROM ({SQL_ORDER_RECORD})
+  WHERE NOT (o_orderstatus = 'F' AND o_orderdate < '{ARCHIVED_BEFORE}')"""
 
 
 def sql_md5_json(fields, alias: str = "") -> str:

@@ -11,7 +11,7 @@ from ..operators.sets import sorted_positions
 from ..plans import jobs as J
 from ..plans.clean import FEED
 from ..session import cut_lineage
-from .common import table
+from .common import ARCHIVED_BEFORE, SNAPSHOT_TIME, table
 from .q_joins import GEO_RULES, _prefix_values, sql_geo_lookup
 
 
@@ -114,8 +114,9 @@ def rebuild_lineages(spark, sf):
 
 
 def _feed(spark, sf, version: int):
-    """Orders as a sequence feed; v1 lacks keys = 0 mod 10, v2 lacks keys
-    = 1 mod 10 and edits the priority of keys = 0 mod 7."""
+    """Orders as a sequence feed seen at two times (as in ``common``): v1
+    holds the orders placed before 2000; v2 drops finished orders from before
+    1996 and re-prioritises the pending ones."""
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -126,10 +127,11 @@ def _feed(spark, sf, version: int):
     k = F.col("o_orderkey")
     prio = F.col("o_orderpriority")
     if version == 1:
-        b = b.where(k % 10 != 0)
+        b = b.where(F.col("o_orderdate") < F.lit(SNAPSHOT_TIME).cast("timestamp_ntz"))
     else:
-        b = b.where(k % 10 != 1)
-        prio = F.when(k % 7 == 0, F.concat(prio, F.lit("*"))).otherwise(prio)
+        b = b.where(~((F.col("o_orderstatus") == "F")
+                      & (F.col("o_orderdate") < F.lit(ARCHIVED_BEFORE).cast("timestamp_ntz"))))
+        prio = F.when(F.col("o_orderstatus") == "P", F.concat(prio, F.lit("*"))).otherwise(prio)
     return b.select(
         F.concat(F.lit("EPI_"), k.cast("string")).alias("covv_accession_id"),
         F.concat(F.lit("hCoV/"), F.col("o_custkey").cast("string"), F.lit("/"), k.cast("string"))
@@ -282,11 +284,12 @@ _SQL_REBUILD = f"""
   WHERE strain IS NOT NULL"""
 
 # Incremental refresh, derived without fingerprints: an id present in both
-# feeds is "changed" exactly when its priority was edited (keys = 0 mod 7);
+# feeds is "changed" exactly when its priority was edited (pending orders);
 # unchanged ids keep their v1 rows (dataset version v1).
 
 _SQL_FEED_BASE = """
-  SELECT o_orderkey, 'EPI_' || o_orderkey AS id, 'hCoV/' || o_custkey || '/' || o_orderkey AS strain,
+  SELECT o_orderkey, o_orderstatus AS st, 'EPI_' || o_orderkey AS id,
+         'hCoV/' || o_custkey || '/' || o_orderkey AS strain,
          strftime(o_orderdate, '%Y-%m-%d') AS date_raw, CAST(o_custkey % 90 AS INTEGER) AS age,
          o_orderpriority AS prio, 'B.' || (o_custkey % 30) AS pango,
          r_name AS c0, n_name AS c1, c_mktsegment AS c2, '' AS c3
@@ -296,7 +299,7 @@ _SQL_FEED_BASE = """
 
 def _sql_geo_resolve(src: str, rounds: int = 6) -> str:
     cur = src
-    carry = ("o_orderkey", "id", "strain", "date_raw", "age", "prio", "pango")
+    carry = ("o_orderkey", "st", "id", "strain", "date_raw", "age", "prio", "pango")
     for _ in range(rounds):
         looked = sql_geo_lookup(cur, carry=carry)
         cur = (f"SELECT {', '.join(carry)}, " + ", ".join(
@@ -310,16 +313,16 @@ def _sql_refresh() -> str:
     return f"""
   WITH prefixes AS ({_prefix_values()}),
   base AS ({geo}),
-  v1 AS (SELECT * FROM base WHERE o_orderkey % 10 <> 0),
-  v2 AS (SELECT o_orderkey, id, strain, date_raw, age,
-                CASE WHEN o_orderkey % 7 = 0 THEN prio || '*' ELSE prio END AS prio, pango, c0, c1, c2, c3
-         FROM base WHERE o_orderkey % 10 <> 1),
+  v1 AS (SELECT * FROM base WHERE date_raw < '{SNAPSHOT_TIME}'),
+  v2 AS (SELECT o_orderkey, st, id, strain, date_raw, age,
+                CASE WHEN st = 'P' THEN prio || '*' ELSE prio END AS prio, pango, c0, c1, c2, c3
+         FROM base WHERE NOT (st = 'F' AND date_raw < '{ARCHIVED_BEFORE}')),
   rows AS (
     SELECT v1.*, 'v1' AS ver FROM v1
-      WHERE o_orderkey IN (SELECT o_orderkey FROM v2) AND o_orderkey % 7 <> 0
+      WHERE o_orderkey IN (SELECT o_orderkey FROM v2) AND st <> 'P'
     UNION ALL
     SELECT v2.*, 'v2' AS ver FROM v2
-      WHERE o_orderkey NOT IN (SELECT o_orderkey FROM v1) OR o_orderkey % 7 = 0)
+      WHERE o_orderkey NOT IN (SELECT o_orderkey FROM v1) OR st = 'P')
   SELECT id AS gisaidEpiIsl, strain, prio AS samplingStrategy, pango AS pangoLineage,
          pango AS nextcladePangoLineage,
          nullif(c0, '') AS region, nullif(c1, '') AS country, nullif(c2, '') AS division,

@@ -49,11 +49,13 @@ class Prepared:
 
 
 def prepare(feed: DataFrame, rules: DataFrame | None, previous_hashes: DataFrame,
-            id_col: str = "gisaidEpiIsl", sort_changed: bool = True,
+            id_col: str = "gisaidEpiIsl", sort_changed: bool = False,
             old_ordinal: str | None = None, stage: bool = True,
             stage_root: str | None = None) -> Prepared:
     """Normalise + fingerprint the feed, diff against the previous hashes and
-    extract the added/changed entries (sorted by id for the aligner).
+    extract the added/changed entries.  ``sort_changed`` orders them by id
+    (a global sort of wide rows, only worth it when a consumer needs sorted
+    files; Spark's own joins do not).
 
     With ``stage=True`` the normalised entries (with their fingerprints) and
     the diff are written once as stage tables in the shared checkpoint folder:

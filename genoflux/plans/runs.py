@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from ..sources import readers as R
 from ..sources import writers as W
 from .clean import FEED, OPEN, CleanSpec
+from ..operators.sets import union_distinct
+from .enrich import lineages
 from .jobs import finish, full_rebuild, prepare
 
 
@@ -33,8 +35,8 @@ def run_full_rebuild(spark: SparkSession, metadata_tsv: str, qc_tsv: str, sequen
     seqs = R.read_fasta(spark, sequences_fasta, ordinal="ordinal")
     aligned = R.read_fasta(spark, aligned_fasta, ordinal="ordinal")
     genes = R.read_translations(spark, gene_fastas)
-    published, lineages = full_rebuild(metadata, qc, seqs, aligned, genes, list(gene_fastas), spec)
-    return W.publish_snapshot(spark, archive_root, published, lineages=lineages, version=version)
+    published, _ = full_rebuild(metadata, qc, seqs, aligned, genes, list(gene_fastas), spec)
+    return W.publish_snapshot(spark, archive_root, published, lineages=lineages_of, version=version)
 
 
 def run_prepare(spark: SparkSession, feed_path: str, rules_path: str | None, archive_root: str,
@@ -80,7 +82,19 @@ def run_finish(spark: SparkSession, stage_dir: str, qc_tsv: str, aligned_fasta:
     else:
         previous_published = R.read_snapshot(spark, archive_root, prev, "data")
         previous_lineages = R.read_snapshot(spark, archive_root, prev, "lineages")
-    published, lineages = finish(changed, qc, aligned, genes, list(gene_fastas), previous_published,
-                                 diff, previous_lineages, dataset_version, id_col, spec)
-    return W.publish_snapshot(spark, archive_root, published, lineages=lineages, hashes=hashes,
-                              version=version)
+    published, _ = finish(changed, qc, aligned, genes, list(gene_fastas), previous_published,
+                          diff, previous_lineages, dataset_version, id_col, spec)
+
+    def merged_lineages(written):
+        # previous list U lineages of the published rows (the new rows' ones
+        # plus the carried-over rows', which the previous list already has)
+        cur = lineages_of(written)
+        return cur if previous_lineages is None else union_distinct(
+            [previous_lineages.select("value"), cur])
+    return W.publish_snapshot(spark, archive_root, published, lineages=merged_lineages,
+                              hashes=hashes, version=version)
+
+
+def lineages_of(published):
+    """Distinct lineage names of published rows (two columns read)."""
+    return lineages(published)

@@ -86,11 +86,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def publish_snapshot(spark: SparkSession, root: str, data: DataFrame,
-                     lineages: DataFrame | None = None, hashes: DataFrame | None = None,
+                     lineages=None, hashes: DataFrame | None = None,
                      version: str | None = None) -> str:
     """Write a versioned snapshot: ``<root>/<part>/data_version=<v>/`` for
     data (Parquet), hashes (Parquet) and lineages (text), then the manifest
     row last as the commit point.  An existing version fails the job.
+    ``lineages`` is a DataFrame or a function of the *written* data (so a
+    list derived from the published rows reads two columns of the written
+    files instead of recomputing the plan that produced them).
     Returns the version (default: epoch seconds)."""
     v = version or str(int(time.time()))
     root = root.rstrip("/")
@@ -101,6 +104,8 @@ def publish_snapshot(spark: SparkSession, root: str, data: DataFrame,
     if hashes is not None:
         write_parquet(hashes, f"{root}/hashes/data_version={v}", "overwrite")
         parts.append("hashes")
+    if callable(lineages):
+        lineages = lineages(spark.read.parquet(f"{root}/data/data_version={v}"))
     if lineages is not None:
         write_line_list(lineages, f"{root}/lineages/data_version={v}", mode="overwrite")
         parts.append("lineages")

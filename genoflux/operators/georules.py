@@ -233,18 +233,30 @@ def resolve_tuples(tuples: DataFrame, rules: DataFrame, per_round: int = 4,
 
 def map_locations(df: DataFrame, rules: DataFrame, fields=GEO_LEVELS) -> DataFrame:
     """Normalise the four location columns (null -> "", Unicode trim),
-    resolve the distinct tuples against the rules, join the result back and
-    turn "" into null.  Only distinct tuples go through the rule loop."""
+    resolve the distinct tuples against the rules and turn "" into null.
+
+    Only distinct tuples go through the rule loop, and only the tuples a rule
+    actually rewrote are joined back: rows whose tuple no rule changes keep
+    their normalised values without a join.  That rewritten-tuple mapping is
+    what a rule file touches, typically far smaller than the set of all
+    locations, so it is broadcast when its measured size allows and the wide
+    rows (with their sequences) are never shuffled for it; otherwise a
+    shuffled join, where AQE can split a hot tuple."""
     fields = list(fields)
     norm = [geo_normalise(F.col(f"`{f}`")) for f in fields]
     keyed = df.withColumns({f"_g{i}": n for i, n in enumerate(norm)})
     tuples = keyed.select(*[F.col(f"_g{i}").alias(f"c{i}") for i in range(4)]).distinct()
     resolved = resolve_tuples(tuples, rules)
-    mapping = resolved.select(*[F.col(f"c{i}").alias(f"_g{i}") for i in range(4)],
-                              *[F.col(f"n{i}").alias(f"_n{i}") for i in range(4)])
-    # The mapping has one row per distinct tuple: broadcast it only when its
-    # measured size allows, else a shuffled join (AQE splits a hot tuple).
+    rewritten = F.lit(False)
+    for i in range(4):
+        rewritten = rewritten | ~F.col(f"n{i}").eqNullSafe(F.col(f"c{i}"))
+    mapping = resolved.where(rewritten).select(
+        *[F.col(f"c{i}").alias(f"_g{i}") for i in range(4)],
+        *[F.col(f"n{i}").alias(f"_n{i}") for i in range(4)], F.lit(True).alias("_hit"))
     mapping = maybe_broadcast(mapping)
     out = keyed.join(mapping, [f"_g{i}" for i in range(4)], "left")
-    out = out.withColumns({f: empty_to_null(F.col(f"_n{i}")) for i, f in enumerate(fields)})
-    return out.drop(*[f"_g{i}" for i in range(4)], *[f"_n{i}" for i in range(4)]).select(*df.columns)
+    out = out.withColumns({f: empty_to_null(F.when(F.col("_hit"), F.col(f"_n{i}"))
+                                            .otherwise(F.col(f"_g{i}")))
+                           for i, f in enumerate(fields)})
+    return out.drop(*[f"_g{i}" for i in range(4)], *[f"_n{i}" for i in range(4)], "_hit") \
+        .select(*[F.col(f"`{c}`") for c in df.columns])

@@ -30,7 +30,17 @@ def parse_partial_date(c) -> dict[str, Column]:
     ``Year``, ``Month``, ``Day``, ``OriginalValue``.
     """
     s = _c(c)
-    complete = s.rlike(_FULL_DATE) & F.try_to_date(s, "yyyy-MM-dd").isNotNull()
+    full_y = F.substring(s, 1, 4).cast("int")
+    full_m = F.substring(s, 6, 2).cast("int")
+    full_d = F.substring(s, 9, 2).cast("int")
+    # A calendar check by arithmetic (proleptic ISO, year 0000 included),
+    # not a date cast: Spark's date type starts at year 1.
+    leap = ((full_y % 4 == 0) & (full_y % 100 != 0)) | (full_y % 400 == 0)
+    month_len = (F.when(full_m == 2, F.when(leap, F.lit(29)).otherwise(F.lit(28)))
+                 .when(full_m.isin(4, 6, 9, 11), F.lit(30)).otherwise(F.lit(31)))
+    shaped = F.coalesce(s.rlike(_FULL_DATE), F.lit(False))
+    complete = shaped & F.when(shaped, (full_m >= 1) & (full_m <= 12) & (full_d >= 1)
+                               & (full_d <= month_len)).otherwise(F.lit(False))
     z = F.regexp_replace(s, "X", "0")
     matches = F.coalesce(z.rlike(_PARTIAL_DATE), F.lit(False))
     g1 = F.regexp_extract(z, _PARTIAL_DATE, 1)
@@ -39,9 +49,6 @@ def parse_partial_date(c) -> dict[str, Column]:
     y = g1.cast("int")
     m = F.when(g2 != "", F.substring(g2, 2, 2).cast("int"))
     d = F.when(g3 != "", F.substring(g3, 2, 2).cast("int"))
-    full_y = F.substring(s, 1, 4).cast("int")
-    full_m = F.substring(s, 6, 2).cast("int")
-    full_d = F.substring(s, 9, 2).cast("int")
     return {
         "": F.when(complete, s),
         "Year": F.when(complete, full_y).when(matches & (y > 0), y),

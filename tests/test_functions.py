@@ -24,6 +24,12 @@ DATES = [
     ("2022-5-1", (None, None, None, None)),
     ("junk", (None, None, None, None)),
     ("2022-08-15T00", (None, None, None, None)),
+    ("0000-01-01", ("0000-01-01", 0, 1, 1)),
+    ("2024-02-29", ("2024-02-29", 2024, 2, 29)),
+    ("2023-02-29", (None, 2023, 2, 29)),
+    ("1900-02-29", (None, 1900, 2, 29)),
+    ("2000-02-29", ("2000-02-29", 2000, 2, 29)),
+    ("2022-04-31", (None, 2022, 4, 31)),
     (None, (None, None, None, None)),
 ]
 

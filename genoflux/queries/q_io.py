@@ -79,16 +79,20 @@ def template_scan(spark, sf):
     JSON object, scanned, and turned into unknown-filled sequences."""
     path = shared_path(spark, "template")
     r = table(spark, sf, "region").select(
-        F.struct(F.col("r_name").alias("k"), F.repeat(F.lit("ACGT"), (F.col("r_regionkey") + 1).cast("int"))
-                 .alias("v")).alias("e"))
+        F.lit("nuc").alias("kind"), F.col("r_name").alias("k"),
+        F.repeat(F.lit("ACGT"), (F.col("r_regionkey") + 1).cast("int")).alias("v"))
     n = table(spark, sf, "nation").select(
-        F.struct(F.col("n_name").alias("k"), F.repeat(F.lit("MK"), (F.col("n_nationkey") + 1).cast("int"))
-                 .alias("v")).alias("e"))
+        F.lit("aa").alias("kind"), F.col("n_name").alias("k"),
+        F.repeat(F.lit("MK"), (F.col("n_nationkey") + 1).cast("int")).alias("v"))
     # A template is one object by definition (a reference genome); these two
-    # dimension tables are tiny and bounded.
-    nuc = r.agg(F.map_from_entries(F.collect_list("e")).alias("nucleotideSequences"))
-    aa = n.agg(F.map_from_entries(F.collect_list("e")).alias("aminoAcidSequences"))
-    nuc.crossJoin(aa).coalesce(1).write.json(path)
+    # dimension tables are tiny and bounded.  One aggregate builds both maps.
+    entry = F.struct("k", "v")
+    both = r.unionByName(n).agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("kind") == "nuc", entry)))
+        .alias("nucleotideSequences"),
+        F.map_from_entries(F.collect_list(F.when(F.col("kind") == "aa", entry)))
+        .alias("aminoAcidSequences"))
+    both.coalesce(1).write.json(path)
     t = R.read_template(spark, path)
     nl, al = R.template_lengths(t)
     return (nl.select(F.lit("nuc").alias("kind"), "name", "length",

@@ -6,10 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import georules as G
-from ..operators.frames import flatten_publish
 from ..operators.sets import sorted_positions
 from ..plans import jobs as J
-from ..plans.clean import FEED
 from ..session import cut_lineage
 from .common import ARCHIVED_BEFORE, SNAPSHOT_TIME, table
 from .q_joins import GEO_RULES, _prefix_values, sql_geo_lookup

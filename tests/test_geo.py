@@ -3,7 +3,6 @@ against a plain-Python nested-map model (test-only)."""
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from genoflux.operators import georules as G
 

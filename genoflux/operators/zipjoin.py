@@ -25,7 +25,8 @@ HOT_ROWS_CONF = "genoflux.zip.hotKeyRows"
 DEFAULT_HOT_ROWS = 1_000_000
 
 
-def _hot_rows(df: DataFrame, hot_rows: int | None) -> int:
+def hot_limit(df: DataFrame, hot_rows: int | None) -> int:
+    """The hot-key row limit: explicit, else ``genoflux.zip.hotKeyRows``."""
     if hot_rows is not None:
         return hot_rows
     v = df.sparkSession.conf.get(HOT_ROWS_CONF, None)
@@ -55,15 +56,36 @@ def with_file_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
         F.monotonically_increasing_id().alias("i")))
 
 
+def key_stats(inputs: Sequence[tuple[DataFrame, Sequence[str]]], limit: int) -> list[dict]:
+    """For each ``(df, keys)``: the largest group size and the number of keys
+    above ``limit`` -- all inputs in ONE job (key-only projections unioned,
+    one partial aggregation; the result has one row per input)."""
+    parts = []
+    for tag, (df, keys) in enumerate(inputs):
+        k = F.concat_ws("\u0001", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0002"))
+                                   for c in keys])
+        parts.append(df.select(F.lit(tag).alias("_t"), k.alias("_k")))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    per_key = u.groupBy("_t", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    rows = per_key.groupBy("_t").agg(F.max("_n").alias("mx"),
+                                     F.count_if(F.col("_n") > limit).alias("hot")).collect()
+    got = {r["_t"]: {"mx": r["mx"], "hot": r["hot"]} for r in rows}
+    return [got.get(t, {"mx": None, "hot": 0}) for t in range(len(inputs))]
+
+
 def key_row_number(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str,
-                   rn: str = "rn", hot_rows: int | None = None) -> DataFrame:
+                   rn: str = "rn", hot_rows: int | None = None, stats: dict | None = None
+                   ) -> DataFrame:
     """Add ``rn`` = 1-based position of the row within its key by ``order``
     (``order`` must be unique within a key for a deterministic result).
 
     One key-only aggregate (partial, map-side combined) gives the largest
-    group and the number of keys above the hot limit.  All keys unique (the
-    usual one-row-per-sample input): ``rn = 1`` with no shuffle at all.  No
-    hot keys: a plain window.  With hot keys, their rows
+    group and the number of keys above the hot limit (``stats`` when already
+    computed by ``key_stats`` for several inputs at once).  All keys unique
+    (the usual one-row-per-sample input): ``rn = 1`` with no shuffle at all.
+    No hot keys: a plain window.  With hot keys, their rows
     are range-partitioned on ``(key, order)`` -- a hot key spreads over many
     tasks -- and each row's task-local index is written once with the rows
     to the shared checkpoint folder, so the per-(partition, key) offsets and
@@ -72,17 +94,18 @@ def key_row_number(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, str) else list(order)
     spark = df.sparkSession
-    limit = _hot_rows(df, hot_rows)
+    limit = hot_limit(df, hot_rows)
     kcols = [F.col(f"`{k}`") for k in keys]
 
-    counts = df.groupBy(*kcols).agg(F.count(F.lit(1)).alias("_n"))
-    stats = counts.agg(F.max("_n").alias("mx"), F.count_if(F.col("_n") > limit).alias("hot")).first()
+    if stats is None:
+        stats = key_stats([(df, keys)], limit)[0]
     if stats["mx"] is None or stats["mx"] <= 1:
         # every key unique (the usual one-row-per-sample input): no window
         return df.withColumn(rn, F.lit(1).cast("long"))
     w = Window.partitionBy(*kcols).orderBy(*[F.col(f"`{o}`") for o in order])
     if not stats["hot"]:
         return df.withColumn(rn, F.row_number().over(w).cast("long"))
+    counts = df.groupBy(*kcols).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > limit).select(*kcols)
 
     # Bounded: at most rows / limit keys can exceed the limit.
@@ -140,20 +163,22 @@ def zip_inputs(frames: Sequence[tuple[DataFrame, str, Sequence[str] | str]],
                key: str = "key", rn: str = "rn", keep: str = "all",
                hot_rows: int | None = None) -> DataFrame:
     """Number each input ``(df, key column, order columns)`` and zip-join."""
-    numbered = []
-    for df, kcol, order in frames:
-        d = df if kcol == key else df.withColumnRenamed(kcol, key)
-        numbered.append(key_row_number(d, key, order, rn, hot_rows))
+    renamed = [(df if kcol == key else df.withColumnRenamed(kcol, key), order)
+                for df, kcol, order in frames]
+    limit = hot_limit(renamed[0][0], hot_rows)
+    stats = key_stats([(d, [key]) for d, _ in renamed], limit)
+    numbered = [key_row_number(d, key, order, rn, limit, st)
+                for (d, order), st in zip(renamed, stats)]
     return zip_join(numbered, key, rn, keep)
 
 
 def zip_long(df: DataFrame, key: str, name_col: str, value_col: str,
              order: Sequence[str] | str, rn: str = "rn", out: str = "values",
-             hot_rows: int | None = None) -> DataFrame:
+             hot_rows: int | None = None, stats: dict | None = None) -> DataFrame:
     """Many same-shaped inputs stacked as one long table ``(key, name,
     value)`` -> one row per ``(key, rn)`` with a ``name -> value`` map.
     One shuffle instead of one join per input; each group holds at most one
     row per name."""
-    numbered = key_row_number(df, [key, name_col], order, rn, hot_rows)
+    numbered = key_row_number(df, [key, name_col], order, rn, hot_rows, stats)
     return numbered.groupBy(key, rn).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(name_col), F.col(value_col)))).alias(out))

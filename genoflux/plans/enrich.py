@@ -18,20 +18,20 @@ from pyspark.sql import functions as F
 from ..functions.sequences import insertion_list, insertions_by_gene
 from ..operators.frames import SEQUENCE_COLS, copy_column, override_when, q
 from ..operators.sets import distinct_values
-from ..operators.zipjoin import content_ordinal, fallback_key, key_row_number, zip_long
+from ..operators.zipjoin import (content_ordinal, fallback_key, hot_limit, key_row_number,
+                                 key_stats, zip_long)
 from .clean import FEED, LINEAGE_FIELDS, OPEN, CleanSpec, clean
 
 KEY, RN = "_key", "_rn"
 QC_PREFIX = "qc::"
 
 
-def _number(df: DataFrame, primary: str, alternative: str, ordinal: str,
-            hot_rows: int | None) -> DataFrame:
+def _keyed(df: DataFrame, primary: str, alternative: str, ordinal: str) -> DataFrame:
     if ordinal not in df.columns:
         # No file order recorded: a content hash is a deterministic tiebreak
         # (rows with equal hashes are identical in practice).
         df = content_ordinal(df, ordinal)
-    return key_row_number(fallback_key(df, primary, alternative, KEY), KEY, ordinal, RN, hot_rows)
+    return fallback_key(df, primary, alternative, KEY)
 
 
 def _assemble(joined: DataFrame, base_cols: list[str], qc_cols: list[str], genes: Sequence[str],
@@ -71,22 +71,28 @@ def _assemble(joined: DataFrame, base_cols: list[str], qc_cols: list[str], genes
 def _join_inputs(base: DataFrame, base_key: str, qc: DataFrame, aligned: DataFrame,
                  translations: DataFrame, sequences: DataFrame | None, ordinal: str,
                  hot_rows: int | None) -> tuple[DataFrame, list[str]]:
-    b = _number(base, base_key, "seqName", ordinal, hot_rows)
     qc_cols = [c for c in qc.columns if c != ordinal]
-    qn = _number(qc, base_key, "seqName", ordinal, hot_rows)
-    qn = qn.select(KEY, RN, F.lit(True).alias("_qc_present"),
-                   *[q(c).alias(QC_PREFIX + c) for c in qc_cols])
-    an = _number(aligned, "sample_name", "seqName", ordinal, hot_rows).select(
-        KEY, RN, F.col("sequence").alias("_aligned"))
-    if ordinal not in translations.columns:
-        translations = content_ordinal(translations, ordinal)
-    gn = zip_long(fallback_key(translations, "sample_name", "seqName", KEY), KEY, "gene",
-                  "sequence", ordinal, RN, "_genes", hot_rows)
+    inputs = [(_keyed(base, base_key, "seqName", ordinal), [KEY]),
+              (_keyed(qc, base_key, "seqName", ordinal), [KEY]),
+              (_keyed(aligned, "sample_name", "seqName", ordinal), [KEY])]
+    if sequences is not None:
+        inputs.append((_keyed(sequences, "sample_name", "seqName", ordinal), [KEY]))
+    inputs.append((_keyed(translations, "sample_name", "seqName", ordinal), [KEY, "gene"]))
+    limit = hot_limit(base, hot_rows)
+    stats = key_stats(inputs, limit)  # one job for every input's key statistics
+
+    def number(i):
+        return key_row_number(inputs[i][0], KEY, ordinal, RN, limit, stats[i])
+
+    b = number(0)
+    qn = number(1).select(KEY, RN, F.lit(True).alias("_qc_present"),
+                          *[q(c).alias(QC_PREFIX + c) for c in qc_cols])
+    an = number(2).select(KEY, RN, F.col("sequence").alias("_aligned"))
     out = b.join(qn, [KEY, RN], "left").join(an, [KEY, RN], "left")
     if sequences is not None:
-        sn = _number(sequences, "sample_name", "seqName", ordinal, hot_rows).select(
-            KEY, RN, F.col("sequence").alias("_unaligned"))
+        sn = number(3).select(KEY, RN, F.col("sequence").alias("_unaligned"))
         out = out.join(sn, [KEY, RN], "left")
+    gn = zip_long(inputs[-1][0], KEY, "gene", "sequence", ordinal, RN, "_genes", limit, stats[-1])
     out = out.join(gn, [KEY, RN], "left")
     return out, qc_cols
 

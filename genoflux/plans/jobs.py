@@ -24,12 +24,20 @@ from .enrich import enrich_entries, enrich_open, lineages
 from ..session import cut_lineage
 
 
-def normalise_feed(feed: DataFrame, rules: DataFrame | None, framing: str = "plain") -> DataFrame:
+def normalise_feed(feed: DataFrame, rules: DataFrame | None, framing: str = "plain",
+                   land: bool = False) -> DataFrame:
     """Feed -> entry frame with location rules applied and an ``md5``
     fingerprint of the whole entry (taken after location mapping, so changed
-    rules re-process the affected records)."""
+    rules re-process the affected records).
+
+    ``land=True`` writes the projected entries once as a Parquet stage table
+    before the location pass: the distinct-location job then reads four
+    columns of it and the final pass reads it instead of parsing the feed
+    text a second time."""
     e = project_feed(feed)
     e = map_to_null(e, FEED_NULL_MARKERS)
+    if land and rules is not None:
+        e = cut_lineage(e, "feed-landed")
     if rules is not None:
         e = map_locations(e, rules)
     return e.withColumn("md5", row_md5(e, e.columns, framing))
@@ -65,7 +73,7 @@ def prepare(feed: DataFrame, rules: DataFrame | None, previous_hashes: DataFrame
     ``changed``) instead of under the checkpoint folder."""
     def at(name):
         return f"{stage_root.rstrip('/')}/{name}" if stage_root else None
-    entries = normalise_feed(feed, rules)
+    entries = normalise_feed(feed, rules, land=stage)
     if stage:
         entries = cut_lineage(entries, path=at("entries"))
     hashes = hash_table(entries, id_col)

@@ -22,19 +22,27 @@ from ..sources import readers as R
 from ..sources import writers as W
 from .clean import FEED, OPEN, CleanSpec
 from ..operators.sets import union_distinct
+from ..session import cut_lineage
 from .enrich import lineages
 from .jobs import finish, full_rebuild, prepare
 
 
+def land(df):
+    """Parse a text input once into a Parquet stage table."""
+    return cut_lineage(df, "landed")
+
+
 def run_full_rebuild(spark: SparkSession, metadata_tsv: str, qc_tsv: str, sequences_fasta: str,
                      aligned_fasta: str, gene_fastas: Mapping[str, str], archive_root: str,
                      version: str | None = None, spec: CleanSpec = OPEN) -> str:
     """Full rebuild from files; returns the published version."""
-    metadata = R.read_tsv(spark, metadata_tsv, ordinal="ordinal")
-    qc = R.read_tsv(spark, qc_tsv, ordinal="ordinal")
-    seqs = R.read_fasta(spark, sequences_fasta, ordinal="ordinal")
-    aligned = R.read_fasta(spark, aligned_fasta, ordinal="ordinal")
-    genes = R.read_translations(spark, gene_fastas)
+    # Each text input is parsed once and landed as Parquet: the key
+    # statistics then read one column and the joins read the landed files.
+    metadata = land(R.read_tsv(spark, metadata_tsv, ordinal="ordinal"))
+    qc = land(R.read_tsv(spark, qc_tsv, ordinal="ordinal"))
+    seqs = land(R.read_fasta(spark, sequences_fasta, ordinal="ordinal"))
+    aligned = land(R.read_fasta(spark, aligned_fasta, ordinal="ordinal"))
+    genes = land(R.read_translations(spark, gene_fastas))
     published, _ = full_rebuild(metadata, qc, seqs, aligned, genes, list(gene_fastas), spec)
     return W.publish_snapshot(spark, archive_root, published, lineages=lineages_of, version=version)
 
@@ -73,9 +81,9 @@ def run_finish(spark: SparkSession, stage_dir: str, qc_tsv: str, aligned_fasta:
     diff = spark.read.parquet(f"{stage}/diff")
     hashes = spark.read.parquet(f"{stage}/hashes")
     prev = spark.read.parquet(f"{stage}/previous").first()["previous"] or None
-    qc = R.read_tsv(spark, qc_tsv, ordinal="ordinal")
-    aligned = R.read_fasta(spark, aligned_fasta, ordinal="ordinal")
-    genes = R.read_translations(spark, gene_fastas)
+    qc = land(R.read_tsv(spark, qc_tsv, ordinal="ordinal"))
+    aligned = land(R.read_fasta(spark, aligned_fasta, ordinal="ordinal"))
+    genes = land(R.read_translations(spark, gene_fastas))
     if prev is None:
         previous_published = spark.createDataFrame([], f"`{id_col}` string")
         previous_lineages = None

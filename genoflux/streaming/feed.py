@@ -36,7 +36,9 @@ def ingest_landed_feed(spark: SparkSession, landing_dir: str, out_dir: str, chec
     batches = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        entries = normalise_feed(batch, rules)
+        # normalise_feed lands the batch once when rules are given (several
+        # passes over it follow); without rules it is a single pass.
+        entries = normalise_feed(batch, rules, land=True)
         entries.write.mode("overwrite").option("compression", "zstd").parquet(
             f"{out}/entries/batch_id={batch_id}")
         (entries.select(F.col(id_col), "md5").write.mode("overwrite")

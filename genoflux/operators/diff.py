@@ -86,7 +86,25 @@ def extract_by_status(entries: DataFrame, diff: DataFrame, statuses: Iterable[st
     return out
 
 
-def extract_added_or_changed(entries: DataFrame, diff: DataFrame, entry_id: str = "id") -> DataFrame:
+def extract_added_or_changed(entries: DataFrame, diff: DataFrame, entry_id: str = "id",
+                             diff_covers_entries: bool = False) -> DataFrame:
+    """Rows of ``entries`` whose id was added or changed.
+
+    With ``diff_covers_entries=True`` (every entry id is classified by the
+    diff, as for the snapshot the diff was computed from) the wide entries
+    are filtered map-side against whichever id set measures small enough to
+    broadcast: the added/changed ids (steady state: few records move) with a
+    semi-join, else the ids that are *only* unchanged with an anti-join (an
+    initial load, where everything is added).  Otherwise, or when neither is
+    small, the shuffled semi-join."""
+    if diff_covers_entries:
+        moving = ids_with_status(diff, (ADDED, CHANGED))
+        if payload_bytes(moving, ["id"]) <= BROADCAST_MAX_BYTES:
+            return entries.join(F.broadcast(moving), entries[entry_id] == moving["id"], "left_semi")
+        still = (diff.groupBy("id").agg(F.max(F.col("status").isin(ADDED, CHANGED)).alias("_m"))
+                 .where(~F.col("_m")).select("id"))
+        if payload_bytes(still, ["id"]) <= BROADCAST_MAX_BYTES:
+            return entries.join(F.broadcast(still), entries[entry_id] == still["id"], "left_anti")
     return extract_by_status(entries, diff, (ADDED, CHANGED), entry_id)
 
 

@@ -80,7 +80,7 @@ def prepare(feed: DataFrame, rules: DataFrame | None, previous_hashes: DataFrame
     diff = _diff(previous_hashes, hashes, id_col, old_ordinal)
     if stage:
         diff = cut_lineage(diff, path=at("diff"))
-    changed = extract_added_or_changed(entries, diff, id_col).drop("md5")
+    changed = extract_added_or_changed(entries, diff, id_col, diff_covers_entries=True).drop("md5")
     if sort_changed:
         changed = sort_output(changed, id_col)
     if stage:

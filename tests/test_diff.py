@@ -52,3 +52,13 @@ def test_unchanged_via_moved_ids_matches_semijoin(spark):
     semi = sorted(r.id for r in D.extract_unchanged(prev, diff).collect())
     anti = sorted(r.id for r in D.extract_unchanged(prev, diff, previous_matches_diff=True).collect())
     assert semi == anti == ["a", "d"]
+
+
+def test_added_or_changed_paths_agree(spark):
+    entries = spark.createDataFrame([(i, i) for i in ("a", "b", "c", "d")], "id string, v string")
+    diff = spark.createDataFrame([("a", "unchanged"), ("b", "changed"), ("c", "added"),
+                                  ("d", "unchanged"), ("d", "changed"), ("z", "deleted")],
+                                 "id string, status string")
+    plain = sorted(r.id for r in D.extract_added_or_changed(entries, diff).collect())
+    fast = sorted(r.id for r in D.extract_added_or_changed(entries, diff, diff_covers_entries=True).collect())
+    assert plain == fast == ["b", "c", "d"]

@@ -129,3 +129,19 @@ def test_compressed_sinks(spark, tmp_dir):
     assert R.read_ndjson(spark, out, "id string, m map<string,string>").first()["m"] == {"k": "v"}
     W.write_parquet(df, os.path.join(tmp_dir, "pq"))
     assert any("zstd" in f for f in os.listdir(os.path.join(tmp_dir, "pq")))
+
+
+def test_tsv_duplicate_header_last_wins(spark, tmp_dir):
+    write(tmp_dir, "d.tsv", "a\tb\ta\n1\t2\t3\n")
+    got = R.read_tsv(spark, tmp_dir)
+    assert got.columns == ["b", "a"]
+    assert tuple(got.first()) == ("2", "3")
+
+
+def test_tsv_short_row_fails_extra_cells_ignored(spark, tmp_dir):
+    write(os.path.join(tmp_dir, "long"), "x.tsv", "a\tb\n1\t2\t3\n4\t\t\n")
+    assert [tuple(r) for r in R.read_tsv(spark, os.path.join(tmp_dir, "long")).collect()] == [
+        ("1", "2"), ("4", "")]
+    write(os.path.join(tmp_dir, "short"), "x.tsv", "a\tb\tc\n1\t2\n")
+    with pytest.raises(Exception):
+        R.read_tsv(spark, os.path.join(tmp_dir, "short")).collect()

@@ -14,9 +14,11 @@ depends on which of the 30 exact/``*`` prefix patterns of a tuple exist as
 rule prefixes, so one join of the tuples' 30 candidate prefixes against the
 rule-prefix table answers the lookup; the walk is then pure expressions.
 
-Resolution loops over the tuples that still change, checkpointing each
-round to the shared checkpoint folder; more than 1000 applications on one
-tuple is reported as a rule cycle.
+Resolution loops over the tuples that still change (four applications per
+round in one plan, one small aggregate per round to decide whether to go
+on), persisting each round and writing a stage table every second round and
+at the end; more than 1000 applications on one tuple, or a tuple that
+provably cycles, is reported as a rule cycle.
 """
 
 from __future__ import annotations

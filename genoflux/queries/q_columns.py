@@ -238,13 +238,11 @@ def template_fill(spark, sf):
 
 def unknown_template(spark, sf):
     """Template sequences -> N / X of the same length."""
-    n = table(spark, sf, "nation").join(table(spark, sf, "region"),
-                                        F.col("n_regionkey") == F.col("r_regionkey"))
-    nuc = F.create_map(F.lit("main"), F.col("n_name"), F.lit("S"), F.col("r_name"))
-    aa = F.create_map(F.lit("ORF1a"), F.concat("n_name", "r_name"))
-    out = n.select("n_nationkey", to_unknown(nuc, "N").alias("nuc"),
-                   to_unknown(aa, "X").alias("aa"))
-    return out.select("n_nationkey", F.col("nuc")["main"].alias("main"),
+    p = table(spark, sf, "part")
+    nuc = F.create_map(F.lit("main"), F.col("p_name"), F.lit("S"), F.col("p_type"))
+    aa = F.create_map(F.lit("ORF1a"), F.concat("p_brand", "p_type"))
+    out = p.select("p_partkey", to_unknown(nuc, "N").alias("nuc"), to_unknown(aa, "X").alias("aa"))
+    return out.select("p_partkey", F.col("nuc")["main"].alias("main"),
                       F.col("nuc")["S"].alias("s_gene"), F.col("aa")["ORF1a"].alias("orf1a"))
 
 
@@ -538,9 +536,9 @@ ORACLE = {
         4 AS n_names
       FROM customer""",
     "unknown_template": """
-      SELECT n_nationkey, repeat('N', length(n_name)) AS main, repeat('N', length(r_name)) AS s_gene,
-             repeat('X', length(n_name || r_name)) AS orf1a
-      FROM nation JOIN region ON n_regionkey = r_regionkey""",
+      SELECT p_partkey, repeat('N', length(p_name)) AS main, repeat('N', length(p_type)) AS s_gene,
+             repeat('X', length(p_brand || p_type)) AS orf1a
+      FROM part""",
     "insertion_list": f"""
       SELECT l_orderkey, l_linenumber, CAST(len(arr) AS INTEGER) AS n_ins, array_to_string(arr, ';') AS ins
       FROM (SELECT l_orderkey, l_linenumber,

@@ -75,29 +75,23 @@ def line_list_roundtrip(spark, sf):
 
 
 def template_scan(spark, sf):
-    """S8 + P12: an alignment template (name -> sequence maps) written as one
-    JSON object, scanned, and turned into unknown-filled sequences."""
+    """S8 + P12: alignment templates (name -> sequence maps), one object per
+    part, written as JSON lines, scanned, and turned into unknown-filled
+    sequences of the template lengths."""
     path = shared_path(spark, "template")
-    r = table(spark, sf, "region").select(
-        F.lit("nuc").alias("kind"), F.col("r_name").alias("k"),
-        F.repeat(F.lit("ACGT"), (F.col("r_regionkey") + 1).cast("int")).alias("v"))
-    n = table(spark, sf, "nation").select(
-        F.lit("aa").alias("kind"), F.col("n_name").alias("k"),
-        F.repeat(F.lit("MK"), (F.col("n_nationkey") + 1).cast("int")).alias("v"))
-    # A template is one object by definition (a reference genome); these two
-    # dimension tables are tiny and bounded.  One aggregate builds both maps.
-    entry = F.struct("k", "v")
-    both = r.unionByName(n).agg(
-        F.map_from_entries(F.collect_list(F.when(F.col("kind") == "nuc", entry)))
-        .alias("nucleotideSequences"),
-        F.map_from_entries(F.collect_list(F.when(F.col("kind") == "aa", entry)))
-        .alias("aminoAcidSequences"))
-    both.coalesce(1).write.json(path)
-    t = R.read_template(spark, path)
-    nl, al = R.template_lengths(t)
-    return (nl.select(F.lit("nuc").alias("kind"), "name", "length",
+    p = table(spark, sf, "part")
+    size = (F.col("p_size") % 7 + 1).cast("int")
+    p.select(
+        F.col("p_partkey").cast("string").alias("id"),
+        F.create_map(F.lit("main"), F.repeat(F.lit("ACGT"), size),
+                     F.lit("extra"), F.col("p_name")).alias("nucleotideSequences"),
+        F.create_map(F.col("p_brand"), F.repeat(F.lit("MK"), size)).alias("aminoAcidSequences"),
+    ).write.json(path)
+    t = R.read_template(spark, path, multi_line=False)
+    nl, al = R.template_lengths(t, keep=["id"])
+    return (nl.select("id", F.lit("nuc").alias("kind"), "name", "length",
                       F.repeat(F.lit("N"), F.col("length")).alias("unknown"))
-            .unionByName(al.select(F.lit("aa").alias("kind"), "name", "length",
+            .unionByName(al.select("id", F.lit("aa").alias("kind"), "name", "length",
                                    F.repeat(F.lit("X"), F.col("length")).alias("unknown"))))
 
 
@@ -167,11 +161,15 @@ ORACLE = {
       UNION ALL SELECT {_SQL_LETTERS.format(c='html')} AS value FROM pages""",
     "line_list_roundtrip": "SELECT DISTINCT p_brand AS value FROM part WHERE p_brand <> ''",
     "template_scan": """
-      SELECT 'nuc' AS kind, r_name AS name, CAST(4 * (r_regionkey + 1) AS INTEGER) AS length,
-             repeat('N', CAST(4 * (r_regionkey + 1) AS INTEGER)) AS unknown FROM region
+      SELECT CAST(p_partkey AS VARCHAR) AS id, 'nuc' AS kind, 'main' AS name,
+             CAST(4 * (p_size % 7 + 1) AS INTEGER) AS length,
+             repeat('N', CAST(4 * (p_size % 7 + 1) AS INTEGER)) AS unknown FROM part
       UNION ALL
-      SELECT 'aa', n_name, CAST(2 * (n_nationkey + 1) AS INTEGER),
-             repeat('X', CAST(2 * (n_nationkey + 1) AS INTEGER)) FROM nation""",
+      SELECT CAST(p_partkey AS VARCHAR), 'nuc', 'extra', CAST(length(p_name) AS INTEGER),
+             repeat('N', CAST(length(p_name) AS INTEGER)) FROM part
+      UNION ALL
+      SELECT CAST(p_partkey AS VARCHAR), 'aa', p_brand, CAST(2 * (p_size % 7 + 1) AS INTEGER),
+             repeat('X', CAST(2 * (p_size % 7 + 1) AS INTEGER)) FROM part""",
     "snapshot_publish": SQL_OLD,
     "hash_table_scan": f"SELECT CAST(id AS VARCHAR) AS id, md5 FROM ({SQL_NEW_H})",
     "diff_table_roundtrip": SQL_DIFF,

@@ -24,6 +24,7 @@ FEED_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in (
     "covv_lineage", "covv_location", "sequence")])
 
 TEMPLATE_SCHEMA = T.StructType([
+    T.StructField("id", T.StringType()),
     T.StructField("nucleotideSequences", T.MapType(T.StringType(), T.StringType())),
     T.StructField("aminoAcidSequences", T.MapType(T.StringType(), T.StringType())),
 ])
@@ -114,18 +115,21 @@ def read_geo_rules(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return parse_rules(lines, "value", "ordinal")
 
 
-def read_template(spark: SparkSession, path: str) -> DataFrame:
-    """Alignment template JSON (one object with two name -> sequence maps)."""
-    return spark.read.schema(TEMPLATE_SCHEMA).option("multiLine", True).option(
+def read_template(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Alignment template JSON: an object with two name -> sequence maps --
+    one pretty-printed object per file (``multi_line=True``) or one object
+    per line (many templates, split across tasks)."""
+    return spark.read.schema(TEMPLATE_SCHEMA).option("multiLine", multi_line).option(
         "mode", "FAILFAST").json(path)
 
 
-def template_lengths(template: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(name, length)`` tables for nucleotide and amino-acid templates."""
-    nuc = template.select(F.explode("nucleotideSequences").alias("name", "seq")).select(
-        "name", F.length("seq").alias("length"))
-    aa = template.select(F.explode("aminoAcidSequences").alias("name", "seq")).select(
-        "name", F.length("seq").alias("length"))
+def template_lengths(template: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """``(name, length)`` tables for nucleotide and amino-acid templates
+    (``keep``: template columns carried along, e.g. an id)."""
+    nuc = template.select(*keep, F.explode("nucleotideSequences").alias("name", "seq")).select(
+        *keep, "name", F.length("seq").alias("length"))
+    aa = template.select(*keep, F.explode("aminoAcidSequences").alias("name", "seq")).select(
+        *keep, "name", F.length("seq").alias("length"))
     return nuc, aa
 
 

@@ -38,7 +38,8 @@ def read_ndjson(spark: SparkSession, path: str | Sequence[str], schema: T.Struct
 
 
 def read_fasta(spark: SparkSession, path: str | Sequence[str], id_col: str = "sample_name",
-               ordinal: str | None = None, check_preamble: bool = False) -> DataFrame:
+               ordinal: str | None = None, check_preamble: bool = False,
+               preamble: str = "error") -> DataFrame:
     """FASTA records ``(id, sequence)``.
 
     The header is the whole first line after ``>`` (description kept, not
@@ -50,26 +51,50 @@ def read_fasta(spark: SparkSession, path: str | Sequence[str], id_col: str = "sa
     The separator consumes the ``>`` of every record but a file's first, so
     a leading ``>`` marks (and is stripped from) a file's first record.
     ``check_preamble=True`` additionally finds each file's first record
-    exactly (one row per file from a second, metadata-only pass) and fails
-    the job on text before the first header.
+    exactly (one row per file from a second, metadata-only pass); text
+    before the first header then fails the job (``preamble='error'``) or is
+    prepended to the first record's sequence (``preamble='prepend'``, the
+    line reader's behaviour).
     """
     raw = with_file_ordinal(spark.read.option("lineSep", "\n>").text(path), "_o")
     v = F.regexp_replace(F.col("value"), "\r", "")
     lines = F.split(v, "\n")
     head = F.get(lines, 0)
     body = F.filter(F.slice(lines, 2, 1 << 30), lambda x: x.rlike(r"(?U)\S"))
-    if check_preamble:
-        # Bounded: one row per input file.
-        firsts = (raw.where(F.col("_o.b") == 0).groupBy(F.col("_o.f").alias("_f"))
-                  .agg(F.min("_o.i").alias("_i0")))
-        raw = raw.join(F.broadcast(firsts), raw["_o.f"] == firsts["_f"], "left")
-        is_first = F.coalesce((F.col("_o.b") == 0) & (F.col("_o.i") == F.col("_i0")), F.lit(False))
-        header = F.when(is_first & ~v.startswith(">"), F.raise_error(F.concat(
-            F.lit("text before the first FASTA header in "), F.col("_o.f"))).cast("string")
-        ).when(is_first, F.substring(head, 2, 1 << 30)).otherwise(head)
-    else:
+    if not check_preamble:
         header = F.when(v.startswith(">"), F.substring(head, 2, 1 << 30)).otherwise(head)
-    return raw.select(header.alias(id_col), F.array_join(body, "").alias("sequence"),
+        return raw.select(header.alias(id_col), F.array_join(body, "").alias("sequence"),
+                          *([F.col("_o").alias(ordinal)] if ordinal else []))
+    # Bounded: one row per input file.
+    firsts = (raw.where(F.col("_o.b") == 0).groupBy(F.col("_o.f").alias("_f"))
+              .agg(F.min("_o.i").alias("_i0")))
+    rec = raw.join(F.broadcast(firsts), raw["_o.f"] == firsts["_f"], "left")
+    is_first = F.coalesce((F.col("_o.b") == 0) & (F.col("_o.i") == F.col("_i0")), F.lit(False))
+    rec = rec.select("_o", v.alias("_v"), is_first.alias("_first"),
+                     (is_first & ~v.startswith(">")).alias("_pre"))
+    lines = F.split(F.col("_v"), "\n")
+    head = F.get(lines, 0)
+    body = F.array_join(F.filter(F.slice(lines, 2, 1 << 30), lambda x: x.rlike(r"(?U)\S")), "")
+    if preamble == "error":
+        header = F.when(F.col("_pre"), F.raise_error(F.concat(
+            F.lit("text before the first FASTA header in "), F.col("_o.f"))).cast("string")
+        ).when(F.col("_first"), F.substring(head, 2, 1 << 30)).otherwise(head)
+        return rec.select(header.alias(id_col), body.alias("sequence"),
+                          *([F.col("_o").alias(ordinal)] if ordinal else []))
+    if preamble != "prepend":
+        raise ValueError(f"preamble must be 'error' or 'prepend', not {preamble!r}")
+    # The preamble chunk holds no header: all its non-blank lines are text
+    # for the file's next record (one row per such file, bounded).
+    pre_text = F.array_join(F.filter(lines, lambda x: x.rlike(r"(?U)\S")), "")
+    pre = rec.where("_pre").select(F.col("_o.f").alias("_pf"), pre_text.alias("_ptext"))
+    nxt = (rec.where(~F.col("_first")).groupBy(F.col("_o.f").alias("_nf"))
+           .agg(F.min("_o").alias("_no")))
+    target = pre.join(nxt, pre["_pf"] == nxt["_nf"]).select("_pf", "_no", "_ptext")
+    out = rec.where(~F.col("_pre")).join(
+        F.broadcast(target), (F.col("_o.f") == F.col("_pf")) & (F.col("_o") == F.col("_no")), "left")
+    header = F.when(F.col("_first"), F.substring(head, 2, 1 << 30)).otherwise(head)
+    seq = F.concat(F.coalesce(F.col("_ptext"), F.lit("")), body)
+    return out.select(header.alias(id_col), seq.alias("sequence"),
                       *([F.col("_o").alias(ordinal)] if ordinal else []))
 
 

@@ -145,3 +145,11 @@ def test_tsv_ragged_rows_fail(spark, tmp_dir):
         write(os.path.join(tmp_dir, name), "x.tsv", text)
         with pytest.raises(Exception):
             R.read_tsv(spark, os.path.join(tmp_dir, name)).collect()
+
+
+def test_fasta_preamble_prepend(spark, tmp_dir):
+    write(tmp_dir, "a.fasta", "junk\n\nMORE\n>s1\nAC\n>s2\nGG\n")
+    write(tmp_dir, "b.fasta", ">t1\nTT\n")
+    got = sorted(tuple(r) for r in R.read_fasta(spark, tmp_dir, check_preamble=True,
+                                                 preamble="prepend").collect())
+    assert got == [("s1", "junkMOREAC"), ("s2", "GG"), ("t1", "TT")]

@@ -30,9 +30,9 @@ def parse_partial_date(c) -> dict[str, Column]:
     ``Year``, ``Month``, ``Day``, ``OriginalValue``.
     """
     s = _c(c)
-    full_y = F.substring(s, 1, 4).cast("int")
-    full_m = F.substring(s, 6, 2).cast("int")
-    full_d = F.substring(s, 9, 2).cast("int")
+    full_y = F.substring(s, 1, 4).try_cast("int")
+    full_m = F.substring(s, 6, 2).try_cast("int")
+    full_d = F.substring(s, 9, 2).try_cast("int")
     # A calendar check by arithmetic (proleptic ISO, year 0000 included),
     # not a date cast: Spark's date type starts at year 1.
     leap = ((full_y % 4 == 0) & (full_y % 100 != 0)) | (full_y % 400 == 0)
@@ -41,14 +41,14 @@ def parse_partial_date(c) -> dict[str, Column]:
     shaped = F.coalesce(s.rlike(_FULL_DATE), F.lit(False))
     complete = shaped & F.when(shaped, (full_m >= 1) & (full_m <= 12) & (full_d >= 1)
                                & (full_d <= month_len)).otherwise(F.lit(False))
-    z = F.regexp_replace(s, "X", "0")
+    z = F.translate(s, "X", "0")
+    # The shapes are fixed-width (YYYY, YYYY-MM, YYYY-MM-DD): one anchored
+    # match, then the parts by position.
     matches = F.coalesce(z.rlike(_PARTIAL_DATE), F.lit(False))
-    g1 = F.regexp_extract(z, _PARTIAL_DATE, 1)
-    g2 = F.regexp_extract(z, _PARTIAL_DATE, 2)
-    g3 = F.regexp_extract(z, _PARTIAL_DATE, 3)
-    y = g1.cast("int")
-    m = F.when(g2 != "", F.substring(g2, 2, 2).cast("int"))
-    d = F.when(g3 != "", F.substring(g3, 2, 2).cast("int"))
+    n = F.length(z)
+    y = F.substring(z, 1, 4).try_cast("int")
+    m = F.when(n >= 7, F.substring(z, 6, 2).try_cast("int"))
+    d = F.when(n == 10, F.substring(z, 9, 2).try_cast("int"))
     return {
         "": F.when(complete, s),
         "Year": F.when(complete, full_y).when(matches & (y > 0), y),

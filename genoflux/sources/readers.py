@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.location import json_path
+from ..functions.text import not_blank
 from ..operators.georules import parse_rules
 from ..operators.zipjoin import with_file_ordinal
 
@@ -60,7 +61,7 @@ def read_fasta(spark: SparkSession, path: str | Sequence[str], id_col: str = "sa
     v = F.regexp_replace(F.col("value"), "\r", "")
     lines = F.split(v, "\n")
     head = F.get(lines, 0)
-    body = F.filter(F.slice(lines, 2, 1 << 30), lambda x: x.rlike(r"(?U)\S"))
+    body = F.filter(F.slice(lines, 2, 1 << 30), not_blank)
     if not check_preamble:
         header = F.when(v.startswith(">"), F.substring(head, 2, 1 << 30)).otherwise(head)
         return raw.select(header.alias(id_col), F.array_join(body, "").alias("sequence"),
@@ -74,7 +75,7 @@ def read_fasta(spark: SparkSession, path: str | Sequence[str], id_col: str = "sa
                      (is_first & ~v.startswith(">")).alias("_pre"))
     lines = F.split(F.col("_v"), "\n")
     head = F.get(lines, 0)
-    body = F.array_join(F.filter(F.slice(lines, 2, 1 << 30), lambda x: x.rlike(r"(?U)\S")), "")
+    body = F.array_join(F.filter(F.slice(lines, 2, 1 << 30), not_blank), "")
     if preamble == "error":
         header = F.when(F.col("_pre"), F.raise_error(F.concat(
             F.lit("text before the first FASTA header in "), F.col("_o.f"))).cast("string")
@@ -85,7 +86,7 @@ def read_fasta(spark: SparkSession, path: str | Sequence[str], id_col: str = "sa
         raise ValueError(f"preamble must be 'error' or 'prepend', not {preamble!r}")
     # The preamble chunk holds no header: all its non-blank lines are text
     # for the file's next record (one row per such file, bounded).
-    pre_text = F.array_join(F.filter(lines, lambda x: x.rlike(r"(?U)\S")), "")
+    pre_text = F.array_join(F.filter(lines, not_blank), "")
     pre = rec.where("_pre").select(F.col("_o.f").alias("_pf"), pre_text.alias("_ptext"))
     nxt = (rec.where(~F.col("_first")).groupBy(F.col("_o.f").alias("_nf"))
            .agg(F.min("_o").alias("_no")))

@@ -107,3 +107,10 @@ def test_location_split(spark):
 def test_utrim_unicode(spark):
     got = rows(spark, ["\t a  ", "b"], lambda c: [utrim(c)])
     assert got == [("a",), ("b",)]
+
+
+def test_whitespace_set(spark):
+    from genoflux.functions import not_blank
+    got = rows(spark, ["\u001c x ", "\u0085x", "　\t", None],
+               lambda c: [utrim(c), not_blank(c)])
+    assert got == [("x", True), ("\u0085x", True), ("", False), (None, False)]

@@ -22,6 +22,7 @@ from ..operators.sets import sort_output, union_all, union_distinct
 from .clean import FEED, FEED_NULL_MARKERS, OPEN, CleanSpec
 from .enrich import enrich_entries, enrich_open, lineages
 from ..session import cut_lineage
+from ..session import land as land_table
 
 
 def normalise_feed(feed: DataFrame, rules: DataFrame | None, framing: str = "plain",
@@ -37,7 +38,7 @@ def normalise_feed(feed: DataFrame, rules: DataFrame | None, framing: str = "pla
     e = project_feed(feed)
     e = map_to_null(e, FEED_NULL_MARKERS)
     if land and rules is not None:
-        e = cut_lineage(e, "feed-landed")
+        e = land_table(e, "feed-landed")
     if rules is not None:
         e = map_locations(e, rules)
     return e.withColumn("md5", row_md5(e, e.columns, framing))

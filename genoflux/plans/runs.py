@@ -22,24 +22,11 @@ from ..sources import readers as R
 from ..sources import writers as W
 from .clean import FEED, OPEN, CleanSpec
 from ..operators.sets import union_distinct
-from ..session import cut_lineage
+from ..session import land
 from .enrich import lineages
 from .jobs import finish, full_rebuild, prepare
 
 
-def land(df):
-    """Parse a text input once into a Parquet stage table.  An input that
-    scans as fewer partitions than the cluster's parallelism (one large
-    compressed file is a single split) is spread by a round-robin
-    repartition before the write, so the landed table and everything
-    downstream run wide; file order survives in the ordinal column, which is
-    taken on the scan."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        df = df.repartition(target)
-    return cut_lineage(df, "landed")
-
-
 def run_full_rebuild(spark: SparkSession, metadata_tsv: str, qc_tsv: str, sequences_fasta: str,
                      aligned_fasta: str, gene_fastas: Mapping[str, str], archive_root: str,
                      version: str | None = None, spec: CleanSpec = OPEN) -> str:

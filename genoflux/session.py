@@ -111,3 +111,11 @@ def cut_lineage(df: DataFrame, name: str = "stage", path: str | None = None) ->
     path = path or shared_path(spark, name)
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
+
+
+def land(df: DataFrame, name: str = "landed") -> DataFrame:
+    """Parse a text input once into a Parquet stage table and continue from
+    it.  Later passes read only the columns they need, and the landed files
+    split by row group: even a single unsplittable compressed input (parsed
+    by one task, as it must be) is read back by many tasks downstream."""
+    return cut_lineage(df, name)

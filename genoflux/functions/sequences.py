@@ -17,10 +17,10 @@ def mask_edge_gaps(c, fill: str = "N", leading: bool = True,
     sequence by ``fill``; inner gaps stay, length is preserved, null stays
     null.  An all-gap sequence becomes all ``fill``."""
     s = _c(c)
-    g = "\\" + gap if gap in r".^$*+?()[]{}|\-" else gap
     n = F.length(s)
-    lead = F.length(F.regexp_extract(s, f"^{g}*", 0)) if leading else F.lit(0)
-    trail = F.length(F.regexp_extract(s, f"{g}*\\z", 0)) if trailing else F.lit(0)
+    # run lengths by trimming the gap character (no regular expression)
+    lead = (n - F.length(F.ltrim(s, F.lit(gap)))) if leading else F.lit(0)
+    trail = (n - F.length(F.rtrim(s, F.lit(gap)))) if trailing else F.lit(0)
     # An all-gap string: the leading run already covers it; do not count twice.
     trail = F.when(lead == n, F.lit(0)).otherwise(trail)
     middle = s.substr(lead + 1, n - lead - trail)

@@ -5,11 +5,14 @@ position* (1st with 1st, 2nd with 2nd, ...), never crossed.  In Spark this
 is an equi-join on ``(key, rn)`` where ``rn`` is the row's position within
 its key by a deterministic ordinal (file order or a unique id).
 
-Position numbering is skew-safe: keys with more than ``hot_rows`` rows are
-found with a key-only partial aggregation (their number is bounded by
-``rows / hot_rows``, so that list may be broadcast) and numbered over a
-range-partitioned sort that splits each hot key across many tasks; all other
-keys use an ordinary window whose groups are then bounded by ``hot_rows``.
+Position numbering starts from key statistics (one key-only partial
+aggregation, for several inputs at once): when every key is unique -- the
+usual one-row-per-sample input -- the position is 1 and nothing moves.
+Otherwise it is skew-safe: keys with more than ``hot_rows`` rows (their
+number is bounded by ``rows / hot_rows``, so that list may be broadcast) are
+numbered over a range-partitioned sort that splits each hot key across many
+tasks, materialised once; all other keys use an ordinary window whose
+groups are then bounded by ``hot_rows``.
 """
 
 from __future__ import annotations

@@ -40,8 +40,10 @@ def snapshot_diff(old: DataFrame, new: DataFrame, id_col: str = "id",
                   hash_col: str = "md5", old_ordinal: str | None = None) -> DataFrame:
     """Classify by ``(id, md5)``.
 
-    * duplicate ids in ``old``: the last by ``old_ordinal`` wins (when
-      ``old_ordinal`` is None, ``old`` ids are taken as unique);
+    * duplicate ids in ``old``: the last by ``old_ordinal`` wins; without an
+      ordinal a deterministic one (the largest digest) -- either way ``old``
+      is one row per id, and that aggregation's partitioning on ``id`` is
+      reused by the join;
     * every row of ``new`` is classified, so a duplicated new id can appear
       in two statuses;
     * ``deleted`` = old ids absent from new.
@@ -50,6 +52,8 @@ def snapshot_diff(old: DataFrame, new: DataFrame, id_col: str = "id",
                    *([F.col(old_ordinal).alias("_ord")] if old_ordinal else []))
     if old_ordinal:
         o = o.groupBy("id").agg(F.max_by("old_md5", "_ord").alias("old_md5"))
+    else:
+        o = o.groupBy("id").agg(F.max("old_md5").alias("old_md5"))
     n = new.select(F.col(id_col).alias("id"), F.col(hash_col).alias("new_md5"))
     # new LEFT JOIN old: AQE can split a skewed new-side id (not possible for
     # a full outer join), the old side is one row per id.

@@ -62,3 +62,10 @@ def test_added_or_changed_paths_agree(spark):
     plain = sorted(r.id for r in D.extract_added_or_changed(entries, diff).collect())
     fast = sorted(r.id for r in D.extract_added_or_changed(entries, diff, diff_covers_entries=True).collect())
     assert plain == fast == ["b", "c", "d"]
+
+
+def test_old_duplicates_without_ordinal_one_status(spark):
+    o = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "3")], "id string, md5 string")
+    n = spark.createDataFrame([("a", "2"), ("b", "3")], "id string, md5 string")
+    got = sorted((r.id, r.status) for r in D.snapshot_diff(o, n).collect())
+    assert got == [("a", "unchanged"), ("b", "unchanged")]

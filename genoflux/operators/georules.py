@@ -15,10 +15,10 @@ rule prefixes, so one join of the tuples' 30 candidate prefixes against the
 rule-prefix table answers the lookup; the walk is then pure expressions.
 
 Resolution loops over the tuples that still change (four applications per
-round in one plan, one small aggregate per round to decide whether to go
-on), persisting each round and writing a stage table every second round and
-at the end; more than 1000 applications on one tuple, or a tuple that
-provably cycles, is reported as a rule cycle.
+round in one plan, each round written as a stage table to the shared
+folder, one small aggregate per round to decide whether to go on); more
+than 1000 applications on one tuple, or a tuple that provably cycles, is
+reported as a rule cycle.
 """
 
 from __future__ import annotations
@@ -181,19 +181,18 @@ def _apply_once(state: DataFrame, prefixes: DataFrame) -> DataFrame:
         (F.col("_cycseen") | (changed & back)).alias("_cycseen"))
 
 
-def resolve_tuples(tuples: DataFrame, rules: DataFrame, per_round: int = 4,
-                   checkpoint_every: int = 2) -> DataFrame:
+def resolve_tuples(tuples: DataFrame, rules: DataFrame, per_round: int = 4) -> DataFrame:
     """Distinct normalised tuples ``(c0..c3)`` -> resolved ``(c0..c3, n0..n3)``
     after applying rules until the tuple no longer changes (case-sensitive)
     or no rule applies.
 
-    A round applies the rules ``per_round`` times in one plan; rows whose
-    last application changed nothing are final.  Only still-changing rows go
-    on; their state is persisted, and checkpointed to the shared folder every
-    ``checkpoint_every`` rounds (bounded lineage, survives executor loss).
-    One small aggregate per round decides whether to continue.  More than
-    1000 applications on one tuple, or a tuple that provably cycles, fails
-    the job as cyclic rules."""
+    A round applies the rules ``per_round`` times in one plan and is written
+    as a stage table to the shared folder (one job); rows whose last
+    application changed nothing are final, the others go on to the next
+    round.  A small aggregate over the written round decides whether to
+    continue.  All loop state lives in those files, so a lost executor costs
+    at most the current round.  More than 1000 applications on one tuple, or
+    a tuple that provably cycles, fails the job as cyclic rules."""
     # The prefix table grows with the rule file only (4 rows per rule); its
     # measured size still gates the broadcast.
     prefixes = maybe_broadcast(_prefixes_for_join(prefix_table(rules)))
@@ -201,35 +200,25 @@ def resolve_tuples(tuples: DataFrame, rules: DataFrame, per_round: int = 4,
     active = tuples.select(*cols, *[F.col(c).alias(f"n{i}") for i, c in enumerate(cols)],
                            *[F.col(c).alias(f"s{i}") for i, c in enumerate(cols)],
                            F.lit(0).alias("steps"), F.lit(False).alias("_cycseen"))
-    finished_parts, persisted = [], []
-    rounds = 0
+    finished_parts = []
     while True:
         step = active
         for _ in range(per_round):
             step = _apply_once(step, prefixes)
-        step = step.persist()
-        persisted.append(step)
+        step = cut_lineage(step, "geo-round")
         stats = step.agg(F.count_if("_chg").alias("n"), F.max("steps").alias("m"),
                          F.count_if("_cycseen").alias("c")).first()
         finished_parts.append(step.where(~F.col("_chg")).select(*cols, *[f"n{i}" for i in range(4)]))
         if stats["c"] or (stats["n"] and stats["m"] > MAX_APPLICATIONS):
-            for p in persisted:
-                p.unpersist()
             raise RuntimeError(
                 f"location rules applied without end (more than {MAX_APPLICATIONS} "
                 "applications would be needed); the rules are cyclic")
         if not stats["n"]:
             break
-        rounds += 1
         active = step.where("_chg").drop("_chg")
-        if rounds % checkpoint_every == 0:
-            active = cut_lineage(active)
     done = finished_parts[0]
     for p in finished_parts[1:]:
         done = done.unionByName(p)
-    done = cut_lineage(done)
-    for p in persisted:
-        p.unpersist()
     return done
 
 

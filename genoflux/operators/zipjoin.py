@@ -38,14 +38,13 @@ def hot_limit(df: DataFrame, hot_rows: int | None) -> int:
 
 def content_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
     """A deterministic tiebreak when no file order is recorded: a 64-bit
-    hash of the row content (maps hashed through their sorted JSON form).
+    hash of the row content (maps hashed as their key-sorted entry arrays).
     Rows with equal hashes are identical in practice, so their relative
     order does not change the result."""
     parts = []
     for c, t in df.dtypes:
         col = F.col(f"`{c}`")
-        parts.append(F.to_json(F.map_from_entries(F.array_sort(F.map_entries(col))))
-                     if t.startswith("map<") else col)
+        parts.append(F.array_sort(F.map_entries(col)) if t.startswith("map<") else col)
     return df.withColumn(name, F.xxhash64(*parts))
 
 

@@ -22,10 +22,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, maybe_broadcast
 
 HOT_ROWS_CONF = "genoflux.zip.hotKeyRows"
-DEFAULT_HOT_ROWS = 1_000_000
+# A key above this many rows is numbered on the split (hot) path.  With
+# ~30 kB sequence rows a window group below it is at most ~1.5 GB.
+DEFAULT_HOT_ROWS = 50_000
 
 
 def hot_limit(df: DataFrame, hot_rows: int | None) -> int:
@@ -110,8 +112,9 @@ def key_row_number(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
     counts = df.groupBy(*kcols).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > limit).select(*kcols)
 
-    # Bounded: at most rows / limit keys can exceed the limit.
-    hot_b = F.broadcast(cut_lineage(hot))
+    # At most rows / limit keys can exceed the limit; the list is also
+    # measured before it is broadcast.
+    hot_b = maybe_broadcast(cut_lineage(hot))
     cold_rn = df.join(hot_b, keys, "left_anti").withColumn(rn, F.row_number().over(w).cast("long"))
 
     nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -126,7 +129,7 @@ def key_row_number(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
                                               F.count(F.lit(1)).alias("_cnt"))
     ws = Window.partitionBy(*kcols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.withColumn("_off", F.coalesce(F.sum("_cnt").over(ws), F.lit(0)))
-    hot_rn = (ranged.join(F.broadcast(spans.select("_pid", *kcols, "_first", "_off")),
+    hot_rn = (ranged.join(maybe_broadcast(spans.select("_pid", *kcols, "_first", "_off")),
                           ["_pid", *keys])
               .withColumn(rn, (F.col("_off") + F.col("_pos") - F.col("_first") + 1).cast("long"))
               .drop("_pid", "_pos", "_first", "_off"))

@@ -56,3 +56,15 @@ def test_hot_path_numbers_contiguously(spark):
     got = {(r.k, r.o): r.rn for r in out.collect()}
     assert all(got[("h", i)] == i + 1 for i in range(500))
     assert all(got[("c", i)] == i + 1 for i in range(5))
+
+
+def test_hot_limit_from_session_conf(spark):
+    from genoflux.operators.zipjoin import HOT_ROWS_CONF, hot_limit
+    df = spark.createDataFrame([("h", i) for i in range(50)] + [("c", 0)], "k string, o long")
+    spark.conf.set(HOT_ROWS_CONF, "10")
+    try:
+        assert hot_limit(df, None) == 10
+        got = {(r.k, r.o): r.rn for r in key_row_number(df, "k", "o").collect()}
+    finally:
+        spark.conf.unset(HOT_ROWS_CONF)
+    assert [got[("h", i)] for i in range(50)] == list(range(1, 51)) and got[("c", 0)] == 1

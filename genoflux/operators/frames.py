@@ -20,8 +20,6 @@ from ..functions.text import null_if_in
 SEQUENCE_COLS = ("unaligned_nuc", "aligned_nuc", "aligned_aa", "nuc_insertions", "aa_insertions")
 SEQ_MAP = "map<string,string>"
 INS_MAP = "map<string,array<string>>"
-SEQUENCE_TYPES = {"unaligned_nuc": SEQ_MAP, "aligned_nuc": SEQ_MAP, "aligned_aa": SEQ_MAP,
-                  "nuc_insertions": INS_MAP, "aa_insertions": INS_MAP}
 
 
 def q(name: str) -> Column:

@@ -52,12 +52,13 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 def build_session(master: str | None = None, app: str = "genoflux",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
-    """Session with the configuration the library expects."""
+                  extra: dict | None = None, cluster: bool = False) -> SparkSession:
+    """Session with the configuration the library expects (``cluster=True``:
+    the large-cluster profile ``CLUSTER_CONF``)."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    conf = dict(DEFAULT_CONF)
+    conf = dict(CLUSTER_CONF if cluster else DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

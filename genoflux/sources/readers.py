@@ -201,11 +201,6 @@ def dataset_version(listing: DataFrame, col: str = "value") -> DataFrame:
     return listing.select(json_path(F.col(col), "$[0].version.tag").alias("version"))
 
 
-def bind_inputs(paths: Mapping[str, str]) -> dict[str, str]:
-    """Named input set (metadata, qc, sequences, aligned, one per gene)."""
-    return dict(paths)
-
-
 def read_translations(spark: SparkSession, paths: Mapping[str, str],
                       ordinal: str = "ordinal") -> DataFrame:
     """One FASTA per gene -> one long table ``(gene, sample_name, sequence)``

@@ -27,11 +27,14 @@ def _wrap(fn):
     return run
 
 
+def wrapped(queries: dict) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {k: _wrap(fn) for k, fn in queries.items()}
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {}
     for m in _MODULES:
-        for k, fn in m.QUERIES.items():
-            out[k] = _wrap(fn)
+        out.update(wrapped(m.QUERIES))
     return out
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing
+from . import exact_dedup, jaccard_join, packing, quality_rules, secret_scans
 from .common import table
 
 ORACLE: dict[str, str] = {}
@@ -16,6 +16,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scans.scan(table(spark, sf_dir, "documents"))
+
+
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -34,4 +42,9 @@ ORACLE["op7_exact_dedup"] = """
          sha256(d.norm) AS text_sha256
   FROM d JOIN w USING (norm)"""
 
-QUERIES = {f.__name__: f for f in (op6_packing, op7_exact_dedup)}
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op3_secret_scans, op4_ngram_jaccard_join, op6_packing, op7_exact_dedup, op8_quality_rules)}

@@ -28,6 +28,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,6 +101,10 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return map_text(id_and_text(docs, id_col, text_col), counts, SCHEMA, ARROW)
 
 
+def _count_column(text: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([text_counts(t) for t in text], columns=list(COUNTS), dtype="int64")
+
+
 def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
@@ -266,3 +271,16 @@ def judge(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     scored = scored.withColumn("rule", rule_number(rules))
     return scored.select("doc_id", *BASE, "base_failed",
                          (~F.col("base_failed") & (F.col("rule") == 0)).alias("kept"), "rule")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id",
+              text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, without the rows that are not ``kept``.  The
+    statistics are computed beside the row's own columns, which pass through
+    the same tasks: no shuffle, no join back."""
+    rules = learn_from(docs, labels, sample, id_col, text_col)
+    counts = F.struct(*[F.col(f"__counts.{c}").alias(c) for c in COUNTS])
+    counts_of = F.pandas_udf(_count_column, ", ".join(f"{c} long" for c in COUNTS))
+    rows = docs.withColumn("__counts", counts_of(F.coalesce(docs[text_col], F.lit(""))))
+    bare = rows.select(F.struct(*docs.columns).alias("__row"), counts.alias("__c")).select("__row", "__c.*")
+    return bare.where(~base_failed() & (rule_number(rules) == 0)).select("__row.*")

@@ -18,9 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of a bounded size to and from Python tasks: a batch is
+    held several times over (JVM, Arrow, Python)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator reads, a null text as the empty one;
     whatever else the input carries cannot clash with derived names."""
+    small_batches(docs.sparkSession)
     return docs.select(docs[id_col].cast("long").alias("doc_id"),
                        F.coalesce(docs[text_col], F.lit("")).alias("text"))
 

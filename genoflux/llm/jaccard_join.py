@@ -45,7 +45,7 @@ CHUNK, TOLERANCE = 16, 1e-8
 #: Classes and shingles of one block, about.
 BLOCK_CLASSES, BLOCK_SHINGLES = 512, 1_000_000
 #: Distinct words whose hashes a task remembers before it starts anew.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 200_000
 
 _rng = np.random.default_rng(20240229)
 _MULTIPLY = _rng.integers(0, 1 << 31, BANDS * ROWS).astype(np.uint32) * np.uint32(2) + np.uint32(1)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, map_text
+from .common import id_and_text, map_text, small_batches
 
 #: Largest number of labelled documents the list is learned from.
 SAMPLE = 20_000
@@ -279,6 +279,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col:
     statistics are computed beside the row's own columns, which pass through
     the same tasks: no shuffle, no join back."""
     rules = learn_from(docs, labels, sample, id_col, text_col)
+    small_batches(docs.sparkSession)
     counts = F.struct(*[F.col(f"__counts.{c}").alias(c) for c in COUNTS])
     counts_of = F.pandas_udf(_count_column, ", ".join(f"{c} long" for c in COUNTS))
     rows = docs.withColumn("__counts", counts_of(F.coalesce(docs[text_col], F.lit(""))))

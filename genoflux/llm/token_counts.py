@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, slices
+from .common import id_and_text, slices, small_batches
 
 SCHEMA = ("doc_id long, section long, start long, end long, n_tokens long, n_crossing long, "
           "doc_tokens long")
@@ -157,6 +157,7 @@ def count_fields(docs: DataFrame, fields: list[str], path: str, pattern: str,
             .otherwise(F.lit(0).cast("long")).alias("start"),
             (F.when(F.size(acc) > 1, F.element_at(acc, -1)["end"] + len(separator))
              .otherwise(F.lit(0).cast("long")) + F.length(t)).alias("end")))))
+    small_batches(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"),
                        F.array_join(texts, separator).alias("text"),
                        F.slice(span, 2, F.greatest(F.size(span) - 1, F.lit(1))).alias("spans"))

@@ -1,13 +1,15 @@
 """Substring dedup by hashing the units of lines.
 
-Lines are cut into units: the sentences of a line, a short sentence together
-with the next longer one, so that a passage pasted into the middle of a line
-still falls into whole units.  A unit is normalised (lower case, runs of
-white space as one space) and hashed.  Of all units of a digest in the whole
-table the earliest ranked one -- smallest id, then position -- stays; the
-others are repeats.  Neighbouring repeats of a document form a run; a run of
-at least ``min_words`` words is cut from the text, and its offsets in the
-original text (code points, end exclusive) are returned with the rest.
+Lines are cut into sentences, so that a passage pasted into the middle of a
+line is found too.  A unit is a sentence of at least ``unit_words`` words; a
+line without such a sentence is one unit if it has ``min_words`` words.  A
+unit is normalised (lower case, runs of white space as one space) and hashed.
+Of all units of a digest in the whole table the earliest ranked one --
+smallest id, then position -- stays; the others are repeats.  The short
+sentences before and behind a unit belong to a repeat where they equal those
+around the unit that stays.  Neighbouring repeats of a document form a run;
+a run of at least ``min_words`` words is cut from the text, and its offsets
+in the original text (code points, end exclusive) are returned with the rest.
 
 1. A first pass sends 64-bit unit hashes alone, counted on the map side, to
    find those that occur twice or more.
@@ -24,6 +26,7 @@ text without repeats comes back unchanged; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,86 +35,102 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage, maybe_broadcast
 from .common import id_and_text, slices
 
-#: Words of a sentence that stands alone, and of a run that is cut.
+#: Words of a sentence that is a unit, and of a run that is cut.
 UNIT_WORDS, MIN_WORDS = 5, 8
 
-#: A line break, white space before a capital, or white space behind the end
-#: of a sentence.
-BOUNDARY = re.compile(r"\n|[^\S\n](?=[A-ZÀ-ÖØ-Þ])|(?<=[.!?])[^\S\n]")
+#: White space before a capital, or behind the end of a sentence.
+BOUNDARY = re.compile(r"\s(?=[A-ZÀ-ÖØ-Þ])|(?<=[.!?])\s")
 
 
-def units(text: str, unit_words: int = UNIT_WORDS):
-    """Yield (start, end, words, normalised) of each unit with a word."""
-    start, held = 0, []
+class Unit(NamedTuple):
+    """A unit's span and words, and the short sentences around it: where
+    those before it start, where those behind it end, and their words."""
+    start: int
+    end: int
+    words: str
+    lead_start: int
+    lead: str
+    tail_end: int
+    tail: str
+
+
+def _sentences(line: str, offset: int):
     at = 0
-    for m in BOUNDARY.finditer(text):
-        words = text[at:m.start()].lower().split()
-        held += words
+    for m in BOUNDARY.finditer(line):
+        if m.start() > at:
+            yield offset + at, offset + m.start(), line[at:m.start()].lower().split()
         at = m.end()
-        if held and (len(words) >= unit_words or text[m.start()] == "\n"):
-            yield start, m.start(), len(held), " ".join(held)
-            held = []
-        if not held:
-            start = at
-    held += text[at:].lower().split()
-    if held:
-        yield start, len(text), len(held), " ".join(held)
-
-
-def cut(text: str, repeats: list[tuple[int, int, int]], min_words: int = MIN_WORDS):
-    """The text without its runs of repeats, and the (start, end) cut out.
-    ``repeats``: (start, end, words); between the units of a run lies white
-    space only."""
+    yield offset + at, offset + len(line), line[at:].lower().split()
+
+
+def units(text: str, unit_words: int = UNIT_WORDS, min_words: int = MIN_WORDS) -> list[Unit]:
+    out, offset = [], 0
+    for line in text.split("\n"):
+        parts = [p for p in _sentences(line, offset) if p[2]] if line else []
+        offset += len(line) + 1
+        long = [i for i, p in enumerate(parts) if len(p[2]) >= unit_words]
+        if not long and sum(len(p[2]) for p in parts) >= min_words:
+            parts, long = [(parts[0][0], parts[-1][1], [w for p in parts for w in p[2]])], [0]
+        for k, i in enumerate(long):
+            before = parts[long[k - 1] + 1 if k else 0:i]
+            behind = parts[i + 1:long[k + 1] if k + 1 < len(long) else len(parts)]
+            out.append(Unit(
+                parts[i][0], parts[i][1], " ".join(parts[i][2]),
+                before[0][0] if before else parts[i][0], " ".join(w for p in before for w in p[2]),
+                behind[-1][1] if behind else parts[i][1], " ".join(w for p in behind for w in p[2])))
+    return out
+
+
+def cut(text: str, repeats: list[tuple[int, int]], min_words: int = MIN_WORDS):
+    """The text without its runs of repeats, and the (start, end) cut out;
+    between the repeats of a run lies white space only."""
     runs = []
-    for start, end, words in sorted(repeats):
+    for start, end in sorted(repeats):
         if runs and not text[runs[-1][1]:start].strip():
-            runs[-1][1] = end
-            runs[-1][2] += words
+            runs[-1][1] = max(end, runs[-1][1])
         else:
-            runs.append([start, end, words])
+            runs.append([start, end])
     out, kept, at = [], [], 0
-    for start, end, words in runs:
-        if words < min_words:
+    for start, end in runs:
+        if len(text[start:end].split()) < min_words:
             continue
-        stop = end + (end < len(text))  # the break behind it goes with it
         kept.append(text[at:start])
         out.append((start, end))
-        at = stop
+        at = end + (end < len(text))  # the break behind it goes with it
     kept.append(text[at:])
     return "".join(kept), out
 
 
-def _unit_hashes(rows: DataFrame, unit_words: int) -> DataFrame:
+def _unit_hashes(rows: DataFrame, unit_words: int, min_words: int) -> DataFrame:
     schema = pa.schema([("hash", pa.int64())])
 
     def run(batches):
         import xxhash
         for b in slices(batches):
-            out = [xxhash.xxh3_64_intdigest(u[3]) - (1 << 63)
-                   for t in b.column(0).to_pylist() for u in units(t, unit_words)]
+            out = [xxhash.xxh3_64_intdigest(u.words) - (1 << 63)
+                   for t in b.column(0).to_pylist() for u in units(t, unit_words, min_words)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], schema=schema)
     return rows.select("text").mapInArrow(run, "hash long")
 
 
-def _units(rows: DataFrame, unit_words: int) -> DataFrame:
-    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("start", pa.int64()),
-                        ("end", pa.int64()), ("words", pa.int64()), ("hash", pa.int64()),
-                        ("digest", pa.binary())])
+def _units(rows: DataFrame, unit_words: int, min_words: int) -> DataFrame:
+    names = ("doc_id", "text_key", "start", "end", "lead_start", "tail_end", "lead", "tail", "hash")
+    schema = pa.schema([*((n, pa.int64()) for n in names), ("digest", pa.binary())])
 
     def run(batches):
-        import xxhash
+        from xxhash import xxh3_64_intdigest as short, xxh3_128_digest as full
         for b in slices(batches):
             out = [[] for _ in schema]
             for i, t, k in zip(*(b.column(c).to_pylist() for c in range(3))):
-                for start, end, words, norm in units(t, unit_words):
-                    for column, v in zip(out, (i, k, start, end, words,
-                                               xxhash.xxh3_64_intdigest(norm) - (1 << 63),
-                                               xxhash.xxh3_128_digest(norm))):
+                for u in units(t, unit_words, min_words):
+                    for column, v in zip(out, (
+                            i, k, u.start, u.end, u.lead_start, u.tail_end, short(u.lead) - (1 << 63),
+                            short(u.tail) - (1 << 63), short(u.words) - (1 << 63), full(u.words))):
                         column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)],
                                              schema=schema)
     return rows.select("doc_id", "text", "text_key").mapInArrow(
-        run, "doc_id long, text_key long, start long, end long, words long, hash long, digest binary")
+        run, ", ".join([*(f"`{n}` long" for n in names), "digest binary"]))
 
 
 def dedup_units(docs: DataFrame, unit_words: int = UNIT_WORDS, min_words: int = MIN_WORDS,
@@ -120,18 +139,23 @@ def dedup_units(docs: DataFrame, unit_words: int = UNIT_WORDS, min_words: int =
     ``n_removed`` (runs cut), ``removed_chars`` and ``removed``, the cut
     spans ``start:end`` in the original text, comma-joined."""
     rows = id_and_text(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
-    hashes = _unit_hashes(rows, unit_words)
+    hashes = _unit_hashes(rows, unit_words, min_words)
     twice = cut_lineage(hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
                         .select("hash"), "repeated-hashes")
-    found = cut_lineage(_units(rows, unit_words).join(maybe_broadcast(twice), "hash", "left_semi")
+    found = cut_lineage(_units(rows, unit_words, min_words).join(maybe_broadcast(twice), "hash", "left_semi")
                         .drop("hash"), "repeated-units")
-    rank = F.struct("doc_id", "text_key", "start")
-    first = found.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
-    repeats = found.join(maybe_broadcast(cut_lineage(first.where("n > 1").drop("n"), "first-units")),
-                         "digest").where(~rank.eqNullSafe(F.col("first")))
-    cuts = repeats.select("doc_id", "text_key", "start", "end", "words").distinct().groupBy(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(
-        F.collect_list(F.struct("start", "end", "words")).alias("cuts"))
+    first = found.groupBy("digest").agg(
+        F.min(F.struct("doc_id", "text_key", "start", "lead", "tail")).alias("first"),
+        F.count(F.lit(1)).alias("n"))
+    first = cut_lineage(first.where("n > 1").select("digest", "first"), "first-units")
+    repeats = found.join(maybe_broadcast(first), "digest").where(
+        ~F.struct("doc_id", "text_key", "start").eqNullSafe(
+            F.struct("first.doc_id", "first.text_key", "first.start")))
+    cuts = repeats.select(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"),
+        F.when(F.col("lead") == F.col("first.lead"), F.col("lead_start")).otherwise(F.col("start")).alias("start"),
+        F.when(F.col("tail") == F.col("first.tail"), F.col("tail_end")).otherwise(F.col("end")).alias("end"),
+    ).distinct().groupBy("__id", "__key").agg(F.collect_list(F.struct("start", "end")).alias("cuts"))
     joined = rows.join(cuts, rows["doc_id"].eqNullSafe(cuts["__id"])
                        & (rows["text_key"] == cuts["__key"]), "left").select("doc_id", "text", "cuts")
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_removed", pa.int64()),
@@ -141,7 +165,7 @@ def dedup_units(docs: DataFrame, unit_words: int = UNIT_WORDS, min_words: int =
         for b in slices(batches):
             texts, spans = [], []
             for t, c in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                t, s = cut(t, [(x["start"], x["end"], x["words"]) for x in c or ()], min_words)
+                t, s = cut(t, [(x["start"], x["end"]) for x in c or ()], min_words)
                 texts.append(t)
                 spans.append(s)
             yield pa.RecordBatch.from_arrays(

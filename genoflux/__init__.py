@@ -1,4 +1,4 @@
-"""genoflux: sequence-record ingest and curation as Spark DataFrame jobs.
+"""genoflux: sequence-record loading and curation as Spark DataFrame jobs.
 
 Layout: ``functions`` (Column -> Column expressions), ``operators``
 (DataFrame -> DataFrame transforms, joins, diffs, rules), ``sources``

@@ -68,20 +68,18 @@ def insertions_by_gene(c, genes: Iterable[str]) -> Column:
     known gene present (possibly empty).  A piece without ``:`` or naming an
     unknown gene fails the job."""
     s = _c(c)
-    genes = list(genes)
+    known = F.array(*[F.lit(g) for g in genes]).cast("array<string>")
     items = F.when(not_blank(s), F.split(s, ",")).otherwise(F.array().cast("array<string>"))
     pairs = F.transform(items, lambda x: F.split(x, ":", 2))
-    bad = F.exists(pairs, lambda p: (F.size(p) < 2) | ~F.get(p, 0).isin(genes))
-    out = []
-    def of_gene(g):
-        return lambda p: F.get(p, 0) == F.lit(g)
-
-    for g in genes:
-        sel = F.transform(F.filter(pairs, of_gene(g)), lambda p: F.get(p, 1))
-        out += [F.lit(g), sel]
-    result = F.create_map(*out) if out else F.create_map().cast("map<string,array<string>>")
-    return F.when(bad, F.raise_error(F.concat(F.lit("bad amino-acid insertion list: "), s))
-                  ).otherwise(result)
+
+    def by_gene(split):
+        bad = F.exists(split, lambda p: (F.size(p) < 2) | ~F.array_contains(known, F.get(p, 0)))
+        grouped = F.map_from_entries(F.transform(known, lambda g: F.struct(
+            g, F.transform(F.filter(split, lambda p: F.get(p, 0) == g), lambda p: F.get(p, 1)))))
+        return F.when(bad, F.raise_error(F.concat(F.lit("bad amino-acid insertion list: "), s))
+                      ).otherwise(grouped)
+    # the split list is bound once, as the variable of a one-element transform
+    return F.get(F.transform(F.array(pairs), by_gene), 0)
 
 
 def sorted_map(m) -> Column:

@@ -90,25 +90,35 @@ def extract_by_status(entries: DataFrame, diff: DataFrame, statuses: Iterable[st
     return out
 
 
+def _all_in_diff(df: DataFrame, id_col: str, diff: DataFrame) -> bool:
+    """Whether every non-null id of ``df`` is classified by ``diff`` (a join
+    of the id columns alone)."""
+    ids = df.select(F.col(id_col).alias("id")).where("id is not null").distinct()
+    return ids.join(diff.select("id").distinct(), "id", "left_anti").isEmpty()
+
+
 def extract_added_or_changed(entries: DataFrame, diff: DataFrame, entry_id: str = "id",
-                             diff_covers_entries: bool = False) -> DataFrame:
-    """Rows of ``entries`` whose id was added or changed.
-
-    With ``diff_covers_entries=True`` (every entry id is classified by the
-    diff, as for the snapshot the diff was computed from) the wide entries
-    are filtered map-side against whichever id set measures small enough to
-    broadcast: the added/changed ids (steady state: few records move) with a
-    semi-join, else the ids that are *only* unchanged with an anti-join (an
-    initial load, where everything is added).  Otherwise, or when neither is
-    small, the shuffled semi-join."""
+                             diff_covers_entries: bool = False,
+                             max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Rows of ``entries`` whose id was added or changed.  A row with a null
+    id, or with an id the diff does not know, is never among them.
+
+    With ``diff_covers_entries=True`` (the diff was computed from these
+    entries) the wide entries are filtered map-side against whichever id set
+    measures small enough to broadcast: the added/changed ids (steady state:
+    few records move) with a semi-join, else -- once the id columns prove
+    that the diff knows every entry -- the ids that are *only* unchanged with
+    an anti-join (an initial load, where everything is added).  Otherwise the
+    shuffled semi-join.  All three give the same rows."""
     if diff_covers_entries:
         moving = ids_with_status(diff, (ADDED, CHANGED))
-        if payload_bytes(moving, ["id"]) <= BROADCAST_MAX_BYTES:
+        if payload_bytes(moving, ["id"]) <= max_bytes:
             return entries.join(F.broadcast(moving), entries[entry_id] == moving["id"], "left_semi")
         still = (diff.groupBy("id").agg(F.max(F.col("status").isin(ADDED, CHANGED)).alias("_m"))
                  .where(~F.col("_m")).select("id"))
-        if payload_bytes(still, ["id"]) <= BROADCAST_MAX_BYTES:
-            return entries.join(F.broadcast(still), entries[entry_id] == still["id"], "left_anti")
+        if payload_bytes(still, ["id"]) <= max_bytes and _all_in_diff(entries, entry_id, diff):
+            return entries.where(F.col(entry_id).isNotNull()).join(
+                F.broadcast(still), entries[entry_id] == still["id"], "left_anti")
     return extract_by_status(entries, diff, (ADDED, CHANGED), entry_id)
 
 
@@ -120,19 +130,22 @@ def moved_ids(diff: DataFrame) -> DataFrame:
 
 
 def extract_unchanged(previous: DataFrame, diff: DataFrame, entry_id: str = "id",
-                      strict: bool = False, previous_matches_diff: bool = False) -> DataFrame:
-    """Rows of the previous snapshot whose id is unchanged.
-
-    With ``previous_matches_diff=True`` (the previous snapshot holds exactly
-    the ids of the previous fingerprints, as a published pair does) this is
-    the previous snapshot minus the *moved* ids; when the moved set measures
-    small it is broadcast, so the wide snapshot is filtered map-side instead
-    of being shuffled.  Otherwise (or when the moved set is large) it is the
-    semi-join with the unchanged ids."""
+                      strict: bool = False, previous_matches_diff: bool = False,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Rows of the previous snapshot whose id is unchanged.  A row with a
+    null id, or with an id the diff does not know, is never among them.
+
+    With ``previous_matches_diff=True`` (the previous snapshot was published
+    with the previous fingerprints) and the diff knowing every one of its
+    ids, which the id columns prove, this is the previous snapshot minus the
+    *moved* ids; when the moved set measures small it is broadcast, so the
+    wide snapshot is filtered map-side instead of being shuffled.  Otherwise
+    it is the semi-join with the unchanged ids; both give the same rows."""
     if previous_matches_diff and not strict:
         moved = moved_ids(diff)
-        if payload_bytes(moved, ["id"]) <= BROADCAST_MAX_BYTES:
-            return previous.join(F.broadcast(moved), previous[entry_id] == moved["id"], "left_anti")
+        if payload_bytes(moved, ["id"]) <= max_bytes and _all_in_diff(previous, entry_id, diff):
+            return previous.where(F.col(entry_id).isNotNull()).join(
+                F.broadcast(moved), previous[entry_id] == moved["id"], "left_anti")
     return extract_by_status(previous, diff, (UNCHANGED,), entry_id,
                              exclude=(ADDED, CHANGED) if strict else ())
 

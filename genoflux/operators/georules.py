@@ -9,10 +9,11 @@ trie nodes -- ``a`` (preferred) and ``b`` (fallback); for key ``k``:
     full = child(a, k) or child(b, k);  wild = child(a, '*') or child(b, '*')
     neither -> no rule;  next (a, b) = (full, wild) if full else (wild, none)
 
-and at the last level the rule of ``full or wild`` applies.  The walk only
-depends on which of the 30 exact/``*`` prefix patterns of a tuple exist as
-rule prefixes, so one join of the tuples' 30 candidate prefixes against the
-rule-prefix table answers the lookup; the walk is then pure expressions.
+and at the last level the rule of ``full or wild`` applies.  The nodes are a
+table of rule prefixes, written once; each carries how far ``*`` children go
+on below it, so only exact children are looked up: at most two broadcast
+joins a level and one for the rule at the leaf.  A lookup adds columns to a
+row; nothing is expanded, aggregated or shuffled.
 
 Resolution loops over the tuples that still change (four applications per
 round in one plan, each round written as a stage table to the shared
@@ -23,8 +24,6 @@ reported as a rule cycle.
 
 from __future__ import annotations
 
-from itertools import product
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +32,7 @@ from ..functions.text import empty_to_null
 from ..session import cut_lineage, maybe_broadcast
 
 SEP = "\u0001"
+ROOT = ""
 MAX_APPLICATIONS = 1000
 _LEVELS = 4
 
@@ -66,87 +66,73 @@ def rules_from_pairs(spark, pairs) -> DataFrame:
     return parse_rules(spark.createDataFrame(lines, "value string, ordinal long"))
 
 
-def _codes() -> list[str]:
-    return ["".join(p) for n in range(1, _LEVELS + 1) for p in product("ew", repeat=n)]
-
-
 def prefix_table(rules: DataFrame) -> DataFrame:
-    """Every rule-prefix path -> the rule's right side for complete paths.
-    Path = SEP-joined parts (depth-tagged), so empty parts stay distinct."""
-    rows = []
+    """Every rule-prefix path (the root's is empty, a child's is its
+    parent's, ``SEP`` and the key) with ``wild``, the number of ``*`` children
+    in a row below it, and the rule's right side for complete paths."""
+    none = F.lit(None).cast("struct<r0:string,r1:string,r2:string,r3:string>")
+    rows = rules.select(F.lit(ROOT).alias("path"), none.alias("right"))
     for d in range(1, _LEVELS + 1):
-        path = F.concat(F.lit(f"{d}{SEP}"), F.concat_ws(SEP, *[F.col(f"l{i}") for i in range(d)]))
-        right = F.struct(*[F.col(f"r{i}") for i in range(4)]) if d == _LEVELS else \
-            F.lit(None).cast("struct<r0:string,r1:string,r2:string,r3:string>")
-        rows.append(rules.select(path.alias("path"), right.alias("right")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out.groupBy("path").agg(F.first("right", ignorenulls=True).alias("right"))
-
-
-def _candidate_array(keys: list[Column]) -> Column:
-    """For each exact/``*`` pattern code, the prefix path it denotes."""
-    items = []
-    for code in _codes():
-        parts = [keys[i] if ch == "e" else F.lit("*") for i, ch in enumerate(code)]
-        path = F.concat(F.lit(f"{len(code)}{SEP}"), F.concat_ws(SEP, *parts))
-        items.append(F.struct(F.lit(code).alias("code"), path.alias("path")))
-    return F.array(*items)
-
-
-def _walk(df: DataFrame, m: str, out: str) -> DataFrame:
-    """Add ``out`` = leaf pattern code chosen by the two-node walk over the
-    pattern set ``m`` (null: no rule).  One projection per level keeps every
-    expression small (no shared-subexpression blow-up across levels)."""
-    def has(code: Column) -> Column:
-        return F.coalesce(F.map_contains_key(F.col(m), code), F.lit(False))
-
-    df = df.withColumns({"_a": F.lit(""), "_b": F.lit(None).cast("string"), "_alive": F.lit(True)})
-    a, b = F.col("_a"), F.col("_b")
-    for level in range(_LEVELS):
-        ae, aw = F.concat(a, F.lit("e")), F.concat(a, F.lit("w"))
-        be, bw = F.concat(b, F.lit("e")), F.concat(b, F.lit("w"))
-        df = df.withColumns({
-            "_f": F.when(has(ae), ae).when(b.isNotNull() & has(be), be),
-            "_w": F.when(has(aw), aw).when(b.isNotNull() & has(bw), bw)})
-        f, w = F.col("_f"), F.col("_w")
-        alive = F.col("_alive") & (f.isNotNull() | w.isNotNull())
-        if level == _LEVELS - 1:
-            df = df.withColumn(out, F.when(alive, F.coalesce(f, w)))
+        path = F.concat(*[F.concat(F.lit(SEP), F.col(f"l{i}")) for i in range(d)])
+        right = F.struct(*[F.col(f"r{i}") for i in range(4)]) if d == _LEVELS else none
+        rows = rows.unionByName(rules.select(path.alias("path"), right.alias("right")))
+    nodes = rows.groupBy("path").agg(F.first("right", ignorenulls=True).alias("right"))
+    # a path that ends in n wild keys makes its n-th ancestor's run at least n
+    runs = nodes.select(F.explode(F.expr(
+        f"filter(transform(sequence(0, {_LEVELS}), n -> struct(n AS wild, "
+        f"if(endswith(path, repeat('{SEP}*', n)), "
+        f"substring(path, 1, length(path) - 2 * n), NULL) AS path)), s -> s.path IS NOT NULL)"
+    )).alias("run")).groupBy("run.path").agg(F.max("run.wild").alias("wild"))
+    return nodes.join(runs, "path").select("path", "wild", "right")
+
+
+def _nodes(rules: DataFrame) -> DataFrame:
+    """The prefix table, written once; it grows with the rule file only (at
+    most four rows a rule) and its measured size gates the broadcast."""
+    return maybe_broadcast(cut_lineage(prefix_table(rules), "geo-prefixes"))
+
+
+def _child(df: DataFrame, nodes: DataFrame, parent: str, key: str, out: str) -> DataFrame:
+    """Add ``out`` (path) and ``out_w`` (its wild run) of the exact child of
+    node ``parent`` by column ``key``; null where there is none."""
+    side = nodes.select(F.col("path").alias(out), F.col("wild").alias(f"{out}_w"))
+    path = F.concat(F.col(parent), F.lit(SEP), F.lower(F.col(f"`{key}`")))
+    return df.join(side, path == F.col(out), "left")
+
+
+def _rule_for(rows: DataFrame, nodes: DataFrame, key_cols: list[str]) -> DataFrame:
+    """Add ``rule`` (right side struct, null if none) for the tuple in
+    ``key_cols`` by the two-node walk."""
+    carried = [F.col(f"`{c}`") for c in rows.columns]
+    root = nodes.where(F.col("path") == ROOT).select(
+        F.col("path").alias("_a"), F.col("wild").alias("_a_w"))
+    df = rows.join(F.broadcast(root), F.lit(True), "left")  # one row
+    df = df.withColumns({"_b": F.lit(None).cast("string"), "_b_w": F.lit(None).cast("int")})
+    for level, key in enumerate(key_cols):
+        df = _child(df, nodes, "_a", key, "_fa")
+        if level:  # the walk starts from one node
+            df = _child(df, nodes, "_b", key, "_fb")
         else:
-            df = df.withColumns({"_a": F.coalesce(f, w), "_b": F.when(f.isNotNull(), w),
-                                 "_alive": alive})
-    return df.drop("_a", "_b", "_alive", "_f", "_w")
-
-
-def _rule_for(rows: DataFrame, prefixes: DataFrame, key_cols: list[str]) -> DataFrame:
-    """Add ``rule`` (right side struct, null if none) to rows whose columns
-    are unique as a whole.  The rows' 30 candidate prefix paths meet the
-    broadcast rule-prefix table map-side; one aggregation (partial on the map
-    side, so the 30x expansion never crosses the network) collects the hits
-    per row, and the walk runs as plain expressions."""
-    keys = [F.lower(F.col(f"`{c}`")) for c in key_cols]
-    carried = rows.columns
-    cand = rows.select("*", F.inline(_candidate_array(keys)))
-    hit = cand.join(prefixes, "path", "left")
-    found = hit.groupBy(*[F.col(f"`{c}`") for c in carried]).agg(F.map_from_entries(F.collect_list(
-        F.when(F.col("_hit"), F.struct("code", "right")))).alias("_m"))
-    found = _walk(found, "_m", "_leaf")
-    return found.withColumn("rule", F.try_element_at(F.col("_m"), F.col("_leaf"))).drop("_m", "_leaf")
-
-
-def _prefixes_for_join(prefixes: DataFrame) -> DataFrame:
-    return prefixes.withColumn("_hit", F.lit(True))
+            df = df.withColumns({"_fb": F.lit(None).cast("string"), "_fb_w": F.lit(None).cast("int")})
+        star = F.lit(SEP + "*")
+        wild = F.when(F.col("_a_w") > 0, F.concat("_a", star)).when(F.col("_b_w") > 0, F.concat("_b", star))
+        wild_w = F.when(F.col("_a_w") > 0, F.col("_a_w") - 1).when(F.col("_b_w") > 0, F.col("_b_w") - 1)
+        full, full_w = F.coalesce("_fa", "_fb"), F.when(F.col("_fa").isNotNull(), F.col("_fa_w")).otherwise(F.col("_fb_w"))
+        df = df.select(*carried, full.alias("_f"), full_w.alias("_f_w"), wild.alias("_w"), wild_w.alias("_w_w"))
+        exact = F.col("_f").isNotNull()
+        df = df.select(*carried, F.coalesce("_f", "_w").alias("_a"),
+                       F.when(exact, F.col("_f_w")).otherwise(F.col("_w_w")).alias("_a_w"),
+                       F.when(exact, F.col("_w")).alias("_b"), F.when(exact, F.col("_w_w")).alias("_b_w"))
+    leaf = nodes.where(F.col("right").isNotNull()).select(F.col("path").alias("_leaf"), F.col("right").alias("rule"))
+    return df.join(leaf, F.col("_a") == F.col("_leaf"), "left").select(*carried, "rule")
 
 
 def lookup(tuples: DataFrame, prefixes: DataFrame, cols=("c0", "c1", "c2", "c3"),
            broadcast_rules: bool = True) -> DataFrame:
     """For distinct normalised tuples, the applicable rule's right side
     (struct r0..r3, null if none)."""
-    pref = _prefixes_for_join(prefixes)
-    pref = maybe_broadcast(pref) if broadcast_rules else pref
-    return _rule_for(tuples.select(*cols), pref, list(cols))
+    nodes = maybe_broadcast(prefixes) if broadcast_rules else prefixes
+    return _rule_for(tuples.select(*cols), nodes, list(cols))
 
 
 def _apply(rule: Column, cur: list[Column]) -> list[Column]:
@@ -193,9 +179,7 @@ def resolve_tuples(tuples: DataFrame, rules: DataFrame, per_round: int = 4) -> D
     continue.  All loop state lives in those files, so a lost executor costs
     at most the current round.  More than 1000 applications on one tuple, or
     a tuple that provably cycles, fails the job as cyclic rules."""
-    # The prefix table grows with the rule file only (4 rows per rule); its
-    # measured size still gates the broadcast.
-    prefixes = maybe_broadcast(_prefixes_for_join(prefix_table(rules)))
+    prefixes = _nodes(rules)
     cols = ["c0", "c1", "c2", "c3"]
     active = tuples.select(*cols, *[F.col(c).alias(f"n{i}") for i, c in enumerate(cols)],
                            *[F.col(c).alias(f"s{i}") for i, c in enumerate(cols)],

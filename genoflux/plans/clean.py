@@ -2,7 +2,7 @@
 
 Order (fixed): edge-gap masking -> ordered rename -> whitelist -> null
 markers -> partial dates -> integers -> doubles -> template fill -> lineage
-null markers -> column suppression.  Two presets mirror the two ingest
+null markers -> column suppression.  Two presets mirror the two job
 flavours: ``FEED`` (incremental feed + aligner output) and ``OPEN`` (full
 rebuild from metadata/QC tables).
 """

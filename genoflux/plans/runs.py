@@ -1,5 +1,5 @@
-"""File-level runs of the two ingest jobs (what the command line of a
-batch ingest does): read the landed inputs, run the job, publish a version.
+"""File-level runs of the two jobs (what the command line of a
+scheduled batch does): read the landed inputs, run the job, publish a version.
 
 * ``run_full_rebuild``: metadata TSV + QC TSV + raw, aligned and per-gene
   FASTA files -> published snapshot (data + lineages).

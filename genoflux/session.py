@@ -6,7 +6,7 @@ questions the operators ask the session:
 
 * where is the shared folder for reliable checkpoints and stage tables
   (``spark.checkpoint.dir``; a private temp dir is used only when it is
-  unset, i.e. in local tests), and
+  unset on a local master, i.e. in tests), and
 * is a side small enough to broadcast (a measured size, never a guess).
 """
 
@@ -73,9 +73,9 @@ def build_session(master: str | None = None, app: str = "genoflux",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Read from ``spark.checkpoint.dir`` (or the context's current setting);
-    only when neither is set -- local runs and tests -- a private folder is
-    created and registered.
+    Read from ``spark.checkpoint.dir`` (or the context's current setting).
+    When neither is set, a local master gets a private folder; on a cluster
+    that is an error, since no machine-local folder is seen by all executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -84,6 +84,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="genoflux-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -96,16 +98,19 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def payload_bytes(df: DataFrame, cols: list[str]) -> int:
-    """Exact payload size of ``cols`` (sum of string/binary lengths, 8 bytes
-    for other types) -- one aggregate job, used to gate broadcasts."""
+    """Payload size of ``cols`` in bytes (strings and binaries by their
+    bytes, nested columns by the bytes of their JSON text, 8 bytes for other
+    types, 16 a row) -- one aggregate job, used to gate broadcasts."""
     parts = []
     types = dict(df.dtypes)
     for c in cols:
-        t = types[c]
-        if t in ("string", "binary"):
-            parts.append(F.coalesce(F.length(F.col(f"`{c}`")), F.lit(0)).cast("long"))
-        else:
+        t, col = types[c], F.col(f"`{c}`")
+        if t.startswith(("struct", "map", "array")):
+            col = F.to_json(F.struct(col))
+        elif t not in ("string", "binary"):
             parts.append(F.lit(8).cast("long"))
+            continue
+        parts.append(F.coalesce(F.octet_length(col), F.lit(0)).cast("long"))
     size = parts[0] if parts else F.lit(0)
     for p in parts[1:]:
         size = size + p

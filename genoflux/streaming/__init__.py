@@ -6,6 +6,6 @@ package runs that same feed stage on newly landed feed files with a
 file-source stream and an ``availableNow`` trigger.
 """
 
-from .feed import feed_stream, ingest_landed_feed
+from .feed import feed_stream, process_landed_feed
 
-__all__ = ["feed_stream", "ingest_landed_feed"]
+__all__ = ["feed_stream", "process_landed_feed"]

@@ -7,7 +7,7 @@ fingerprints are written to ``<out>/entries/batch_id=<n>`` and
 ``<out>/hashes/batch_id=<n>`` with overwrite, so a batch replayed after a
 failure rewrites exactly its own folder (the stream checkpoint records which
 files each batch consumed).  ``trigger(availableNow=True)`` processes what
-has landed and stops, which is how a scheduled ingest run uses it.
+has landed and stops, which is how a scheduled run uses it.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ def feed_stream(spark: SparkSession, landing_dir: str, max_files: int | None = N
     return r.json(landing_dir)
 
 
-def ingest_landed_feed(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint_dir: str,
+def process_landed_feed(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint_dir: str,
                        rules: DataFrame | None = None, id_col: str = "gisaidEpiIsl",
                        max_files: int | None = None) -> int:
     """Process every landed feed file not yet seen; returns the number of

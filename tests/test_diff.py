@@ -69,3 +69,38 @@ def test_old_duplicates_without_ordinal_one_status(spark):
     n = spark.createDataFrame([("a", "2"), ("b", "3")], "id string, md5 string")
     got = sorted((r.id, r.status) for r in D.snapshot_diff(o, n).collect())
     assert got == [("a", "unchanged"), ("b", "unchanged")]
+
+
+def _branch_frames(spark):
+    entries = spark.createDataFrame(
+        [("a", 1), ("b", 2), ("b", 3), ("c", 4), (None, 5), ("u", 6), ("d", 7)], "id string, v int")
+    diff = spark.createDataFrame(
+        [("a", "added"), ("b", "changed"), ("b", "unchanged"), ("c", "unchanged"), ("d", "deleted"),
+         (None, "added"), ("x", "added")], "id string, status string")
+    return entries, diff
+
+
+def test_extracts_give_the_same_rows_on_every_branch(spark):
+    """Null, duplicate and unknown ids; a gate of 0 bytes stands for sets too
+    large to broadcast, one between the two set sizes forces the anti-join."""
+    entries, diff = _branch_frames(spark)
+    for known in (entries, entries.where("id is null or id <> 'u'")):
+        want = sorted(r.v for r in D.extract_added_or_changed(known, diff).collect())
+        assert want == [1, 2, 3]
+        for gate in (0, 48, 60, 1 << 20):
+            got = D.extract_added_or_changed(known, diff, diff_covers_entries=True, max_bytes=gate)
+            assert sorted(r.v for r in got.collect()) == want
+        want = sorted(r.v for r in D.extract_unchanged(known, diff).collect())
+        assert want == [2, 3, 4]
+        for gate in (0, 1 << 20):
+            got = D.extract_unchanged(known, diff, previous_matches_diff=True, max_bytes=gate)
+            assert sorted(r.v for r in got.collect()) == want
+
+
+def test_initial_load_takes_the_anti_join(spark):
+    entries = spark.createDataFrame([(f"id{i}", i) for i in range(50)] + [("same", 99), (None, 100)], "id string, v int")
+    diff = spark.createDataFrame([(f"id{i}", "added") for i in range(50)] + [("same", "unchanged"), (None, "added")],
+                                 "id string, status string")
+    out = D.extract_added_or_changed(entries, diff, diff_covers_entries=True, max_bytes=100)
+    assert "LeftAnti" in out._jdf.queryExecution().toString()
+    assert sorted(r.v for r in out.collect()) == list(range(50))

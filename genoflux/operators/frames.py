@@ -53,9 +53,11 @@ FEED_FIELDS = (
 
 
 def project_feed(feed: DataFrame, location_col: str = "covv_location",
-                 sequence_col: str = "sequence", id_col: str = "covv_accession_id") -> DataFrame:
+                 sequence_col: str = "sequence", id_col: str = "covv_accession_id",
+                 ordinal: str | None = None) -> DataFrame:
     """Feed rows -> entry frame: renamed fields, the location text split in
-    four levels, the sequence as ``unaligned_nuc['main']``, other maps empty."""
+    four levels, the sequence as ``unaligned_nuc['main']``, other maps empty;
+    ``ordinal``, the feed's row order, is carried along if it is a column."""
     loc = split_location(q(location_col))
     meta = [q(src).cast("string").alias(dst) for src, dst in FEED_FIELDS]
     geo = [c.alias(n) for c, n in zip(loc, GEO_LEVELS)]
@@ -63,7 +65,8 @@ def project_feed(feed: DataFrame, location_col: str = "covv_location",
         q(id_col).cast("string").alias("id"), *meta, *geo,
         F.create_map(F.lit("main"), q(sequence_col).cast("string")).alias("unaligned_nuc"),
         empty_map().alias("aligned_nuc"), empty_map().alias("aligned_aa"),
-        empty_map(INS_MAP).alias("nuc_insertions"), empty_map(INS_MAP).alias("aa_insertions"))
+        empty_map(INS_MAP).alias("nuc_insertions"), empty_map(INS_MAP).alias("aa_insertions"),
+        *([q(ordinal)] if ordinal in feed.columns else []))
 
 
 def ordered_rename(df: DataFrame, pairs: Sequence[tuple[str, str]],

@@ -29,9 +29,14 @@ def union_distinct(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def sort_output(df: DataFrame, key: str, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Stable global sort by one key (range partitioning + per-task sort;
-    ties keep ``tiebreak`` order).  Only needed for sorted *output*."""
-    return df.orderBy(F.col(key).asc_nulls_first(), *[F.col(t) for t in tiebreak])
+    """Stable global sort by one key (range partitioning + per-task sort).
+    Ties keep ``tiebreak`` order; without one, the order of the input rows
+    (that of the files for a scan).  Only needed for sorted *output*."""
+    order = [F.col(t) for t in tiebreak]
+    if order:
+        return df.orderBy(F.col(key).asc_nulls_first(), *order)
+    return (df.withColumn("_row", F.monotonically_increasing_id())
+            .orderBy(F.col(key).asc_nulls_first(), "_row").drop("_row"))
 
 
 def sorted_positions(df: DataFrame, key: str, tiebreak: Sequence[str] = (), name: str = "pos",

@@ -10,7 +10,7 @@ rebuild from metadata/QC tables).
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,6 +132,12 @@ FEED = CleanSpec(renames=FEED_RENAMES, int_lenient=True, suppressed=FEED_SUPPRES
 OPEN = CleanSpec(renames=OPEN_RENAMES, int_lenient=False, suppressed=OPEN_SUPPRESSED)
 
 
+def with_template(spec: CleanSpec, nuc: Mapping[str, int], aa: Mapping[str, int]) -> CleanSpec:
+    """``spec`` that fills missing aligned sequences with N or X of the
+    template's lengths."""
+    return replace(spec, template_nuc=dict(nuc), template_aa=dict(aa))
+
+
 def _masker(spec: Mapping):
     def tv(k, v):
         expr = v

@@ -80,6 +80,10 @@ def _join_inputs(base: DataFrame, base_key: str, qc: DataFrame, aligned: DataFra
     inputs.append((_keyed(translations, "sample_name", "seqName", ordinal), [KEY, "gene"]))
     limit = hot_limit(base, hot_rows)
     stats = key_stats(inputs, limit)  # one job for every input's key statistics
+    for given, st in zip((base, qc, aligned, *([] if sequences is None else [sequences]), translations),
+                         stats):
+        if (st["mx"] or 0) > 1 and ordinal not in given.columns:
+            raise ValueError(f"an input repeats a key and has no column {ordinal!r} that orders its rows")
 
     def number(i):
         return key_row_number(inputs[i][0], KEY, ordinal, RN, limit, stats[i])

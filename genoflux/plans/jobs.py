@@ -25,28 +25,37 @@ from ..session import cut_lineage
 from ..session import land as land_table
 
 
+ORDINAL = "ordinal"
+
+
 def normalise_feed(feed: DataFrame, rules: DataFrame | None, framing: str = "plain",
                    land: bool = False) -> DataFrame:
     """Feed -> entry frame with location rules applied and an ``md5``
     fingerprint of the whole entry (taken after location mapping, so changed
-    rules re-process the affected records).
+    rules re-process the affected records).  A column ``ordinal`` (the feed's
+    row order) is carried beside the fingerprint, not inside it.
 
     ``land=True`` writes the projected entries once as a Parquet stage table
     before the location pass: the distinct-location job then reads four
     columns of it and the final pass reads it instead of parsing the feed
     text a second time."""
-    e = project_feed(feed)
+    e = project_feed(feed, ordinal=ORDINAL)
     e = map_to_null(e, FEED_NULL_MARKERS)
-    if land and rules is not None:
+    if land:
         e = land_table(e, "feed-landed")
     if rules is not None:
         e = map_locations(e, rules)
-    return e.withColumn("md5", row_md5(e, e.columns, framing))
+    return e.withColumn("md5", row_md5(e, [c for c in e.columns if c != ORDINAL], framing))
 
 
 def hash_table(entries: DataFrame, id_col: str = "gisaidEpiIsl") -> DataFrame:
-    """Side output ``(gisaidEpiIsl, md5)``."""
-    return entries.select(F.col(id_col), F.col("md5"))
+    """Side output ``(gisaidEpiIsl, md5)``, with the feed's ``ordinal`` where
+    there is one.  A record without an id fails the job: it could never be
+    matched with its next version."""
+    ident = F.when(F.col(id_col).isNull(), F.raise_error(F.lit(
+        f"a feed record has no {id_col}")).cast("string")).otherwise(F.col(id_col))
+    return entries.select(ident.alias(id_col), F.col("md5"),
+                          *[F.col(c) for c in (ORDINAL,) if c in entries.columns])
 
 
 @dataclass
@@ -64,34 +73,39 @@ def prepare(feed: DataFrame, rules: DataFrame | None, previous_hashes: DataFrame
     """Normalise + fingerprint the feed, diff against the previous hashes and
     extract the added/changed entries.  ``sort_changed`` orders them by id
     (a global sort of wide rows, only worth it when a consumer needs sorted
-    files; Spark's own joins do not).
-
-    With ``stage=True`` the normalised entries (with their fingerprints) and
-    the diff are written once as stage tables in the shared checkpoint folder:
-    every later output reads them instead of re-running normalisation, and a
-    lost executor re-reads files instead of recomputing the feed.  With
-    ``stage_root`` the stage tables are kept there (``entries``, ``diff``,
-    ``changed``) instead of under the checkpoint folder."""
+    files; Spark's own joins do not), records of one id in feed order.
+
+    A feed read with an ``ordinal`` column keeps it in the hashes, where it
+    lets the last of duplicate ids win in the next diff, and in ``changed``,
+    where it pairs duplicates with the aligner's rows.
+
+    With ``stage=True`` the wide rows are written twice: once as they are
+    landed, and the added/changed ones once more, normalised.  The narrow
+    (id, ordinal, md5) table and the diff are stage tables of their own; all
+    lie in the shared checkpoint folder, so a lost executor re-reads files
+    instead of recomputing the feed.  With ``stage_root`` the narrow tables
+    and ``changed`` are kept there (``hashes``, ``diff``, ``changed``)."""
     def at(name):
         return f"{stage_root.rstrip('/')}/{name}" if stage_root else None
     entries = normalise_feed(feed, rules, land=stage)
-    if stage:
-        entries = cut_lineage(entries, path=at("entries"))
     hashes = hash_table(entries, id_col)
-    diff = _diff(previous_hashes, hashes, id_col, old_ordinal)
     if stage:
-        diff = cut_lineage(diff, path=at("diff"))
-    changed = extract_added_or_changed(entries, diff, id_col, diff_covers_entries=True).drop("md5")
+        hashes = cut_lineage(hashes, "hashes", path=at("hashes"))
+    diff = _diff(previous_hashes, hashes, id_col,
+                 old_ordinal or (ORDINAL if ORDINAL in previous_hashes.columns else None))
+    if stage:
+        diff = cut_lineage(diff, "diff", path=at("diff"))
+    changed = extract_added_or_changed(entries.drop("md5"), diff, id_col, diff_covers_entries=True)
     if sort_changed:
-        changed = sort_output(changed, id_col)
+        changed = sort_output(changed, id_col, [ORDINAL] if ORDINAL in changed.columns else [])
     if stage:
-        changed = cut_lineage(changed, path=at("changed"))
+        changed = cut_lineage(changed, "changed", path=at("changed"))
     return Prepared(entries.drop("md5"), hashes, diff, changed)
 
 
 def _diff(previous: DataFrame, hashes: DataFrame, id_col: str, old_ordinal: str | None) -> DataFrame:
     old = previous.withColumnRenamed(id_col, "id") if id_col in previous.columns else previous
-    new = hashes.withColumnRenamed(id_col, "id")
+    new = hashes.withColumnRenamed(id_col, "id").select("id", "md5")
     return snapshot_diff(old, new, "id", "md5", old_ordinal=old_ordinal)
 
 

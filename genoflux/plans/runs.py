@@ -2,7 +2,7 @@
 scheduled batch does): read the landed inputs, run the job, publish a version.
 
 * ``run_full_rebuild``: metadata TSV + QC TSV + raw, aligned and per-gene
-  FASTA files -> published snapshot (data + lineages).
+  FASTA files + the alignment template -> published snapshot (data + lineages).
 * ``run_prepare``: feed NDJSON + location rules + the latest published
   version -> stage folder with the entries to re-process as FASTA (the
   external aligner's input), their entry table, fingerprints and the diff.
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..sources import readers as R
 from ..sources import writers as W
-from .clean import FEED, OPEN, CleanSpec
+from .clean import FEED, OPEN, CleanSpec, with_template
 from ..operators.sets import union_distinct
 from ..session import land
 from .enrich import lineages
@@ -29,8 +29,12 @@ from .jobs import finish, full_rebuild, prepare
 
 def run_full_rebuild(spark: SparkSession, metadata_tsv: str, qc_tsv: str, sequences_fasta: str,
                      aligned_fasta: str, gene_fastas: Mapping[str, str], archive_root: str,
-                     version: str | None = None, spec: CleanSpec = OPEN) -> str:
-    """Full rebuild from files; returns the published version."""
+                     version: str | None = None, spec: CleanSpec = OPEN,
+                     template_json: str | None = None) -> str:
+    """Full rebuild from files; returns the published version.  With the
+    alignment template, a missing aligned sequence becomes N or X of the
+    template's length."""
+    spec = _templated(spark, spec, template_json)
     # Each text input is parsed once and landed as Parquet: the key
     # statistics then read one column and the joins read the landed files.
     metadata = land(R.read_tsv(spark, metadata_tsv, ordinal="ordinal"))
@@ -42,14 +46,17 @@ def run_full_rebuild(spark: SparkSession, metadata_tsv: str, qc_tsv: str, sequen
     return W.publish_snapshot(spark, archive_root, published, lineages=lineages_of, version=version)
 
 
+def _templated(spark: SparkSession, spec: CleanSpec, path: str | None) -> CleanSpec:
+    return spec if path is None else with_template(spec, *R.template_names(R.read_template(spark, path)))
+
+
 def run_prepare(spark: SparkSession, feed_path: str, rules_path: str | None, archive_root: str,
                 stage_dir: str, id_col: str = "gisaidEpiIsl") -> dict:
     """First half of an incremental refresh.  Writes under ``stage_dir``:
-    ``entries`` (normalised feed with fingerprints), ``hashes``, ``diff``,
-    ``changed`` and ``aligner_input`` (FASTA of the added/changed records'
-    sequences).  Returns counts per
+    ``hashes``, ``diff``, ``changed`` and ``aligner_input`` (FASTA of the
+    added/changed records' sequences, in feed order within an id).  Returns counts per
     diff status."""
-    feed = R.read_ndjson(spark, feed_path, R.FEED_SCHEMA)
+    feed = R.read_ndjson(spark, feed_path, R.FEED_SCHEMA, ordinal="ordinal")
     rules = R.read_geo_rules(spark, rules_path) if rules_path else None
     prev = W.latest_version(spark, archive_root)
     if prev is None:
@@ -58,7 +65,6 @@ def run_prepare(spark: SparkSession, feed_path: str, rules_path: str | None, arc
         previous_hashes = R.read_snapshot(spark, archive_root, prev, "hashes")
     stage = stage_dir.rstrip("/")
     p = prepare(feed, rules, previous_hashes, id_col, stage_root=stage)
-    W.write_parquet(p.hashes, f"{stage}/hashes")
     W.write_fasta(p.changed, f"{stage}/aligner_input", id_col, F.col("unaligned_nuc")["main"])
     spark.createDataFrame([(prev or "",)], "previous string").write.parquet(f"{stage}/previous")
     counts = p.diff.groupBy("status").count().collect()
@@ -68,9 +74,12 @@ def run_prepare(spark: SparkSession, feed_path: str, rules_path: str | None, arc
 def run_finish(spark: SparkSession, stage_dir: str, qc_tsv: str, aligned_fasta: str,
                gene_fastas: Mapping[str, str], archive_root: str, dataset_version: str,
                version: str | None = None, id_col: str = "gisaidEpiIsl",
-               spec: CleanSpec = FEED) -> str:
+               spec: CleanSpec = FEED, template_json: str | None = None) -> str:
     """Second half: enrich the re-processed records with the aligner output,
-    carry the unchanged rows over from the previous version and publish."""
+    carry the unchanged rows over from the previous version and publish.
+    With the alignment template, a missing aligned sequence becomes N or X
+    of the template's length."""
+    spec = _templated(spark, spec, template_json)
     stage = stage_dir.rstrip("/")
     changed = spark.read.parquet(f"{stage}/changed")
     diff = spark.read.parquet(f"{stage}/diff")

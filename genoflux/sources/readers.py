@@ -8,6 +8,7 @@ input.  Compressed inputs are decoded by extension (``.zst``, ``.gz``,
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from ..functions.location import json_path
 from ..functions.text import not_blank
 from ..operators.georules import parse_rules
 from ..operators.zipjoin import with_file_ordinal
+from ..session import maybe_broadcast
 
 FEED_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in (
     "covv_accession_id", "covv_virus_name", "covv_collection_date", "covv_subm_date",
@@ -39,64 +41,58 @@ def read_ndjson(spark: SparkSession, path: str | Sequence[str], schema: T.Struct
 
 
 def read_fasta(spark: SparkSession, path: str | Sequence[str], id_col: str = "sample_name",
-               ordinal: str | None = None, check_preamble: bool = False,
-               preamble: str = "error") -> DataFrame:
+               ordinal: str | None = None, preamble: str = "error") -> DataFrame:
     """FASTA records ``(id, sequence)``.
 
     The header is the whole first line after ``>`` (description kept, not
     trimmed); the sequence is the following non-blank lines concatenated
     untrimmed; an empty sequence is allowed.  Records are cut by Hadoop's
     record reader on the separator ``\\n>``, so one large file splits across
-    many tasks, in one pass, with no driver involvement.
-
-    The separator consumes the ``>`` of every record but a file's first, so
-    a leading ``>`` marks (and is stripped from) a file's first record.
-    ``check_preamble=True`` additionally finds each file's first record
-    exactly (one row per file from a second, metadata-only pass); text
-    before the first header then fails the job (``preamble='error'``) or is
-    prepended to the first record's sequence (``preamble='prepend'``, the
-    line reader's behaviour).
+    many tasks with no driver involvement; within a record a line ends at
+    ``\\n``, ``\\r\\n`` or a lone ``\\r`` (a lone one before a header fails).
+
+    The separator consumes the ``>`` of every record but a file's first; each
+    file's first record is found by a narrow pass (one row per file).  Text
+    before the first header fails the job (``preamble='error'``) or is put
+    before the first record's sequence (``'prepend'``).
     """
+    if preamble not in ("error", "prepend"):
+        raise ValueError(f"preamble must be 'error' or 'prepend', not {preamble!r}")
     raw = with_file_ordinal(spark.read.option("lineSep", "\n>").text(path), "_o")
-    v = F.regexp_replace(F.col("value"), "\r", "")
-    lines = F.split(v, "\n")
-    head = F.get(lines, 0)
-    body = F.filter(F.slice(lines, 2, 1 << 30), not_blank)
-    if not check_preamble:
-        header = F.when(v.startswith(">"), F.substring(head, 2, 1 << 30)).otherwise(head)
-        return raw.select(header.alias(id_col), F.array_join(body, "").alias("sequence"),
-                          *([F.col("_o").alias(ordinal)] if ordinal else []))
-    # Bounded: one row per input file.
-    firsts = (raw.where(F.col("_o.b") == 0).groupBy(F.col("_o.f").alias("_f"))
-              .agg(F.min("_o.i").alias("_i0")))
-    rec = raw.join(F.broadcast(firsts), raw["_o.f"] == firsts["_f"], "left")
+    keep = [F.col("_o").alias(ordinal)] if ordinal else []
+    firsts = maybe_broadcast(raw.where(F.col("_o.b") == 0).groupBy(F.col("_o.f").alias("_f"))
+                             .agg(F.min("_o.i").alias("_i0")))
+    rec = raw.join(firsts, raw["_o.f"] == firsts["_f"], "left")
     is_first = F.coalesce((F.col("_o.b") == 0) & (F.col("_o.i") == F.col("_i0")), F.lit(False))
-    rec = rec.select("_o", v.alias("_v"), is_first.alias("_first"),
-                     (is_first & ~v.startswith(">")).alias("_pre"))
-    lines = F.split(F.col("_v"), "\n")
+    v = F.when(F.col("value").rlike("\r>"), F.raise_error(F.concat(
+        F.lit("a header after a lone carriage return in "), F.col("_o.f"))).cast("string")
+    ).otherwise(F.col("value"))
+    rec = rec.select("_o", F.split(v, "\r\n|\n|\r").alias("_lines"), is_first.alias("_first"),
+                     (is_first & ~F.col("value").startswith(">")).alias("_pre"))
+    lines = F.col("_lines")
     head = F.get(lines, 0)
-    body = F.array_join(F.filter(F.slice(lines, 2, 1 << 30), not_blank), "")
+    header = F.when(F.col("_first"), F.substr(head, F.lit(2))).otherwise(head)
+    body = F.array_join(F.filter(F.slice(lines, 2, F.size(lines)), not_blank), "")
     if preamble == "error":
         header = F.when(F.col("_pre"), F.raise_error(F.concat(
             F.lit("text before the first FASTA header in "), F.col("_o.f"))).cast("string")
-        ).when(F.col("_first"), F.substring(head, 2, 1 << 30)).otherwise(head)
-        return rec.select(header.alias(id_col), body.alias("sequence"),
-                          *([F.col("_o").alias(ordinal)] if ordinal else []))
-    if preamble != "prepend":
-        raise ValueError(f"preamble must be 'error' or 'prepend', not {preamble!r}")
+        ).otherwise(header)
+        return rec.select(header.alias(id_col), body.alias("sequence"), *keep)
     # The preamble chunk holds no header: all its non-blank lines are text
-    # for the file's next record (one row per such file, bounded).
+    # for the file's next record (one row per such file).
     pre_text = F.array_join(F.filter(lines, not_blank), "")
     pre = rec.where("_pre").select(F.col("_o.f").alias("_pf"), pre_text.alias("_ptext"))
     nxt = (rec.where(~F.col("_first")).groupBy(F.col("_o.f").alias("_nf"))
            .agg(F.min("_o").alias("_no")))
-    target = pre.join(nxt, pre["_pf"] == nxt["_nf"]).select("_pf", "_no", "_ptext")
+    target = maybe_broadcast(pre.join(nxt, pre["_pf"] == nxt["_nf"]).select("_pf", "_no", "_ptext"))
     out = rec.where(~F.col("_pre")).join(
-        F.broadcast(target), (F.col("_o.f") == F.col("_pf")) & (F.col("_o") == F.col("_no")), "left")
-    header = F.when(F.col("_first"), F.substring(head, 2, 1 << 30)).otherwise(head)
+        target, (F.col("_o.f") == F.col("_pf")) & (F.col("_o") == F.col("_no")), "left")
     seq = F.concat(F.coalesce(F.col("_ptext"), F.lit("")), body)
-    return out.select(header.alias(id_col), seq.alias("sequence"),
-                      *([F.col("_o").alias(ordinal)] if ordinal else []))
+    return out.select(header.alias(id_col), seq.alias("sequence"), *keep)
+
+
+def _tsv_cells(line: str) -> list[str]:
+    return [h.strip() for h in next(csv.reader([line.rstrip("\r")], delimiter="\t"), [])]
 
 
 def read_tsv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None,
@@ -107,23 +103,33 @@ def read_tsv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[s
     record semantics, and also more cells (stricter: those would otherwise be
     dropped silently).  A header naming a column twice keeps the *last*
     such column (cells are mapped by position, then the last position of each
-    name wins).  ``columns`` gives the header names up front; otherwise the
-    first line is read (one row) to learn them."""
+    name wins).  Every file must have the same header, or the job fails: the
+    scan compares each file's header with the expected names (a header with a
+    repeated name is compared by a pass over the files' first lines).
+    ``columns`` gives the names up front; otherwise the first line is read
+    (one row) to learn them."""
     if columns is None:
         first = spark.read.text(path).first()
-        columns = [] if first is None else [
-            h.strip().strip('"') for h in first["value"].rstrip("\r").split("\t")]
-    positional = [f"_c{i}" for i in range(len(columns))]
+        columns = [] if first is None else _tsv_cells(first["value"])
+    columns = list(columns)
+    unique = len({c.lower() for c in columns}) == len(columns)
+    names = columns if unique else [f"_c{i}" for i in range(len(columns))]
     reader = (spark.read.option("sep", "\t").option("header", True).option("quote", '"')
               .option("escape", '"').option("ignoreLeadingWhiteSpace", True)
               .option("ignoreTrailingWhiteSpace", True).option("mode", "FAILFAST")
-              .option("emptyValue", "").option("enforceSchema", True)
-              .schema(T.StructType([T.StructField(c, T.StringType()) for c in positional])))
+              .option("emptyValue", "").option("enforceSchema", not unique)
+              .schema(T.StructType([T.StructField(c, T.StringType()) for c in names])))
     df = reader.csv(path)
+    if not unique:
+        lines = with_file_ordinal(spark.read.text(path), "_o").where(F.col("_o.b") == 0)
+        heads = lines.groupBy("_o.f").agg(F.min_by("value", "_o").alias("head")).select(
+            F.regexp_replace("head", r"\s+$", "").alias("head")).distinct()
+        if heads.count() > 1:
+            raise ValueError(f"the files under {path} do not share one header")
     if ordinal:
         df = with_file_ordinal(df, ordinal)
     last = {name: i for i, name in enumerate(columns)}  # later positions overwrite
-    picked = [F.coalesce(F.col(positional[i]), F.lit("")).alias(name)
+    picked = [F.coalesce(F.col(f"`{names[i]}`"), F.lit("")).alias(name)
               for name, i in sorted(last.items(), key=lambda kv: kv[1])]
     if not picked:
         return df
@@ -159,6 +165,15 @@ def template_lengths(template: DataFrame, keep: Sequence[str] = ()) -> tuple[Dat
     return nuc, aa
 
 
+def template_names(template: DataFrame) -> tuple[dict[str, int], dict[str, int]]:
+    """``{name: length}`` of the nucleotide and amino-acid sequences of an
+    alignment template, which is one record (a name per segment or gene)."""
+    nuc, aa = template_lengths(template)
+    if len(template.limit(2).collect()) != 1:
+        raise ValueError("an alignment template is exactly one record")
+    return tuple({r["name"]: r["length"] for r in t.collect()} for t in (nuc, aa))
+
+
 def read_line_list(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """One value per line -> distinct non-empty values."""
     return spark.read.text(path).where(F.col("value") != "").distinct()

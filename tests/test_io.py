@@ -32,15 +32,42 @@ def test_fasta_crlf_and_many_files(spark, tmp_dir):
 def test_fasta_preamble_fails(spark, tmp_dir):
     write(tmp_dir, "a.fasta", "junk\n>s1\nAC\n")
     with pytest.raises(Exception):
-        R.read_fasta(spark, tmp_dir, check_preamble=True).collect()
+        R.read_fasta(spark, tmp_dir).collect()
 
 
-def test_fasta_exact_mode_matches(spark, tmp_dir):
+def test_fasta_records_of_several_files(spark, tmp_dir):
     write(tmp_dir, "a.fasta", ">s1 desc\nACGT\n\nTT\n>s2\n>s3\nAA\n")
     write(tmp_dir, "b.fasta", ">t1\nGG\n")
-    fast = sorted(tuple(r) for r in R.read_fasta(spark, tmp_dir).collect())
-    exact = sorted(tuple(r) for r in R.read_fasta(spark, tmp_dir, check_preamble=True).collect())
-    assert fast == exact == [("s1 desc", "ACGTTT"), ("s2", ""), ("s3", "AA"), ("t1", "GG")]
+    got = sorted(tuple(r) for r in R.read_fasta(spark, tmp_dir).collect())
+    assert got == [("s1 desc", "ACGTTT"), ("s2", ""), ("s3", "AA"), ("t1", "GG")]
+
+
+def test_fasta_lone_carriage_return_ends_a_line(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "a.fasta"), "w", newline="") as f:
+        f.write(">s1 x\rAC\rGT\r\n>s2\r\nTT")
+    assert sorted(map(tuple, R.read_fasta(spark, tmp_dir).collect())) == [("s1 x", "ACGT"), ("s2", "TT")]
+
+
+def test_tsv_files_with_other_headers_fail(spark, tmp_dir):
+    write(tmp_dir, "a.tsv", "strain\tage\ns1\t4\n")
+    write(tmp_dir, "b.tsv", "age\tstrain\n5\ts2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        R.read_tsv(spark, tmp_dir).collect()
+
+
+def test_tsv_files_with_repeated_names_share_a_header(spark, tmp_dir):
+    write(tmp_dir, "a.tsv", "x\ty\tx\n1\t2\t3\n")
+    write(tmp_dir, "b.tsv", "x\ty\tx\n4\t5\t6\n")
+    assert sorted(tuple(r) for r in R.read_tsv(spark, tmp_dir).collect()) == [("2", "3"), ("5", "6")]
+    write(tmp_dir, "c.tsv", "y\tx\tx\n4\t5\t6\n")
+    with pytest.raises(ValueError, match="header"):
+        R.read_tsv(spark, tmp_dir)
+
+
+def test_tsv_header_with_a_quoted_tab(spark, tmp_dir):
+    write(tmp_dir, "a.tsv", '"a\tb"\tc\n1\t2\n')
+    df = R.read_tsv(spark, tmp_dir)
+    assert df.columns == ["a\tb", "c"] and tuple(df.first()) == ("1", "2")
 
 
 def test_fasta_roundtrip(spark, tmp_dir):
@@ -150,6 +177,6 @@ def test_tsv_ragged_rows_fail(spark, tmp_dir):
 def test_fasta_preamble_prepend(spark, tmp_dir):
     write(tmp_dir, "a.fasta", "junk\n\nMORE\n>s1\nAC\n>s2\nGG\n")
     write(tmp_dir, "b.fasta", ">t1\nTT\n")
-    got = sorted(tuple(r) for r in R.read_fasta(spark, tmp_dir, check_preamble=True,
+    got = sorted(tuple(r) for r in R.read_fasta(spark, tmp_dir,
                                                  preamble="prepend").collect())
     assert got == [("s1", "junkMOREAC"), ("s2", "GG"), ("t1", "TT")]

@@ -3,6 +3,7 @@ shuffle-free paths the design relies on."""
 import pytest
 
 import __spark_entry__ as E
+from genoflux.queries import registry
 from genoflux.operators import diff as D
 
 SF = "/root/testdata/sf0.001"
@@ -14,7 +15,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.all_queries()))
 def test_no_python_in_plan(spark, name):
     p = plan_of(E.queries()[name](spark, SF))
     assert not any(n in p for n in PY_NODES), name

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from genoflux.queries import registry
 from tools.check_oracle import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -17,7 +18,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.all_queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]

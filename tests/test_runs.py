@@ -92,3 +92,57 @@ def test_incremental_runs(spark, tmp_dir):
     assert by_ver == {"ds1": c2["unchanged"], "ds2": c2["added"] + c2["changed"]}
     row = pub.first().asDict(recursive=True)
     assert row["country"] == "Nation Three" and row["main"]["sequence"] == "NAC"
+
+
+def test_duplicate_ids_pair_in_feed_order(spark, tmp_dir):
+    """20 ids with two records each, the aligner's files in feed order: every
+    published row carries its own record's clade, and a missing aligned
+    sequence is filled from the template."""
+    import json
+    lines, ids = [], [f"EPI_{i}" for i in range(20)]
+    for copy in (1, 2):
+        for i in ids if copy == 1 else reversed(ids):
+            lines.append({"covv_accession_id": i, "covv_virus_name": f"v{copy}{i}", "covv_host": f"h{(copy * 7) % 3}",
+                          "covv_location": "a / b", "sequence": "AC"})
+    os.makedirs(f"{tmp_dir}/feed")
+    with open(f"{tmp_dir}/feed/f.json", "w") as f:
+        f.write("".join(json.dumps(r) + "\n" for r in lines))
+    with open(f"{tmp_dir}/template.json", "w") as f:
+        json.dump({"id": "t", "nucleotideSequences": {"main": "ACGTA"}, "aminoAcidSequences": {"S": "MKV", "N": "MK"}}, f)
+    counts = runs.run_prepare(spark, f"{tmp_dir}/feed", None, f"{tmp_dir}/archive", f"{tmp_dir}/stage")
+    assert counts == {"added": 40}
+    with open(f"{tmp_dir}/qc.tsv", "w") as q, open(f"{tmp_dir}/aln", "w") as a, open(f"{tmp_dir}/S", "w") as s, \
+            open(f"{tmp_dir}/N", "w") as n:
+        q.write("seqName\tclade_nextstrain\tinsertions\taaInsertions\n")
+        n.write(">nobody\nMK\n")
+        for k, r in enumerate(lines):
+            q.write(f"{r['covv_accession_id']}\tclade-{r['covv_virus_name']}\t1:A\t\n")
+            a.write(f">{r['covv_accession_id']}\n-{'ACGT'[k % 4]}\n")
+            s.write(f">{r['covv_accession_id']}\nM\n")
+    v = runs.run_finish(spark, f"{tmp_dir}/stage", f"{tmp_dir}/qc.tsv", f"{tmp_dir}/aln",
+                        {"S": f"{tmp_dir}/S", "N": f"{tmp_dir}/N"}, f"{tmp_dir}/archive", "d1", version="1",
+                        template_json=f"{tmp_dir}/template.json")
+    rows = R.read_snapshot(spark, f"{tmp_dir}/archive", v, "data").collect()
+    assert len(rows) == 40 and all(r["nextstrainClade"] == f"clade-{r['strain']}" for r in rows)
+    own = {r["covv_virus_name"]: "N" + "ACGT"[k % 4] for k, r in enumerate(lines)}
+    assert all(r["main"]["sequence"] == own[r["strain"]] for r in rows)
+    assert {r["N"]["sequence"] for r in rows} == {"XX"}
+
+
+def test_a_feed_record_without_id_fails(spark, tmp_dir):
+    with open(f"{tmp_dir}/f.json", "w") as f:
+        f.write('{"covv_accession_id": "unknown", "sequence": "A"}\n')
+    import pytest
+    with pytest.raises(Exception, match="no gisaidEpiIsl"):
+        runs.run_prepare(spark, f"{tmp_dir}/f.json", None, f"{tmp_dir}/archive", f"{tmp_dir}/stage")
+
+
+def test_repeated_keys_without_an_order_fail(spark):
+    import pytest
+    from genoflux.plans import enrich
+    base = spark.createDataFrame([("a", "x"), ("a", "y")], "strain string, region string")
+    one = spark.createDataFrame([("a", "s")], "sample_name string, sequence string")
+    genes = one.selectExpr("sample_name", "'S' AS gene", "sequence")
+    qc = spark.createDataFrame([("a", "c")], "seqName string, clade string")
+    with pytest.raises(ValueError, match="orders its rows"):
+        enrich.enrich_open(base, qc, one, one, genes, ["S"])

@@ -414,8 +414,8 @@ def distinct_labels_two_columns(spark, sf):
 def label_list_union(spark, sf):
     """Previous label list union the new one, distinct."""
     p = table(spark, sf, "part")
-    prev = distinct_values(p.where(F.col("p_size") < 25), ["p_brand"])
-    new = distinct_values(p.where(F.col("p_size") >= 25), ["p_type", "p_brand"])
+    prev = distinct_values(p, ["p_brand"])
+    new = distinct_values(p, ["p_type", "p_brand"])
     return union_distinct([prev, new])
 
 
@@ -599,7 +599,5 @@ ORACLE = {
       SELECT DISTINCT value FROM (SELECT p_brand AS value FROM part UNION ALL SELECT p_type FROM part)
       WHERE value IS NOT NULL""",
     "label_list_union": """
-      SELECT p_brand AS value FROM part WHERE p_size < 25
-      UNION SELECT p_type FROM part WHERE p_size >= 25
-      UNION SELECT p_brand FROM part WHERE p_size >= 25""",
+      SELECT p_brand AS value FROM part UNION SELECT p_type FROM part""",
 }

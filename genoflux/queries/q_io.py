@@ -10,15 +10,11 @@ from ..operators.sets import distinct_values
 from ..session import shared_path
 from ..sources import readers as R
 from ..sources import writers as W
-from .common import ORDER_FIELDS, SQL_DIFF, SQL_NEW_H, SQL_OLD, new_orders, old_orders, table
+from .common import ORDER_FIELDS, SQL_DIFF, SQL_ORDER_RECORD, order_record, sql_md5_json, table
 from .q_columns import SQL_FEED, events_feed
 from .q_diff import _diffed
 
 
-def _letters(c):
-    return F.upper(F.regexp_replace(c, "[^A-Za-z]", ""))
-
-
 def ndjson_roundtrip(spark, sf):
     """K1 + S1: feed rows -> NDJSON (nulls written) -> explicit-schema scan."""
     path = shared_path(spark, "ndjson")
@@ -45,14 +41,13 @@ def tsv_scan(spark, sf):
 
 
 def fasta_scan(spark, sf):
-    """S3: documents (letters of the whole text) as 60-column FASTA,
-    scanned back into (header, sequence)."""
+    """S3: documents (whole texts) as FASTA, scanned back into (header,
+    sequence).  A text line that starts like a header gets a blank before."""
     path = shared_path(spark, "fasta")
     d = table(spark, sf, "documents")
-    seq = _letters(F.col("text"))
-    wrapped = F.regexp_replace(seq, "(.{60})", "$1\n")
+    text = F.regexp_replace(F.col("text"), "(?m)^>", " >")
     rec = F.concat(F.lit(">doc"), F.col("doc_id").cast("string"), F.lit(" "), F.col("lang"),
-                   F.lit("\n"), wrapped)
+                   F.lit("\n"), text)
     d.select(rec.alias("value")).write.text(path)
     return R.read_fasta(spark, path)
 
@@ -62,11 +57,39 @@ def fasta_sink(spark, sf):
     path = shared_path(spark, "fasta-sink")
     p = table(spark, sf, "pages").select(
         F.concat(F.lit("page"), F.col("page_id").cast("string")).alias("id"),
-        F.create_map(F.lit("main"), _letters(F.col("html"))).alias("unaligned_nuc"))
+        F.create_map(F.lit("main"), F.col("html")).alias("unaligned_nuc"))
     W.write_fasta(p, path, "id", F.col("unaligned_nuc")["main"])
     return spark.read.text(path)
 
 
+def line_scan(spark, sf):
+    """The lines of all documents, written and scanned in file order."""
+    path = shared_path(spark, "line-scan")
+    table(spark, sf, "documents").select(F.col("text").alias("value")).write.text(path)
+    return R.read_lines(spark, path, "ordinal").select("value")
+
+
+def geo_rule_scan(spark, sf):
+    """S7 from a file: one rule line per customer; of lines with the same
+    left side the last one of the file wins."""
+    path = shared_path(spark, "geo-rules")
+    c, n, r = (table(spark, sf, t) for t in ("customer", "nation", "region"))
+    at = (c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+          .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
+    line = F.concat(F.concat_ws("/", "r_name", "n_name", "c_mktsegment", F.lit("*")), F.lit("\t"),
+                    F.concat_ws("/", "r_name", "n_name", F.col("c_custkey").cast("string"), F.lit("*")))
+    at.orderBy("c_custkey").select(line.alias("value")).write.text(path)
+    return R.read_geo_rules(spark, path)
+
+
+def parquet_sink(spark, sf):
+    """K2: line items written partitioned by status and read back."""
+    path = shared_path(spark, "parquet-sink")
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    W.write_parquet(li, path, partition_by=["l_returnflag"])
+    return spark.read.parquet(path)
+
+
 def line_list_roundtrip(spark, sf):
     """K6 + S9: a distinct label list written as lines and read back."""
     path = shared_path(spark, "lines")
@@ -98,7 +121,7 @@ def template_scan(spark, sf):
 def snapshot_publish(spark, sf):
     """K7 + S12: publish a versioned snapshot, read its data part back."""
     root = shared_path(spark, "snapshots")
-    old = old_orders(spark, sf)
+    old = order_record(table(spark, sf, "orders"))
     hashes = D.fingerprint(old, "o_orderkey", ORDER_FIELDS)
     lin = distinct_values(old, ["o_orderpriority"])
     v = W.publish_snapshot(spark, root, old, lineages=lin, hashes=hashes, version="1700000000")
@@ -109,7 +132,7 @@ def snapshot_publish(spark, sf):
 def hash_table_scan(spark, sf):
     """K4 + S10: the (id, md5) side table written and read back."""
     path = shared_path(spark, "hashes")
-    h = D.fingerprint(new_orders(spark, sf), "o_orderkey", ORDER_FIELDS).select(
+    h = D.fingerprint(order_record(table(spark, sf, "orders")), "o_orderkey", ORDER_FIELDS).select(
         F.col("id").cast("string").alias("gisaidEpiIsl"), "md5")
     W.write_hashes(h, path)
     return R.read_hashes(spark, path)
@@ -134,6 +157,9 @@ QUERIES = {
     "tsv_scan": tsv_scan,
     "fasta_scan": fasta_scan,
     "fasta_sink": fasta_sink,
+    "line_scan": line_scan,
+    "geo_rule_scan": geo_rule_scan,
+    "parquet_sink": parquet_sink,
     "line_list_roundtrip": line_list_roundtrip,
     "template_scan": template_scan,
     "snapshot_publish": snapshot_publish,
@@ -142,8 +168,6 @@ QUERIES = {
     "noop_pass": noop_pass,
 }
 
-_SQL_LETTERS = "upper(regexp_replace({c}, '[^A-Za-z]', '', 'g'))"
-
 ORACLE = {
     "ndjson_roundtrip": SQL_FEED,
     "tsv_scan": """
@@ -153,12 +177,22 @@ ORACLE = {
              CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END AS maybe_empty,
              'a "q" ' || c_custkey AS quoted
       FROM customer""",
-    "fasta_scan": f"""
-      SELECT 'doc' || doc_id || ' ' || lang AS sample_name, {_SQL_LETTERS.format(c='text')} AS sequence
+    "fasta_scan": """
+      SELECT 'doc' || doc_id || ' ' || lang AS sample_name,
+             array_to_string(list_filter(list_transform(string_split(text, chr(10)),
+               lambda x: CASE WHEN x[1] = '>' THEN ' ' || x ELSE x END), lambda x: regexp_matches(x, '\\S')), '')
+               AS sequence
       FROM documents""",
-    "fasta_sink": f"""
+    "fasta_sink": """
       SELECT '>page' || page_id AS value FROM pages
-      UNION ALL SELECT {_SQL_LETTERS.format(c='html')} AS value FROM pages""",
+      UNION ALL SELECT unnest(string_split(html, chr(10))) AS value FROM pages""",
+    "line_scan": "SELECT unnest(string_split(text, chr(10))) AS value FROM documents",
+    "geo_rule_scan": """
+      SELECT lower(r_name) AS l0, lower(n_name) AS l1, lower(c_mktsegment) AS l2, '*' AS l3,
+             r_name AS r0, n_name AS r1, CAST(max(c_custkey) AS VARCHAR) AS r2, '*' AS r3
+      FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+      GROUP BY r_name, n_name, c_mktsegment""",
+    "parquet_sink": "SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem",
     "line_list_roundtrip": "SELECT DISTINCT p_brand AS value FROM part WHERE p_brand <> ''",
     "template_scan": """
       SELECT CAST(p_partkey AS VARCHAR) AS id, 'nuc' AS kind, 'main' AS name,
@@ -170,8 +204,9 @@ ORACLE = {
       UNION ALL
       SELECT CAST(p_partkey AS VARCHAR), 'aa', p_brand, CAST(2 * (p_size % 7 + 1) AS INTEGER),
              repeat('X', CAST(2 * (p_size % 7 + 1) AS INTEGER)) FROM part""",
-    "snapshot_publish": SQL_OLD,
-    "hash_table_scan": f"SELECT CAST(id AS VARCHAR) AS id, md5 FROM ({SQL_NEW_H})",
+    "snapshot_publish": SQL_ORDER_RECORD,
+    "hash_table_scan": f"""SELECT CAST(o_orderkey AS VARCHAR) AS id, {sql_md5_json(ORDER_FIELDS)} AS md5
+      FROM ({SQL_ORDER_RECORD})""",
     "diff_table_roundtrip": SQL_DIFF,
     "noop_pass": "SELECT count(*) AS n FROM lineitem",
 }

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from ..operators import georules as G
 from ..operators.sets import sorted_positions
 from ..plans import jobs as J
-from ..session import cut_lineage
+from ..plans import runs
+from ..plans.clean import FEED, OPEN, with_template
+from ..session import cut_lineage, shared_path
+from ..sources import readers as R
+from ..sources import writers as W
 from .common import ARCHIVED_BEFORE, SNAPSHOT_TIME, table
 from .q_joins import GEO_RULES, _prefix_values, sql_geo_lookup
 
@@ -24,13 +28,13 @@ def sorted_output(spark, sf):
 GENES = ("S", "ORF1a")
 
 
-def _letters(c):
-    return F.upper(F.regexp_replace(c, "[^A-Za-z]", ""))
+# The alignment template of the derived inputs: sequence lengths by name.
+TEMPLATE_NUC, TEMPLATE_AA = {"main": 12}, {"S": 9, "ORF1a": 5}
 
 
 def rebuild_inputs(spark, sf):
     """The named input set (S13): documents as metadata, labels as QC,
-    document letters as raw sequences, embeddings as aligned sequences,
+    document texts as raw sequences, embeddings as aligned sequences,
     pages as two gene translations (one long table)."""
     d = table(spark, sf, "documents")
     k = F.col("doc_id")
@@ -61,7 +65,7 @@ def rebuild_inputs(spark, sf):
         F.when(F.col("quality") == 1, F.lit("B.1")).otherwise(F.lit("Unassigned")).alias("Nextclade_pango"),
         lk.alias("ordinal"))
     sequences = d.select(F.concat(F.lit("doc"), k.cast("string")).alias("sample_name"),
-                         _letters(F.col("text")).alias("sequence"), k.alias("ordinal"))
+                         F.col("text").alias("sequence"), k.alias("ordinal"))
     emb = table(spark, sf, "embeddings")
     ek = F.col("vec_id")
     aligned = emb.select(
@@ -72,7 +76,7 @@ def rebuild_inputs(spark, sf):
     pg = table(spark, sf, "pages")
     pk = F.col("page_id")
     s_gene = pg.select(F.concat(F.lit("doc"), pk.cast("string")).alias("sample_name"),
-                       F.lit("S").alias("gene"), _letters(F.col("url")).alias("sequence"),
+                       F.lit("S").alias("gene"), F.col("url").alias("sequence"),
                        pk.alias("ordinal"))
     orf = pg.select(F.concat(F.lit("doc"), pk.cast("string")).alias("sample_name"),
                     F.lit("ORF1a").alias("gene"),
@@ -92,7 +96,12 @@ def full_rebuild(spark, sf):
     """All inputs joined by strain, cleaned, published flat."""
     i = rebuild_inputs(spark, sf)
     published, _lin = J.full_rebuild(i["metadata"], i["qc"], i["sequences"], i["aligned"],
-                                     i["translations"], GENES)
+                                     i["translations"], GENES,
+                                     with_template(OPEN, TEMPLATE_NUC, TEMPLATE_AA))
+    return _rebuilt(published)
+
+
+def _rebuilt(published):
     return published.select(
         *REBUILD_OUT, "unaligned_main",
         F.col("main.sequence").alias("main_seq"), F.array_join("main.insertions", ",").alias("main_ins"),
@@ -147,15 +156,16 @@ def _feed(spark, sf, version: int):
 
 def _aligner_output(spark, sf, changed):
     """Stand-in for the external aligner: QC, aligned and translated rows
-    for exactly the records handed to it (derived from their fields)."""
+    for the records handed to it (derived from their fields); it fails to
+    align the records whose id ends in 7."""
     ids = changed.select(F.col("id").alias("seqName"), "samplingStrategy", "pangoLineage")
     qc = ids.select("seqName",
                     F.concat(F.lit("clade-"), F.substring("samplingStrategy", 1, 1)).alias("clade_nextstrain"),
                     F.col("pangoLineage").alias("Nextclade_pango"),
                     F.lit("").alias("insertions"), F.lit("").alias("aaInsertions"))
-    aligned = changed.select(F.col("id").alias("sample_name"),
-                             F.concat(F.lit("--"), F.col("unaligned_nuc")["main"], F.lit("-"))
-                             .alias("sequence"))
+    aligned = changed.where(~F.col("id").endswith("7")).select(
+        F.col("id").alias("sample_name"), F.concat(F.lit("--"), F.col("unaligned_nuc")["main"], F.lit("-"))
+        .alias("sequence"))
     tr = changed.select(F.col("id").alias("sample_name"), F.lit("S").alias("gene"),
                         F.lit("MKV").alias("sequence"))
     return qc, aligned, tr
@@ -166,6 +176,9 @@ W2_OUT = ("gisaidEpiIsl", "strain", "samplingStrategy", "pangoLineage", "nextcla
           "date", "dateMonth")
 
 
+REFRESH_SPEC = with_template(FEED, {"main": 6}, {"S": 3})
+
+
 def _refresh(spark, sf):
     rules = G.rules_from_pairs(spark, GEO_RULES)
     # previous snapshot: v1 processed against an empty history
@@ -173,13 +186,14 @@ def _refresh(spark, sf):
     p1 = J.prepare(_feed(spark, sf, 1), rules, empty)
     qc1, al1, tr1 = _aligner_output(spark, sf, p1.changed)
     empty_pub = spark.createDataFrame([], "gisaidEpiIsl string")
-    pub1, lin1 = J.finish(p1.changed, qc1, al1, tr1, ["S"], empty_pub, p1.diff, None, "v1")
-    # the previous snapshot is a written table, as after a publish
-    pub1, lin1 = cut_lineage(pub1), cut_lineage(lin1)
+    pub1, _ = J.finish(p1.changed, qc1, al1, tr1, ["S"], empty_pub, p1.diff, None, "v1", spec=REFRESH_SPEC)
+    # the previous snapshot is a written table, as after a publish; its label
+    # list is read from the written rows
+    pub1 = cut_lineage(pub1, "published")
     # current run: v2 against v1's hashes and published rows
     p2 = J.prepare(_feed(spark, sf, 2), rules, p1.hashes)
     qc2, al2, tr2 = _aligner_output(spark, sf, p2.changed)
-    return J.finish(p2.changed, qc2, al2, tr2, ["S"], pub1, p2.diff, lin1, "v2")
+    return J.finish(p2.changed, qc2, al2, tr2, ["S"], pub1, p2.diff, J.lineages(pub1), "v2", spec=REFRESH_SPEC)
 
 
 def incremental_refresh(spark, sf):
@@ -189,7 +203,82 @@ def incremental_refresh(spark, sf):
     return published.select(*W2_OUT, F.col("main.sequence").alias("main_seq"))
 
 
+def paired_refresh(spark, sf):
+    """J1/J3 in the job: a feed with several records per id (the lines of an
+    order); QC rows are paired with them by position."""
+    li = table(spark, sf, "lineitem")
+    n = F.col("l_linenumber")
+    ident = F.concat(F.lit("L"), F.col("l_orderkey").cast("string"))
+    fields = {c: F.lit(None).cast("string") for c in R.FEED_SCHEMA.fieldNames()}
+    fields |= {"covv_accession_id": ident, "sequence": F.lit("AC"), "covv_virus_name": F.concat_ws(
+        "-", F.col("l_orderkey").cast("string"), n.cast("string"))}
+    feed = li.select(*[c.alias(k) for k, c in fields.items()], n.alias("ordinal"))
+    empty = spark.createDataFrame([], "gisaidEpiIsl string, md5 string")
+    p = J.prepare(feed, None, empty)
+    qc = li.select(ident.alias("seqName"), F.concat(F.lit("c"), n.cast("string")).alias("clade_nextstrain"),
+                   n.alias("ordinal"))
+    aligned = li.select(ident.alias("sample_name"), F.repeat(F.lit("A"), n.cast("int")).alias("sequence"),
+                        n.alias("ordinal"))
+    genes = aligned.withColumn("gene", F.lit("S"))
+    published, _ = J.finish(p.changed, qc, aligned, genes, ["S"], spark.createDataFrame(
+        [], "gisaidEpiIsl string"), p.diff, None, "v1")
+    return published.select("gisaidEpiIsl", "strain", "nextstrainClade", F.col("main.sequence").alias("main_seq"),
+                            F.col("S.sequence").alias("s_seq"))
+
+
+def sorted_changed(spark, sf):
+    """W2b + O1/O2: the records to re-process in a global stable order by a
+    chosen column (id, or strain); position of each in both orders."""
+    empty = spark.createDataFrame([], "gisaidEpiIsl string, md5 string")
+    p = J.prepare(_feed(spark, sf, 2).withColumn("ordinal", F.col("covv_accession_id")), None, empty,
+                  sort_changed=True)
+    by_id = sorted_positions(p.changed.select("gisaidEpiIsl", "strain"), "gisaidEpiIsl", name="by_id")
+    return sorted_positions(by_id, "strain", name="by_strain").select("gisaidEpiIsl", "by_id", "by_strain")
+
+
+def aligner_input(spark, sf):
+    """W2 first half from files (W2a, W2c, S1): feed NDJSON -> fingerprints,
+    diff, and the aligner's FASTA, read back."""
+    root = shared_path(spark, "prepare")
+    W.write_ndjson(_feed(spark, sf, 2), f"{root}/feed")
+    runs.run_prepare(spark, f"{root}/feed", None, f"{root}/archive", f"{root}/stage")
+    return R.read_fasta(spark, f"{root}/stage/aligner_input")
+
+
+def _write_tsv(df, path):
+    (df.write.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"')
+     .option("emptyValue", "").csv(path))
+
+
+def rebuild_from_files(spark, sf):
+    """W1 from files (S13): the named input set written as TSV, FASTA and
+    template JSON, run, published and read back."""
+    root = shared_path(spark, "rebuild")
+    i = rebuild_inputs(spark, sf)
+    for name in ("metadata", "qc"):
+        _write_tsv(i[name].drop("ordinal"), f"{root}/{name}")
+    # sequences as one line each; the texts' lines would be joined
+    url = table(spark, sf, "pages").select(F.concat(F.lit("doc"), F.col("page_id").cast("string")).alias("k"),
+                                           F.col("url").alias("v"))
+    W.write_fasta(url, f"{root}/sequences", "k", "v")
+    W.write_fasta(i["aligned"], f"{root}/aligned", "sample_name", "sequence")
+    for g in GENES:
+        W.write_fasta(i["translations"].where(F.col("gene") == g), f"{root}/{g}", "sample_name", "sequence")
+    template = spark.createDataFrame([(
+        "t", {k: "A" * n for k, n in TEMPLATE_NUC.items()}, {k: "A" * n for k, n in TEMPLATE_AA.items()})],
+        R.TEMPLATE_SCHEMA)
+    template.coalesce(1).write.json(f"{root}/template")
+    v = runs.run_full_rebuild(spark, f"{root}/metadata", f"{root}/qc", f"{root}/sequences", f"{root}/aligned",
+                              {g: f"{root}/{g}" for g in GENES}, f"{root}/archive", version="1",
+                              template_json=f"{root}/template")
+    return _rebuilt(R.read_snapshot(spark, f"{root}/archive", v, "data"))
+
+
 QUERIES = {
+    "paired_refresh": paired_refresh,
+    "sorted_changed": sorted_changed,
+    "aligner_input": aligner_input,
+    "rebuild_from_files": rebuild_from_files,
     "sorted_output": sorted_output,
     "full_rebuild": full_rebuild,
     "rebuild_lineages": rebuild_lineages,
@@ -208,8 +297,6 @@ def _pd(s: str, f: str) -> str:
     return sql_partial_date(s, f)
 
 
-_SQL_LET = "upper(regexp_replace({c}, '[^A-Za-z]', '', 'g'))"
-
 _SQL_REBUILD_JOINED = f"""
   SELECT m.*, q.clade_nextstrain, q.qc_missing, q.ins, q.aa_ins, q.pango, q.seqName IS NOT NULL AS has_qc,
          s.useq, a.aseq, g.sseq, o.oseq
@@ -231,13 +318,13 @@ _SQL_REBUILD_JOINED = f"""
                     CASE WHEN doc_id % 3 = 0 THEN 'S:5:K,ORF1a:7:M' ELSE '' END AS aa_ins,
                     CASE WHEN quality = 1 THEN 'B.1' ELSE 'Unassigned' END AS pango
              FROM labels) q ON q.seqName = m.strain_raw
-  LEFT JOIN (SELECT 'doc' || doc_id AS k, {_SQL_LET.format(c='text')} AS useq FROM documents) s
+  LEFT JOIN (SELECT 'doc' || doc_id AS k, text AS useq FROM documents) s
     ON s.k = m.strain_raw
   LEFT JOIN (SELECT 'doc' || vec_id AS k,
                     repeat('-', CAST(vec_id % 3 AS INTEGER)) || 'ACGTN'
                       || repeat('-', CAST(label % 2 + 1 AS INTEGER)) AS aseq FROM embeddings) a
     ON a.k = m.strain_raw
-  LEFT JOIN (SELECT 'doc' || page_id AS k, {_SQL_LET.format(c='url')} AS sseq FROM pages) g
+  LEFT JOIN (SELECT 'doc' || page_id AS k, url AS sseq FROM pages) g
     ON g.k = m.strain_raw
   LEFT JOIN (SELECT 'doc' || page_id AS k, repeat('-', CAST(page_id % 2 AS INTEGER)) || 'MK' AS oseq
              FROM pages) o ON o.k = m.strain_raw"""
@@ -259,9 +346,10 @@ _SQL_REBUILD = f"""
          database, age, sex, genbankAccessionRev AS usherTree, nextstrainClade,
          nextcladeQcOverallScore, nextcladeQcMissingDataScore, nextcladePangoLineage, genbankAccessionRev,
          CAST(NULL AS VARCHAR) AS died, unaligned_main,
-         main_seq, CASE WHEN main_seq IS NULL THEN NULL ELSE ins END AS main_ins,
-         s_seq, CASE WHEN s_seq IS NULL THEN NULL ELSE s_ins END AS s_ins,
-         orf1a_seq, CASE WHEN orf1a_seq IS NULL THEN NULL ELSE orf1a_ins END AS orf1a_ins
+         -- a missing aligned sequence is N or X of the template's length
+         coalesce(main_seq, repeat('N', 12)) AS main_seq, ins AS main_ins,
+         coalesce(s_seq, repeat('X', 9)) AS s_seq, s_ins,
+         coalesce(orf1a_seq, repeat('X', 5)) AS orf1a_seq, orf1a_ins
   FROM (SELECT {_nm('strain_raw')} AS strain, {_pd(_nm('date_raw'), 'date')},
                country, division, {_nm('host_raw')} AS host, database,
                CAST(age_raw AS INTEGER) AS age, {_nm('sex_raw')} AS sex, gbrev AS genbankAccessionRev,
@@ -326,11 +414,25 @@ def _sql_refresh() -> str:
          nullif(c0, '') AS region, nullif(c1, '') AS country, nullif(c2, '') AS division,
          'clade-' || substr(prio, 1, 1) AS nextstrainClade, ver AS nextcladeDatasetVersion, age,
          date_raw AS date, CAST(substr(date_raw, 6, 2) AS INTEGER) AS dateMonth,
-         'NN' || repeat('ACGT', CAST(1 + o_orderkey % 3 AS INTEGER)) || 'N' AS main_seq
+         CASE WHEN o_orderkey % 10 = 7 THEN repeat('N', 6)
+              ELSE 'NN' || repeat('ACGT', CAST(1 + o_orderkey % 3 AS INTEGER)) || 'N' END AS main_seq
   FROM rows"""
 
 
 ORACLE = {
+    "paired_refresh": """
+      SELECT 'L' || l_orderkey AS gisaidEpiIsl, l_orderkey || '-' || l_linenumber AS strain,
+             'c' || l_linenumber AS nextstrainClade, repeat('A', CAST(l_linenumber AS INTEGER)) AS main_seq,
+             repeat('A', CAST(l_linenumber AS INTEGER)) AS s_seq
+      FROM lineitem""",
+    "sorted_changed": f"""
+      SELECT id AS gisaidEpiIsl, row_number() OVER (ORDER BY id) AS by_id, row_number() OVER (ORDER BY strain) AS by_strain
+      FROM ({_SQL_FEED_BASE}) WHERE NOT (st = 'F' AND date_raw < '{ARCHIVED_BEFORE}')""",
+    "aligner_input": f"""
+      SELECT id AS sample_name, repeat('ACGT', CAST(1 + o_orderkey % 3 AS INTEGER)) AS sequence
+      FROM ({_SQL_FEED_BASE}) WHERE NOT (st = 'F' AND date_raw < '{ARCHIVED_BEFORE}')""",
+    "rebuild_from_files": _SQL_REBUILD.replace("text AS useq FROM documents", "url AS useq FROM pages_as_documents")
+    .replace("FROM pages_as_documents", "FROM (SELECT page_id AS doc_id, url FROM pages)"),
     "sorted_output": """
       SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_orderkey) AS pos FROM orders""",
     "full_rebuild": _SQL_REBUILD,

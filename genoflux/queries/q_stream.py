@@ -12,7 +12,7 @@ from .q_columns import FEED_OUT, SQL_FEED_ENTRIES, events_feed
 
 
 def feed_stream_landed(spark, sf):
-    """W2a over landed files: the events feed lands as several NDJSON files,
+    """The feed projection of W2a (no rules) over landed files: the events feed lands as several NDJSON files,
     a file-source stream (one file per micro-batch) normalises and
     fingerprints them; the written entries are read back."""
     root = shared_path(spark, "landing")

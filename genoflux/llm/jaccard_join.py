@@ -194,6 +194,7 @@ def _digests(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(digest, pa.binary()), pa.array(n, pa.int64()),
                  pa.array(bands, pa.list_(pa.int64()))], schema=schema)
+        _HASHES.clear()
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
         run, "doc_id long, text_key long, digest binary, n long, bands array<long>")
@@ -210,6 +211,7 @@ def _sets(texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()),
                  pa.array(sets, pa.binary())], schema=schema)
+        _HASHES.clear()
 
     return texts.select("text").mapInArrow(run, "digest binary, shingles binary")
 

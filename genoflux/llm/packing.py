@@ -69,11 +69,18 @@ class WordEncoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        # the same merges for words that need no normalising and no pattern
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocab.values()) + 1, bool)
         self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.tails = dict(zip(TAIL, self._ids(list(TAIL))))
         self.clear()
 
     def clear(self):
@@ -92,7 +99,9 @@ class WordEncoder:
         out = {}
         for i in range(0, len(words), 1000):
             part = words[i:i + 1000]
-            ids = self._ids([" ".join(part)])[0]
+            text = " ".join(part)
+            tokenizer = self.plain if text.islower() and _latin(text) else self.tokenizer
+            ids = tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
             cuts = (np.flatnonzero(self.closes[ids]) + 1).tolist()
             if len(cuts) != len(part):  # some letter is no letter to the vocabulary
                 out.update(zip(part, self._ids(part)))
@@ -109,14 +118,20 @@ class WordEncoder:
         if not words:
             return
         self.chars += sum(map(len, words))
-        cores = {w: w if w.isalpha() else w[:-1] if w[-1] in TAIL and w[:-1].isalpha() else ""
-                 for w in words}
-        known = self._letters(list({c for c in cores.values() if c}))
-        odd = [w for w in words if not cores[w]]
+        old, ends, flat = len(self.ends) - 1, self.ends, self.flat
+        cores, wanted, odd = [], {}, []
+        for w in words:
+            core = w if w.isalpha() else w[:-1] if w[-1] in TAIL and w[:-1].isalpha() else ""
+            cores.append(core)
+            if not core:
+                odd.append(w)
+            elif core not in wanted:
+                code = self.codes.get(core, old + 1)  # with a mark behind it: known without one?
+                wanted[core] = flat[ends[code - 1]:ends[code]].tolist() if code <= old else None
+        wanted.update(self._letters([c for c, ids in wanted.items() if ids is None]))
         whole = dict(zip(odd, self._ids(odd)))
-        tails = dict(zip(TAIL, self._ids(list(TAIL))))
-        got = [whole[w] if not cores[w] else known[cores[w]] if w == cores[w]
-               else known[cores[w]] + tails[w[-1]] for w in words]
+        got = [whole[w] if not c else wanted[c] if len(c) == len(w) else wanted[c] + self.tails[w[-1]]
+               for w, c in zip(words, cores)]
         ends = self.ends[-1] + np.cumsum([len(x) for x in got])
         if ends[-1] > len(self.flat):
             self.flat = np.resize(self.flat, max(int(ends[-1]), 2 * len(self.flat)))
@@ -148,14 +163,16 @@ class WordEncoder:
 def _lower(text: str) -> str:
     """Lower case where the vocabulary's own lower-casing surely does the
     same (Latin letters, no special token's string); fewer distinct words."""
-    if "<|" in text:
-        return text
+    return text.lower() if _latin(text) and "<|" not in text else text
+
+
+def _latin(text: str) -> bool:
     if not text.isascii():
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
-            return text
-    return text.lower()
+            return False
+    return True
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

@@ -114,12 +114,15 @@ def key_row_number(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
 
     # At most rows / limit keys can exceed the limit; the list is also
     # measured before it is broadcast.
-    hot_b = maybe_broadcast(cut_lineage(hot))
-    cold_rn = df.join(hot_b, keys, "left_anti").withColumn(rn, F.row_number().over(w).cast("long"))
+    hot_b = maybe_broadcast(cut_lineage(hot.select(*[c.alias(f"_h{i}") for i, c in enumerate(kcols)])))
+    is_hot = F.lit(True)
+    for i, k in enumerate(keys):  # a null key may be the hot one
+        is_hot = is_hot & df[f"`{k}`"].eqNullSafe(hot_b[f"_h{i}"])
+    cold_rn = df.join(hot_b, is_hot, "left_anti").withColumn(rn, F.row_number().over(w).cast("long"))
 
     nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = cut_lineage(
-        df.join(hot_b, keys, "left_semi")
+        df.join(hot_b, is_hot, "left_semi")
         .repartitionByRange(nparts, *kcols, *[F.col(f"`{o}`") for o in order])
         .sortWithinPartitions(*kcols, *[F.col(f"`{o}`") for o in order])
         .withColumn("_pid", F.spark_partition_id().cast("long"))
@@ -129,8 +132,12 @@ def key_row_number(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
                                               F.count(F.lit(1)).alias("_cnt"))
     ws = Window.partitionBy(*kcols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.withColumn("_off", F.coalesce(F.sum("_cnt").over(ws), F.lit(0)))
-    hot_rn = (ranged.join(maybe_broadcast(spans.select("_pid", *kcols, "_first", "_off")),
-                          ["_pid", *keys])
+    spans = maybe_broadcast(spans.select(F.col("_pid").alias("_spid"), "_first", "_off",
+                                         *[c.alias(f"_h{i}") for i, c in enumerate(kcols)]))
+    same = ranged["_pid"] == spans["_spid"]
+    for i, k in enumerate(keys):
+        same = same & ranged[f"`{k}`"].eqNullSafe(spans[f"_h{i}"])
+    hot_rn = (ranged.join(spans, same)
               .withColumn(rn, (F.col("_off") + F.col("_pos") - F.col("_first") + 1).cast("long"))
               .drop("_pid", "_pos", "_first", "_off"))
     return cold_rn.unionByName(hot_rn.select(*[F.col(f"`{c}`") for c in cold_rn.columns]))
@@ -156,7 +163,13 @@ def zip_join(frames: Sequence[DataFrame], key: str = "key", rn: str = "rn",
     ``keep='all'``: full outer (every position of every input);
     ``keep='first'``: only positions present in the first input (left joins).
     Payload column names must be distinct across frames.
+
+    More than two inputs of an outer join are tagged, stacked and grouped by
+    ``(key, rn)`` once, instead of a chain of full joins on merged keys.  A
+    null key pairs with nothing.
     """
+    if keep == "all" and len(frames) > 2:
+        return _zip_stacked(frames, key, rn)
     how = {"all": "full", "first": "left"}[keep]
     out = frames[0]
     for f in frames[1:]:
@@ -164,6 +177,20 @@ def zip_join(frames: Sequence[DataFrame], key: str = "key", rn: str = "rn",
     return out
 
 
+def _zip_stacked(frames: Sequence[DataFrame], key: str, rn: str) -> DataFrame:
+    payloads = [[c for c in f.columns if c not in (key, rn)] for f in frames]
+    stacked = None
+    for i, f in enumerate(frames):
+        rows = f.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{rn}`").alias("_rn"),
+                        F.when(F.col(f"`{key}`").isNull(), F.lit(i)).alias("_alone"),
+                        F.struct(F.lit(True).alias("_there"), *[F.col(f"`{c}`") for c in payloads[i]]).alias(f"_p{i}"))
+        stacked = rows if stacked is None else stacked.unionByName(rows, allowMissingColumns=True)
+    merged = stacked.groupBy("_key", "_rn", "_alone").agg(
+        *[F.first(f"_p{i}", ignorenulls=True).alias(f"_p{i}") for i in range(len(frames))])
+    return merged.select(F.col("_key").alias(key), F.col("_rn").alias(rn), *[
+        F.col(f"_p{i}")[c].alias(c) for i, cols in enumerate(payloads) for c in cols])
+
+
 def zip_inputs(frames: Sequence[tuple[DataFrame, str, Sequence[str] | str]],
                key: str = "key", rn: str = "rn", keep: str = "all",
                hot_rows: int | None = None) -> DataFrame:

@@ -120,6 +120,9 @@ def enrich_open(metadata: DataFrame, qc: DataFrame, sequences: DataFrame, aligne
     """Full-rebuild flavour: metadata rows (key ``strain``) + QC + raw and
     aligned sequences + translations -> cleaned entries keyed by strain."""
     base_cols = [c for c in metadata.columns if c != ordinal]
+    # rows whose strain is a null marker are dropped in the end; they share a
+    # few keys, so they go before the joins
+    metadata = metadata.where(q("strain").isNull() | ~q("strain").isin(list(spec.null_markers)))
     joined, qc_cols = _join_inputs(metadata, "strain", qc, aligned, translations, sequences,
                                    ordinal, hot_rows)
     assembled = _assemble(joined, base_cols, qc_cols, genes, "_unaligned")

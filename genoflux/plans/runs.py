@@ -30,8 +30,10 @@ from .jobs import finish, full_rebuild, prepare
 def run_full_rebuild(spark: SparkSession, metadata_tsv: str, qc_tsv: str, sequences_fasta: str,
                      aligned_fasta: str, gene_fastas: Mapping[str, str], archive_root: str,
                      version: str | None = None, spec: CleanSpec = OPEN,
-                     template_json: str | None = None) -> str:
-    """Full rebuild from files; returns the published version.  With the
+                     template_json: str | None = None, fmt: str = "parquet",
+                     compression: str | None = None) -> str:
+    """Full rebuild from files; returns the published version (NDJSON with
+    ``fmt='json'`` and a text codec, else Parquet).  With the
     alignment template, a missing aligned sequence becomes N or X of the
     template's length."""
     spec = _templated(spark, spec, template_json)
@@ -43,7 +45,8 @@ def run_full_rebuild(spark: SparkSession, metadata_tsv: str, qc_tsv: str, sequen
     aligned = land(R.read_fasta(spark, aligned_fasta, ordinal="ordinal"))
     genes = land(R.read_translations(spark, gene_fastas))
     published, _ = full_rebuild(metadata, qc, seqs, aligned, genes, list(gene_fastas), spec)
-    return W.publish_snapshot(spark, archive_root, published, lineages=lineages_of, version=version)
+    return W.publish_snapshot(spark, archive_root, published, lineages=lineages_of, version=version,
+                              fmt=fmt, compression=compression)
 
 
 def _templated(spark: SparkSession, spec: CleanSpec, path: str | None) -> CleanSpec:
@@ -74,7 +77,8 @@ def run_prepare(spark: SparkSession, feed_path: str, rules_path: str | None, arc
 def run_finish(spark: SparkSession, stage_dir: str, qc_tsv: str, aligned_fasta: str,
                gene_fastas: Mapping[str, str], archive_root: str, dataset_version: str,
                version: str | None = None, id_col: str = "gisaidEpiIsl",
-               spec: CleanSpec = FEED, template_json: str | None = None) -> str:
+               spec: CleanSpec = FEED, template_json: str | None = None,
+               fmt: str = "parquet", compression: str | None = None) -> str:
     """Second half: enrich the re-processed records with the aligner output,
     carry the unchanged rows over from the previous version and publish.
     With the alignment template, a missing aligned sequence becomes N or X
@@ -104,7 +108,7 @@ def run_finish(spark: SparkSession, stage_dir: str, qc_tsv: str, aligned_fasta:
         return cur if previous_lineages is None else union_distinct(
             [previous_lineages.select("value"), cur])
     return W.publish_snapshot(spark, archive_root, published, lineages=merged_lineages,
-                              hashes=hashes, version=version)
+                              hashes=hashes, version=version, fmt=fmt, compression=compression)
 
 
 def lineages_of(published):

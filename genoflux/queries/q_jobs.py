@@ -252,7 +252,7 @@ def _write_tsv(df, path):
 
 def rebuild_from_files(spark, sf):
     """W1 from files (S13): the named input set written as TSV, FASTA and
-    template JSON, run, published and read back."""
+    template JSON, run, published as NDJSON (K7) and read back."""
     root = shared_path(spark, "rebuild")
     i = rebuild_inputs(spark, sf)
     for name in ("metadata", "qc"):
@@ -270,7 +270,7 @@ def rebuild_from_files(spark, sf):
     template.coalesce(1).write.json(f"{root}/template")
     v = runs.run_full_rebuild(spark, f"{root}/metadata", f"{root}/qc", f"{root}/sequences", f"{root}/aligned",
                               {g: f"{root}/{g}" for g in GENES}, f"{root}/archive", version="1",
-                              template_json=f"{root}/template")
+                              template_json=f"{root}/template", fmt="json", compression="gzip")
     return _rebuilt(R.read_snapshot(spark, f"{root}/archive", v, "data"))
 
 

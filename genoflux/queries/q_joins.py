@@ -22,6 +22,16 @@ def zip_outer_join(spark, sf):
     return zip_inputs([(o, "key", "o_orderkey"), (e, "key", "event_id")], "key", "rn", "all")
 
 
+def zip_three_inputs(spark, sf):
+    """J1 over three inputs with repeated keys: every position of each, in
+    one grouped shuffle."""
+    o = table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("key"), "o_orderkey")
+    e = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("key"), "event_id")
+    c = table(spark, sf, "customer").select(F.col("c_nationkey").cast("string").alias("key"), "c_custkey")
+    return zip_inputs([(o, "key", "o_orderkey"), (e, "key", "event_id"), (c, "key", "c_custkey")],
+                      "key", "rn", "all")
+
+
 def zip_multiway_join(spark, sf):
     """J1 + P20: one input per role, stacked as a long table and assembled
     with one grouped shuffle: one row per (conversation, position)."""
@@ -124,6 +134,7 @@ def geo_rule_fixpoint(spark, sf):
 QUERIES = {
     "zip_outer_join": zip_outer_join,
     "zip_multiway_join": zip_multiway_join,
+    "zip_three_inputs": zip_three_inputs,
     "fallback_key_join": fallback_key_join,
     "enrich_left_join": enrich_left_join,
     "overlay_by_presence": overlay_by_presence,
@@ -209,6 +220,15 @@ def _sql_lookup_distinct() -> str:
 
 
 ORACLE = {
+    "zip_three_inputs": """
+      WITH o AS (SELECT CAST(o_custkey AS VARCHAR) AS key, o_orderkey,
+                        row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders),
+      e AS (SELECT CAST(user_id AS VARCHAR) AS key, event_id,
+                   row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
+      c AS (SELECT CAST(c_nationkey AS VARCHAR) AS key, c_custkey,
+                   row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn FROM customer)
+      SELECT key, rn, o_orderkey, event_id, c_custkey
+      FROM o FULL JOIN e USING (key, rn) FULL JOIN c USING (key, rn)""",
     "zip_outer_join": """
       WITH a AS (SELECT CAST(o_custkey AS VARCHAR) AS key,
                         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn, o_orderkey

@@ -87,10 +87,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def publish_snapshot(spark: SparkSession, root: str, data: DataFrame,
                      lineages=None, hashes: DataFrame | None = None,
-                     version: str | None = None) -> str:
+                     version: str | None = None, fmt: str = "parquet",
+                     compression: str | None = None) -> str:
     """Write a versioned snapshot: ``<root>/<part>/data_version=<v>/`` for
-    data (Parquet), hashes (Parquet) and lineages (text), then the manifest
-    row last as the commit point.  An existing version fails the job.
+    data (Parquet, or NDJSON with ``fmt='json'`` and a text codec), hashes
+    (Parquet) and lineages (text), then the manifest row -- parts, format and
+    schema of the data -- last as the commit point.  An existing version fails the job.
     ``lineages`` is a DataFrame or a function of the *written* data (so a
     list derived from the published rows reads two columns of the written
     files instead of recomputing the plan that produced them).
@@ -99,18 +101,22 @@ def publish_snapshot(spark: SparkSession, root: str, data: DataFrame,
     root = root.rstrip("/")
     if _exists(spark, f"{root}/_manifest/data_version={v}"):
         raise FileExistsError(f"snapshot version {v} already published under {root}")
-    write_parquet(data, f"{root}/data/data_version={v}", "overwrite")
+    if fmt == "json":
+        write_ndjson(data, f"{root}/data/data_version={v}", compression, "overwrite")
+    else:
+        write_parquet(data, f"{root}/data/data_version={v}", "overwrite")
     parts = ["data"]
     if hashes is not None:
         write_parquet(hashes, f"{root}/hashes/data_version={v}", "overwrite")
         parts.append("hashes")
     if callable(lineages):
-        lineages = lineages(spark.read.parquet(f"{root}/data/data_version={v}"))
+        lineages = lineages(spark.read.schema(data.schema).format(fmt).load(f"{root}/data/data_version={v}"))
     if lineages is not None:
         write_line_list(lineages, f"{root}/lineages/data_version={v}", mode="overwrite")
         parts.append("lineages")
-    manifest = spark.createDataFrame([(v, ",".join(parts), int(time.time()))],
-                                     "version string, parts string, published_at long")
+    manifest = spark.createDataFrame(
+        [(v, ",".join(parts), int(time.time()), fmt, data.schema.json())],
+        "version string, parts string, published_at long, format string, schema string")
     manifest.coalesce(1).write.mode("errorifexists").parquet(f"{root}/_manifest/data_version={v}")
     return v
 

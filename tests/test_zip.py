@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from genoflux.operators.zipjoin import key_row_number, zip_inputs
+from genoflux.operators.zipjoin import key_row_number, zip_inputs, zip_join
 
 
 def python_zip(left, right, keep_all=True):
@@ -68,3 +68,20 @@ def test_hot_limit_from_session_conf(spark):
     finally:
         spark.conf.unset(HOT_ROWS_CONF)
     assert [got[("h", i)] for i in range(50)] == list(range(1, 51)) and got[("c", 0)] == 1
+
+
+def test_null_key_can_be_the_hot_one(spark):
+    rows = [(None, i) for i in range(40)] + [("a", i) for i in range(30)] + [("b", 1)]
+    df = spark.createDataFrame(rows, "key string, o long").repartition(5)
+    got = sorted((r.key or "", r.o, r.rn) for r in key_row_number(df, "key", "o", "rn", hot_rows=10).collect())
+    assert got == sorted([("", i, i + 1) for i in range(40)] + [("a", i, i + 1) for i in range(30)] + [("b", 1, 1)])
+
+
+def test_three_way_outer_zip_equals_chained_full_joins(spark):
+    a = spark.createDataFrame([("x", 1, 10), ("x", 2, 11), (None, 1, 12)], "key string, rn long, a int")
+    b = spark.createDataFrame([("x", 1, None), ("y", 1, 21), (None, 1, 22)], "key string, rn long, b int")
+    c = spark.createDataFrame([("y", 1, 31), ("x", 3, 32)], "key string, rn long, c int")
+    chained = a.join(b, ["key", "rn"], "full").join(c, ["key", "rn"], "full")
+    got = zip_join([a, b, c])
+    assert sorted(map(str, got.select("key", "rn", "a", "b", "c").collect())) == \
+        sorted(map(str, chained.select("key", "rn", "a", "b", "c").collect()))

@@ -15,8 +15,8 @@ on below it, so only exact children are looked up: at most two broadcast
 joins a level and one for the rule at the leaf.  A lookup adds columns to a
 row; nothing is expanded, aggregated or shuffled.
 
-Resolution loops over the tuples that still change (four applications per
-round in one plan, each round written as a stage table to the shared
+Resolution loops over the tuples that still change (up to four applications
+per round in one plan, each round written as a stage table to the shared
 folder, one small aggregate per round to decide whether to go on); more
 than 1000 applications on one tuple, or a tuple that provably cycles, is
 reported as a rule cycle.
@@ -172,8 +172,9 @@ def resolve_tuples(tuples: DataFrame, rules: DataFrame, per_round: int = 4) -> D
     after applying rules until the tuple no longer changes (case-sensitive)
     or no rule applies.
 
-    A round applies the rules ``per_round`` times in one plan and is written
-    as a stage table to the shared folder (one job); rows whose last
+    A round applies the rules once at first -- most tuples match no rule --
+    then twice as often as the round before, up to ``per_round`` times in one
+    plan, and is written as a stage table to the shared folder; rows whose last
     application changed nothing are final, the others go on to the next
     round.  A small aggregate over the written round decides whether to
     continue.  All loop state lives in those files, so a lost executor costs
@@ -184,11 +185,12 @@ def resolve_tuples(tuples: DataFrame, rules: DataFrame, per_round: int = 4) -> D
     active = tuples.select(*cols, *[F.col(c).alias(f"n{i}") for i, c in enumerate(cols)],
                            *[F.col(c).alias(f"s{i}") for i, c in enumerate(cols)],
                            F.lit(0).alias("steps"), F.lit(False).alias("_cycseen"))
-    finished_parts = []
+    finished_parts, times = [], 1
     while True:
         step = active
-        for _ in range(per_round):
+        for _ in range(times):
             step = _apply_once(step, prefixes)
+        times = min(2 * times, per_round)
         step = cut_lineage(step, "geo-round")
         stats = step.agg(F.count_if("_chg").alias("n"), F.max("steps").alias("m"),
                          F.count_if("_cycseen").alias("c")).first()

@@ -38,8 +38,9 @@ CAPACITY = 4096
 END_ID = 2
 GROUP_TOKENS = 1_000_000
 SLACK = 0.005
-#: Distinct words (and their characters) a task remembers before it starts anew.
-MEMO_WORDS, MEMO_CHARS = 1_000_000, 12_000_000
+#: Distinct words (and their characters) above which a task forgets rare ones,
+#: words that a worker keeps between tasks, and uses that make a word common.
+MEMO_WORDS, MEMO_CHARS, IDLE_WORDS, COMMON = 600_000, 8_000_000, 200_000, 3
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
@@ -54,9 +55,10 @@ TAIL = ".,;:!?"
 class _Codes(dict):
     """Word -> code; a word not met before gets the next code and is noted."""
 
-    def __init__(self):
+    def __init__(self, words=()):
         super().__init__({"": 0})
         self.new = []
+        self.update(zip(words, range(1, len(words) + 1)))
 
     def __missing__(self, word):
         self.new.append(word)
@@ -87,6 +89,27 @@ class WordEncoder:
         self.codes, self.chars = _Codes(), 0
         self.flat = np.empty(1 << 16, np.int32)
         self.ends = np.zeros(1, np.int64)
+        self.seen = np.zeros(1, np.int64)
+
+    def forget(self, words: int, chars: int = 0):
+        """Above ``words`` words or ``chars`` characters keep the common ones
+        only (none if those are too many)."""
+        if len(self.codes) <= words and (not chars or self.chars <= chars):
+            return
+        common = self.seen >= COMMON
+        common[0] = False
+        kept = [w for w, k in zip(self.codes, common.tolist()) if k]
+        if len(kept) > words // 2 or (chars and sum(map(len, kept)) > chars // 2):
+            return self.clear()
+        codes = np.flatnonzero(common)
+        ends = self.ends[codes]
+        sizes = ends - self.ends[codes - 1]
+        stop = np.cumsum(sizes)
+        total = int(stop[-1]) if len(stop) else 0
+        self.flat = self.flat[np.repeat(ends - stop, sizes) + np.arange(total)]
+        self.ends = np.concatenate([[0], stop]).astype(np.int64)
+        self.codes, self.chars = _Codes(kept), sum(map(len, kept))
+        self.seen = np.where(np.arange(len(kept) + 1) > 0, 1, 0)
 
     def _ids(self, words: list[str]) -> list[list[int]]:
         got = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -134,19 +157,21 @@ class WordEncoder:
                for w, c in zip(words, cores)]
         ends = self.ends[-1] + np.cumsum([len(x) for x in got])
         if ends[-1] > len(self.flat):
-            self.flat = np.resize(self.flat, max(int(ends[-1]), 2 * len(self.flat)))
+            self.flat = np.resize(self.flat, max(int(ends[-1]), len(self.flat) * 3 // 2, 1 << 16))
         self.flat[self.ends[-1]:ends[-1]] = [i for x in got for i in x]
         self.ends = np.concatenate([self.ends, ends])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Per text its ids; each array ends with room for one more id."""
-        if len(self.codes) > MEMO_WORDS or self.chars > MEMO_CHARS:
-            self.clear()
+        self.forget(MEMO_WORDS, MEMO_CHARS)
         get, coded = self.codes.__getitem__, []
         for t in texts:
             ws = _lower(t).replace("\n", " ").split(" ")
             coded.append(np.fromiter(map(get, ws), np.int64, len(ws)))
         self._learn()
+        seen = np.bincount(np.concatenate(coded), minlength=len(self.codes)) if coded else self.seen.copy()
+        seen[:len(self.seen)] += self.seen
+        self.seen = seen
         out = []
         for c in coded:
             c = c[c > 0]
@@ -278,7 +303,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
     and a running number, so a task that runs again gives the same ids."""
     def run(batches):
         from pyspark import TaskContext
-        encode = encoder(tokenizer_path).encode
+        words = encoder(tokenizer_path)
         sequence = TaskContext.get().partitionId() << 33
         group, held = [], 0
 
@@ -304,7 +329,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
 
         for b in slices(batches):
             rows = []
-            for doc_id, ids in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist())):
+            for doc_id, ids in zip(b.column(0).to_pylist(), words.encode(b.column(1).to_pylist())):
                 ids[-1] = end_id
                 full = len(ids) // capacity * capacity
                 doc = (doc_id, ids, len(ids), full)
@@ -318,6 +343,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
                     rows += close()
             if rows:
                 yield batch(rows)
+        words.forget(IDLE_WORDS)
         if group:
             yield batch(close())
 

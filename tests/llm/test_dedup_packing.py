@@ -129,3 +129,17 @@ def test_differencing_balances():
     sizes = np.random.default_rng(1).integers(1, 4096, 400)
     sums = [int(sizes[w].sum()) for w in P.difference(sizes, 60)]
     assert len(sums) == 60 and sum(sums) == sizes.sum() and max(sums) - min(sums) < 0.05 * sizes.sum() / 60
+
+
+def test_encoder_forgets_rare_words_only(monkeypatch):
+    words = P.WordEncoder(VOCABULARY)
+    plain = Tokenizer.from_file(VOCABULARY)
+    texts = [f"common Words, here rare{i}x unique{i}." for i in range(60)]
+    for t in texts:
+        got = words.encode([t, ""])
+        assert got[0][:-1].tolist() == plain.encode(t, add_special_tokens=False).ids and len(got[1]) == 1
+        words.forget(20)
+    assert len(words.codes) <= 24 and "common" in words.codes
+    words.forget(1)
+    assert list(words.codes) == [""]
+    assert words.encode(["common"])[0][:-1].tolist() == plain.encode("common", add_special_tokens=False).ids

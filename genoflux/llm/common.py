@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,9 +21,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _ship_package(spark: SparkSession) -> None:
+    """Give the executors this package (once per application), as
+    ``--py-files`` would: Python tasks import it by name, wherever the
+    driver found it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_genoflux_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="genoflux-"), "genoflux.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("genoflux", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._genoflux_shipped = True
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of a bounded size to and from Python tasks: a batch is
-    held several times over (JVM, Arrow, Python)."""
+    """What every operator with Python tasks needs: the package on the
+    executors, and Arrow batches of a bounded size (a batch is held several
+    times over: JVM, Arrow, Python)."""
+    _ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
@@ -28,7 +52,6 @@ def small_batches(spark: SparkSession) -> None:
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator reads, a null text as the empty one;
     whatever else the input carries cannot clash with derived names."""
-    small_batches(docs.sparkSession)
     return docs.select(docs[id_col].cast("long").alias("doc_id"),
                        F.coalesce(docs[text_col], F.lit("")).alias("text"))
 
@@ -54,6 +77,8 @@ def map_text(df: DataFrame, function: Callable[[list, list[str]], dict], schema:
              arrow_schema: pa.Schema) -> DataFrame:
     """``mapInArrow`` over (doc_id, text): ``function`` gets the ids and the
     texts of a bounded slice and returns the output columns."""
+    small_batches(df.sparkSession)
+
     def run(batches):
         for b in slices(batches):
             out = function(b.column(0).to_pylist(), b.column(1).to_pylist())

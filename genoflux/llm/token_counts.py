@@ -106,6 +106,8 @@ def count(text: str, spans: list[tuple[int, int]] | None, encode: ByteEncoder):
 
 
 def _run(rows: DataFrame, path: str, pattern: str, given: bool) -> DataFrame:
+    small_batches(rows.sparkSession)
+
     def run(batches):
         encode = encoder(path, pattern)
         for b in slices(batches, limit=1_000_000):
@@ -157,7 +159,6 @@ def count_fields(docs: DataFrame, fields: list[str], path: str, pattern: str,
             .otherwise(F.lit(0).cast("long")).alias("start"),
             (F.when(F.size(acc) > 1, F.element_at(acc, -1)["end"] + len(separator))
              .otherwise(F.lit(0).cast("long")) + F.length(t)).alias("end")))))
-    small_batches(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"),
                        F.array_join(texts, separator).alias("text"),
                        F.slice(span, 2, F.greatest(F.size(span) - 1, F.lit(1))).alias("spans"))

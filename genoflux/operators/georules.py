@@ -15,7 +15,7 @@ on below it, so only exact children are looked up: at most two broadcast
 joins a level and one for the rule at the leaf.  A lookup adds columns to a
 row; nothing is expanded, aggregated or shuffled.
 
-Resolution loops over the tuples that still change (up to four applications
+Resolution loops over the tuples that still change (up to two applications
 per round in one plan, each round written as a stage table to the shared
 folder, one small aggregate per round to decide whether to go on); more
 than 1000 applications on one tuple, or a tuple that provably cycles, is
@@ -167,13 +167,13 @@ def _apply_once(state: DataFrame, prefixes: DataFrame) -> DataFrame:
         (F.col("_cycseen") | (changed & back)).alias("_cycseen"))
 
 
-def resolve_tuples(tuples: DataFrame, rules: DataFrame, per_round: int = 4) -> DataFrame:
+def resolve_tuples(tuples: DataFrame, rules: DataFrame, per_round: int = 2) -> DataFrame:
     """Distinct normalised tuples ``(c0..c3)`` -> resolved ``(c0..c3, n0..n3)``
     after applying rules until the tuple no longer changes (case-sensitive)
     or no rule applies.
 
-    A round applies the rules once at first -- most tuples match no rule --
-    then twice as often as the round before, up to ``per_round`` times in one
+    A round applies the rules once at first (most tuples match no rule),
+    then up to ``per_round`` times in one
     plan, and is written as a stage table to the shared folder; rows whose last
     application changed nothing are final, the others go on to the next
     round.  A small aggregate over the written round decides whether to

@@ -131,7 +131,8 @@ def lookup(tuples: DataFrame, prefixes: DataFrame, cols=("c0", "c1", "c2", "c3")
            broadcast_rules: bool = True) -> DataFrame:
     """For distinct normalised tuples, the applicable rule's right side
     (struct r0..r3, null if none)."""
-    nodes = maybe_broadcast(prefixes) if broadcast_rules else prefixes
+    nodes = cut_lineage(prefixes, "geo-prefixes")  # read by every level's joins
+    nodes = maybe_broadcast(nodes) if broadcast_rules else nodes
     return _rule_for(tuples.select(*cols), nodes, list(cols))
 
 

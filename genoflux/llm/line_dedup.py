@@ -11,6 +11,12 @@ around the unit that stays.  Neighbouring repeats of a document form a run;
 a run of at least ``min_words`` words is cut from the text, and its offsets
 in the original text (code points, end exclusive) are returned with the rest.
 
+With ``whole_lines``, every line that is not blank is a unit too, whatever
+its length, under a digest of its own kind: each later occurrence of a line
+is cut, by itself or as part of a run.  So ``unit_words`` and ``min_words``
+bound only what is cut from inside a line, and passages laid out in short
+lines go line by line.
+
 1. A first pass sends 64-bit unit hashes alone, counted on the map side, to
    find those that occur twice or more.
 2. A second pass keeps the units of these hashes, now with 128-bit digests,
@@ -41,6 +47,9 @@ UNIT_WORDS, MIN_WORDS = 5, 8
 #: White space before a capital, or behind the end of a sentence.
 BOUNDARY = re.compile(r"\s(?=[A-ZÀ-ÖØ-Þ])|(?<=[.!?])\s")
 
+#: Seeds of the digests of sentences and of whole lines.
+SENTENCE, LINE = 0, 1
+
 
 class Unit(NamedTuple):
     """A unit's span and words, and the short sentences around it: where
@@ -81,19 +90,43 @@ def units(text: str, unit_words: int = UNIT_WORDS, min_words: int = MIN_WORDS) -
     return out
 
 
-def cut(text: str, repeats: list[tuple[int, int]], min_words: int = MIN_WORDS):
-    """The text without its runs of repeats, and the (start, end) cut out;
-    between the repeats of a run lies white space only."""
+def lines(text: str) -> list[Unit]:
+    """The lines that are not blank, each with nothing around it."""
+    out, offset = [], 0
+    for line in text.split("\n"):
+        end = offset + len(line)
+        words = " ".join(line.lower().split())
+        if words:
+            out.append(Unit(offset, end, words, offset, "", end, ""))
+        offset = end + 1
+    return out
+
+
+def _all_units(text: str, unit_words: int, min_words: int, whole_lines: bool):
+    """(seed, unit) of the sentences and, if asked for, the whole lines."""
+    out = [(SENTENCE, u) for u in units(text, unit_words, min_words)]
+    return out + [(LINE, u) for u in lines(text)] if whole_lines else out
+
+
+def _runs(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans joined where white space only lies between them."""
     runs = []
-    for start, end in sorted(repeats):
+    for start, end in sorted(spans):
         if runs and not text[runs[-1][1]:start].strip():
             runs[-1][1] = max(end, runs[-1][1])
         else:
             runs.append([start, end])
+    return [(a, b) for a, b in runs]
+
+
+def cut(text: str, repeats: list[tuple[int, int]], min_words: int = MIN_WORDS,
+        whole: list[tuple[int, int]] = ()):
+    """The text without its runs of repeats, and the (start, end) cut out;
+    between the repeats of a run lies white space only.  ``whole`` are
+    repeated lines, which go however short the run is."""
+    runs = [(a, b) for a, b in _runs(text, [*repeats, *whole]) if len(text[a:b].split()) >= min_words]
     out, kept, at = [], [], 0
-    for start, end in runs:
-        if len(text[start:end].split()) < min_words:
-            continue
+    for start, end in _runs(text, [*runs, *whole]):
         kept.append(text[at:start])
         out.append((start, end))
         at = end + (end < len(text))  # the break behind it goes with it
@@ -101,20 +134,20 @@ def cut(text: str, repeats: list[tuple[int, int]], min_words: int = MIN_WORDS):
     return "".join(kept), out
 
 
-def _unit_hashes(rows: DataFrame, unit_words: int, min_words: int) -> DataFrame:
+def _unit_hashes(rows: DataFrame, *sizes) -> DataFrame:
     schema = pa.schema([("hash", pa.int64())])
 
     def run(batches):
         import xxhash
         for b in slices(batches):
-            out = [xxhash.xxh3_64_intdigest(u.words) - (1 << 63)
-                   for t in b.column(0).to_pylist() for u in units(t, unit_words, min_words)]
+            out = [xxhash.xxh3_64_intdigest(u.words, seed) - (1 << 63)
+                   for t in b.column(0).to_pylist() for seed, u in _all_units(t, *sizes)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], schema=schema)
     return rows.select("text").mapInArrow(run, "hash long")
 
 
-def _units(rows: DataFrame, unit_words: int, min_words: int) -> DataFrame:
-    names = ("doc_id", "text_key", "start", "end", "lead_start", "tail_end", "lead", "tail", "hash")
+def _units(rows: DataFrame, *sizes) -> DataFrame:
+    names = ("doc_id", "text_key", "start", "end", "lead_start", "tail_end", "lead", "tail", "kind", "hash")
     schema = pa.schema([*((n, pa.int64()) for n in names), ("digest", pa.binary())])
 
     def run(batches):
@@ -122,10 +155,11 @@ def _units(rows: DataFrame, unit_words: int, min_words: int) -> DataFrame:
         for b in slices(batches):
             out = [[] for _ in schema]
             for i, t, k in zip(*(b.column(c).to_pylist() for c in range(3))):
-                for u in units(t, unit_words, min_words):
+                for seed, u in _all_units(t, *sizes):
                     for column, v in zip(out, (
                             i, k, u.start, u.end, u.lead_start, u.tail_end, short(u.lead) - (1 << 63),
-                            short(u.tail) - (1 << 63), short(u.words) - (1 << 63), full(u.words))):
+                            short(u.tail) - (1 << 63), seed, short(u.words, seed) - (1 << 63),
+                            full(u.words, seed))):
                         column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)],
                                              schema=schema)
@@ -134,16 +168,17 @@ def _units(rows: DataFrame, unit_words: int, min_words: int) -> DataFrame:
 
 
 def dedup_units(docs: DataFrame, unit_words: int = UNIT_WORDS, min_words: int = MIN_WORDS,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                id_col: str = "doc_id", text_col: str = "text", whole_lines: bool = False) -> DataFrame:
     """One row per document: ``doc_id``, ``text`` (without repeats),
     ``n_removed`` (runs cut), ``removed_chars`` and ``removed``, the cut
     spans ``start:end`` in the original text, comma-joined."""
     small_batches(docs.sparkSession)
     rows = id_and_text(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
-    hashes = _unit_hashes(rows, unit_words, min_words)
+    sizes = unit_words, min_words, whole_lines
+    hashes = _unit_hashes(rows, *sizes)
     twice = cut_lineage(hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
                         .select("hash"), "repeated-hashes")
-    found = cut_lineage(_units(rows, unit_words, min_words).join(maybe_broadcast(twice), "hash", "left_semi")
+    found = cut_lineage(_units(rows, *sizes).join(maybe_broadcast(twice), "hash", "left_semi")
                         .drop("hash"), "repeated-units")
     first = found.groupBy("digest").agg(
         F.min(F.struct("doc_id", "text_key", "start", "lead", "tail")).alias("first"),
@@ -156,7 +191,7 @@ def dedup_units(docs: DataFrame, unit_words: int = UNIT_WORDS, min_words: int =
         F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"),
         F.when(F.col("lead") == F.col("first.lead"), F.col("lead_start")).otherwise(F.col("start")).alias("start"),
         F.when(F.col("tail") == F.col("first.tail"), F.col("tail_end")).otherwise(F.col("end")).alias("end"),
-    ).distinct().groupBy("__id", "__key").agg(F.collect_list(F.struct("start", "end")).alias("cuts"))
+        "kind").distinct().groupBy("__id", "__key").agg(F.collect_list(F.struct("start", "end", "kind")).alias("cuts"))
     joined = rows.join(cuts, rows["doc_id"].eqNullSafe(cuts["__id"])
                        & (rows["text_key"] == cuts["__key"]), "left").select("doc_id", "text", "cuts")
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_removed", pa.int64()),
@@ -166,7 +201,8 @@ def dedup_units(docs: DataFrame, unit_words: int = UNIT_WORDS, min_words: int =
         for b in slices(batches):
             texts, spans = [], []
             for t, c in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                t, s = cut(t, [(x["start"], x["end"]) for x in c or ()], min_words)
+                spans_of = [[(x["start"], x["end"]) for x in c or () if x["kind"] == k] for k in (SENTENCE, LINE)]
+                t, s = cut(t, spans_of[0], min_words, spans_of[1])
                 texts.append(t)
                 spans.append(s)
             yield pa.RecordBatch.from_arrays(

@@ -172,7 +172,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_units(table(spark, sf_dir, "documents"))
+    return line_dedup.dedup_units(table(spark, sf_dir, "documents"), whole_lines=True)
 
 
 #: Tools of the derived calls: (tool, arg, type, required, least, most).

@@ -319,3 +319,51 @@ def test_short_sentences_go_with_an_equal_neighbourhood(spark):
     texts = [line, line, "Other. Inth onston of onti thor. Tionlyha by enth."]
     got = {r["doc_id"]: r["text"] for r in L.dedup_units(frame(spark, texts)).collect()}
     assert got == {0: line, 1: "", 2: "Other. "}
+
+
+def later_lines(rows):
+    """Spans of every later occurrence of a line, by plain comparison."""
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        at, out[i] = 0, []
+        for line in t.split("\n"):
+            key = " ".join(line.lower().split())
+            if key in seen:
+                out[i].append((at, at + len(line)))
+            if key:
+                seen.add(key)
+            at += len(line) + 1
+    return out
+
+
+def test_no_repeated_line_stays_in_the_sample_table(spark, docs):
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.dropDuplicates(["doc_id"]).collect()]
+    got = {r["doc_id"]: r for r in L.dedup_units(spark.createDataFrame(rows, "doc_id long, text string"),
+                                                 whole_lines=True).collect()}
+    later = later_lines(rows)
+    assert sum(len(t[a:b].split()) < L.MIN_WORDS for i, t in rows for a, b in later[i]) > 10
+    for i, t in rows:
+        cuts = [tuple(map(int, s.split(":"))) for s in got[i]["removed"].split(",") if s]
+        assert all(any(a <= x and y <= b for a, b in cuts) for x, y in later[i])
+        left = set(range(len(t))) - {p for a, b in cuts for p in range(a, b)}
+        assert collections.Counter(got[i]["text"].replace("\n", "").replace(" ", "")) == collections.Counter(
+            "".join(t[p] for p in left).replace("\n", "").replace(" ", ""))
+
+
+def test_short_lines_verse_and_unspaced_scripts_are_cut_line_by_line(spark):
+    rng = np.random.default_rng(9)
+    pool = [" ".join(rng.choice(list("abcdefgh"), n)) for n in (1, 2, 3, 4, 4, 6, 7, 8, 12)]
+    pool += ["return x;", "静かな夜に雪が降り積もって町は眠る", "天地玄黄", "ภาษาไทยไม่มีช่องว่าง"]
+    rows = [(i, "\n".join(rng.choice(pool, 6))) for i in range(20)]
+    rows += [(20, "fresh start\n" + "\n".join(pool) + "\nfresh end"), (21, "so\n" + "\n".join(pool[:5]) + "\nit goes")]
+    later = later_lines(rows)
+    got = {r["doc_id"]: r["text"] for r in L.dedup_units(
+        spark.createDataFrame(rows, "doc_id long, text string"), whole_lines=True).collect()}
+    for i, t in rows:
+        starts = {a for a, _ in later[i]}
+        at, want = 0, []
+        for line in t.split("\n"):
+            want += [] if at in starts else [line]
+            at += len(line) + 1
+        assert [x for x in got[i].split("\n") if x] == want
+    assert got[21] == "so\nit goes"

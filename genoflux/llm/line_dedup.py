@@ -17,6 +17,10 @@ is cut, by itself or as part of a run.  So ``unit_words`` and ``min_words``
 bound only what is cut from inside a line, and passages laid out in short
 lines go line by line.
 
+Words are counted at white space; in scripts without spaces two Chinese or
+Japanese characters, or four Thai, Lao, Burmese or Khmer ones, count as one
+more word, and sentences also end behind the full stops of these scripts.
+
 1. A first pass sends 64-bit unit hashes alone, counted on the map side, to
    find those that occur twice or more.
 2. A second pass keeps the units of these hashes, now with 128-bit digests,
@@ -47,6 +51,16 @@ UNIT_WORDS, MIN_WORDS = 5, 8
 #: White space before a capital, or behind the end of a sentence.
 BOUNDARY = re.compile(r"\s(?=[A-ZÀ-ÖØ-Þ])|(?<=[.!?])\s")
 
+#: Scripts without spaces: characters that make half a word, a quarter of one.
+HALVES = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+QUARTERS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
+HALF, QUARTER, UNSPACED = (re.compile(f"[{c}]") for c in (HALVES, QUARTERS, HALVES + QUARTERS))
+#: Also behind a full stop without a space (and its closing mark), and at
+#: the spaces between the phrases of Thai and its like.
+UNSPACED_BOUNDARY = re.compile(
+    BOUNDARY.pattern + "|(?<=[。｡！？])(?![。｡！？」』”’）])\\s?|(?<=[。｡！？][」』”’）])\\s?"
+    + f"|\\s(?=[{QUARTERS}])|(?<=[{QUARTERS}])\\s")
+
 #: Seeds of the digests of sentences and of whole lines.
 SENTENCE, LINE = 0, 1
 
@@ -63,9 +77,23 @@ class Unit(NamedTuple):
     tail: str
 
 
-def _sentences(line: str, offset: int):
+def _spaced(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+        return True
+    except UnicodeEncodeError:
+        return not UNSPACED.search(text)
+
+
+def _length(text: str) -> int:
+    """Words of a text, in scripts without spaces by its characters."""
+    n = len(text.split())
+    return n if _spaced(text) else n + len(HALF.findall(text)) // 2 + len(QUARTER.findall(text)) // 4
+
+
+def _sentences(line: str, offset: int, boundary: re.Pattern = BOUNDARY):
     at = 0
-    for m in BOUNDARY.finditer(line):
+    for m in boundary.finditer(line):
         if m.start() > at:
             yield offset + at, offset + m.start(), line[at:m.start()].lower().split()
         at = m.end()
@@ -74,11 +102,14 @@ def _sentences(line: str, offset: int):
 
 def units(text: str, unit_words: int = UNIT_WORDS, min_words: int = MIN_WORDS) -> list[Unit]:
     out, offset = [], 0
+    spaced = _spaced(text)
+    boundary = BOUNDARY if spaced else UNSPACED_BOUNDARY
     for line in text.split("\n"):
-        parts = [p for p in _sentences(line, offset) if p[2]] if line else []
+        parts = [p for p in _sentences(line, offset, boundary) if p[2]] if line else []
         offset += len(line) + 1
-        long = [i for i, p in enumerate(parts) if len(p[2]) >= unit_words]
-        if not long and sum(len(p[2]) for p in parts) >= min_words:
+        size = [len(p[2]) if spaced else _length(" ".join(p[2])) for p in parts]
+        long = [i for i, n in enumerate(size) if n >= unit_words]
+        if not long and sum(size) >= min_words:
             parts, long = [(parts[0][0], parts[-1][1], [w for p in parts for w in p[2]])], [0]
         for k, i in enumerate(long):
             before = parts[long[k - 1] + 1 if k else 0:i]
@@ -124,7 +155,7 @@ def cut(text: str, repeats: list[tuple[int, int]], min_words: int = MIN_WORDS,
     """The text without its runs of repeats, and the (start, end) cut out;
     between the repeats of a run lies white space only.  ``whole`` are
     repeated lines, which go however short the run is."""
-    runs = [(a, b) for a, b in _runs(text, [*repeats, *whole]) if len(text[a:b].split()) >= min_words]
+    runs = [(a, b) for a, b in _runs(text, [*repeats, *whole]) if _length(text[a:b]) >= min_words]
     out, kept, at = [], [], 0
     for start, end in _runs(text, [*runs, *whole]):
         kept.append(text[at:start])

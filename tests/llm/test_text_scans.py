@@ -367,3 +367,12 @@ def test_short_lines_verse_and_unspaced_scripts_are_cut_line_by_line(spark):
             at += len(line) + 1
         assert [x for x in got[i].split("\n") if x] == want
     assert got[21] == "so\nit goes"
+
+
+def test_unspaced_passage_in_the_middle_of_a_line_is_cut(spark):
+    passage = "春天的早晨下了一场小雨。街道上的行人都撑着伞慢慢走。"
+    texts = [f"开头的话在这里。{passage}然后结束了吧。", f"另一篇文章。{passage}它的结尾不同。"]
+    got = {r["doc_id"]: r for r in L.dedup_units(frame(spark, texts)).collect()}
+    assert got[0]["text"] == texts[0] and passage not in got[1]["text"]
+    a, b = map(int, got[1]["removed"].split(":"))
+    assert texts[1][a:b] == passage

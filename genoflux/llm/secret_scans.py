@@ -50,6 +50,9 @@ class CharacterClass(NamedTuple):
 CLASSES = (
     CharacterClass("entropy_hex", "0-9A-Fa-f", 3.0, ("[0-9]", "[A-Fa-f]")),
     CharacterClass("entropy_base64", "A-Za-z0-9+/_=-", 3.9, ("[0-9]", "[a-z]", "[A-Z]")),
+    # letters of one case with digits; a letter beyond hex tells them from that class
+    CharacterClass("entropy_base36", "0-9a-z", 3.5, ("[0-9]", "[g-z]")),
+    CharacterClass("entropy_base32", "0-9A-Z", 3.4, ("[0-9]", "[G-Z]")),
 )
 
 ALLOW = (
@@ -87,7 +90,7 @@ def hot_windows(candidate: str, window: int, bits: float, needs: list[re.Pattern
 
     With counts c of the window's characters, entropy is
     ``log2(w) - sum(c * log2 c) / w``."""
-    term = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
+    term = [0.0] + [c * math.log2(c) for c in range(1, window + 2)]  # one enters before one leaves
     counts: dict[str, int] = {}
     total, spans = 0.0, []
     most = window * (math.log2(window) - bits) + 1e-9

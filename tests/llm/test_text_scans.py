@@ -105,6 +105,18 @@ def test_scan_of_odd_texts(spark):
     assert by[16]["n_entropy"] == 0     # a UUID is on the allow list
 
 
+def test_keys_of_one_case_with_digits_are_reported():
+    scanner, rng = S.Scanner(), np.random.default_rng(3)
+    for kind, chars in (("entropy_base36", "abcdefghijklmnopqrstuvwxyz0123456789"),
+                        ("entropy_base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")):
+        for n, share in ((20, 0.85), (24, 0.95), (32, 0.98), (64, 0.99)):
+            keys = ["".join(rng.choice(list(chars), n)) for _ in range(400)]
+            hit = sum(any(k == kind for _, _, k in scanner.entropy_findings(f"the key {x} here")) for x in keys)
+            assert hit >= share * len(keys), (kind, n, hit)
+        assert not scanner.entropy_findings(chars[:6] * 5 + " internationalization " + "x1" * 20 + "X1" * 20)
+    assert scanner.entropy_findings("aB3g1" + "x" * 60) == []  # a character that fills more than a window
+
+
 def test_incremental_entropy_equals_the_definition():
     text = "".join(np.random.default_rng(2).choice(list("abcdef0123"), 300))
     got = S.hot_windows(text, 20, 2.9, [])

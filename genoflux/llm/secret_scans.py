@@ -8,8 +8,9 @@ slides over the candidate one character at a time; its entropy is kept by
 incremental counts (one character enters, one leaves, and only their two
 terms of the sum change).  Windows at or above the class's threshold that
 also hold the kinds of characters the class demands are merged into spans.
-A span whose candidate matches the allow list (placeholders, alphabets,
-UUIDs) is suppressed; base findings never are.
+The allow list (placeholders, alphabets, UUIDs) is searched in the candidate;
+a window that overlaps a match does not count, all others do.  Base findings
+are never suppressed.
 
 Every text is scanned whole.  Defined cases: a null text is empty and has no
 findings (the digest is that of the empty string); null and repeated ids are
@@ -85,8 +86,24 @@ def base_findings(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
-def hot_windows(candidate: str, window: int, bits: float, needs: list[re.Pattern]):
-    """Merged (start, end) of the windows with at least ``bits`` of entropy.
+def allowed_windows(candidate: str, window: int, allow: list[re.Pattern]) -> bytearray | None:
+    """Marks the starts of the windows that overlap a match of the allow
+    list, overlapping matches included; None without a match."""
+    marks = None
+    for a in allow:
+        m = a.search(candidate)
+        while m:
+            marks = marks or bytearray(len(candidate))
+            first = max(m.start() - window + 1, 0)
+            marks[first:m.end()] = b"\1" * (m.end() - first)
+            m = a.search(candidate, m.start() + 1)
+    return marks
+
+
+def hot_windows(candidate: str, window: int, bits: float, needs: list[re.Pattern],
+                allowed: bytearray | None = None):
+    """Merged (start, end) of the windows with at least ``bits`` of entropy
+    whose start is not marked in ``allowed``.
 
     With counts c of the window's characters, entropy is
     ``log2(w) - sum(c * log2 c) / w``."""
@@ -104,7 +121,8 @@ def hot_windows(candidate: str, window: int, bits: float, needs: list[re.Pattern
             counts[gone] = n - 1
             total += term[n - 1] - term[n]
         start = i - window + 1
-        if start >= 0 and total <= most and all(p.search(candidate, start, i + 1) for p in needs):
+        if start >= 0 and total <= most and not (allowed and allowed[start]) and all(
+                p.search(candidate, start, i + 1) for p in needs):
             if spans and start <= spans[-1][1]:
                 spans[-1][1] = i + 1
             else:
@@ -127,7 +145,10 @@ class Scanner:
                 if not all(p.search(candidate) for p in needs):
                     continue
                 spans = hot_windows(candidate, self.window, c.bits, needs)
-                if spans and not any(a.search(candidate) for a in self.allow):
+                allowed = allowed_windows(candidate, self.window, self.allow) if spans else None
+                if allowed:
+                    spans = hot_windows(candidate, self.window, c.bits, needs, allowed)
+                if spans:
                     found += [(m.start() + a, m.start() + b, c.kind) for a, b in spans]
         return found
 

@@ -117,6 +117,17 @@ def test_keys_of_one_case_with_digits_are_reported():
     assert scanner.entropy_findings("aB3g1" + "x" * 60) == []  # a character that fills more than a window
 
 
+def test_allow_list_suppresses_what_it_overlaps_only():
+    scanner, key = S.Scanner(), "Zq9xK2mV7pL4sT8wB3nR6yH1cF5dG0jQ"
+    for text in (f"https://host/samples/{key}", f"{key}/example", f"/dummy/{key}/placeholder/x",
+                 f"{key}{'A' * 15}{key}"):
+        covered = {p for a, b, _ in scanner.entropy_findings(text) for p in range(a, b)}
+        assert all(covered >= set(range(*m.span())) for m in re.finditer(key, text))
+        hits = {p for a in scanner.allow for m in a.finditer(text) for p in range(*m.span())}
+        assert not covered & hits
+    assert not scanner.entropy_findings("your_key_" + key[:12]) and not scanner.entropy_findings("aB3" + "x" * 60)
+
+
 def test_incremental_entropy_equals_the_definition():
     text = "".join(np.random.default_rng(2).choice(list("abcdef0123"), 300))
     got = S.hot_windows(text, 20, 2.9, [])

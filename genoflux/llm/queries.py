@@ -222,7 +222,7 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = tool_turns(table(spark, sf_dir, "conversations"))
     schemas = spark.createDataFrame(
         TOOLS, "tool string, arg string, type string, required boolean, least double, most double")
-    return tool_calls.link(calls, results, schemas)
+    return tool_calls.link(calls, results, schemas, later_rows=True)
 
 
 def _sql_ident(turn: str) -> str:

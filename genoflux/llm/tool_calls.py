@@ -3,7 +3,9 @@
 1. Calls and results are reduced to one row per (conversation, identifier)
    -- the earliest turn counts, ``repeats`` tells how many more there were
    -- and hash-joined on that key.  Keys are unique then, so no conversation,
-   however long, meets in one task.
+   however long, meets in one task.  With ``later_rows``, what a later call
+   or result of the identifier says otherwise comes back as a row of status
+   ``repeated``, and ``repeats`` counts equal rows only.
 2. A call may need the result of one other call of its conversation
    (``after``).  Levels of that forest come from pointer doubling: in each
    round every call adds the distance of the ancestor it points at and takes
@@ -52,6 +54,27 @@ def _one(rows: DataFrame, columns: list[str]) -> DataFrame:
             .select("conv_id", "call_id", "first.*", "repeats"))
 
 
+def _later(rows: DataFrame, first: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """``first`` with the equal rows alone as ``repeats``, and the other
+    values of its identifiers, each at its earliest turn with its own
+    ``repeats`` (None if there are none)."""
+    many = first.where("repeats > 0").select(
+        F.col("conv_id").alias("__c"), F.col("call_id").alias("__i"), F.struct(*columns).alias("__first"))
+    if many.isEmpty():
+        return first, None
+    values = rows.groupBy("conv_id", "call_id", *columns).agg(
+        F.min(F.struct("turn")).alias("at"), (F.count(F.lit(1)) - 1).alias("repeats"))
+    values = cut_lineage(values.join(
+        maybe_broadcast(many), values["conv_id"].eqNullSafe(many["__c"]) & (values["call_id"] == many["__i"])).select(
+        "conv_id", "call_id", F.col("at.turn").alias("turn"), *columns, "repeats",
+        F.struct(*columns).eqNullSafe(F.col("__first")).alias("equal")), "repeated-calls")
+    equal = values.where("equal").select(F.col("conv_id").alias("__c"), F.col("call_id").alias("__i"),
+                                         F.col("repeats").alias("__equal"))
+    first = first.join(equal, first["conv_id"].eqNullSafe(equal["__c"]) & (first["call_id"] == equal["__i"]), "left")
+    return (first.withColumn("repeats", F.coalesce("__equal", F.lit(0))).drop("__c", "__i", "__equal"),
+            values.where("not equal").drop("equal"))
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, level, dangling) of calls with unique keys."""
     after = calls.select(F.col("conv_id").alias("__c"), F.col("call_id").alias("__i"),
@@ -97,18 +120,31 @@ def _errors(schema: Column, args: Column) -> Column:
     return F.concat(F.filter(F.transform(schema, fault), lambda e: e.isNotNull()), unknown)
 
 
-def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
+def link(calls: DataFrame, results: DataFrame, schemas: DataFrame,
+         later_rows: bool = False) -> DataFrame:
     """``calls``: conv_id, turn, call_id, tool, arguments, after; ``results``:
     conv_id, turn, call_id, content; ``schemas``: tool, arg, type, required,
     least, most (a row per argument).
 
-    One row per call, orphan result or unidentified row: ``conv_id, turn,
+    One row per call, orphan result, unidentified row or (``later_rows``)
+    other value of a repeated identifier: ``conv_id, turn,
     call_id, tool, status, level, errors`` (joined by ``;``), ``repeats`` and
     ``record``, the canonical JSON."""
     calls = calls.select("conv_id", "turn", "call_id", "tool", "arguments", "after")
     results = results.select("conv_id", "turn", "call_id", "content")
     one = cut_lineage(_one(calls.where("call_id is not null"), ["tool", "arguments", "after"]), "calls")
-    answer = _one(results.where("call_id is not null"), ["content"]).select(
+    answer = _one(results.where("call_id is not null"), ["content"])
+    later = []
+    if later_rows:
+        answer = cut_lineage(answer, "results")
+        one, other = _later(calls.where("call_id is not null"), one, ["tool", "arguments", "after"])
+        answer, otherwise = _later(results.where("call_id is not null"), answer, ["content"])
+        # a later call is in no level, but its arguments are checked
+        if other is not None:
+            later.append(other.drop("after").withColumn("dangling", F.lit(False)))
+        if otherwise is not None:
+            later.append(otherwise)
+    answer = answer.select(
         F.col("conv_id").alias("__conv"), F.col("call_id").alias("__id"), F.col("turn").alias("__turn"),
         "content", F.col("repeats").alias("__repeats"), F.lit(True).alias("answered"))
     level = levels(one).select(F.col("conv_id").alias("__c"), F.col("call_id").alias("__i"), "level",
@@ -131,6 +167,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
         results.where("call_id is null").select("conv_id", "turn", *nothing, "content"))
     linked = linked.unionByName(lost.withColumn("status", F.lit("unidentified"))
                                 .withColumn("repeats", F.lit(0).cast("long")), allowMissingColumns=True)
+    for rows in later:
+        linked = linked.unionByName(rows.withColumn("status", F.lit("repeated")), allowMissingColumns=True)
 
     tools = schemas.where("tool is not null and arg is not null").groupBy(F.col("tool").alias("__tool")).agg(
         F.sort_array(F.collect_list(F.struct("arg", "type", "required", "least", "most"))).alias("schema"))
@@ -139,7 +177,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     is_object = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
     checked = checked.withColumn("__ok", is_object)
     args = F.when(F.col("__ok"), parsed.cast("map<string,variant>"))
-    is_call = F.col("status").isin("linked", "unanswered")
+    is_call = F.col("status").isin("linked", "unanswered") | (
+        (F.col("status") == "repeated") & F.col("dangling").isNotNull())
     errors = F.concat(
         F.when(is_call & F.coalesce("dangling", F.lit(False)), F.array(F.lit("after unknown")))
         .otherwise(F.array().cast("array<string>")),

@@ -184,6 +184,25 @@ def test_linking_and_order(spark):
     assert got[3, None]["status"] == got[4, None]["status"] == "unidentified"
 
 
+def test_later_rows_that_differ_are_returned(spark):
+    calls = [(1, 1, "a", "s", '{"q": "x"}', None), (1, 3, "a", "s", '{"q": "x"}', None),
+             (1, 5, "a", "s", '{"q": 1}', None), (1, 7, "a", "s", '{"q": 1}', None), (1, 8, "b", "s", '{"q": "y"}', "a"),
+             (None, 1, "n", "s", None, None), (None, 2, "n", "s", '{"q": "z"}', None), (2, 1, None, "s", "{}", None)]
+    results = [(1, 2, "a", "part 1"), (1, 4, "a", "part 2"), (1, 6, "a", "part 1"), (3, 1, "o", None), (3, 2, "o", "late")]
+    frames = [spark.createDataFrame(*x) for x in ((calls, CALLS), (results, RESULTS), (SEARCH, SCHEMAS))]
+    rows = tool_calls.link(*frames, later_rows=True).collect()
+    got = sorted(((r["conv_id"] or 0, r["call_id"] or "", r["turn"], r["status"], r["repeats"], r["level"], r["errors"])
+                  for r in rows), key=lambda r: r[:3])
+    assert got == [
+        (0, "n", 1, "unanswered", 0, 0, "bad arguments"), (0, "n", 2, "repeated", 0, None, ""),
+        (1, "a", 1, "linked", 2, 0, ""), (1, "a", 4, "repeated", 0, None, ""), (1, "a", 5, "repeated", 1, None, "type q"),
+        (1, "b", 8, "unanswered", 0, 1, ""), (2, "", 1, "unidentified", 0, None, ""),
+        (3, "o", 1, "orphan", 0, None, ""), (3, "o", 2, "repeated", 0, None, "")]
+    records = {(r["conv_id"], r["turn"]): json.loads(r["record"]) for r in rows}
+    assert records[1, 4]["result"] == "part 2" and records[1, 5]["arguments"] == {"q": 1}
+    assert records[3, 2]["result"] == "late" and records[1, 1]["result"] == "part 1"
+
+
 def test_long_chain_takes_few_rounds(spark):
     n = 700
     calls = [(1, i, f"c{i}", "s", "{}", f"c{i - 1}" if i else None) for i in range(n)]

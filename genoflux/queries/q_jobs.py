@@ -236,15 +236,49 @@ def sorted_changed(spark, sf):
     return sorted_positions(by_id, "strain", name="by_strain").select("gisaidEpiIsl", "by_id", "by_strain")
 
 
+def _write_rules(spark, path):
+    spark.createDataFrame([("\n".join("\t".join(pair) for pair in GEO_RULES),)], "value string") \
+        .coalesce(1).write.text(path)
+
+
+def _write_template(spark, path, nuc, aa):
+    template = spark.createDataFrame([("t", {k: "A" * n for k, n in nuc.items()}, {k: "A" * n for k, n in aa.items()})],
+                                     R.TEMPLATE_SCHEMA)
+    template.coalesce(1).write.json(path)
+
+
 def aligner_input(spark, sf):
-    """W2 first half from files (W2a, W2c, S1): feed NDJSON -> fingerprints,
-    diff, and the aligner's FASTA, read back."""
+    """W2 first half from files (W2a, W2c, S1): feed NDJSON and rules file ->
+    fingerprints, diff, and the aligner's FASTA, read back."""
     root = shared_path(spark, "prepare")
     W.write_ndjson(_feed(spark, sf, 2), f"{root}/feed")
-    runs.run_prepare(spark, f"{root}/feed", None, f"{root}/archive", f"{root}/stage")
+    _write_rules(spark, f"{root}/rules")
+    runs.run_prepare(spark, f"{root}/feed", f"{root}/rules", f"{root}/archive", f"{root}/stage")
     return R.read_fasta(spark, f"{root}/stage/aligner_input")
 
 
+def refresh_from_files(spark, sf):
+    """W2 from files, both halves and both feeds: NDJSON and rules file ->
+    prepare -> the aligner's TSV and FASTA files -> finish, published, and
+    the second version read back.  Same rows as ``incremental_refresh``."""
+    root = shared_path(spark, "refresh")
+    _write_rules(spark, f"{root}/rules")
+    _write_template(spark, f"{root}/template", {"main": 6}, {"S": 3})
+    for n in (1, 2):
+        feed, stage, out = f"{root}/feed{n}", f"{root}/stage{n}", f"{root}/aligner{n}"
+        W.write_ndjson(_feed(spark, sf, n), feed)
+        runs.run_prepare(spark, feed, f"{root}/rules", f"{root}/archive", stage)
+        changed = spark.read.parquet(f"{stage}/changed").withColumn("id", F.col("gisaidEpiIsl"))
+        qc, aligned, genes = _aligner_output(spark, sf, changed)
+        _write_tsv(qc, f"{out}/qc")
+        W.write_fasta(aligned, f"{out}/aligned", "sample_name", "sequence")
+        W.write_fasta(genes, f"{out}/S", "sample_name", "sequence")
+        v = runs.run_finish(spark, stage, f"{out}/qc", f"{out}/aligned", {"S": f"{out}/S"}, f"{root}/archive",
+                            f"v{n}", version=str(n), template_json=f"{root}/template")
+    published = R.read_snapshot(spark, f"{root}/archive", v, "data")
+    return published.select(*W2_OUT, F.col("main.sequence").alias("main_seq"))
+
+
 def _write_tsv(df, path):
     (df.write.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"')
      .option("emptyValue", "").csv(path))
@@ -278,6 +312,7 @@ QUERIES = {
     "paired_refresh": paired_refresh,
     "sorted_changed": sorted_changed,
     "aligner_input": aligner_input,
+    "refresh_from_files": refresh_from_files,
     "rebuild_from_files": rebuild_from_files,
     "sorted_output": sorted_output,
     "full_rebuild": full_rebuild,
@@ -442,4 +477,5 @@ ORACLE = {
         FROM ({_SQL_REBUILD_JOINED}) WHERE strain_raw <> '?')
       WHERE value IS NOT NULL""",
     "incremental_refresh": _sql_refresh(),
+    "refresh_from_files": _sql_refresh(),
 }

@@ -2,8 +2,11 @@
 
 Each round joins edges with each node's smallest neighbour; every round's
 edges are a written table in the shared folder, so lineage stays short and a
-lost executor re-reads files.  Nothing but two numbers a round (edge count
-and a sum of edge hashes) reaches the driver.
+lost executor re-reads files.  The smallest neighbours are a written table
+too: the join then has an exchange of its own on both sides, and Spark splits
+the partition of a node with very many neighbours (it cannot where the join
+shares the aggregate's partitioning).  Nothing but two numbers a round (edge
+count and a sum of edge hashes) reaches the driver.
 """
 
 from __future__ import annotations
@@ -22,13 +25,13 @@ def _print(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.select("u", F.least("u", "m").alias("m"))
+    least = cut_lineage(least.select("u", F.least("u", "m").alias("m")), "least")
     return both.where("v > u").join(least, "u").select(
         F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = cut_lineage(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = edges.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -42,7 +45,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     e = cut_lineage(e.where("u > v and not x and not y").select("u", "v").distinct(), "edges")
     seen = _print(e)
     while seen[0]:
-        e = cut_lineage(_small_star(_large_star(e)), "edges")
+        e = cut_lineage(_small_star(cut_lineage(_large_star(e), "edges")), "edges")
         now = _print(e)
         if now == seen:
             break

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (exact_dedup, jaccard_join, line_dedup, mixing, packing, quality_rules, secret_scans,
-               token_counts, tool_calls, url_filters)
+from . import (exact_dedup, hard_negatives, jaccard_join, line_dedup, mixing, packing, quality_rules,
+               ranked_search, secret_scans, simhash, token_counts, tool_calls, url_filters)
 from .common import table
 
 ORACLE: dict[str, str] = {}
@@ -270,6 +270,67 @@ ORACLE["op10_tool_calls"] = f"""
            || ',"tool":' || coalesce('"' || tool || '"', 'null') || '}}' AS record
   FROM f"""
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_SQL_TERMS = r"""unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"""
+
+ORACLE["op11_ranked_search"] = f"""
+  WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+  t AS (SELECT r, {_SQL_TERMS} FROM d),
+  tf AS (SELECT r, term, count(*) AS tf FROM t GROUP BY ALL),
+  df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+  n AS (SELECT r, count(*) AS n FROM t GROUP BY r),
+  total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+  m AS (SELECT r, 25 + (75 * n * docs) // terms AS m FROM n, total),
+  items AS (SELECT row_number() OVER () AS i, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+  q AS (SELECT i, item_id, term, count(*) AS times FROM (SELECT i, item_id, {_SQL_TERMS} FROM items) GROUP BY ALL),
+  s AS (SELECT i, item_id, r, CAST(sum(times * CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT)
+                 * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+        FROM q JOIN df USING (term) JOIN tf USING (term) JOIN m USING (r), total GROUP BY ALL),
+  k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank
+        FROM s JOIN d USING (r) WHERE score > 0)
+  SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM k WHERE rank <= 10"""
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; where the id is divisible by
+    7, the label is the next one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label))
+
+
+ORACLE["op12_hard_negatives"] = """
+  WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  s AS (
+    SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label,
+           CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+    FROM (SELECT DISTINCT * FROM v WHERE vec_id % 100 = 0) a JOIN v b ON a.vec_id <> b.vec_id),
+  p AS (SELECT * FROM s WHERE own = label
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+  SELECT p.anchor_id, p.vec_id AS positive_id,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INT) AS rank,
+         n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+  FROM p JOIN s n ON p.anchor_id = n.anchor_id AND n.own <> n.label
+   AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+  QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) <= 5"""
+
+
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_url_filters, op3_secret_scans, op4_ngram_jaccard_join, op5_mixing, op6_packing,
-    op7_exact_dedup, op8_quality_rules, op9_line_dedup, op10_tool_calls)}
+    op7_exact_dedup, op8_quality_rules, op9_line_dedup, op10_tool_calls, op11_ranked_search,
+    op12_hard_negatives, op13_simhash_near_dedup)}

@@ -109,6 +109,15 @@ def _diff(previous: DataFrame, hashes: DataFrame, id_col: str, old_ordinal: str
     return snapshot_diff(old, new, "id", "md5", old_ordinal=old_ordinal)
 
 
+def enriched_rows(changed: DataFrame, qc: DataFrame, aligned: DataFrame, translations: DataFrame,
+                  genes: Sequence[str], dataset_version: str, spec: CleanSpec = FEED,
+                  aligned_aa: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The re-processed entries enriched by the aligner's output, and as
+    published rows."""
+    enriched = enrich_entries(changed, qc, aligned, translations, genes, dataset_version, spec)
+    return enriched, flatten_publish(enriched, aligned_aa=list(aligned_aa if aligned_aa is not None else genes))
+
+
 def finish(changed: DataFrame, qc: DataFrame, aligned: DataFrame, translations: DataFrame,
            genes: Sequence[str], previous_published: DataFrame, diff: DataFrame,
            previous_lineages: DataFrame | None, dataset_version: str,
@@ -116,9 +125,9 @@ def finish(changed: DataFrame, qc: DataFrame, aligned: DataFrame, translations:
            aligned_aa: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Enrich the re-processed entries, publish-flatten them, and merge with
     the unchanged rows of the previous published snapshot.  Returns
-    ``(published, lineages)``."""
-    enriched = enrich_entries(changed, qc, aligned, translations, genes, dataset_version, spec)
-    new_rows = flatten_publish(enriched, aligned_aa=list(aligned_aa if aligned_aa is not None else genes))
+    ``(published, lineages)``.  (An archive is refreshed by
+    ``archive.publish_refresh``, which does not move the unchanged rows.)"""
+    enriched, new_rows = enriched_rows(changed, qc, aligned, translations, genes, dataset_version, spec, aligned_aa)
     # The previous published snapshot and the previous fingerprints were
     # written together, so the moved-id anti-join applies.
     unchanged = extract_unchanged(previous_published, diff, id_col, previous_matches_diff=True)

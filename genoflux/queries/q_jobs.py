@@ -274,7 +274,7 @@ def refresh_from_files(spark, sf):
         W.write_fasta(aligned, f"{out}/aligned", "sample_name", "sequence")
         W.write_fasta(genes, f"{out}/S", "sample_name", "sequence")
         v = runs.run_finish(spark, stage, f"{out}/qc", f"{out}/aligned", {"S": f"{out}/S"}, f"{root}/archive",
-                            f"v{n}", version=str(n), template_json=f"{root}/template")
+                            f"v{n}", version=str(n), template_json=f"{root}/template", remove_stage=True)
     published = R.read_snapshot(spark, f"{root}/archive", v, "data")
     return published.select(*W2_OUT, F.col("main.sequence").alias("main_seq"))
 

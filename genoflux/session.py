@@ -14,6 +14,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,10 +94,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+_RUN_FOLDER: ContextVar[str | None] = ContextVar("genoflux_run_folder", default=None)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint root for stage tables."""
-    root = ensure_checkpoint_dir(spark)
-    return f"{root.rstrip('/')}/genoflux-stage/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder for a stage table, under the shared checkpoint root or,
+    within ``stage_run``, under that run's folder there."""
+    folder = _RUN_FOLDER.get() or f"{ensure_checkpoint_dir(spark).rstrip('/')}/genoflux-stage"
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+@contextmanager
+def stage_run(spark: SparkSession) -> Iterator[str]:
+    """A run that writes its result by itself: the stage tables made within
+    lie in one folder, removed when the run ends well.  A run that fails
+    leaves its own folder, and no other.  Frames that are still to be
+    computed must not leave the block."""
+    folder = shared_path(spark, "run")
+    token = _RUN_FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN_FOLDER.reset(token)
+    remove_folder(spark, folder)
 
 
 def payload_bytes(df: DataFrame, cols: list[str]) -> int:
@@ -119,11 +146,12 @@ def payload_bytes(df: DataFrame, cols: list[str]) -> int:
 
 
 def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast ``df`` only if its measured payload is under ``max_bytes``;
-    otherwise leave it to a shuffled join (AQE may still convert it)."""
+    """Broadcast ``df`` only if its measured payload is under ``max_bytes``.
+    Otherwise ask for a sort-merge join: without a hint Spark would go by an
+    estimate of its own and could broadcast all the same."""
     if payload_bytes(df, df.columns) <= max_bytes:
         return F.broadcast(df)
-    return df
+    return df.hint("merge")
 
 
 def cut_lineage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:

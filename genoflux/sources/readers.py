@@ -9,7 +9,6 @@ input.  Compressed inputs are decoded by extension (``.zst``, ``.gz``,
 from __future__ import annotations
 
 import csv
-import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +20,7 @@ from ..functions.text import not_blank
 from ..operators.georules import parse_rules
 from ..operators.zipjoin import with_file_ordinal
 from ..session import maybe_broadcast
+from .archive import read_snapshot  # noqa: F401
 
 FEED_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in (
     "covv_accession_id", "covv_virus_name", "covv_collection_date", "covv_subm_date",
@@ -203,21 +203,6 @@ def read_diff(spark: SparkSession, path: str, legacy: bool = False) -> DataFrame
     return out
 
 
-def read_snapshot(spark: SparkSession, root: str, version: str, part: str = "data") -> DataFrame:
-    """One published part (``data``, ``hashes``, ``lineages``) of a version,
-    the data in the format and schema its manifest names."""
-    root = root.rstrip("/")
-    path = f"{root}/{part}/data_version={version}"
-    if part == "lineages":
-        return spark.read.text(path)
-    if part == "data":
-        m = spark.read.parquet(f"{root}/_manifest/data_version={version}").first()
-        if m["format"] == "json":
-            schema = T.StructType.fromJson(json.loads(m["schema"]))
-            return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    return spark.read.parquet(path)
-
-
 def dataset_version(listing: DataFrame, col: str = "value") -> DataFrame:
     """The first array element's ``version.tag`` of a dataset listing JSON."""
     return listing.select(json_path(F.col(col), "$[0].version.tag").alias("version"))

@@ -1,6 +1,6 @@
 """Sinks: NDJSON (nulls written, map keys sorted), FASTA, line lists,
-fingerprint and diff tables, versioned snapshot publishing, and the ``noop``
-pass used as an I/O floor.
+fingerprint and diff tables, and the ``noop`` pass used as an I/O floor.
+Snapshots are published by ``archive``.
 
 Compression follows the sink: Parquet stage tables use ``zstd``; text sinks
 take a Hadoop codec name (``gzip``, ``bzip2``; Spark's text sinks have no
@@ -9,8 +9,6 @@ take a Hadoop codec name (``gzip``, ``bzip2``; Spark's text sinks have no
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,53 +76,13 @@ def noop(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
-
-
-def publish_snapshot(spark: SparkSession, root: str, data: DataFrame,
-                     lineages=None, hashes: DataFrame | None = None,
-                     version: str | None = None, fmt: str = "parquet",
-                     compression: str | None = None) -> str:
-    """Write a versioned snapshot: ``<root>/<part>/data_version=<v>/`` for
-    data (Parquet, or NDJSON with ``fmt='json'`` and a text codec), hashes
-    (Parquet) and lineages (text), then the manifest row -- parts, format and
-    schema of the data -- last as the commit point.  An existing version fails the job.
-    ``lineages`` is a DataFrame or a function of the *written* data (so a
-    list derived from the published rows reads two columns of the written
-    files instead of recomputing the plan that produced them).
-    Returns the version (default: epoch seconds)."""
-    v = version or str(int(time.time()))
-    root = root.rstrip("/")
-    if _exists(spark, f"{root}/_manifest/data_version={v}"):
-        raise FileExistsError(f"snapshot version {v} already published under {root}")
-    if fmt == "json":
-        write_ndjson(data, f"{root}/data/data_version={v}", compression, "overwrite")
-    else:
-        write_parquet(data, f"{root}/data/data_version={v}", "overwrite")
-    parts = ["data"]
-    if hashes is not None:
-        write_parquet(hashes, f"{root}/hashes/data_version={v}", "overwrite")
-        parts.append("hashes")
-    if callable(lineages):
-        lineages = lineages(spark.read.schema(data.schema).format(fmt).load(f"{root}/data/data_version={v}"))
-    if lineages is not None:
-        write_line_list(lineages, f"{root}/lineages/data_version={v}", mode="overwrite")
-        parts.append("lineages")
-    manifest = spark.createDataFrame(
-        [(v, ",".join(parts), int(time.time()), fmt, data.schema.json())],
-        "version string, parts string, published_at long, format string, schema string")
-    manifest.coalesce(1).write.mode("errorifexists").parquet(f"{root}/_manifest/data_version={v}")
-    return v
+def publish_snapshot(spark: SparkSession, root: str, data: DataFrame, **options) -> str:
+    """``archive.publish_snapshot``."""
+    from . import archive
+    return archive.publish_snapshot(spark, root, data, **options)
 
 
 def latest_version(spark: SparkSession, root: str) -> str | None:
-    """Highest committed version (manifest present) under ``root``."""
-    path = f"{root.rstrip('/')}/_manifest"
-    if not _exists(spark, path):
-        return None
-    row = spark.read.parquet(path).agg(F.max(F.col("version").cast("long")).alias("v")).first()
-    return None if row["v"] is None else str(row["v"])
+    """``archive.latest_version``."""
+    from . import archive
+    return archive.latest_version(spark, root)

@@ -50,8 +50,8 @@ def _full_rebuild(spark, metadata_tsv, qc_tsv, sequences_fasta, aligned_fasta, g
                   version, spec, fmt, compression) -> str:
     # Each text input is parsed once and landed as Parquet: the key
     # statistics then read one column and the joins read the landed files.
-    metadata = land(R.read_tsv(spark, metadata_tsv, ordinal="ordinal"))
-    qc = land(R.read_tsv(spark, qc_tsv, ordinal="ordinal"))
+    metadata = land(R.read_tsv_records(spark, metadata_tsv, ordinal="ordinal"))
+    qc = land(R.read_tsv_records(spark, qc_tsv, ordinal="ordinal"))
     seqs = land(R.read_fasta(spark, sequences_fasta, ordinal="ordinal"))
     aligned = land(R.read_fasta(spark, aligned_fasta, ordinal="ordinal"))
     genes = land(R.read_translations(spark, gene_fastas))
@@ -104,7 +104,7 @@ def run_finish(spark: SparkSession, stage_dir: str, qc_tsv: str, aligned_fasta:
         diff = spark.read.parquet(f"{stage}/diff")
         hashes = spark.read.parquet(f"{stage}/hashes")
         prev = spark.read.parquet(f"{stage}/previous").first()["previous"] or None
-        qc = land(R.read_tsv(spark, qc_tsv, ordinal="ordinal"))
+        qc = land(R.read_tsv_records(spark, qc_tsv, ordinal="ordinal"))
         aligned = land(R.read_fasta(spark, aligned_fasta, ordinal="ordinal"))
         genes = land(R.read_translations(spark, gene_fastas))
         _, new_rows = enriched_rows(changed, qc, aligned, genes, list(gene_fastas), dataset_version, spec)

@@ -40,6 +40,19 @@ def tsv_scan(spark, sf):
     return R.read_tsv(spark, path)
 
 
+def tsv_records(spark, sf):
+    """S5 with line breaks in cells: documents (whole texts) as TSV files of
+    two header orders, by language, one with a column more; scanned back."""
+    path = shared_path(spark, "tsv-records")
+    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("strain"), F.coalesce(
+        "text", F.lit("")).alias("note"), F.coalesce("lang", F.lit("")).alias("country"), F.lit("x").alias("more"))
+    for name, side, columns in (("a", F.col("country") == "en", ("strain", "note", "country")),
+                                ("b", F.col("country") != "en", ("country", "more", "note", "strain"))):
+        (d.where(side).select(*columns).write.option("sep", "\t").option("header", True).option("quoteAll", True)
+         .option("escape", '"').csv(f"{path}/{name}"))
+    return R.read_tsv_records(spark, [f"{path}/a", f"{path}/b"], columns=["strain", "note", "country"])
+
+
 def fasta_scan(spark, sf):
     """S3: documents (whole texts) as FASTA, scanned back into (header,
     sequence).  A text line that starts like a header gets a blank before."""
@@ -155,6 +168,7 @@ def noop_pass(spark, sf):
 QUERIES = {
     "ndjson_roundtrip": ndjson_roundtrip,
     "tsv_scan": tsv_scan,
+    "tsv_records": tsv_records,
     "fasta_scan": fasta_scan,
     "fasta_sink": fasta_sink,
     "line_scan": line_scan,
@@ -169,6 +183,10 @@ QUERIES = {
 }
 
 ORACLE = {
+    "tsv_records": r"""
+      SELECT CAST(doc_id AS VARCHAR) AS strain, regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g') AS note,
+             coalesce(lang, '') AS country
+      FROM documents""",
     "ndjson_roundtrip": SQL_FEED,
     "tsv_scan": """
       SELECT 'C' || c_custkey AS seqName,

@@ -21,6 +21,7 @@ from ..operators.georules import parse_rules
 from ..operators.zipjoin import with_file_ordinal
 from ..session import maybe_broadcast
 from .archive import read_snapshot  # noqa: F401
+from .tsv import read_tsv_records  # noqa: F401
 
 FEED_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in (
     "covv_accession_id", "covv_virus_name", "covv_collection_date", "covv_subm_date",
@@ -52,24 +53,28 @@ def read_fasta(spark: SparkSession, path: str | Sequence[str], id_col: str = "sa
     many tasks with no driver involvement; within a record a line ends at
     ``\\n``, ``\\r\\n`` or a lone ``\\r`` (a lone one before a header fails).
 
+    ``\\n``, ``\\r\\n`` or a lone ``\\r``, also before a header.
+
     The separator consumes the ``>`` of every record but a file's first; each
-    file's first record is found by a narrow pass (one row per file).  Text
-    before the first header fails the job (``preamble='error'``) or is put
-    before the first record's sequence (``'prepend'``).
+    file's first record is found by a narrow pass (one row per file).  Blank
+    lines before it are skipped.  Text before the first header fails the job
+    (``preamble='error'``) or is put before the first record's sequence
+    (``'prepend'``).
     """
     if preamble not in ("error", "prepend"):
         raise ValueError(f"preamble must be 'error' or 'prepend', not {preamble!r}")
     raw = with_file_ordinal(spark.read.option("lineSep", "\n>").text(path), "_o")
+    # a header behind a lone carriage return starts a record too
+    raw = raw.select(F.posexplode(F.split("value", "\r>")).alias("_k", "value"), "_o").select("value", F.struct(
+        "_o.f", "_o.b", "_o.i", F.col("_k").alias("k")).alias("_o"))
     keep = [F.col("_o").alias(ordinal)] if ordinal else []
     firsts = maybe_broadcast(raw.where(F.col("_o.b") == 0).groupBy(F.col("_o.f").alias("_f"))
-                             .agg(F.min("_o.i").alias("_i0")))
+                             .agg(F.min(F.struct("_o.i", "_o.k")).alias("_i0")))
     rec = raw.join(firsts, raw["_o.f"] == firsts["_f"], "left")
-    is_first = F.coalesce((F.col("_o.b") == 0) & (F.col("_o.i") == F.col("_i0")), F.lit(False))
-    v = F.when(F.col("value").rlike("\r>"), F.raise_error(F.concat(
-        F.lit("a header after a lone carriage return in "), F.col("_o.f"))).cast("string")
-    ).otherwise(F.col("value"))
-    rec = rec.select("_o", F.split(v, "\r\n|\n|\r").alias("_lines"), is_first.alias("_first"),
+    is_first = F.coalesce((F.col("_o.b") == 0) & (F.struct("_o.i", "_o.k") == F.col("_i0")), F.lit(False))
+    rec = rec.select("_o", F.split("value", "\r\n|\n|\r").alias("_lines"), is_first.alias("_first"),
                      (is_first & ~F.col("value").startswith(">")).alias("_pre"))
+    rec = rec.where(~(F.col("_pre") & F.forall("_lines", lambda x: ~not_blank(x))))
     lines = F.col("_lines")
     head = F.get(lines, 0)
     header = F.when(F.col("_first"), F.substr(head, F.lit(2))).otherwise(head)

@@ -9,18 +9,26 @@ the Jaccard similarity of their sets is at least ``threshold``.
    equal digest are copies, and one *class* stands for them from here on.
 2. Classes that share a band key belong to one candidate component.  A key
    links its classes to the smallest of them -- a star, not all pairs.
-3. The classes of a component meet in blocks of bounded size, a large
-   component in all pairs of its blocks.  In a block MinHash values are
-   compared incrementally, ``CHUNK`` at a time.  With m matches out of n, a
-   uniform prior gives a Beta posterior for the similarity; a pair is dropped
-   once the posterior probability of reaching the threshold is below
-   ``tolerance``.  The rest are verified exactly on their shingle sets.
+3. The classes of a component meet in blocks of bounded size.  A component of
+   one block is compared whole, and so is a larger one, in all pairs of its
+   blocks, if its classes share band keys about as densely as that (copies of
+   one text do).  In any other larger component, such as a chain of texts
+   that share a little with their neighbours, classes meet by band key
+   instead, a large key in blocks, and a pair is compared at the first key it
+   shares only.  So the work follows the pairs that share a key, not the
+   square of a component.
+   In a block MinHash values are compared incrementally, ``CHUNK`` at a time.
+   With m matches out of n, a uniform prior gives a Beta posterior for the
+   similarity; a pair is dropped once the posterior probability of reaching
+   the threshold is below ``tolerance``.  The rest are verified exactly on
+   their shingle sets.
 4. Blocks return link counts and a spanning forest of their links, never
    the pairs; forests of components that took several blocks are merged.
 
 At a similarity of 0.8 a pair shares no band with probability 5e-6 and is
 pruned with probability below 16 * ``tolerance``; both fall steeply above.
-There is no cap on partners, candidates or block pairs.
+There is no cap on partners, candidates or block pairs.  Texts are told
+apart by 128 bits of hash, shingle sets by their 128-bit digest.
 
 Defined cases: a null text is empty; texts without words form one class with
 no links; null and repeated ids get a row each; an empty table gives no rows.
@@ -32,7 +40,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, maybe_broadcast
@@ -44,6 +52,9 @@ BANDS, ROWS = 40, 6
 CHUNK, TOLERANCE = 16, 1e-8
 #: Classes and shingles of one block, about.
 BLOCK_CLASSES, BLOCK_SHINGLES = 512, 1_000_000
+#: A component of several blocks is compared whole if its pairs are at most so
+#: many times the pairs that its band keys hold.
+DENSE = 4
 #: Distinct words whose hashes a task remembers before it starts anew.
 MEMO_WORDS = 200_000
 
@@ -115,10 +126,11 @@ def least_matches(threshold: float, tolerance: float) -> np.ndarray:
 
 
 def block_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, copies: np.ndarray,
-                threshold: float, tolerance: float):
+                threshold: float, tolerance: float, band: int | None = None):
     """Links between the rows in ``left`` and those in ``right`` (the same
-    array: all pairs once).  Returns per row the number of linked classes,
-    of linked documents, and its cluster's smallest row."""
+    array: all pairs once; with ``band``, only pairs whose first shared band
+    key it is).  Returns per row the number of linked classes, of linked
+    documents, and its cluster's smallest row."""
     n = len(sets)
     links, docs, parent = np.zeros(n, np.int64), np.zeros(n, np.int64), np.arange(n)
 
@@ -134,6 +146,7 @@ def block_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, cop
     codes = np.unique(np.concatenate(sets), return_inverse=True)[1] if ends[-1] else np.empty(0, int)
     mark = np.zeros(len(codes) + 1, bool)
     sigs = np.array([signature(s) for s in sets])
+    keys = None if band is None else np.array([band_keys(x) for x in sigs])
     least, same = least_matches(threshold, tolerance), left is right
     order = right[np.argsort(sizes[right], kind="stable")]
     ordered = sizes[order]
@@ -148,6 +161,8 @@ def block_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, cop
             lo = max(lo, place[int(a)] + 1)
         live = order[lo:hi]
         live = live[sizes[live] > 0]
+        if keys is not None and len(live):
+            live = live[keys[a][(keys[live] == keys[a]).argmax(axis=1)] == band]
         matches = np.zeros(len(live), np.int64)
         for i, most in enumerate(least):
             if not len(live):
@@ -177,6 +192,10 @@ def block_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, cop
     return links, docs, np.array([root(x) for x in range(n)])
 
 
+def text_key(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
 def _digests(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, digest (16 bytes), n (shingles), bands."""
     schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("digest", pa.binary()),
@@ -196,7 +215,7 @@ def _digests(docs: DataFrame) -> DataFrame:
                  pa.array(bands, pa.list_(pa.int64()))], schema=schema)
         _HASHES.clear()
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
+    return docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key")).mapInArrow(
         run, "doc_id long, text_key long, digest binary, n long, bands array<long>")
 
 
@@ -216,33 +235,61 @@ def _sets(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "digest binary, shingles binary")
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
-    """(digest, component, copies, n, text_key) of the classes that share a
-    band key with another one.  Classes go by a 64-bit key here; two classes
-    of one key would only meet in a component."""
+def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The classes that share a band key with another one, with their
+    ``component`` and the keys they share (``shared``); and the keys of two
+    classes and more: (band, least, size).  Classes go by a 64-bit key here;
+    two classes of one key would only meet in a component."""
     bands = classes.select("class_key", F.explode("bands").alias("band"))
     shared = cut_lineage(
-        bands.groupBy("band").agg(F.min("class_key").alias("least"), F.max("class_key").alias("most"))
-        .where("least < most").select("band", "least"), "band-stars")
+        bands.groupBy("band").agg(F.min("class_key").alias("least"), F.max("class_key").alias("most"),
+                                  F.count(F.lit(1)).alias("size"))
+        .where("least < most").select("band", "least", "size"), "band-stars")
     edges = bands.join(maybe_broadcast(shared), "band").select("class_key", "least")
     roots = components(edges, "class_key", "least")
     nodes = roots.select(F.col("u").alias("class_key"), F.col("v").alias("component")).unionByName(
         roots.select(F.col("v").alias("class_key"), F.col("v").alias("component")).distinct())
-    return classes.drop("bands").join(maybe_broadcast(nodes), "class_key")
-
-
-def _blocks(members: DataFrame) -> DataFrame:
-    """Members once for each pair of blocks they take part in."""
-    size = members.groupBy("component").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES),
-                   F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    placed = members.join(size, "component").withColumn(
-        "block", F.when(F.col("blocks") == 1, F.lit(0)).otherwise(
-            F.pmod(F.xxhash64("digest"), F.col("blocks"))).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return (placed.withColumn("other", other)
+    return classes.join(maybe_broadcast(nodes), "class_key"), shared
+
+
+def _blocks(members: DataFrame, shared: DataFrame) -> DataFrame:
+    """Members once for each pair of blocks they take part in: blocks of
+    their component (``band`` null) or of a band key."""
+    width = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    size = cut_lineage(members.groupBy("component").agg(F.count(F.lit(1)).alias("classes"), width.alias("blocks"))
+                       .where("blocks > 1"), "large-components")
+    narrow = members.select("class_key", "digest", "component", "copies", "n")
+    if size.isEmpty():
+        large = None
+    else:
+        of_key = members.select(F.col("class_key").alias("least"), "component")
+        pairs = (shared.join(of_key.join(maybe_broadcast(size.select("component")), "component"), "least")
+                 .groupBy("component").agg(F.sum(F.col("size").cast("double") * F.col("size")).alias("pairs")))
+        large = cut_lineage(size.join(pairs, "component").select(
+            "component", "blocks",
+            (F.col("classes").cast("double") * F.col("classes") > DENSE * F.col("pairs")).alias("by_band")),
+            "component-modes")
+        narrow = narrow.join(maybe_broadcast(large), "component", "left")
+    if large is None:
+        whole = narrow.withColumn("blocks", F.lit(1))
+    else:
+        whole = narrow.where("not coalesce(by_band, false)").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    whole = whole.select("digest", "copies", "component", F.lit(None).cast("long").alias("band"), "blocks",
+                         F.col("blocks").alias("parts"))
+    if large is not None and not large.where("by_band").isEmpty():
+        # classes meet by band key; their forests are merged like those of several blocks
+        chosen = members.join(maybe_broadcast(large.where("by_band").select("component")), "component", "left_semi")
+        held = cut_lineage(chosen.select("digest", "copies", "n", F.explode("bands").alias("band"))
+                           .join(maybe_broadcast(shared.select("band")), "band", "left_semi"), "band-members")
+        parts = held.groupBy("band").agg(width.alias("parts"))
+        by_band = held.join(maybe_broadcast(parts), "band").select(
+            "digest", "copies", F.lit(None).cast("long").alias("component"), "band", F.lit(2).alias("blocks"), "parts")
+        whole = whole.unionByName(by_band)
+    block = F.when(F.col("parts") == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64("digest"), F.col("parts"))).cast("int")
+    return (whole.withColumn("block", block)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-            .select("digest", "component", "i", "j", "block", "blocks", "copies"))
+            .select("digest", "component", "band", "i", "j", "block", "blocks", "copies"))
 
 
 def _verify(rows: DataFrame, threshold: float, tolerance: float) -> DataFrame:
@@ -256,12 +303,12 @@ def _verify(rows: DataFrame, threshold: float, tolerance: float) -> DataFrame:
         left = np.flatnonzero(block == i)
         right = left if i == j else np.flatnonzero(block == j)
         links, docs, root = block_links(sets, left, right, table["copies"].to_numpy(),
-                                        threshold, tolerance)
+                                        threshold, tolerance, table["band"][0].as_py())
         return pa.table([pa.array(digest, pa.binary()), pa.array(links), pa.array(docs),
                          pa.array([digest[r] for r in root], pa.binary()), table["blocks"]],
                         schema=schema)
 
-    return rows.groupBy("component", "i", "j").applyInArrow(
+    return rows.groupBy("component", "band", "i", "j").applyInArrow(
         run, "digest binary, links long, linked_docs long, root binary, blocks int")
 
 
@@ -280,12 +327,15 @@ def _assign(docs: DataFrame, threshold: float, tolerance: float, id_col: str,
     bands = hashed.where("n > 0").select("digest", "bands").dropDuplicates(["digest"])
     classes = cut_lineage(counted.join(bands, "digest").withColumn("class_key", class_key), "classes")
 
-    members = cut_lineage(_candidates(classes), "members")
+    members, shared = _candidates(classes)
+    members = cut_lineage(members, "members")
     keys = maybe_broadcast(members.select("text_key").distinct())
-    texts = (rows.select("text", F.xxhash64("text").alias("text_key")).join(keys, "text_key", "left_semi")
-             .dropDuplicates(["text_key"]))
-    sets = cut_lineage(_sets(texts), "shingle-sets")
-    verified = cut_lineage(_verify(_blocks(members).join(sets, "digest"), threshold, tolerance), "links")
+    # texts of one key stay apart by the second hash, and a digest counts once
+    texts = (rows.select("text", text_key(F.col("text")).alias("text_key"),
+                         F.xxhash64(F.lit(1), "text").alias("second")).join(keys, "text_key", "left_semi")
+             .dropDuplicates(["text_key", "second"]))
+    sets = cut_lineage(_sets(texts), "shingle-sets").dropDuplicates(["digest"])
+    verified = cut_lineage(_verify(_blocks(members, shared).join(sets, "digest"), threshold, tolerance), "links")
 
     linked = verified.groupBy("digest").agg(F.sum("links").alias("n_links"),
                                             F.sum("linked_docs").alias("n_linked_docs"))
@@ -323,7 +373,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = T
     stays = F.col("doc_id").eqNullSafe(F.col("class_id"))
     several = (found.where(stays).groupBy("root").agg(
         F.count(F.lit(1)).alias("n"), F.min("text_key").alias("best")).where("n > 1"))
-    key = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    key = text_key(F.coalesce(docs[text_col], F.lit("")))
 
     def matches(side: DataFrame):
         return docs[id_col].cast("long").eqNullSafe(side["__id"]) & (key == side["__key"])

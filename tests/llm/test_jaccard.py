@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from genoflux.llm import jaccard_join as J
 
@@ -72,9 +73,10 @@ def test_sample_table_against_brute_force(spark):
     assert result(J.join(docs)) == brute(rows)
 
 
-@pytest.mark.parametrize("block", [512, 3])
-def test_near_copies_against_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "dense"), [(512, 4), (3, 4), (3, 0), (3, 1e9)])
+def test_near_copies_against_brute_force(spark, monkeypatch, block, dense):
     monkeypatch.setattr(J, "BLOCK_CLASSES", block)  # 3: components span several blocks
+    monkeypatch.setattr(J, "DENSE", dense)  # 0: all of them by band key; 1e9: none
     rows = near_copies()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert result(J.join(docs)) == brute(rows)
@@ -110,3 +112,30 @@ def test_pruning_keeps_pairs_at_the_threshold():
     assert (matches >= least).all()
     low = rng.random((200, J.BANDS * J.ROWS)) < 0.4
     assert (low.cumsum(axis=1)[:, n - 1] < least).any(axis=1).all()
+
+
+def chain(n):
+    """Texts that share 108 of 122 words with the next one: similarity 0.79 and below."""
+    return [(i, " ".join(f"w{14 * i + k}" for k in range(122))) for i in range(n)]
+
+
+def test_chain_of_neighbours_sends_rows_in_proportion(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK_CLASSES", 32)
+    sent = []
+    blocks = J._blocks
+
+    def counted(*a):
+        out = blocks(*a)
+        sent.append(out.count())
+        return out
+    monkeypatch.setattr(J, "_blocks", counted)
+    for n in (300, 900):
+        docs = spark.createDataFrame(chain(n), "doc_id long, text string").repartition(4)
+        assert all(r["n_links"] == 0 for r in J.join(docs).collect())
+    assert sent[1] < 3.5 * sent[0] and sent[1] < 900 * J.BANDS
+
+
+def test_texts_of_one_hash_keep_their_links(spark, monkeypatch):
+    rows = near_copies()
+    monkeypatch.setattr(J, "text_key", lambda text: F.pmod(F.xxhash64(text), F.lit(3)))
+    assert result(J.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))) == brute(rows)

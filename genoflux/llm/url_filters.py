@@ -8,15 +8,18 @@ below it), ``prefix`` (host and leading path segments, ``host/a/b``).
    of the same day), which bounds a pattern's entries by the days of its
    history.  Each addition then opens a validity interval that ends, open,
    at the pattern's next entry.
-2. Intervals are cut at month bounds and captures carry the month of their
-   fetch, so the as-of join is an equi-join on (kind, pattern, month) that
-   leaves at most the intervals of one month to compare days with.
-3. A capture offers its host, the suffixes of its host and the leading parts
-   of its path -- no deeper than the deepest listed pattern.  Matches are
-   reduced per capture and joined back, so every capture gets one verdict.
-
-Intervals are broadcast if measured small; otherwise the equi-join shuffles
-and Spark splits a hot host's captures.
+2. A capture offers its host, the suffixes of its host and the leading parts
+   of its path -- no deeper than the deepest listed pattern.  Offers of
+   unlisted patterns go at once.
+3. The months of the remaining offers, once for each pattern, cut that
+   pattern's intervals, so the as-of join is an equi-join on (kind, pattern,
+   month) that leaves at most the intervals of one month to compare days
+   with.  No month is made that no capture has: neither an open interval nor
+   a capture of a far date makes rows.  Matches are reduced per capture and
+   joined back, so every capture gets one verdict.
+
+Each side of the list is broadcast if measured small; otherwise the equi-join
+shuffles and Spark splits a hot host's captures.
 
 Defined cases: a capture without url, host or fetch day matches nothing; a
 null in an entry voids the entry; captures repeated in id, url and day share
@@ -81,12 +84,6 @@ def filter_captures(captures: DataFrame, entries: DataFrame, id_col: str = "page
         F.max(F.when(F.col("kind") == "domain", F.size(F.split("pattern", r"\.")))).alias("labels"),
         F.max(F.when(F.col("kind") == "prefix", F.size(F.split("pattern", "/")) - 1)).alias("segments"),
     ).first()
-    last = rows.agg(F.max("fetched")).first()[0]
-
-    end = F.least(F.coalesce(F.date_sub("until", 1), F.lit(last)), F.lit(last))
-    by_month = intervals.where(F.col("since") <= end).withColumn(
-        "month", F.explode(F.sequence(_month(F.col("since")), _month(end))))
-
     labels, parts = F.split("host", r"\."), segments(path_of(F.col("url")))
     deep, far = int(depth["labels"] or 0), int(depth["segments"] or 0)
 
@@ -105,6 +102,12 @@ def filter_captures(captures: DataFrame, entries: DataFrame, id_col: str = "page
               .select("page_id", "url", "fetched", F.explode(F.concat(*upto)).alias("offer"))
               .select("page_id", "url", "fetched", "offer.kind", "offer.pattern",
                       _month(F.col("fetched")).alias("month")))
+    listed = maybe_broadcast(intervals.select("kind", "pattern").distinct())
+    looked = cut_lineage(looked.join(listed, ["kind", "pattern"], "left_semi"), "listed-offers")
+    months = looked.select("kind", "pattern", "month").distinct()
+    by_month = cut_lineage(months.join(maybe_broadcast(intervals), ["kind", "pattern"]).where(
+        (_month(F.col("since")) <= F.col("month"))
+        & (F.col("until").isNull() | (F.col("month") <= _month(F.col("until"))))), "intervals-by-month")
     hits = looked.join(maybe_broadcast(by_month), ["kind", "pattern", "month"]).where(
         (F.col("since") <= F.col("fetched"))
         & (F.col("until").isNull() | (F.col("fetched") < F.col("until"))))

@@ -4,20 +4,23 @@ functions only.
 A source with ``n`` of all ``N`` documents and target weight ``w`` (weights
 are scaled to sum to one) has the mean repetition rate ``w * N * epochs / n``.
 Each document's count is a Poisson variable of that mean, made by inverting
-its distribution function at a uniform number hashed from (seed, id): the
+its distribution function at a uniform number hashed from (seed, id), or from
+the whole row where it has no id: the
 count is the number of table entries not above it.  Rates above ``STEP`` are
 the sum of several draws, each with a hash of its own, so that the table
 stays short and does not underflow.  Copies are exploded and dealt out by a
 hash of (seed, id, copy), which also orders them within a partition: a
-global shuffle that repeats exactly on a rerun.
+global shuffle.  Rows that repeat an id have equal hashes; their place in the
+input deals them on, so that an id, or repeated rows without one, that hold
+a great part of the table do not meet in one task.
 
 Draws are independent, so no source's rows ever have to meet; the hot source
 is as parallel as the input.  The rates are a row a source; they are
 broadcast if measured small, else joined by a shuffle that splits hot keys.
 
 Defined cases: a null source is a source; a null text stays null; documents
-repeated with an id are drawn alike; a null id draws as the text 'null'; a
-source without weight, or of weight zero, has rate zero; a negative weight
+repeated with an id are drawn alike; a row without id draws by the digest of
+all its columns; a source without weight, or of weight zero, has rate zero; a negative weight
 is an error; an empty table gives no rows.
 """
 
@@ -30,12 +33,13 @@ from ..session import cut_lineage, maybe_broadcast
 
 #: Largest mean of one draw.
 STEP = 16.0
+#: Parts that the rows of one shuffle key are dealt to.
+SPREAD = 1024
 
 
 def uniform(seed: int, ident: Column, draw: Column) -> Column:
     """[0, 1) from the first 52 bits of a digest of (seed, id, draw)."""
-    text = F.concat_ws("|", F.lit(str(seed)), F.coalesce(ident.cast("string"), F.lit("null")),
-                       draw.cast("string"))
+    text = F.concat_ws("|", F.lit(str(seed)), ident, draw.cast("string"))
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
@@ -88,7 +92,8 @@ def mix(docs: DataFrame, weights: DataFrame, epochs: float = 1.0, seed: int = 7,
         F.col("table").alias("__table")), "mixing-rates")
     table = maybe_broadcast(table)
     drawn = docs.join(table, docs[source_col].eqNullSafe(table["__source"]))
-    ident = docs[id_col]
+    ident = F.coalesce(docs[id_col].cast("string"), F.concat(F.lit("null:"), F.md5(F.to_json(F.struct(
+        *[docs[c] for c in docs.columns])).cast("binary"))))
 
     def draw(total, j):
         u = uniform(seed, ident, j)
@@ -96,8 +101,8 @@ def mix(docs: DataFrame, weights: DataFrame, epochs: float = 1.0, seed: int = 7,
     copies = F.aggregate(F.sequence(F.lit(1), F.col("__draws")), F.lit(0), draw)
     drawn = drawn.withColumn("__copies", copies).where("__copies > 0")
     drawn = drawn.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    order = F.md5(F.concat_ws("|", F.lit(f"{seed}s"), F.coalesce(ident.cast("string"), F.lit("null")),
-                              F.col("__copy").cast("string")))
+    order = F.md5(F.concat_ws("|", F.lit(f"{seed}s"), ident, F.col("__copy").cast("string")))
     drawn = drawn.withColumn("__order", order)
-    return (drawn.select(*docs.columns, "__copy", "__copies", "__order")
-            .repartition("__order").sortWithinPartitions("__order"))
+    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SPREAD))
+    return (drawn.select(*docs.columns, "__copy", "__copies", "__order").withColumn("__place", place)
+            .repartition("__order", "__place").drop("__place").sortWithinPartitions("__order"))

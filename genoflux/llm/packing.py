@@ -1,17 +1,21 @@
 """Packing by Karmarkar-Karp multiway differencing.
 
 Each task tokenises its documents and packs them as they come, in groups of
-about ``group_tokens`` tokens, so nothing is shuffled and memory does not
-depend on the input.  Of a document every full window is cut off as a
-sequence of its own; the remainders of a group are the items to divide.
+about ``group_tokens`` tokens, so memory does not depend on the input.  Of a
+document every full window is cut off as a sequence of its own; the remainder
+is cut into pieces of at most ``PIECE`` tokens, and a group's pieces are the
+items to divide.  What a task holds last, less than a group, is written with
+its ids; a second pass packs these rests of many tasks in groups again, so
+padding does not depend on how the input is dealt to tasks.
 
 Differencing keeps a heap of partial partitions, each of ``k`` windows and
 first holding one item.  The two with the largest imbalance are merged, the
 fullest window of one onto the emptiest of the other, until one partition is
 left.  ``k`` starts at the least count that could hold the group and rises
-while the fullest window exceeds the capacity.  Documents may be cut, so
-``k`` need not rise far: beyond ``slack`` more windows than that least count
-what still exceeds the capacity is cut off and put into windows with room.
+whenever the fullest window exceeds the capacity.  Pieces are small against a
+window, so windows come out nearly equal and ``k`` rises by a few at most.
+Pieces of a remainder that meet in one window and follow each other are one
+piece of the result.
 
 A text is tokenised by its distinct space-delimited words: the vocabulary
 drops white space and never merges across it, so the ids are those of the
@@ -31,13 +35,16 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import id_and_text, slices, small_batches
 
 CAPACITY = 4096
 END_ID = 2
 GROUP_TOKENS = 1_000_000
-SLACK = 0.005
+#: Largest piece of a remainder; and groups that a task of the second pass gets, about.
+PIECE, REST_GROUPS = 512, 8
 #: Distinct words (and their characters) above which a task forgets rare ones,
 #: words that a worker keeps between tasks, and uses that make a word common.
 MEMO_WORDS, MEMO_CHARS, IDLE_WORDS, COMMON = 600_000, 8_000_000, 200_000, 3
@@ -255,42 +262,68 @@ def difference(sizes: np.ndarray, k: int) -> list[list[int]]:
 
 
 def fill_windows(sizes: list[int], capacity: int = CAPACITY,
-                 slack: float = SLACK) -> list[list[tuple[int, int, int]]]:
+                 piece: int = PIECE) -> list[list[tuple[int, int, int]]]:
     """Windows of (item, start, length) that hold every item's tokens once."""
-    sizes = np.asarray(sizes, np.int64)
-    if not len(sizes):
+    cuts = [(i, start, min(piece, int(size) - start)) for i, size in enumerate(sizes)
+            for start in range(0, int(size), piece)]
+    if not cuts:
         return []
-    total = int(sizes.sum())
-    k = max(1, -(-total // capacity))
-    most = max(k, int(-(-total * (1 + slack) // capacity)))
+    lengths = np.array([c[2] for c in cuts], np.int64)
+    k = -(-int(lengths.sum()) // capacity)
     while True:
-        windows = difference(sizes, k)
-        fullest = max(int(sizes[w].sum()) for w in windows)
-        if fullest <= capacity or k >= most:
+        windows = difference(lengths, k)
+        if max(int(lengths[w].sum()) for w in windows) <= capacity:
             break
         k += 1
-    windows += [[] for _ in range(k - len(windows))]
-    out, over = [], []
+    out = []
     for w in windows:
-        room, pieces = capacity, []
-        for i in sorted(w):
-            take = min(room, int(sizes[i]))
-            if take:
-                pieces.append((i, 0, take))
-            if take < sizes[i]:
-                over.append((i, take, int(sizes[i]) - take))
-            room -= take
-        out.append([room, pieces])
-    at = 0
-    for i, start, length in over:
-        while length:
-            while not out[at][0]:
-                at += 1
-            take = min(out[at][0], length)
-            out[at][1].append((i, start, take))
-            out[at][0] -= take
-            start, length = start + take, length - take
-    return [pieces for _, pieces in out if pieces]
+        pieces = []
+        for i, start, length in sorted(cuts[c] for c in w):
+            if pieces and pieces[-1][0] == i and sum(pieces[-1][1:]) == start:
+                pieces[-1] = (i, pieces[-1][1], pieces[-1][2] + length)
+            else:
+                pieces.append((i, start, length))
+        out.append(pieces)
+    return out
+
+
+class _Packer:
+    """Sequences of one task, numbered from ``first``.  A document is its id,
+    its number of tokens, and ids from the position ``at`` on."""
+
+    def __init__(self, first: int, capacity: int):
+        self.sequence, self.capacity = first, capacity
+        self.group, self.held = [], 0
+
+    def add(self, doc_id, tokens: int, at: int, ids: np.ndarray):
+        self.group.append((doc_id, tokens, at, ids))
+        self.held += len(ids)
+
+    def row(self, doc, start: int, length: int, offset: int) -> tuple:
+        doc_id, tokens, at, ids = doc
+        return (doc_id, at + start, length, zlib.crc32(ids[start:start + length].tobytes()), tokens,
+                self.sequence, offset)
+
+    def alone(self, doc_id, tokens: int, at: int, ids: np.ndarray) -> tuple:
+        """A full window."""
+        out = self.row((doc_id, tokens, at, ids), 0, len(ids), 0)
+        self.sequence += 1
+        return out
+
+    def close(self) -> list[tuple]:
+        rows = []
+        for window in fill_windows([len(d[3]) for d in self.group], self.capacity):
+            offset = 0
+            for i, start, length in window:
+                rows.append(self.row(self.group[i], start, length, offset))
+                offset += length
+            self.sequence += 1
+        self.group, self.held = [], 0
+        return rows
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
@@ -299,54 +332,47 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
     """One row per piece: ``doc_id``, ``start`` (its document's ids before
     it), ``length``, ``ids_crc32`` (of its ids as little-endian unsigned
     32-bit), ``doc_tokens`` (with the end token), ``sequence_id`` and
-    ``offset`` within the sequence.  A sequence id is made of the partition
-    and a running number, so a task that runs again gives the same ids."""
+    ``offset`` within the sequence.  A sequence id is made of the pass, the
+    partition and a running number, so a task that runs again gives the same."""
     small_batches(docs.sparkSession)
+    with_rest = ARROW.append(pa.field("rest", pa.binary()))
 
     def run(batches):
         from pyspark import TaskContext
         words = encoder(tokenizer_path)
-        sequence = TaskContext.get().partitionId() << 33
-        group, held = [], 0
-
-        def row(doc, start, length, seq, offset):
-            ids = doc[1][start:start + length]
-            return (doc[0], start, length, zlib.crc32(ids.tobytes()), doc[2], seq, offset)
-
-        def close():
-            nonlocal sequence, group, held
-            rows = []
-            for window in fill_windows([len(d[1]) - d[3] for d in group], capacity):
-                offset = 0
-                for i, start, length in window:
-                    rows.append(row(group[i], group[i][3] + start, length, sequence, offset))
-                    offset += length
-                sequence += 1
-            group, held = [], 0
-            return rows
-
-        def batch(rows):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in zip(*rows)], schema=ARROW)
-
+        packer = _Packer(TaskContext.get().partitionId() << 33, capacity)
         for b in slices(batches):
             rows = []
             for doc_id, ids in zip(b.column(0).to_pylist(), words.encode(b.column(1).to_pylist())):
                 ids[-1] = end_id
                 full = len(ids) // capacity * capacity
-                doc = (doc_id, ids, len(ids), full)
-                for start in range(0, full, capacity):
-                    rows.append(row(doc, start, capacity, sequence, 0))
-                    sequence += 1
+                rows += [packer.alone(doc_id, len(ids), start, ids[start:start + capacity])
+                         for start in range(0, full, capacity)]
                 if full < len(ids):
-                    group.append(doc)
-                    held += len(ids) - full
-                if held >= group_tokens:
-                    rows += close()
+                    packer.add(doc_id, len(ids), full, ids[full:])
+                if packer.held >= group_tokens:
+                    rows += packer.close()
             if rows:
-                yield batch(rows)
+                yield _batch([(*r, None) for r in rows], with_rest)
         words.forget(IDLE_WORDS)
-        if group:
-            yield batch(close())
+        if packer.group:
+            yield _batch([(doc_id, at, len(ids), None, tokens, None, None, ids.tobytes())
+                          for doc_id, tokens, at, ids in packer.group], with_rest)
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, SCHEMA)
+    def run_rests(batches):
+        from pyspark import TaskContext
+        packer = _Packer((1 << 62) + (TaskContext.get().partitionId() << 33), capacity)
+        for b in batches:
+            for doc_id, tokens, at, rest in zip(*(c.to_pylist() for c in b.columns)):
+                packer.add(doc_id, tokens, at, np.frombuffer(rest, "<u4"))
+                if packer.held >= group_tokens:
+                    yield _batch(packer.close(), ARROW)
+        if packer.group:
+            yield _batch(packer.close(), ARROW)
+
+    first = cut_lineage(id_and_text(docs, id_col, text_col).mapInArrow(run, SCHEMA + ", rest binary"), "packed")
+    rests = first.where("rest is not null")
+    left = rests.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, left // (REST_GROUPS * group_tokens))
+    again = rests.select("doc_id", "doc_tokens", "start", "rest").repartition(tasks).mapInArrow(run_rests, SCHEMA)
+    return first.where("rest is null").drop("rest").unionByName(again)

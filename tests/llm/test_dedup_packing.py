@@ -2,6 +2,7 @@
 import hashlib
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -124,6 +125,29 @@ def test_windows_hold_every_token_once(sizes):
     assert len(windows) <= max(-(-sum(sizes) // P.CAPACITY), -(-int(sum(sizes) * 1.005 + 1) // P.CAPACITY))
 
 
+@pytest.mark.parametrize("mix", ["even", "around 3000", "around 400"])
+def test_differencing_alone_meets_the_capacity(mix):
+    rng = np.random.default_rng(0)
+    sizes = {"even": lambda: rng.integers(1500, 4001, 360),
+             "around 3000": lambda: rng.lognormal(np.log(3000), .3, 340).astype(int).clip(1, 4095),
+             "around 400": lambda: rng.lognormal(np.log(400), .8, 1800).astype(int).clip(1, 4095)}[mix]()
+    windows = P.fill_windows(sizes.tolist())
+    used = [sum(length for *_, length in w) for w in windows]
+    assert max(used) <= P.CAPACITY and sum(used) == sizes.sum()
+    assert len(windows) * P.CAPACITY - sum(used) < 0.01 * sum(used)
+    # pieces end where the items were cut beforehand: nothing was cut to fit
+    assert all(start % P.PIECE == 0 and (length % P.PIECE == 0 or start + length == sizes[i])
+               for w in windows for i, start, length in w)
+
+
+@pytest.mark.parametrize("parts", [64, 400])
+def test_padding_does_not_depend_on_the_partitions(spark, parts):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(parts)
+    rows = P.pack(docs, VOCABULARY).collect()
+    tokens = sum(r["length"] for r in rows)
+    assert len({r["sequence_id"] for r in rows}) * P.CAPACITY < 1.02 * tokens
+
+
 def test_differencing_balances():
     import numpy as np
     sizes = np.random.default_rng(1).integers(1, 4096, 400)

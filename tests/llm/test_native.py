@@ -2,6 +2,7 @@
 known answers, brute force, odd rows; plans free of Python."""
 import json
 import math
+import random
 from datetime import date
 
 import public_tokenizers
@@ -71,6 +72,26 @@ def test_repeated_captures_and_empty_sides(spark):
     assert url_filters.filter_captures(captures(spark, rows).limit(0), entries).count() == 0
 
 
+def test_far_dates_cut_no_more_intervals(spark, monkeypatch):
+    """Rows of cut intervals are as many for captures of 9999 as of 2024."""
+    made = {}
+    write = url_filters.cut_lineage
+
+    def counted(df, name):
+        out = write(df, name)
+        made[name] = made.get(name, []) + [out.count()]
+        return out
+    monkeypatch.setattr(url_filters, "cut_lineage", counted)
+    entries = spark.createDataFrame([("host", f"h{i}.example", "add", date(2024, 1, 1)) for i in range(300)]
+                                    + [("host", "h1.example", "remove", date(2500, 6, 15))], ENTRY)
+    for last in (date(2024, 3, 1), date(9999, 12, 31)):
+        rows = [(i, f"http://h{i}.example/", date(2024, 2, 1)) for i in range(300)] + [(-i, f"http://h{i}.example/", last) for i in (1, 2)]
+        got = verdicts(url_filters.filter_captures(captures(spark, rows), entries))
+        assert all(got[i][0] for i in range(300)) and got[-1][0] == (last.year == 2024) and got[-2][0]
+    near, far = made["intervals-by-month"]
+    assert abs(near - far) <= 1
+
+
 def test_very_long_url(spark):
     url = "http://h.example/" + "a/" * 20_000
     entries = spark.createDataFrame([("prefix", "h.example/a/a", "add", date(2024, 1, 1))], ENTRY)
@@ -120,6 +141,21 @@ def test_mixing_odd_rows(spark):
         mixing.mix(docs, spark.createDataFrame([("a", -1.0)], "source string, weight double")).count()
 
 
+def test_rows_without_id_draw_each_by_itself(spark):
+    docs = spark.createDataFrame([(None, f"t{i}", "a") for i in range(1000)], "doc_id long, text string, source string")
+    out = mixing.mix(docs, mixing.tempered(docs))
+    copies = [r["n"] for r in out.groupBy("text").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(set(copies)) > 3 and 500 < len(copies) < 760  # about 1 - 1/e of them are drawn at all
+    same = spark.createDataFrame([(None, "t", "a")] * 2000, "doc_id long, text string, source string").repartition(4)
+    held = mixing.mix(same.unionByName(docs), spark.createDataFrame([("a", 1.0)], "source string, weight double"), epochs=3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = held.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2 * sum(r["count"] for r in sizes) / 8
+
+
 def test_mixing_repeats_exactly(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     runs = [sorted((r["doc_id"], r["__copy"], r["__order"])
@@ -160,12 +196,68 @@ def test_records_are_canonical_json(spark):
     arguments = ' { "q" : "é\\u00e9\\n/", "n": 1.50, "b": {"z": 1, "a": [1e2, null]} } '
     got = linked(spark, [(1, 0, "c", "t", arguments, None), (1, 1, "d", 'q"t', "nonsense", None)],
                  [(1, 2, "c", 'line\n"quoted"')])
-    assert got[1, "c"]["record"] == ('{"arguments":{"b":{"a":[100.0,null],"z":1},"n":1.5,"q":"éé\\n/"},"call_id":"c",'
+    assert got[1, "c"]["record"] == ('{"arguments":{"b":{"a":[100,null],"z":1},"n":1.5,"q":"éé\\n/"},"call_id":"c",'
                                      '"level":0,"result":"line\\n\\"quoted\\"","tool":"t"}')
     assert json.loads(got[1, "d"]["record"]) == {"arguments": "nonsense", "call_id": "d", "level": 0,
                                                  "result": None, "tool": 'q"t'}
 
 
+def test_numbers_of_equal_value_have_one_text_and_one_verdict(spark):
+    same = [["100", "1e2", "100.0", "10e1", "1.00E+2", "1000e-1"], ["0", "-0", "0.0", "-0e5", "0e9"], ["-2.5", "-25e-1", "-2.50"],
+            ["0.001", "1e-3", "0.0010"], ["12345678901234567890", "12345678901234567890.0"], ["1e300", "10e299"], ["1.5e-300", "15e-301"],
+            ["1e41", "1" + "0" * 41], ["7"], ["7.5"], ["123456.789", "1.23456789e5"]]
+    forms = [(g, t) for g, ts in enumerate(same) for t in ts]
+    calls = [(1, i, f"c{i}", "s", f'{{"q": "1e2 \\"1.0\\" \\\\", "x": {t}, "l": [{t},[{t}]], "n": {t}}}', None)
+             for i, (_, t) in enumerate(forms)]
+    got = linked(spark, calls, [])
+    seen = {}
+    for i, (g, t) in enumerate(forms):
+        record = got[1, f"c{i}"]["record"].replace(f'"c{i}"', '"c"')
+        seen.setdefault(g, set()).add((record, got[1, f"c{i}"]["errors"]))
+        args = json.loads(record)["arguments"]
+        assert math.isclose(args["x"], float(t), rel_tol=1e-15) and args["l"] == [args["x"], [args["x"]]]
+        assert args["q"] == '1e2 "1.0" \\'
+        assert ("type n" in got[1, f"c{i}"]["errors"]) == (not float(t).is_integer())
+    assert all(len(v) == 1 for v in seen.values()) and len(set().union(*seen.values())) == len(same)
+    assert '"x":100}' in min(seen[0])[0] and '"x":0.001}' in min(seen[3])[0] and '"x":1e+300}' in min(seen[5])[0]
+
+
+def test_very_long_text_in_arguments(spark):
+    text = '\\\\ "1e2" ' * 60_000
+    got = linked(spark, [(1, 0, "c", "s", json.dumps({"q": text, "x": 1.0}), None)], [(1, 1, "c", text)])
+    record = json.loads(got[1, "c"]["record"])
+    assert record["arguments"] == {"q": text, "x": 1} and record["result"] == text and got[1, "c"]["errors"] == ""
+
+
+def test_levels_of_calls_that_need_several(spark):
+    """Against a plain topological sort."""
+    rng = random.Random(4)
+    rows, want = [], {}
+    for conv in (1, 2, 3, None):
+        n = 60
+        needs = {i: {rng.randrange(i) for _ in range(rng.choice([0, 1, 1, 1, 2, 3]))} if i else set() for i in range(n)}
+        if conv == 2:  # a cycle among calls that need several, one among calls that need one
+            needs[5] = {9, 2}
+            needs[9] |= {5}
+            needs[20], needs[21] = {21}, {20}
+        level = {}
+        while True:
+            more = {i: 1 + max((level[j] for j in d), default=-1) for i, d in needs.items() if i not in level and d <= level.keys()}
+            if not more:
+                break
+            level |= more
+        want |= {(conv, f"c{i}"): level.get(i, -1) for i in needs}
+        for i, d in needs.items():
+            after = [f"c{j}" for j in sorted(d)] + ([f"c{min(d)}", None] if d and i % 5 == 0 else [])
+            rows.append((conv, i, f"c{i}", "s", "{}", (after or None) if i % 7 else [*after, "gone"]))
+    calls = spark.createDataFrame(rows, CALLS.replace("after string", "after array<string>"))
+    got = tool_calls.levels(calls).collect()
+    assert {(r["conv_id"], r["call_id"]): r["level"] for r in got} == want and len(got) == len(want)
+    assert all(r["dangling"] == (int(r["call_id"][1:]) % 7 == 0) for r in got)
+    out = tool_calls.link(calls, spark.createDataFrame([], RESULTS), spark.createDataFrame(SEARCH, SCHEMAS)).collect()
+    assert {(r["conv_id"], r["call_id"]): r["level"] for r in out} == want
+
+
 def test_linking_and_order(spark):
     calls = [(1, 5, "a", "s", "{}", None), (1, 3, "b", "s", "{}", "a"), (1, 1, "c", "s", "{}", "b"),
              (1, 7, "d", "s", "{}", "gone"), (2, 0, "a", "s", "{}", "b"), (2, 1, "b", "s", "{}", "a"),

@@ -16,22 +16,31 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+#: Edges that a task of a round writes, about (16 bytes each).
+TASK_EDGES = 250_000
+
 
 def _print(edges: DataFrame) -> tuple:
     r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return tuple(r)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _written(rows: DataFrame, n: int) -> DataFrame:
+    """A stage table in as many files as ``n`` edges need: a few components
+    do not make a file for each shuffle partition in each round."""
+    return cut_lineage(rows.coalesce(1 + n // TASK_EDGES), "edges")
+
+
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"))
-    least = cut_lineage(least.select("u", F.least("u", "m").alias("m")), "least")
+    least = _written(least.select("u", F.least("u", "m").alias("m")), n)
     return both.where("v > u").join(least, "u").select(
         F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = cut_lineage(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
+    least = _written(edges.groupBy("u").agg(F.min("v").alias("m")), n)
     moved = edges.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -45,7 +54,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     e = cut_lineage(e.where("u > v and not x and not y").select("u", "v").distinct(), "edges")
     seen = _print(e)
     while seen[0]:
-        e = cut_lineage(_small_star(cut_lineage(_large_star(e), "edges")), "edges")
+        e = _written(_small_star(_written(_large_star(e, seen[0]), seen[0]), seen[0]), seen[0])
         now = _print(e)
         if now == seen:
             break

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import _c, not_blank
 
@@ -85,3 +86,29 @@ def insertions_by_gene(c, genes: Iterable[str]) -> Column:
 def sorted_map(m) -> Column:
     """Map with keys in ascending order (canonical serialisation)."""
     return F.map_from_entries(F.array_sort(F.map_entries(_c(m))))
+
+
+def canonical_maps(c, kind: T.DataType) -> Column:
+    """``c``, of type ``kind``, with the keys of its maps in ascending order,
+    at any depth; unchanged where the type holds no map."""
+    c = _c(c)
+    if not _holds_map(kind):
+        return c
+    if isinstance(kind, T.MapType):
+        if not _holds_map(kind.valueType):
+            return sorted_map(c)
+        # entries whose values hold maps have no order of their own
+        entries = F.array_sort(F.map_entries(c), lambda a, b: F.when(a["key"] < b["key"], -1).when(
+            a["key"] > b["key"], 1).otherwise(0))
+        return F.map_from_entries(F.transform(entries, lambda e: F.struct(
+            e["key"].alias("key"), canonical_maps(e["value"], kind.valueType).alias("value"))))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: canonical_maps(x, kind.elementType))
+    fields = F.struct(*[canonical_maps(c[f.name], f.dataType).alias(f.name) for f in kind.fields])
+    return F.when(c.isNotNull(), fields)
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _holds_map(kind.elementType)

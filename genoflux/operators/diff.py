@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import row_md5
-from ..session import BROADCAST_MAX_BYTES, payload_bytes
+from ..session import BROADCAST_MAX_BYTES
 
 ADDED, CHANGED, UNCHANGED, DELETED = "added", "changed", "unchanged", "deleted"
 STATUSES = (ADDED, CHANGED, UNCHANGED, DELETED)
@@ -72,6 +72,14 @@ def diff_summary(diff: DataFrame) -> DataFrame:
     return diff.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
+def status_bytes(diff: DataFrame) -> dict[str, int]:
+    """Payload of the ids of each status (repeated ids counted each time): a
+    bound for every id set that the gates below weigh, in one aggregate."""
+    rows = diff.groupBy("status").agg(F.sum(F.coalesce(
+        F.octet_length(F.col("id").cast("string")), F.lit(0)).cast("long") + F.lit(16)).alias("b")).collect()  # a row a status
+    return {r["status"]: int(r["b"]) for r in rows}
+
+
 def ids_with_status(diff: DataFrame, statuses: Iterable[str]) -> DataFrame:
     """Distinct ids whose status is in ``statuses`` (e.g. added | changed)."""
     return diff.where(F.col("status").isin(list(statuses))).select("id").distinct()
@@ -99,7 +107,8 @@ def _all_in_diff(df: DataFrame, id_col: str, diff: DataFrame) -> bool:
 
 def extract_added_or_changed(entries: DataFrame, diff: DataFrame, entry_id: str = "id",
                              diff_covers_entries: bool = False,
-                             max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+                             max_bytes: int = BROADCAST_MAX_BYTES,
+                             sizes: dict[str, int] | None = None) -> DataFrame:
     """Rows of ``entries`` whose id was added or changed.  A row with a null
     id, or with an id the diff does not know, is never among them.
 
@@ -111,12 +120,13 @@ def extract_added_or_changed(entries: DataFrame, diff: DataFrame, entry_id: str
     an anti-join (an initial load, where everything is added).  Otherwise the
     shuffled semi-join.  All three give the same rows."""
     if diff_covers_entries:
+        sizes = sizes or status_bytes(diff)
         moving = ids_with_status(diff, (ADDED, CHANGED))
-        if payload_bytes(moving, ["id"]) <= max_bytes:
+        if sizes.get(ADDED, 0) + sizes.get(CHANGED, 0) <= max_bytes:
             return entries.join(F.broadcast(moving), entries[entry_id] == moving["id"], "left_semi")
         still = (diff.groupBy("id").agg(F.max(F.col("status").isin(ADDED, CHANGED)).alias("_m"))
                  .where(~F.col("_m")).select("id"))
-        if payload_bytes(still, ["id"]) <= max_bytes and _all_in_diff(entries, entry_id, diff):
+        if sizes.get(UNCHANGED, 0) <= max_bytes and _all_in_diff(entries, entry_id, diff):
             return entries.where(F.col(entry_id).isNotNull()).join(
                 F.broadcast(still), entries[entry_id] == still["id"], "left_anti")
     return extract_by_status(entries, diff, (ADDED, CHANGED), entry_id)
@@ -131,7 +141,8 @@ def moved_ids(diff: DataFrame) -> DataFrame:
 
 def extract_unchanged(previous: DataFrame, diff: DataFrame, entry_id: str = "id",
                       strict: bool = False, previous_matches_diff: bool = False,
-                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+                      max_bytes: int = BROADCAST_MAX_BYTES,
+                      sizes: dict[str, int] | None = None) -> DataFrame:
     """Rows of the previous snapshot whose id is unchanged.  A row with a
     null id, or with an id the diff does not know, is never among them.
 
@@ -142,8 +153,10 @@ def extract_unchanged(previous: DataFrame, diff: DataFrame, entry_id: str = "id"
     wide snapshot is filtered map-side instead of being shuffled.  Otherwise
     it is the semi-join with the unchanged ids; both give the same rows."""
     if previous_matches_diff and not strict:
+        sizes = sizes or status_bytes(diff)
         moved = moved_ids(diff)
-        if payload_bytes(moved, ["id"]) <= max_bytes and _all_in_diff(previous, entry_id, diff):
+        bound = sum(b for status, b in sizes.items() if status != UNCHANGED)
+        if bound <= max_bytes and _all_in_diff(previous, entry_id, diff):
             return previous.where(F.col(entry_id).isNotNull()).join(
                 F.broadcast(moved), previous[entry_id] == moved["id"], "left_anti")
     return extract_by_status(previous, diff, (UNCHANGED,), entry_id,

@@ -24,12 +24,14 @@ reported as a rule cycle.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.location import GEO_LEVELS, geo_normalise
 from ..functions.text import empty_to_null
-from ..session import cut_lineage, maybe_broadcast
+from ..session import BROADCAST_MAX_BYTES, cut_lineage, maybe_broadcast
 
 SEP = "\u0001"
 ROOT = ""
@@ -86,54 +88,56 @@ def prefix_table(rules: DataFrame) -> DataFrame:
     return nodes.join(runs, "path").select("path", "wild", "right")
 
 
-def _nodes(rules: DataFrame) -> DataFrame:
-    """The prefix table, written once; it grows with the rule file only (at
-    most four rows a rule) and its measured size gates the broadcast."""
-    return maybe_broadcast(cut_lineage(prefix_table(rules), "geo-prefixes"))
+@dataclass
+class Nodes:
+    """The written prefix table; it grows with the rule file only (at most
+    four rows a rule) and its measured size decides how it is joined."""
+    table: DataFrame
+    hint: str
+    root_wild: int | None
 
 
-def _child(df: DataFrame, nodes: DataFrame, parent: str, key: str, out: str) -> DataFrame:
-    """Add ``out`` (path) and ``out_w`` (its wild run) of the exact child of
-    node ``parent`` by column ``key``; null where there is none."""
-    side = nodes.select(F.col("path").alias(out), F.col("wild").alias(f"{out}_w"))
-    path = F.concat(F.col(parent), F.lit(SEP), F.lower(F.col(f"`{key}`")))
-    return df.join(side, path == F.col(out), "left")
+def _nodes(prefixes: DataFrame, broadcast_rules: bool = True) -> Nodes:
+    table = cut_lineage(prefixes, "geo-prefixes")
+    r = table.agg(F.sum(F.octet_length("path") + F.coalesce(F.octet_length(F.to_json("right")), F.lit(0)) + 24),
+                  F.max(F.when(F.col("path") == ROOT, F.col("wild")))).first()
+    small = broadcast_rules and (r[0] or 0) <= BROADCAST_MAX_BYTES
+    return Nodes(table, "BROADCAST" if small else "MERGE", r[1])
 
 
-def _rule_for(rows: DataFrame, nodes: DataFrame, key_cols: list[str]) -> DataFrame:
+def _rule_for(rows: DataFrame, nodes: Nodes, key_cols: list[str]) -> DataFrame:
     """Add ``rule`` (right side struct, null if none) for the tuple in
-    ``key_cols`` by the two-node walk."""
-    carried = [F.col(f"`{c}`") for c in rows.columns]
-    root = nodes.where(F.col("path") == ROOT).select(
-        F.col("path").alias("_a"), F.col("wild").alias("_a_w"))
-    df = rows.join(F.broadcast(root), F.lit(True), "left")  # one row
-    df = df.withColumns({"_b": F.lit(None).cast("string"), "_b_w": F.lit(None).cast("int")})
+    ``key_cols`` by the two-node walk.  One SQL text, analysed once: as some
+    twenty frame operations, each analysed over all before it, the plan took
+    longer to build than to run."""
+    carried = ", ".join(f"`{c}`" for c in rows.columns)
+    root = "CAST(NULL AS STRING)" if nodes.root_wild is None else f"'{ROOT}'"
+    wild = "NULL" if nodes.root_wild is None else str(nodes.root_wild)
+    at = (f"SELECT {carried}, {root} AS _a, CAST({wild} AS INT) AS _a_w, "
+          f"CAST(NULL AS STRING) AS _b, CAST(NULL AS INT) AS _b_w FROM {{rows}}")
     for level, key in enumerate(key_cols):
-        df = _child(df, nodes, "_a", key, "_fa")
-        if level:  # the walk starts from one node
-            df = _child(df, nodes, "_b", key, "_fb")
-        else:
-            df = df.withColumns({"_fb": F.lit(None).cast("string"), "_fb_w": F.lit(None).cast("int")})
-        star = F.lit(SEP + "*")
-        wild = F.when(F.col("_a_w") > 0, F.concat("_a", star)).when(F.col("_b_w") > 0, F.concat("_b", star))
-        wild_w = F.when(F.col("_a_w") > 0, F.col("_a_w") - 1).when(F.col("_b_w") > 0, F.col("_b_w") - 1)
-        full, full_w = F.coalesce("_fa", "_fb"), F.when(F.col("_fa").isNotNull(), F.col("_fa_w")).otherwise(F.col("_fb_w"))
-        df = df.select(*carried, full.alias("_f"), full_w.alias("_f_w"), wild.alias("_w"), wild_w.alias("_w_w"))
-        exact = F.col("_f").isNotNull()
-        df = df.select(*carried, F.coalesce("_f", "_w").alias("_a"),
-                       F.when(exact, F.col("_f_w")).otherwise(F.col("_w_w")).alias("_a_w"),
-                       F.when(exact, F.col("_w")).alias("_b"), F.when(exact, F.col("_w_w")).alias("_b_w"))
-    leaf = nodes.where(F.col("right").isNotNull()).select(F.col("path").alias("_leaf"), F.col("right").alias("rule"))
-    return df.join(leaf, F.col("_a") == F.col("_leaf"), "left").select(*carried, "rule")
+        # the walk starts from one node
+        second = f"LEFT JOIN {{nodes}} fb ON concat(_b, '{SEP}', lower(`{key}`)) = fb.path" if level else ""
+        full = "coalesce(fa.path, fb.path)" if level else "fa.path"
+        full_w = "if(fa.path IS NOT NULL, fa.wild, fb.wild)" if level else "fa.wild"
+        at = f"""
+          SELECT {carried}, coalesce(_f, _w) AS _a, if(_f IS NOT NULL, _f_w, _w_w) AS _a_w,
+                 if(_f IS NOT NULL, _w, NULL) AS _b, if(_f IS NOT NULL, _w_w, NULL) AS _b_w
+          FROM (SELECT /*+ {nodes.hint}(fa{', fb' if level else ''}) */ {carried}, {full} AS _f, {full_w} AS _f_w,
+                       CASE WHEN _a_w > 0 THEN concat(_a, '{SEP}*') WHEN _b_w > 0 THEN concat(_b, '{SEP}*') END AS _w,
+                       CASE WHEN _a_w > 0 THEN _a_w - 1 WHEN _b_w > 0 THEN _b_w - 1 END AS _w_w
+                FROM ({at}) LEFT JOIN {{nodes}} fa ON concat(_a, '{SEP}', lower(`{key}`)) = fa.path {second})"""
+    sql = f"""
+      SELECT /*+ {nodes.hint}(leaf) */ {carried}, leaf.right AS rule
+      FROM ({at}) LEFT JOIN (SELECT path, right FROM {{nodes}} WHERE right IS NOT NULL) leaf ON _a = leaf.path"""
+    return rows.sparkSession.sql(sql, rows=rows, nodes=nodes.table)
 
 
 def lookup(tuples: DataFrame, prefixes: DataFrame, cols=("c0", "c1", "c2", "c3"),
            broadcast_rules: bool = True) -> DataFrame:
     """For distinct normalised tuples, the applicable rule's right side
     (struct r0..r3, null if none)."""
-    nodes = cut_lineage(prefixes, "geo-prefixes")  # read by every level's joins
-    nodes = maybe_broadcast(nodes) if broadcast_rules else nodes
-    return _rule_for(tuples.select(*cols), nodes, list(cols))
+    return _rule_for(tuples.select(*cols), _nodes(prefixes, broadcast_rules), list(cols))
 
 
 def _apply(rule: Column, cur: list[Column]) -> list[Column]:
@@ -141,7 +145,7 @@ def _apply(rule: Column, cur: list[Column]) -> list[Column]:
             .otherwise(rule[f"r{i}"]) for i, c in enumerate(cur)]
 
 
-def _apply_once(state: DataFrame, prefixes: DataFrame) -> DataFrame:
+def _apply_once(state: DataFrame, nodes: Nodes) -> DataFrame:
     """One rule application to every row of ``(c0..c3, n0..n3, s0..s3,
     steps)``; ``_chg`` tells whether the current tuple changed, ``_cyc``
     whether it came back to the saved tuple ``s`` (Brent's cycle check: the
@@ -152,7 +156,7 @@ def _apply_once(state: DataFrame, prefixes: DataFrame) -> DataFrame:
     ns = [f"n{i}" for i in range(4)]
     ss = [f"s{i}" for i in range(4)]
     looked = _rule_for(state.select("c0", "c1", "c2", "c3", *ns, *ss, "steps", "_cycseen"),
-                       prefixes, ns)
+                       nodes, ns)
     nxt = _apply(F.col("rule"), [F.col(n) for n in ns])
     changed = F.lit(False)
     back = F.lit(True)
@@ -181,7 +185,7 @@ def resolve_tuples(tuples: DataFrame, rules: DataFrame, per_round: int = 2) -> D
     continue.  All loop state lives in those files, so a lost executor costs
     at most the current round.  More than 1000 applications on one tuple, or
     a tuple that provably cycles, fails the job as cyclic rules."""
-    prefixes = _nodes(rules)
+    nodes = _nodes(prefix_table(rules))
     cols = ["c0", "c1", "c2", "c3"]
     active = tuples.select(*cols, *[F.col(c).alias(f"n{i}") for i, c in enumerate(cols)],
                            *[F.col(c).alias(f"s{i}") for i, c in enumerate(cols)],
@@ -190,7 +194,7 @@ def resolve_tuples(tuples: DataFrame, rules: DataFrame, per_round: int = 2) -> D
     while True:
         step = active
         for _ in range(times):
-            step = _apply_once(step, prefixes)
+            step = _apply_once(step, nodes)
         times = min(2 * times, per_round)
         step = cut_lineage(step, "geo-round")
         stats = step.agg(F.count_if("_chg").alias("n"), F.max("steps").alias("m"),

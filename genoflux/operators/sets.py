@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .frames import q
+from .zipjoin import with_file_ordinal
 
 
 def distinct_values(df: DataFrame, cols: Sequence[str], name: str = "value") -> DataFrame:
@@ -28,21 +30,43 @@ def union_distinct(frames: Iterable[DataFrame]) -> DataFrame:
     return union_all(frames).distinct()
 
 
+def sort_key(df: DataFrame, key: str) -> Column:
+    """What rows are sorted by: for text its UTF-16 code units (Spark's own
+    order is that of UTF-8 bytes, which puts U+E000-U+FFFF before the
+    characters beyond), other types as they are.  A null fails the job."""
+    c = q(key)
+    text = dict(df.dtypes).get(key) == "string"
+    ordered = F.encode(c, "UTF-16BE") if text else c
+    fail = F.raise_error(F.lit(f"a row has no {key} to sort by"))
+    return F.when(c.isNull(), fail.cast("binary" if text else df.schema[key].dataType)).otherwise(ordered)
+
+
+def _with_row_order(df: DataFrame, name: str) -> DataFrame:
+    """A column that orders the rows as the input has them: by file, split
+    and row for a scan (Spark deals large files out first, so the order of
+    its partitions is another), by partition and row otherwise."""
+    try:
+        df.select("_metadata.file_path")
+    except AnalysisException:
+        return df.withColumn(name, F.monotonically_increasing_id())
+    return with_file_ordinal(df, name)
+
+
 def sort_output(df: DataFrame, key: str, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Stable global sort by one key (range partitioning + per-task sort).
-    Ties keep ``tiebreak`` order; without one, the order of the input rows
-    (that of the files for a scan).  Only needed for sorted *output*."""
-    order = [F.col(t) for t in tiebreak]
-    if order:
-        return df.orderBy(F.col(key).asc_nulls_first(), *order)
-    return (df.withColumn("_row", F.monotonically_increasing_id())
-            .orderBy(F.col(key).asc_nulls_first(), "_row").drop("_row"))
+    """Stable global sort by one key (range partitioning + per-task sort), in
+    the order of ``sort_key``.  Ties keep ``tiebreak`` order; without one, the
+    order of the input rows (that of the files for a scan).  A null key fails
+    the job.  Only needed for sorted *output*."""
+    keyed = df.withColumn("_key16", sort_key(df, key))
+    if tiebreak:
+        return keyed.orderBy("_key16", *[q(t) for t in tiebreak]).drop("_key16")
+    return _with_row_order(keyed, "_row").orderBy("_key16", "_row").drop("_key16", "_row")
 
 
 def sorted_positions(df: DataFrame, key: str, tiebreak: Sequence[str] = (), name: str = "pos",
                      partitions: int | None = None) -> DataFrame:
-    """1-based position of each row in the global order ``(key, tiebreak)``
-    without funnelling rows through one task: range-partition + per-task
+    """1-based position of each row in the global order ``(key, tiebreak)``,
+    the key as in ``sort_key``, without funnelling rows through one task: range-partition + per-task
     sort, local index from the task's row counter, and per-partition offsets
     from a table with one row per partition (bounded, broadcast).  The
     sorted rows are written once to the shared checkpoint folder so counts
@@ -50,9 +74,9 @@ def sorted_positions(df: DataFrame, key: str, tiebreak: Sequence[str] = (), name
     could sample different bounds)."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [key, *tiebreak]
+    order = ["_key16", *tiebreak]
     ranged = cut_lineage(
-        df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        df.withColumn("_key16", sort_key(df, key)).repartitionByRange(n, *order).sortWithinPartitions(*order)
         .withColumn("_pid", F.spark_partition_id().cast("long"))
         .withColumn("_loc", F.monotonically_increasing_id() - F.col("_pid") * F.lit(1 << 33)))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -60,4 +84,4 @@ def sorted_positions(df: DataFrame, key: str, tiebreak: Sequence[str] = (), name
     offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
     return (ranged.join(F.broadcast(offsets), "_pid")
             .withColumn(name, (F.col("_off") + F.col("_loc") + 1).cast("long"))
-            .drop("_pid", "_loc", "_off"))
+            .drop("_pid", "_loc", "_off", "_key16"))

@@ -8,7 +8,9 @@ its key by a deterministic ordinal (file order or a unique id).
 Position numbering starts from key statistics (one key-only partial
 aggregation, for several inputs at once): when every key is unique -- the
 usual one-row-per-sample input -- the position is 1 and nothing moves.
-Otherwise it is skew-safe: keys with more than ``hot_rows`` rows (their
+If a few keys repeat, only their (key, ordinal) pairs are numbered, as a
+narrow table that is joined back by a broadcast; the wide rows stay where
+they are.  Otherwise it is skew-safe: keys with more than ``hot_rows`` rows (their
 number is bounded by ``rows / hot_rows``, so that list may be broadcast) are
 numbered over a range-partitioned sort that splits each hot key across many
 tasks, materialised once; all other keys use an ordinary window whose
@@ -22,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, maybe_broadcast
+from ..session import BROADCAST_MAX_BYTES, cut_lineage, maybe_broadcast, payload_bytes
 
 HOT_ROWS_CONF = "genoflux.zip.hotKeyRows"
 # A key above this many rows is numbered on the split (hot) path.  With
@@ -61,8 +63,8 @@ def with_file_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
 
 
 def key_stats(inputs: Sequence[tuple[DataFrame, Sequence[str]]], limit: int) -> list[dict]:
-    """For each ``(df, keys)``: the largest group size and the number of keys
-    above ``limit`` -- all inputs in ONE job (key-only projections unioned,
+    """For each ``(df, keys)``: the largest group size, the number of keys
+    above ``limit`` and the rows of keys that repeat -- all inputs in ONE job (key-only projections unioned,
     one partial aggregation; the result has one row per input)."""
     parts = []
     for tag, (df, keys) in enumerate(inputs):
@@ -74,9 +76,32 @@ def key_stats(inputs: Sequence[tuple[DataFrame, Sequence[str]]], limit: int) ->
         u = u.unionByName(p)
     per_key = u.groupBy("_t", "_k").agg(F.count(F.lit(1)).alias("_n"))
     rows = per_key.groupBy("_t").agg(F.max("_n").alias("mx"),
-                                     F.count_if(F.col("_n") > limit).alias("hot")).collect()
-    got = {r["_t"]: {"mx": r["mx"], "hot": r["hot"]} for r in rows}
-    return [got.get(t, {"mx": None, "hot": 0}) for t in range(len(inputs))]
+                                     F.count_if(F.col("_n") > limit).alias("hot"),
+                                     F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("rep")
+                                     ).collect()
+    got = {r["_t"]: {"mx": r["mx"], "hot": r["hot"], "rep": r["rep"]} for r in rows}
+    return [got.get(t, {"mx": None, "hot": 0, "rep": 0}) for t in range(len(inputs))]
+
+
+def _sparse_numbers(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame | None:
+    """(_h0.., _o0.., _n) of the rows whose key repeats, ready to be joined
+    back; None if that table is not small or does not tell rows apart."""
+    kcols, ocols = [F.col(f"`{k}`") for k in keys], [F.col(f"`{o}`") for o in order]
+    named = [*[c.alias(f"_h{i}") for i, c in enumerate(kcols)], *[c.alias(f"_o{i}") for i, c in enumerate(ocols)]]
+    hs, os = [f"_h{i}" for i in range(len(keys))], [f"_o{i}" for i in range(len(order))]
+    repeated = df.groupBy(*kcols).agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select(
+        *[c.alias(f"_r{i}") for i, c in enumerate(kcols)])
+    same = F.lit(True)
+    for i, h in enumerate(hs):
+        same = same & F.col(h).eqNullSafe(F.col(f"_r{i}"))
+    pairs = df.select(*named).join(maybe_broadcast(cut_lineage(repeated, "repeated-keys")), same, "left_semi")
+    w = Window.partitionBy(*hs).orderBy(*os)
+    numbered = pairs.withColumns({"_n": F.row_number().over(w).cast("long"),
+                                  "_tie": F.count(F.lit(1)).over(Window.partitionBy(*hs, *os))})
+    numbered = cut_lineage(numbered, "repeated-rows")
+    if payload_bytes(numbered, numbered.columns) > BROADCAST_MAX_BYTES or not numbered.where("_tie > 1").isEmpty():
+        return None
+    return F.broadcast(numbered.drop("_tie"))
 
 
 def key_row_number(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str,
@@ -89,6 +114,7 @@ def key_row_number(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
     group and the number of keys above the hot limit (``stats`` when already
     computed by ``key_stats`` for several inputs at once).  All keys unique
     (the usual one-row-per-sample input): ``rn = 1`` with no shuffle at all.
+    Few rows of keys that repeat: those alone are numbered, narrow.
     No hot keys: a plain window.  With hot keys, their rows
     are range-partitioned on ``(key, order)`` -- a hot key spreads over many
     tasks -- and each row's task-local index is written once with the rows
@@ -108,6 +134,16 @@ def key_row_number(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
         return df.withColumn(rn, F.lit(1).cast("long"))
     w = Window.partitionBy(*kcols).orderBy(*[F.col(f"`{o}`") for o in order])
     if not stats["hot"]:
+        # 64 bytes a row is a low guess; the table itself is measured
+        sparse = _sparse_numbers(df, keys, order) if 64 * stats["rep"] <= BROADCAST_MAX_BYTES else None
+        if sparse is not None:
+            same = F.lit(True)
+            for i, k in enumerate(keys):
+                same = same & df[f"`{k}`"].eqNullSafe(sparse[f"_h{i}"])
+            for i, o in enumerate(order):
+                same = same & df[f"`{o}`"].eqNullSafe(sparse[f"_o{i}"])
+            return df.join(sparse, same, "left").select(
+                *[F.col(f"`{c}`") for c in df.columns], F.coalesce("_n", F.lit(1)).cast("long").alias(rn))
         return df.withColumn(rn, F.row_number().over(w).cast("long"))
     counts = df.groupBy(*kcols).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > limit).select(*kcols)

@@ -142,6 +142,20 @@ def snapshot_publish(spark, sf):
     return R.read_snapshot(spark, root, v, "data")
 
 
+def legacy_diff_scan(spark, sf):
+    """S11, legacy form: the diff written as one JSON object of four arrays
+    in one file, and scanned back as a stream."""
+    path = shared_path(spark, "legacy-diff")
+    rows = _diffed(spark, sf).select(F.col("id").cast("string").alias("id"), "status")
+    ordered = rows.select("status", F.lit(1).alias("kind"), "id", F.concat(F.lit('"'), "id", F.lit('",')).alias("value"))
+    marks = spark.createDataFrame(
+        [(p, k, "", v) for n, p in enumerate(R.DIFF_PARTS) for k, v in (
+            (0, ("{" if n == 0 else ",") + f' "{p}": ['), (2, f'"last-{p}"]' + ("}" if n == 3 else "")))],
+        "status string, kind int, id string, value string")
+    ordered.unionByName(marks).orderBy("status", "kind", "id").select("value").coalesce(1).write.text(path)
+    return R.read_diff(spark, path, legacy=True)
+
+
 def hash_table_scan(spark, sf):
     """K4 + S10: the (id, md5) side table written and read back."""
     path = shared_path(spark, "hashes")
@@ -178,11 +192,15 @@ QUERIES = {
     "template_scan": template_scan,
     "snapshot_publish": snapshot_publish,
     "hash_table_scan": hash_table_scan,
+    "legacy_diff_scan": legacy_diff_scan,
     "diff_table_roundtrip": diff_table_roundtrip,
     "noop_pass": noop_pass,
 }
 
 ORACLE = {
+    "legacy_diff_scan": f"""
+      SELECT CAST(id AS VARCHAR) AS id, status FROM ({SQL_DIFF})
+      UNION ALL SELECT 'last-' || s, s FROM (VALUES ('added'), ('changed'), ('deleted'), ('unchanged')) v(s)""",
     "tsv_records": r"""
       SELECT CAST(doc_id AS VARCHAR) AS strain, regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g') AS note,
              coalesce(lang, '') AS country

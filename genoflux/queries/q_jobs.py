@@ -5,15 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import diff as D
 from ..operators import georules as G
 from ..operators.sets import sorted_positions
 from ..plans import jobs as J
 from ..plans import runs
 from ..plans.clean import FEED, OPEN, with_template
 from ..session import cut_lineage, shared_path
+from ..sources import archive as A
 from ..sources import readers as R
 from ..sources import writers as W
-from .common import ARCHIVED_BEFORE, SNAPSHOT_TIME, table
+from .common import ARCHIVED_BEFORE, ORDER_FIELDS, SNAPSHOT_TIME, SQL_ORDER_RECORD, order_record, table
 from .q_joins import GEO_RULES, _prefix_values, sql_geo_lookup
 
 
@@ -279,6 +281,29 @@ def refresh_from_files(spark, sf):
     return published.select(*W2_OUT, F.col("main.sequence").alias("main_seq"))
 
 
+FEW_BEFORE, FEW_SINCE = "1995-02-01", "2001-01-01"
+
+
+def refresh_few(spark, sf):
+    """U1 + K7, copy on write: all orders published; then the latest urgent
+    pending ones are re-prioritised and the oldest finished ones leave, about one in
+    a hundred; the next version carries the other rows' files over."""
+    root = shared_path(spark, "few")
+    old = order_record(table(spark, sf, "orders"))
+    gone = (F.col("o_orderstatus") == "F") & (F.col("o_orderdate") < FEW_BEFORE)
+    urgent = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT") & (
+        F.col("o_orderdate") >= FEW_SINCE)
+    new = old.where(~gone).withColumn("o_orderpriority", F.when(
+        urgent, F.concat("o_orderpriority", F.lit("*"))).otherwise(F.col("o_orderpriority")))
+    A.publish_snapshot(spark, root, old, hashes=D.fingerprint(old, "o_orderkey", ORDER_FIELDS), version="1",
+                       id_col="o_orderkey")
+    hashes = D.fingerprint(new, "o_orderkey", ORDER_FIELDS)
+    diff = cut_lineage(D.snapshot_diff(R.read_snapshot(spark, root, "1", "hashes"), hashes), "few-diff")
+    changed = D.extract_added_or_changed(new, diff, "o_orderkey", diff_covers_entries=True)
+    A.publish_refresh(spark, root, "1", diff, changed, hashes=hashes, version="2")
+    return R.read_snapshot(spark, root, "2")
+
+
 def _write_tsv(df, path):
     (df.write.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"')
      .option("emptyValue", "").csv(path))
@@ -313,6 +338,7 @@ QUERIES = {
     "sorted_changed": sorted_changed,
     "aligner_input": aligner_input,
     "refresh_from_files": refresh_from_files,
+    "refresh_few": refresh_few,
     "rebuild_from_files": rebuild_from_files,
     "sorted_output": sorted_output,
     "full_rebuild": full_rebuild,
@@ -478,4 +504,10 @@ ORACLE = {
       WHERE value IS NOT NULL""",
     "incremental_refresh": _sql_refresh(),
     "refresh_from_files": _sql_refresh(),
+    "refresh_few": f"""
+      SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice_cents, o_orderdate,
+             CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'
+                  AND o_orderdate >= '{FEW_SINCE}' THEN o_orderpriority || '*'
+                  ELSE o_orderpriority END AS o_orderpriority
+      FROM ({SQL_ORDER_RECORD}) WHERE NOT (o_orderstatus = 'F' AND o_orderdate < '{FEW_BEFORE}')""",
 }

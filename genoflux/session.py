@@ -162,7 +162,7 @@ def cut_lineage(df: DataFrame, name: str = "stage", path: str | None = None) ->
     spark = df.sparkSession
     path = path or shared_path(spark, name)
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # no job to infer what is known
 
 
 def land(df: DataFrame, name: str = "landed") -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from ..functions.location import json_path
 from ..functions.text import not_blank
 from ..operators.georules import parse_rules
 from ..operators.zipjoin import with_file_ordinal
-from ..session import maybe_broadcast
+from ..session import cut_lineage, maybe_broadcast
 from .archive import read_snapshot  # noqa: F401
 from .tsv import read_tsv_records  # noqa: F401
 
@@ -193,19 +193,56 @@ def read_hashes(spark: SparkSession, path: str, id_col: str = "gisaidEpiIsl",
     return df.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col("md5"))
 
 
+DIFF_PARTS = ("added", "changed", "deleted", "unchanged")
+
+
 def read_diff(spark: SparkSession, path: str, legacy: bool = False) -> DataFrame:
     """Diff as the long ``(id, status)`` table; ``legacy=True`` reads one JSON
-    object of four id arrays and unpivots it with ``explode``."""
+    object of four id arrays a file.
+
+    The object is scanned as a stream: the text is cut at its quotes, in as
+    many tasks as it has splits.  A narrow row a split (its number of pieces)
+    gives each piece its place in the file; strings are the pieces at odd
+    places.  The names of the arrays are the strings before a colon, four a
+    file, so a string's array is the last name before its place.  (Ids with
+    an escaped quote leave no such parity; such a file is parsed whole.)"""
     if not legacy:
         return spark.read.parquet(path).select("id", "status")
-    schema = "added array<string>, changed array<string>, deleted array<string>, unchanged array<string>"
-    obj = spark.read.schema(schema).option("multiLine", True).json(path)
-    parts = [obj.select(F.explode(F.col(s)).alias("id"), F.lit(s).alias("status"))
-             for s in ("added", "changed", "deleted", "unchanged")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    pieces = with_file_ordinal(spark.read.option("lineSep", '"').text(path), "_o").select(
+        "value", F.col("_o.f").alias("f"), F.col("_o.b").alias("b"), F.col("_o.i").alias("i"))
+    splits = pieces.groupBy("f", "b").agg(F.min("i").alias("first"), F.count(F.lit(1)).alias("n"),
+                                          F.bool_or(F.col("value").endswith("\\")).alias("escaped"))
+    splits = cut_lineage(splits, "diff-splits")
+    if not splits.where("escaped").isEmpty():
+        return _read_diff_objects(spark, path)
+    before = Window.partitionBy("f").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    splits = maybe_broadcast(splits.select(
+        F.col("f").alias("sf"), F.col("b").alias("sb"), "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off")))
+    placed = pieces.join(splits, (F.col("f") == F.col("sf")) & (F.col("b") == F.col("sb"))).select(
+        "f", (F.col("off") + F.col("i") - F.col("first")).alias("place"), "value")
+    strings = placed.where("place % 2 = 1")
+    colons = placed.where((F.col("place") % 2 == 0) & F.col("value").contains(":")).select(
+        F.col("f").alias("cf"), (F.col("place") - 1).alias("at"))
+    names = strings.join(maybe_broadcast(colons), (F.col("f") == F.col("cf")) & (F.col("place") == F.col("at"))).select(
+        "f", "value", "place")
+    names = cut_lineage(names, "diff-names")  # four a file
+    unknown = names.where(~F.col("value").isin(*DIFF_PARTS)).first()
+    if unknown is not None:
+        raise ValueError(f"a diff object has no array {unknown['value']!r}")
+    of_file = names.groupBy(F.col("f").alias("nf")).agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("names"))
+    held = strings.join(maybe_broadcast(of_file), F.col("f") == F.col("nf"))
+    upto = F.filter("names", lambda x: x["place"] <= F.col("place"))
+    last = F.element_at(upto, -1)
+    text = F.when(F.col("value").contains("\\"), F.get(F.from_json(
+        F.concat(F.lit('["'), "value", F.lit('"]')), "array<string>"), 0)).otherwise(F.col("value"))
+    return held.where(last["place"] < F.col("place")).select(text.alias("id"), last["value"].alias("status"))
+
+
+def _read_diff_objects(spark: SparkSession, path: str) -> DataFrame:
+    obj = spark.read.schema(", ".join(f"{p} array<string>" for p in DIFF_PARTS)).option("multiLine", True).json(path)
+    parts = F.array(*[F.struct(F.col(p).alias("ids"), F.lit(p).alias("status")) for p in DIFF_PARTS])
+    each = obj.select(F.explode(parts).alias("part"))
+    return each.select(F.explode("part.ids").alias("id"), F.col("part.status").alias("status"))
 
 
 def dataset_version(listing: DataFrame, col: str = "value") -> DataFrame:

@@ -12,17 +12,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.sequences import sorted_map
+from ..functions.sequences import canonical_maps
 
 
 def _canonical_maps(df: DataFrame) -> DataFrame:
-    return df.select(*[sorted_map(F.col(f"`{c}`")).alias(c) if t.startswith("map<") else
-                       F.col(f"`{c}`") for c, t in df.dtypes])
+    return df.select(*[canonical_maps(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
 
 
 def write_ndjson(df: DataFrame, path: str, compression: str | None = None,
                  mode: str = "errorifexists") -> None:
-    """One object per line; null fields written; map keys sorted."""
+    """One object per line; null fields written; map keys sorted at any depth."""
     w = _canonical_maps(df).write.mode(mode).option("ignoreNullFields", False)
     if compression:
         w = w.option("compression", compression)

@@ -13,7 +13,10 @@ def test_broadcast_gate(spark):
     small = spark.range(10).toDF("id")
     hinted = maybe_broadcast(small)
     assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
-    assert maybe_broadcast(small, max_bytes=1) is small
+    # above the gate Spark must not broadcast on an estimate of its own
+    for how in ("inner", "left_semi", "left"):
+        plan = spark.range(5).join(maybe_broadcast(small, max_bytes=1), "id", how)._jdf.queryExecution().executedPlan()
+        assert "SortMergeJoin" in plan.toString() and "Broadcast" not in plan.toString()
 
 
 def test_stage_tables_under_checkpoint_dir(spark):

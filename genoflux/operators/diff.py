@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import row_md5
-from ..session import BROADCAST_MAX_BYTES
+from ..session import BROADCAST_MAX_BYTES, cut_lineage, payload_bytes
 
 ADDED, CHANGED, UNCHANGED, DELETED = "added", "changed", "unchanged", "deleted"
 STATUSES = (ADDED, CHANGED, UNCHANGED, DELETED)
@@ -105,10 +105,39 @@ def _all_in_diff(df: DataFrame, id_col: str, diff: DataFrame) -> bool:
     return ids.join(diff.select("id").distinct(), "id", "left_anti").isEmpty()
 
 
+#: Where a landed row lies: its file's name and its number there.
+FILE, ROW = "_file", "_row"
+# Fixed value: rows that one bitmap of Spark's bitmap functions covers.
+BITMAP_ROWS = 32_768
+
+
+def with_place(landed: DataFrame) -> DataFrame:
+    """A scan of a Parquet stage table with ``FILE`` and ``ROW``."""
+    return landed.withColumns({FILE: F.col("_metadata.file_name"), ROW: F.col("_metadata.row_index")})
+
+
+def _place_bitmaps(places: DataFrame, ids: DataFrame) -> DataFrame:
+    """(_bf, _bb, bits): the rows of ``places`` (id, FILE, ROW) whose id is in
+    ``ids``, as one bit a row.  Narrow tables are joined."""
+    at = places.join(ids, "id", "left_semi").select(
+        F.col(FILE).alias("_bf"), F.floor(F.col(ROW) / BITMAP_ROWS).alias("_bb"), F.expr(f"{ROW} % {BITMAP_ROWS}").alias("_bit"))
+    return at.groupBy("_bf", "_bb").agg(F.bitmap_construct_agg("_bit").alias("bits"))
+
+
+def _at_places(entries: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """The entries whose bit is set; the bitmaps are broadcast."""
+    b = F.broadcast(bitmaps)
+    held = entries.join(b, (entries[FILE] == b["_bf"]) & (F.floor(entries[ROW] / BITMAP_ROWS) == b["_bb"]))
+    bit = F.col(ROW) % BITMAP_ROWS
+    byte = F.conv(F.hex(F.substring("bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return held.where(F.getbit(byte, (bit % 8).cast("int")) == 1).select(*[entries[c] for c in entries.columns])
+
+
 def extract_added_or_changed(entries: DataFrame, diff: DataFrame, entry_id: str = "id",
                              diff_covers_entries: bool = False,
                              max_bytes: int = BROADCAST_MAX_BYTES,
-                             sizes: dict[str, int] | None = None) -> DataFrame:
+                             sizes: dict[str, int] | None = None,
+                             places: DataFrame | None = None) -> DataFrame:
     """Rows of ``entries`` whose id was added or changed.  A row with a null
     id, or with an id the diff does not know, is never among them.
 
@@ -117,8 +146,11 @@ def extract_added_or_changed(entries: DataFrame, diff: DataFrame, entry_id: str
     measures small enough to broadcast: the added/changed ids (steady state:
     few records move) with a semi-join, else -- once the id columns prove
     that the diff knows every entry -- the ids that are *only* unchanged with
-    an anti-join (an initial load, where everything is added).  Otherwise the
-    shuffled semi-join.  All three give the same rows."""
+    an anti-join (an initial load, where everything is added).  Where neither
+    is small but the entries carry ``FILE`` and ``ROW`` and ``places`` tells
+    them by id (id, FILE, ROW), the rows to keep are sent as bitmaps, one bit
+    a landed row instead of an id: 64 MB tell 500 million rows.  Beyond that,
+    the shuffled semi-join.  All give the same rows."""
     if diff_covers_entries:
         sizes = sizes or status_bytes(diff)
         moving = ids_with_status(diff, (ADDED, CHANGED))
@@ -129,6 +161,10 @@ def extract_added_or_changed(entries: DataFrame, diff: DataFrame, entry_id: str
         if sizes.get(UNCHANGED, 0) <= max_bytes and _all_in_diff(entries, entry_id, diff):
             return entries.where(F.col(entry_id).isNotNull()).join(
                 F.broadcast(still), entries[entry_id] == still["id"], "left_anti")
+        if places is not None:
+            bitmaps = cut_lineage(_place_bitmaps(places, moving), "moved-rows")
+            if payload_bytes(bitmaps, bitmaps.columns) <= max_bytes:
+                return _at_places(entries, bitmaps)
     return extract_by_status(entries, diff, (ADDED, CHANGED), entry_id)
 
 

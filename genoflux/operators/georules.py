@@ -17,7 +17,8 @@ row; nothing is expanded, aggregated or shuffled.
 
 Resolution loops over the tuples that still change (up to two applications
 per round in one plan, each round written as a stage table to the shared
-folder, one small aggregate per round to decide whether to go on); more
+folder, one small aggregate per round to decide whether to go on), and walks
+the few that are left after some rounds by one recursive query; more
 than 1000 applications on one tuple, or a tuple that provably cycles, is
 reported as a rule cycle.
 """
@@ -36,6 +37,8 @@ from ..session import BROADCAST_MAX_BYTES, cut_lineage, maybe_broadcast
 SEP = "\u0001"
 ROOT = ""
 MAX_APPLICATIONS = 1000
+#: Rounds before, and tuples up to which, the rest is walked by a recursive query.
+ROUNDS, WALK_ROWS = 3, 100_000
 _LEVELS = 4
 
 
@@ -105,16 +108,16 @@ def _nodes(prefixes: DataFrame, broadcast_rules: bool = True) -> Nodes:
     return Nodes(table, "BROADCAST" if small else "MERGE", r[1])
 
 
-def _rule_for(rows: DataFrame, nodes: Nodes, key_cols: list[str]) -> DataFrame:
-    """Add ``rule`` (right side struct, null if none) for the tuple in
-    ``key_cols`` by the two-node walk.  One SQL text, analysed once: as some
-    twenty frame operations, each analysed over all before it, the plan took
-    longer to build than to run."""
-    carried = ", ".join(f"`{c}`" for c in rows.columns)
+def _rule_sql(source: str, columns: list[str], nodes: Nodes, key_cols: list[str]) -> str:
+    """A query that adds ``rule`` (right side struct, null if none) for the
+    tuple in ``key_cols`` to the rows of ``source`` by the two-node walk.  One
+    SQL text, analysed once: as some twenty frame operations, each analysed
+    over all before it, the plan took longer to build than to run."""
+    carried = ", ".join(f"`{c}`" for c in columns)
     root = "CAST(NULL AS STRING)" if nodes.root_wild is None else f"'{ROOT}'"
     wild = "NULL" if nodes.root_wild is None else str(nodes.root_wild)
     at = (f"SELECT {carried}, {root} AS _a, CAST({wild} AS INT) AS _a_w, "
-          f"CAST(NULL AS STRING) AS _b, CAST(NULL AS INT) AS _b_w FROM {{rows}}")
+          f"CAST(NULL AS STRING) AS _b, CAST(NULL AS INT) AS _b_w FROM {source}")
     for level, key in enumerate(key_cols):
         # the walk starts from one node
         second = f"LEFT JOIN {{nodes}} fb ON concat(_b, '{SEP}', lower(`{key}`)) = fb.path" if level else ""
@@ -127,10 +130,13 @@ def _rule_for(rows: DataFrame, nodes: Nodes, key_cols: list[str]) -> DataFrame:
                        CASE WHEN _a_w > 0 THEN concat(_a, '{SEP}*') WHEN _b_w > 0 THEN concat(_b, '{SEP}*') END AS _w,
                        CASE WHEN _a_w > 0 THEN _a_w - 1 WHEN _b_w > 0 THEN _b_w - 1 END AS _w_w
                 FROM ({at}) LEFT JOIN {{nodes}} fa ON concat(_a, '{SEP}', lower(`{key}`)) = fa.path {second})"""
-    sql = f"""
+    return f"""
       SELECT /*+ {nodes.hint}(leaf) */ {carried}, leaf.right AS rule
       FROM ({at}) LEFT JOIN (SELECT path, right FROM {{nodes}} WHERE right IS NOT NULL) leaf ON _a = leaf.path"""
-    return rows.sparkSession.sql(sql, rows=rows, nodes=nodes.table)
+
+
+def _rule_for(rows: DataFrame, nodes: Nodes, key_cols: list[str]) -> DataFrame:
+    return rows.sparkSession.sql(_rule_sql("{rows}", rows.columns, nodes, key_cols), rows=rows, nodes=nodes.table)
 
 
 def lookup(tuples: DataFrame, prefixes: DataFrame, cols=("c0", "c1", "c2", "c3"),
@@ -140,36 +146,59 @@ def lookup(tuples: DataFrame, prefixes: DataFrame, cols=("c0", "c1", "c2", "c3")
     return _rule_for(tuples.select(*cols), _nodes(prefixes, broadcast_rules), list(cols))
 
 
-def _apply(rule: Column, cur: list[Column]) -> list[Column]:
-    return [F.when(rule.isNull(), c).when(rule[f"r{i}"] == F.lit("*"), c)
-            .otherwise(rule[f"r{i}"]) for i, c in enumerate(cur)]
+#: Columns of a tuple's way: the given tuple, the current one, the saved one,
+#: how often a rule changed it, and what its last application told.
+_STATE = [*(f"{k}{i}" for k in "cns" for i in range(4)), "steps", "_chg", "_cycseen"]
+
+
+def _step_sql(source: str, nodes: Nodes) -> str:
+    """One rule application to every row of ``source`` (``_STATE``): ``_chg``
+    tells whether the current tuple changed, ``_cycseen`` whether it came back
+    to the saved tuple ``s`` (Brent's cycle check: the saved tuple is
+    refreshed whenever the step count reaches a power of two, so any cycle is
+    seen within a small multiple of its length -- such a chain can never
+    terminate, so it is reported without running to the application limit)."""
+    given = [f"c{i}" for i in range(4)]
+    nxt = [f"CASE WHEN rule IS NULL OR rule.r{i} = '*' THEN n{i} ELSE rule.r{i} END AS x{i}" for i in range(4)]
+    kept = [*given, *(f"n{i}" for i in range(4)), *(f"s{i}" for i in range(4)), "steps", "_cycseen"]
+    changed = " OR ".join(f"NOT (x{i} <=> n{i})" for i in range(4))
+    back = " AND ".join(f"x{i} <=> s{i}" for i in range(4))
+    saved = [f"if(chg AND ((steps + 1) & steps) = 0, x{i}, s{i}) AS s{i}" for i in range(4)]
+    return f"""
+      SELECT {", ".join(given)}, {", ".join(f"x{i} AS n{i}" for i in range(4))}, {", ".join(saved)},
+             steps + CAST(chg AS INT) AS steps, chg AS _chg, _cycseen OR (chg AND back) AS _cycseen
+      FROM (SELECT *, ({changed}) AS chg, ({back}) AS back
+            FROM (SELECT {", ".join(kept)}, {", ".join(nxt)}
+                  FROM ({_rule_sql(source, kept, nodes, [f"n{i}" for i in range(4)])})))"""
 
 
 def _apply_once(state: DataFrame, nodes: Nodes) -> DataFrame:
-    """One rule application to every row of ``(c0..c3, n0..n3, s0..s3,
-    steps)``; ``_chg`` tells whether the current tuple changed, ``_cyc``
-    whether it came back to the saved tuple ``s`` (Brent's cycle check: the
-    saved tuple is refreshed whenever the step count reaches a power of two,
-    so any cycle is seen within a small multiple of its length -- such a
-    chain can never terminate, so it is reported without running to the
-    application limit)."""
-    ns = [f"n{i}" for i in range(4)]
-    ss = [f"s{i}" for i in range(4)]
-    looked = _rule_for(state.select("c0", "c1", "c2", "c3", *ns, *ss, "steps", "_cycseen"),
-                       nodes, ns)
-    nxt = _apply(F.col("rule"), [F.col(n) for n in ns])
-    changed = F.lit(False)
-    back = F.lit(True)
-    for i, x in enumerate(nxt):
-        changed = changed | ~x.eqNullSafe(F.col(f"n{i}"))
-        back = back & x.eqNullSafe(F.col(f"s{i}"))
-    steps = F.col("steps") + changed.cast("int")
-    refresh = changed & (steps.bitwiseAND(steps - 1) == 0)
-    return looked.select(
-        "c0", "c1", "c2", "c3", *[x.alias(n) for x, n in zip(nxt, ns)],
-        *[F.when(refresh, x).otherwise(F.col(s)).alias(s) for x, s in zip(nxt, ss)],
-        steps.alias("steps"), changed.alias("_chg"),
-        (F.col("_cycseen") | (changed & back)).alias("_cycseen"))
+    return state.sparkSession.sql(_step_sql("{rows}", nodes), rows=state, nodes=nodes.table)
+
+
+def _walk_on(active: DataFrame, nodes: Nodes) -> DataFrame:
+    """The last step of every tuple in ``active``, by one recursive query: a
+    level applies the rules once to the tuples the level before changed.
+    Every level's rows are kept until the end, so this is for what is left
+    after the first rounds."""
+    spark = active.sparkSession
+    limits = {"spark.sql.cteRecursionLevelLimit": str(MAX_APPLICATIONS + 10), "spark.sql.cteRecursionRowLimit": "-1"}
+    before = {k: spark.conf.get(k) for k in limits}
+    columns = ", ".join(_STATE)
+    going = f"_chg AND NOT _cycseen AND steps <= {MAX_APPLICATIONS}"
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        walk = spark.sql(f"""
+          WITH RECURSIVE walk({columns}) AS (
+            SELECT {columns} FROM {{rows}}
+            UNION ALL
+            {_step_sql(f"(SELECT * FROM walk WHERE {going})", nodes)})
+          SELECT {columns} FROM walk WHERE NOT ({going})""", rows=active.select(*_STATE), nodes=nodes.table)
+        return cut_lineage(walk, "geo-walk")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def resolve_tuples(tuples: DataFrame, rules: DataFrame, per_round: int = 2) -> DataFrame:
@@ -178,25 +207,30 @@ def resolve_tuples(tuples: DataFrame, rules: DataFrame, per_round: int = 2) -> D
     or no rule applies.
 
     A round applies the rules once at first (most tuples match no rule),
-    then up to ``per_round`` times in one
-    plan, and is written as a stage table to the shared folder; rows whose last
-    application changed nothing are final, the others go on to the next
-    round.  A small aggregate over the written round decides whether to
-    continue.  All loop state lives in those files, so a lost executor costs
-    at most the current round.  More than 1000 applications on one tuple, or
-    a tuple that provably cycles, fails the job as cyclic rules."""
+    then up to ``per_round`` times in one plan, and is written as a stage
+    table to the shared folder; rows whose last application changed nothing
+    are final, the others go on to the next round.  A small aggregate over the
+    written round decides whether to continue.  All loop state lives in those
+    files, so a lost executor costs at most the current round.  After
+    ``ROUNDS`` rounds the tuples that still change, if they are few, are
+    walked to their ends by one recursive query instead of a round for every
+    two applications.  More than 1000 applications on one tuple, or a tuple
+    that provably cycles, fails the job as cyclic rules."""
     nodes = _nodes(prefix_table(rules))
     cols = ["c0", "c1", "c2", "c3"]
     active = tuples.select(*cols, *[F.col(c).alias(f"n{i}") for i, c in enumerate(cols)],
                            *[F.col(c).alias(f"s{i}") for i, c in enumerate(cols)],
-                           F.lit(0).alias("steps"), F.lit(False).alias("_cycseen"))
-    finished_parts, times = [], 1
+                           F.lit(0).alias("steps"), F.lit(True).alias("_chg"), F.lit(False).alias("_cycseen"))
+    finished_parts, times, rounds, left = [], 1, 0, None
     while True:
-        step = active
-        for _ in range(times):
-            step = _apply_once(step, nodes)
-        times = min(2 * times, per_round)
-        step = cut_lineage(step, "geo-round")
+        if rounds >= ROUNDS and left <= WALK_ROWS:
+            step = _walk_on(active, nodes)
+        else:
+            step = active
+            for _ in range(times):
+                step = _apply_once(step, nodes)
+            step = cut_lineage(step, "geo-round")
+        times, rounds = min(2 * times, per_round), rounds + 1
         stats = step.agg(F.count_if("_chg").alias("n"), F.max("steps").alias("m"),
                          F.count_if("_cycseen").alias("c")).first()
         finished_parts.append(step.where(~F.col("_chg")).select(*cols, *[f"n{i}" for i in range(4)]))
@@ -204,9 +238,10 @@ def resolve_tuples(tuples: DataFrame, rules: DataFrame, per_round: int = 2) -> D
             raise RuntimeError(
                 f"location rules applied without end (more than {MAX_APPLICATIONS} "
                 "applications would be needed); the rules are cyclic")
-        if not stats["n"]:
+        left = stats["n"]
+        if not left:
             break
-        active = step.where("_chg").drop("_chg")
+        active = step.where("_chg")
     done = finished_parts[0]
     for p in finished_parts[1:]:
         done = done.unionByName(p)

@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import row_md5
-from ..operators.diff import extract_added_or_changed, extract_unchanged, snapshot_diff
+from ..operators.diff import FILE, ROW, extract_added_or_changed, extract_unchanged, snapshot_diff, with_place
 from ..operators.frames import flatten_publish, map_to_null, project_feed
 from ..operators.georules import map_locations
 from ..operators.sets import sort_output, union_all, union_distinct
 from .clean import FEED, FEED_NULL_MARKERS, OPEN, CleanSpec
 from .enrich import enrich_entries, enrich_open, lineages
-from ..session import cut_lineage
+from ..session import BROADCAST_MAX_BYTES, cut_lineage
 from ..session import land as land_table
 
 
@@ -38,24 +38,25 @@ def normalise_feed(feed: DataFrame, rules: DataFrame | None, framing: str = "pla
     ``land=True`` writes the projected entries once as a Parquet stage table
     before the location pass: the distinct-location job then reads four
     columns of it and the final pass reads it instead of parsing the feed
-    text a second time."""
+    text a second time.  The entries then carry the place of their landed row
+    (``operators.diff.FILE``, ``ROW``)."""
     e = project_feed(feed, ordinal=ORDINAL)
     e = map_to_null(e, FEED_NULL_MARKERS)
     if land:
-        e = land_table(e, "feed-landed")
+        e = with_place(land_table(e, "feed-landed"))
     if rules is not None:
         e = map_locations(e, rules)
-    return e.withColumn("md5", row_md5(e, [c for c in e.columns if c != ORDINAL], framing))
+    return e.withColumn("md5", row_md5(e, [c for c in e.columns if c not in (ORDINAL, FILE, ROW)], framing))
 
 
 def hash_table(entries: DataFrame, id_col: str = "gisaidEpiIsl") -> DataFrame:
-    """Side output ``(gisaidEpiIsl, md5)``, with the feed's ``ordinal`` where
-    there is one.  A record without an id fails the job: it could never be
+    """Side output ``(gisaidEpiIsl, md5)``, with the feed's ``ordinal`` and
+    the places of landed rows where they are known.  A record without an id fails the job: it could never be
     matched with its next version."""
     ident = F.when(F.col(id_col).isNull(), F.raise_error(F.lit(
         f"a feed record has no {id_col}")).cast("string")).otherwise(F.col(id_col))
     return entries.select(ident.alias(id_col), F.col("md5"),
-                          *[F.col(c) for c in (ORDINAL,) if c in entries.columns])
+                          *[F.col(c) for c in (ORDINAL, FILE, ROW) if c in entries.columns])
 
 
 @dataclass
@@ -69,7 +70,7 @@ class Prepared:
 def prepare(feed: DataFrame, rules: DataFrame | None, previous_hashes: DataFrame,
             id_col: str = "gisaidEpiIsl", sort_changed: bool = False,
             old_ordinal: str | None = None, stage: bool = True,
-            stage_root: str | None = None) -> Prepared:
+            stage_root: str | None = None, max_bytes: int = BROADCAST_MAX_BYTES) -> Prepared:
     """Normalise + fingerprint the feed, diff against the previous hashes and
     extract the added/changed entries.  ``sort_changed`` orders them by id
     (a global sort of wide rows, only worth it when a consumer needs sorted
@@ -81,7 +82,7 @@ def prepare(feed: DataFrame, rules: DataFrame | None, previous_hashes: DataFrame
 
     With ``stage=True`` the wide rows are written twice: once as they are
     landed, and the added/changed ones once more, normalised.  The narrow
-    (id, ordinal, md5) table and the diff are stage tables of their own; all
+    (id, ordinal, md5, place) table and the diff are stage tables of their own; all
     lie in the shared checkpoint folder, so a lost executor re-reads files
     instead of recomputing the feed.  With ``stage_root`` the narrow tables
     and ``changed`` are kept there (``hashes``, ``diff``, ``changed``)."""
@@ -95,12 +96,15 @@ def prepare(feed: DataFrame, rules: DataFrame | None, previous_hashes: DataFrame
                  old_ordinal or (ORDINAL if ORDINAL in previous_hashes.columns else None))
     if stage:
         diff = cut_lineage(diff, "diff", path=at("diff"))
-    changed = extract_added_or_changed(entries.drop("md5"), diff, id_col, diff_covers_entries=True)
+    places = hashes.select(F.col(id_col).alias("id"), FILE, ROW) if stage else None
+    hashes = hashes.drop(FILE, ROW)
+    changed = extract_added_or_changed(entries.drop("md5"), diff, id_col, diff_covers_entries=True,
+                                       places=places, max_bytes=max_bytes).drop(FILE, ROW)
     if sort_changed:
         changed = sort_output(changed, id_col, [ORDINAL] if ORDINAL in changed.columns else [])
     if stage:
         changed = cut_lineage(changed, "changed", path=at("changed"))
-    return Prepared(entries.drop("md5"), hashes, diff, changed)
+    return Prepared(entries.drop("md5", FILE, ROW), hashes, diff, changed)
 
 
 def _diff(previous: DataFrame, hashes: DataFrame, id_col: str, old_ordinal: str | None) -> DataFrame:

@@ -22,6 +22,7 @@ from collections.abc import Mapping
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.diff import FILE, ROW
 from ..operators.sets import union_distinct
 from ..session import land, remove_folder, stage_run
 from ..sources import archive as A
@@ -102,7 +103,7 @@ def run_finish(spark: SparkSession, stage_dir: str, qc_tsv: str, aligned_fasta:
         spec = _templated(spark, spec, template_json)
         changed = spark.read.parquet(f"{stage}/changed")
         diff = spark.read.parquet(f"{stage}/diff")
-        hashes = spark.read.parquet(f"{stage}/hashes")
+        hashes = spark.read.parquet(f"{stage}/hashes").drop(FILE, ROW)
         prev = spark.read.parquet(f"{stage}/previous").first()["previous"] or None
         qc = land(R.read_tsv_records(spark, qc_tsv, ordinal="ordinal"))
         aligned = land(R.read_fasta(spark, aligned_fasta, ordinal="ordinal"))

@@ -316,10 +316,10 @@ def rebuild_from_files(spark, sf):
     i = rebuild_inputs(spark, sf)
     for name in ("metadata", "qc"):
         _write_tsv(i[name].drop("ordinal"), f"{root}/{name}")
-    # sequences as one line each; the texts' lines would be joined
-    url = table(spark, sf, "pages").select(F.concat(F.lit("doc"), F.col("page_id").cast("string")).alias("k"),
-                                           F.col("url").alias("v"))
-    W.write_fasta(url, f"{root}/sequences", "k", "v")
+    # whole texts; a line that starts like a header gets a blank before
+    texts = i["sequences"].select("sample_name", F.regexp_replace(
+        F.coalesce("sequence", F.lit("")), "(?m)^>", " >").alias("sequence"))
+    W.write_fasta(texts, f"{root}/sequences", "sample_name", "sequence")
     W.write_fasta(i["aligned"], f"{root}/aligned", "sample_name", "sequence")
     for g in GENES:
         W.write_fasta(i["translations"].where(F.col("gene") == g), f"{root}/{g}", "sample_name", "sequence")
@@ -492,8 +492,11 @@ ORACLE = {
     "aligner_input": f"""
       SELECT id AS sample_name, repeat('ACGT', CAST(1 + o_orderkey % 3 AS INTEGER)) AS sequence
       FROM ({_SQL_FEED_BASE}) WHERE NOT (st = 'F' AND date_raw < '{ARCHIVED_BEFORE}')""",
-    "rebuild_from_files": _SQL_REBUILD.replace("text AS useq FROM documents", "url AS useq FROM pages_as_documents")
-    .replace("FROM pages_as_documents", "FROM (SELECT page_id AS doc_id, url FROM pages)"),
+    # a FASTA record's sequence is its lines that are not blank, put together
+    "rebuild_from_files": _SQL_REBUILD.replace("text AS useq FROM documents", """array_to_string(list_filter(
+             list_transform(string_split(coalesce(text, ''), chr(10)),
+               lambda x: CASE WHEN x[1] = '>' THEN ' ' || x ELSE x END),
+             lambda x: regexp_matches(x, '\\S')), '') AS useq FROM documents"""),
     "sorted_output": """
       SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_orderkey) AS pos FROM orders""",
     "full_rebuild": _SQL_REBUILD,

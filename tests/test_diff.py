@@ -1,5 +1,8 @@
 """Snapshot diff (F12) and its invariants."""
+from pyspark.sql import functions as F
+
 from genoflux.operators import diff as D
+from genoflux.session import cut_lineage
 
 
 def _diff(spark, old, new):
@@ -104,3 +107,20 @@ def test_initial_load_takes_the_anti_join(spark):
     out = D.extract_added_or_changed(entries, diff, diff_covers_entries=True, max_bytes=100)
     assert "LeftAnti" in out._jdf.queryExecution().toString()
     assert sorted(r.v for r in out.collect()) == list(range(50))
+
+
+def test_extract_by_places_moves_no_wide_rows(spark):
+    """No id set passes the gate: the rows to keep go as bitmaps."""
+    rows = [(f"EPI_ISL_{i:024d}", f"v{i % 3}", "ACGT" * 20) for i in range(60_000)] + [
+        ("EPI_ISL_" + "0" * 24, "again", "AC"), (None, "x", "AC")]
+    landed = cut_lineage(spark.createDataFrame(rows, "id string, v string, sequence string").repartition(2), "landed")
+    entries = D.with_place(landed)
+    status = F.when(F.col("v") == "v1", "changed").when(F.col("v") == "v2", "added").otherwise("unchanged")
+    diff = cut_lineage(entries.where("id is not null").select("id", status.alias("status")), "diff")
+    places = entries.select("id", D.FILE, D.ROW)
+    for gate in (100_000, 10):  # bitmaps pass the first only
+        got = D.extract_added_or_changed(entries, diff, diff_covers_entries=True, max_bytes=gate, places=places)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange hashpartitioning" in plan) == (gate == 10)
+        want = [r for r in rows if r[0] and r[1] in ("v1", "v2")]
+        assert sorted(map(tuple, got.select("id", "v", "sequence").collect())) == sorted(want)

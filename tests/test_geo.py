@@ -139,3 +139,21 @@ def test_lookup_only(spark):
     t = spark.createDataFrame([("a", "b", "b", "a"), ("q", "q", "q", "q")], "c0 string, c1 string, c2 string, c3 string")
     got = {tuple(r)[:4]: (r.rule.r0 if r.rule else None) for r in G.lookup(t, G.prefix_table(rules)).collect()}
     assert got == {("a", "b", "b", "a"): "Z", ("q", "q", "q", "q"): None}
+
+
+def test_long_chain_of_applications(spark):
+    """Resolved in a few rounds and one recursive query; a cycle at the end
+    of a chain still fails."""
+    pairs = [(f"x/{i}/*/*", f"x/{i + 1}/*/*") for i in range(120)]
+    tuples = [("x", str(i), "q", "r") for i in (0, 60, 100, 119, 120)] + [("y", "1", "q", "r")]
+    written = []
+    write = G.cut_lineage
+    G.cut_lineage = lambda df, name="stage": written.append(name) or write(df, name)
+    try:
+        got = spark_resolve(spark, pairs, tuples)
+    finally:
+        G.cut_lineage = write
+    assert got == [("x", "120", "q", "r")] * 5 + [("y", "1", "q", "r")]
+    assert written.count("geo-round") == G.ROUNDS and written.count("geo-walk") == 1
+    with pytest.raises(RuntimeError, match="cyclic"):
+        spark_resolve(spark, [*pairs[:40], ("x/40/*/*", "x/20/*/*")], tuples[:1])

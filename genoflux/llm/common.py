@@ -43,7 +43,9 @@ def _ship_package(spark: SparkSession) -> None:
 def small_batches(spark: SparkSession) -> None:
     """What every operator with Python tasks needs: the package on the
     executors, and Arrow batches of a bounded size (a batch is held several
-    times over: JVM, Arrow, Python)."""
+    times over: JVM, Arrow, Python).  The two settings hold for the session
+    from then on; plans read them when they run, after the operator has
+    returned its frame, so they cannot be kept to the call."""
     _ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))

@@ -16,7 +16,8 @@ exclusive, disjoint), or from several text columns put together.
 
 Defined cases: a null text is empty; an empty text has one empty section and
 no tokens; a document without given sections, or with null or empty spans
-only, is one section as a whole; null and repeated ids are counted row by
+only, is one section as a whole; equal spans are one, spans that overlap fail
+the job; null and repeated ids are counted row by
 row; an empty table gives no rows.
 """
 
@@ -97,8 +98,10 @@ def count(text: str, spans: list[tuple[int, int]] | None, encode: ByteEncoder):
         else:
             a, b = np.searchsorted(heads, first), np.searchsorted(heads, last)
     else:
-        spans = np.array(sorted(spans) or [(0, len(text))], np.int64)
+        spans = np.array(sorted(set(spans)) or [(0, len(text))], np.int64)
         a, b = np.clip(spans.T, 0, len(text))
+        if (a[1:] < b[:-1]).any():
+            raise ValueError("sections of a document overlap: their tokens would count twice")
         at = np.arange(len(data) + 1) if heads is None else np.append(heads, len(data))
         first, last = at[a], at[b]
     tokens, crossing = allocate(ends, first, last)

@@ -1,5 +1,6 @@
 """URL filter, mixing, tool-call linking and the pipeline: fixtures with
 known answers, brute force, odd rows; plans free of Python."""
+import hashlib
 import json
 import math
 import random
@@ -8,6 +9,7 @@ from datetime import date
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from genoflux.llm import exact_dedup, mixing, queries, tool_calls, url_filters
@@ -342,3 +344,55 @@ def test_pipeline_accepts_an_empty_table(spark):
 
 def test_vocabularies_are_not_in_the_repository():
     assert queries.vocabulary("word_bpe_49k.json") == public_tokenizers.path("word_bpe_49k.json")
+
+
+def test_pipeline_against_a_plain_chain(spark):
+    """All stages behind the learned one in plain Python, on what it keeps."""
+    docs = corpus_pipeline.quality(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+    rows = [(r["doc_id"], r["text"] or "", r["source"]) for r in docs.collect()]
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    by_text = {}
+    for r in sorted(rows):
+        by_text[r[1].translate(str.maketrans(upper, upper.lower()))] = r  # the largest id stays
+    rows = sorted(by_text.values())
+
+    def shingles(text):
+        words = text.lower().split()
+        width = min(5, len(words))
+        return {tuple(words[i:i + width]) for i in range(len(words) - width + 1)} if words else set()
+    sets = {r[0]: shingles(r[1]) for r in rows}
+    root = {r[0]: r[0] for r in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i, (a, *_) in enumerate(rows):
+        for b, *_ in rows[:i]:
+            x, y = sets[a], sets[b]
+            if not (x or y) or x and y and len(x & y) >= 0.8 * len(x | y):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    rows = [r for r in rows if find(r[0]) == r[0]]
+
+    sizes = {}
+    for r in rows:
+        sizes[r[2]] = sizes.get(r[2], 0) + 1
+    total, weights = len(rows), sum(math.sqrt(n) for n in sizes.values())
+    tokenizer = Tokenizer.from_file(queries.vocabulary("word_bpe_49k.json"))
+    want = {}
+    for i, text, source in rows:
+        rate = math.sqrt(sizes[source]) / weights * total / sizes[source]
+        u = int(hashlib.md5(f"7|{i}|1".encode()).hexdigest()[:13], 16) / 2 ** 52
+        copies, p, below = 0, math.exp(-rate), math.exp(-rate)
+        while below <= u:
+            copies += 1
+            p *= rate / copies
+            below += p
+        if copies:
+            want[i] = (len(tokenizer.encode(text, add_special_tokens=False).ids) + 1, copies)
+    got = {}
+    for r in corpus_pipeline.run(spark, SF).collect():
+        tokens, held = got.get(r["doc_id"], (r["doc_tokens"], 0))
+        got[r["doc_id"]] = (tokens, held + r["length"])
+    assert got == {i: (n, n * copies) for i, (n, copies) in want.items()}

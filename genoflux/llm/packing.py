@@ -220,13 +220,22 @@ def encoder(path: str) -> WordEncoder:
 def difference(sizes: np.ndarray, k: int) -> list[list[int]]:
     """Item numbers per window after multiway differencing into ``k`` windows."""
     n = len(sizes)
-    first, second = np.full(n + n * k, -1), np.full(n + n * k, -1)  # joined window contents
-    used = n
     heap = []
-    for i, s in enumerate(sizes):
-        heap.append((-int(s), i, np.array([s]), np.array([i])))  # windows in use, fullest first
+    # The largest item's imbalance is its size, and stays so while it gathers
+    # the next ones in windows of their own.  As long as the items are no
+    # smaller than the imbalance of what is gathered, k at a time become one
+    # partition, without a merge for each.
+    order, at, turn, most = np.argsort(-sizes, kind="stable"), 0, n, 0
+    while at + k <= n and sizes[order[at + k - 1]] >= most:
+        block = order[at:at + k]
+        gap = int(sizes[block[0]] - sizes[block[-1]])
+        heap.append((-gap, turn, sizes[block], block))
+        at, turn, most = at + k, turn + 1, max(most, gap)
+    for i in order[at:]:
+        heap.append((-int(sizes[i]), int(i), sizes[i:i + 1], np.array([i])))  # windows in use, fullest first
     heapq.heapify(heap)
-    turn = n
+    first, second = np.full(n + len(heap) * k, -1), np.full(n + len(heap) * k, -1)  # joined window contents
+    used = n
     while len(heap) > 1:
         _, _, a, an = heapq.heappop(heap)
         _, _, b, bn = heapq.heappop(heap)

@@ -30,6 +30,8 @@ HOT_ROWS_CONF = "genoflux.zip.hotKeyRows"
 # A key above this many rows is numbered on the split (hot) path.  With
 # ~30 kB sequence rows a window group below it is at most ~1.5 GB.
 DEFAULT_HOT_ROWS = 50_000
+# Up to this share of rows whose key repeats, those alone are numbered.
+SPARSE_SHARE = 0.1
 
 
 def hot_limit(df: DataFrame, hot_rows: int | None) -> int:
@@ -64,7 +66,7 @@ def with_file_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
 
 def key_stats(inputs: Sequence[tuple[DataFrame, Sequence[str]]], limit: int) -> list[dict]:
     """For each ``(df, keys)``: the largest group size, the number of keys
-    above ``limit`` and the rows of keys that repeat -- all inputs in ONE job (key-only projections unioned,
+    above ``limit``, the rows of keys that repeat and all rows -- all inputs in ONE job (key-only projections unioned,
     one partial aggregation; the result has one row per input)."""
     parts = []
     for tag, (df, keys) in enumerate(inputs):
@@ -77,10 +79,10 @@ def key_stats(inputs: Sequence[tuple[DataFrame, Sequence[str]]], limit: int) ->
     per_key = u.groupBy("_t", "_k").agg(F.count(F.lit(1)).alias("_n"))
     rows = per_key.groupBy("_t").agg(F.max("_n").alias("mx"),
                                      F.count_if(F.col("_n") > limit).alias("hot"),
-                                     F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("rep")
-                                     ).collect()
-    got = {r["_t"]: {"mx": r["mx"], "hot": r["hot"], "rep": r["rep"]} for r in rows}
-    return [got.get(t, {"mx": None, "hot": 0, "rep": 0}) for t in range(len(inputs))]
+                                     F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("rep"),
+                                     F.sum("_n").alias("n")).collect()
+    got = {r["_t"]: {k: r[k] for k in ("mx", "hot", "rep", "n")} for r in rows}
+    return [got.get(t, {"mx": None, "hot": 0, "rep": 0, "n": 0}) for t in range(len(inputs))]
 
 
 def _sparse_numbers(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame | None:
@@ -135,7 +137,8 @@ def key_row_number(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
     w = Window.partitionBy(*kcols).orderBy(*[F.col(f"`{o}`") for o in order])
     if not stats["hot"]:
         # 64 bytes a row is a low guess; the table itself is measured
-        sparse = _sparse_numbers(df, keys, order) if 64 * stats["rep"] <= BROADCAST_MAX_BYTES else None
+        few = stats["rep"] <= SPARSE_SHARE * stats["n"] and 64 * stats["rep"] <= BROADCAST_MAX_BYTES
+        sparse = _sparse_numbers(df, keys, order) if few else None
         if sparse is not None:
             same = F.lit(True)
             for i, k in enumerate(keys):

@@ -64,18 +64,19 @@ def test_few_repeated_keys_are_numbered_without_moving_wide_rows(spark):
 
 
 def test_repeated_keys_whose_order_ties_use_a_window(spark):
-    df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "x"), ("b", 1, "y")], "k string, o long, w string")
+    rest = [(f"b{i:02d}", 1, "y") for i in range(30)]
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "x"), *rest], "k string, o long, w string")
     out = Z.key_row_number(df, "k", "o")
-    assert sorted((r["k"], r["rn"]) for r in out.collect()) == [("a", 1), ("a", 2), ("b", 1)]
+    assert sorted((r["k"], r["rn"]) for r in out.collect()) == [("a", 1), ("a", 2), *((k, 1) for k, *_ in rest)]
 
 
 def test_exchanges_of_a_join_of_two_inputs_with_repeats(spark):
-    left = spark.createDataFrame([("a", i, "l") for i in range(3)] + [("b", 9, "l")], "key string, o long, x string")
-    right = spark.createDataFrame([("a", i, "r") for i in range(2)] + [("c", 9, "r")], "key string, o long, y string")
+    left = spark.createDataFrame([("a", i, "l") for i in range(3)] + [(f"b{i}", 9, "l") for i in range(40)], "key string, o long, x string")
+    right = spark.createDataFrame([("a", i, "r") for i in range(2)] + [(f"c{i}", 9, "r") for i in range(40)], "key string, o long, y string")
     out = Z.zip_inputs([(left, "key", "o"), (right, "key", "o")])
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2 and "Window" not in plan  # the join's own two
-    assert out.count() == 5
+    assert out.count() == 83
 
 
 def test_maps_are_sorted_at_any_depth(spark, tmp_dir):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -48,7 +49,7 @@ def small_batches(spark: SparkSession) -> None:
     returned its frame, so they cannot be kept to the call."""
     _ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -58,6 +59,17 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.coalesce(docs[text_col], F.lit("")).alias("text"))
 
 
+def hand_back() -> None:
+    """Return freed memory to the system.  A Python worker stays between
+    tasks, beside the JVM of its executor; what its allocators keep for later
+    would count against the executor for as long."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
            limit: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about ``limit`` bytes of text:
@@ -73,6 +85,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
                 start, held = i, 0
             held += n or 0
         yield batch.slice(start)
+    hand_back()
 
 
 def map_text(df: DataFrame, function: Callable[[list, list[str]], dict], schema: str,

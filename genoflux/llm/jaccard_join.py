@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, maybe_broadcast
-from .common import id_and_text, slices, small_batches
+from .common import hand_back, id_and_text, slices, small_batches
 from .components import components
 
 NGRAM, THRESHOLD = 5, 0.8
@@ -214,6 +214,7 @@ def _digests(docs: DataFrame) -> DataFrame:
                 [b.column(0), b.column(2), pa.array(digest, pa.binary()), pa.array(n, pa.int64()),
                  pa.array(bands, pa.list_(pa.int64()))], schema=schema)
         _HASHES.clear()
+        hand_back()
 
     return docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key")).mapInArrow(
         run, "doc_id long, text_key long, digest binary, n long, bands array<long>")
@@ -231,6 +232,7 @@ def _sets(texts: DataFrame) -> DataFrame:
                 [pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()),
                  pa.array(sets, pa.binary())], schema=schema)
         _HASHES.clear()
+        hand_back()
 
     return texts.select("text").mapInArrow(run, "digest binary, shingles binary")
 

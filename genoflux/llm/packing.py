@@ -38,13 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import id_and_text, slices, small_batches
+from .common import hand_back, id_and_text, slices, small_batches
 
 CAPACITY = 4096
 END_ID = 2
 GROUP_TOKENS = 1_000_000
 #: Largest piece of a remainder; and groups that a task of the second pass gets, about.
-PIECE, REST_GROUPS = 512, 8
+PIECE, REST_GROUPS = 512, 2
 #: Distinct words (and their characters) above which a task forgets rare ones,
 #: words that a worker keeps between tasks, and uses that make a word common.
 MEMO_WORDS, MEMO_CHARS, IDLE_WORDS, COMMON = 600_000, 8_000_000, 200_000, 3
@@ -364,6 +364,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
             if rows:
                 yield _batch([(*r, None) for r in rows], with_rest)
         words.forget(IDLE_WORDS)
+        hand_back()
         if packer.group:
             yield _batch([(doc_id, at, len(ids), None, tokens, None, None, ids.tobytes())
                           for doc_id, tokens, at, ids in packer.group], with_rest)

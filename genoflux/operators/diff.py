@@ -88,12 +88,14 @@ def ids_with_status(diff: DataFrame, statuses: Iterable[str]) -> DataFrame:
 def extract_by_status(entries: DataFrame, diff: DataFrame, statuses: Iterable[str],
                       entry_id: str = "id", exclude: Iterable[str] = ()) -> DataFrame:
     """Rows of ``entries`` whose id has one of ``statuses`` (left semi-join);
-    ids that also have a status in ``exclude`` are dropped (strict mode)."""
-    ids = ids_with_status(diff, statuses)
+    ids that also have a status in ``exclude`` are dropped (strict mode).
+    Merge joins by hint: the ids of a written diff are many times the size of
+    its files, by which Spark would choose to broadcast them."""
+    ids = ids_with_status(diff, statuses).hint("merge")
     out = entries.join(ids, entries[entry_id] == ids["id"], "left_semi")
     exclude = list(exclude)
     if exclude:
-        ex = ids_with_status(diff, exclude)
+        ex = ids_with_status(diff, exclude).hint("merge")
         out = out.join(ex, out[entry_id] == ex["id"], "left_anti")
     return out
 
@@ -102,7 +104,7 @@ def _all_in_diff(df: DataFrame, id_col: str, diff: DataFrame) -> bool:
     """Whether every non-null id of ``df`` is classified by ``diff`` (a join
     of the id columns alone)."""
     ids = df.select(F.col(id_col).alias("id")).where("id is not null").distinct()
-    return ids.join(diff.select("id").distinct(), "id", "left_anti").isEmpty()
+    return ids.join(diff.select("id").distinct().hint("merge"), "id", "left_anti").isEmpty()
 
 
 #: Where a landed row lies: its file's name and its number there.
@@ -119,7 +121,7 @@ def with_place(landed: DataFrame) -> DataFrame:
 def _place_bitmaps(places: DataFrame, ids: DataFrame) -> DataFrame:
     """(_bf, _bb, bits): the rows of ``places`` (id, FILE, ROW) whose id is in
     ``ids``, as one bit a row.  Narrow tables are joined."""
-    at = places.join(ids, "id", "left_semi").select(
+    at = places.join(ids.hint("merge"), "id", "left_semi").select(
         F.col(FILE).alias("_bf"), F.floor(F.col(ROW) / BITMAP_ROWS).alias("_bb"), F.expr(f"{ROW} % {BITMAP_ROWS}").alias("_bit"))
     return at.groupBy("_bf", "_bb").agg(F.bitmap_construct_agg("_bit").alias("bits"))
 

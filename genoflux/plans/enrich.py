@@ -5,7 +5,10 @@ All inputs are numbered within their key (``rn``) and joined on
 ``(key, rn)``; only positions present in the first input are kept.  The
 per-gene translations arrive as one long table ``(key, gene, sequence)`` and
 cost one grouped shuffle instead of one join per gene.  The join chain shares
-the ``(key, rn)`` hash partitioning, so only the inputs are shuffled.
+the ``(key, rn)`` hash partitioning, so only the inputs are shuffled.  The
+joins are merge joins by hint: the inputs are as large as the first one, but as
+stage tables they compress so well that Spark, which goes by the size of the
+files, would broadcast millions of rows.
 """
 
 from __future__ import annotations
@@ -92,12 +95,12 @@ def _join_inputs(base: DataFrame, base_key: str, qc: DataFrame, aligned: DataFra
     qn = number(1).select(KEY, RN, F.lit(True).alias("_qc_present"),
                           *[q(c).alias(QC_PREFIX + c) for c in qc_cols])
     an = number(2).select(KEY, RN, F.col("sequence").alias("_aligned"))
-    out = b.join(qn, [KEY, RN], "left").join(an, [KEY, RN], "left")
+    out = b.join(qn.hint("merge"), [KEY, RN], "left").join(an.hint("merge"), [KEY, RN], "left")
     if sequences is not None:
         sn = number(3).select(KEY, RN, F.col("sequence").alias("_unaligned"))
-        out = out.join(sn, [KEY, RN], "left")
+        out = out.join(sn.hint("merge"), [KEY, RN], "left")
     gn = zip_long(inputs[-1][0], KEY, "gene", "sequence", ordinal, RN, "_genes", limit, stats[-1])
-    out = out.join(gn, [KEY, RN], "left")
+    out = out.join(gn.hint("merge"), [KEY, RN], "left")
     return out, qc_cols
 
 

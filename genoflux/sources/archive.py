@@ -249,9 +249,10 @@ def publish_refresh(spark: SparkSession, root: str, previous: str, diff: DataFra
         r = maybe_broadcast(removed.select(F.col("id").alias("__id"), F.col("file").alias("__of")))
         live = live.join(r, live["id"].eqNullSafe(F.col("__id")) & (live["file"] == F.col("__of")), "left_anti")
     # narrow tables only: ids and file names
-    gone = cut_lineage(live.join(ids_with_status(diff, (UNCHANGED,)), "id", "left_anti").distinct(), "gone-ids")
+    still = ids_with_status(diff, (UNCHANGED,)).hint("merge")  # most of the ids, many times the size of their files
+    gone = cut_lineage(live.join(still, "id", "left_anti").distinct(), "gone-ids")
     lost = live.join(maybe_broadcast(gone.select("file").distinct()), "file", "left_semi").join(
-        gone.withColumn("__gone", F.lit(1)).withColumnsRenamed({"id": "__id", "file": "__of"}),
+        maybe_broadcast(gone.withColumnsRenamed({"id": "__id", "file": "__of"})),
         F.col("id").eqNullSafe(F.col("__id")) & (F.col("file") == F.col("__of"))).groupBy("file").agg(
         F.count(F.lit(1)).alias("now"))
     state = cut_lineage(files.join(lost, "file", "left").withColumn("now", F.coalesce("now", F.lit(0))).withColumn(

@@ -124,3 +124,26 @@ def test_extract_by_places_moves_no_wide_rows(spark):
         assert ("Exchange hashpartitioning" in plan) == (gate == 10)
         want = [r for r in rows if r[0] and r[1] in ("v1", "v2")]
         assert sorted(map(tuple, got.select("id", "v", "sequence").collect())) == sorted(want)
+
+
+def test_one_full_join_classifies_all(spark):
+    """Every shuffled row holds a digest; null ids match nothing."""
+    o = spark.createDataFrame([("a", "1"), ("b", "2"), ("b", "3"), (None, "4"), (None, "5"), ("n", None), ("g", "6")],
+                              "id string, md5 string")
+    n = spark.createDataFrame([("a", "1"), ("b", "2"), ("b", "3"), (None, "5"), (None, "5"), ("n", "7"), ("x", None)],
+                              "id string, md5 string")
+    d = D.snapshot_diff(o, n)
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "FullOuter" in plan
+    got = sorted((str(r.id), r.status) for r in d.collect())
+    assert got == [("None", "added"), ("None", "added"), ("None", "deleted"), ("a", "unchanged"), ("b", "changed"),
+                   ("b", "unchanged"), ("g", "deleted"), ("n", "added"), ("x", "added")]
+
+
+def test_ids_of_a_written_diff_are_not_broadcast_by_file_size(spark):
+    """200,000 ids of a written diff fill files far below Spark's own limit."""
+    diff = cut_lineage(spark.range(200_000).selectExpr("concat('EPI_', id) as id", "'added' as status"), "diff")
+    entries = diff.select("id", F.lit("ACGT").alias("sequence"))
+    for out in (D.extract_by_status(entries, diff, ("added",)), D.extract_by_status(entries, diff, ("added",), exclude=("changed",))):
+        assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 200_000

@@ -41,3 +41,19 @@ def test_unique_keys_number_without_window(spark):
     df = spark.range(100).selectExpr("cast(id as string) as k", "id as o")
     p = plan_of(key_row_number(df, "k", "o"))
     assert "Window" not in p
+
+
+def test_enrichment_does_not_broadcast_by_file_size(spark):
+    """Stage tables of the aligner's rows compress to a small part of what
+    they hold; the joins with them are merge joins."""
+    from genoflux.plans.enrich import enrich_entries
+    from genoflux.session import cut_lineage
+    k = "concat('EPI_', id)"
+    rows = spark.range(5_000)
+    changed = cut_lineage(rows.selectExpr(f"{k} as id", "map('main', 'ACGT') as unaligned_nuc"), "changed")
+    qc = cut_lineage(rows.selectExpr(f"{k} as seqName", "'20A' as clade_nextstrain"), "qc")
+    aligned = cut_lineage(rows.selectExpr(f"{k} as sample_name", "'ACGT' as sequence"), "aligned")
+    genes = cut_lineage(rows.selectExpr(f"{k} as sample_name", "'S' as gene", "'MK' as sequence"), "genes")
+    out = enrich_entries(changed, qc, aligned, genes, ["S"], "v1")
+    assert "BroadcastHashJoin" not in plan_of(out) and plan_of(out).count("SortMergeJoin") == 3
+    assert out.where("aligned_aa['S'] = 'MK'").count() == 5_000

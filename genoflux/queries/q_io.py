@@ -146,16 +146,23 @@ def legacy_diff_scan(spark, sf):
     """S11, legacy form: the diff written as one JSON object of four arrays
     in one file, and scanned back as a stream."""
     path = shared_path(spark, "legacy-diff")
-    rows = _diffed(spark, sf).select(F.col("id").cast("string").alias("id"), "status")
-    ordered = rows.select("status", F.lit(1).alias("kind"), "id", F.concat(F.lit('"'), "id", F.lit('",')).alias("value"))
-    marks = spark.createDataFrame(
-        [(p, k, "", v) for n, p in enumerate(R.DIFF_PARTS) for k, v in (
-            (0, ("{" if n == 0 else ",") + f' "{p}": ['), (2, f'"last-{p}"]' + ("}" if n == 3 else "")))],
-        "status string, kind int, id string, value string")
-    ordered.unionByName(marks).orderBy("status", "kind", "id").select("value").coalesce(1).write.text(path)
+    _legacy_lines(_diffed(spark, sf)).coalesce(1).write.text(path)
     return R.read_diff(spark, path, legacy=True)
 
 
+def _legacy_lines(diff):
+    """The lines of the object in order.  They are sorted by many tasks and
+    checkpointed, so that the one task that writes the file only copies them;
+    a sort in that task would hold all of them."""
+    rows = diff.select("status", F.lit(1).alias("kind"), F.col("id").cast("string").alias("text"))
+    marks = diff.sparkSession.createDataFrame(
+        [(p, k, v) for n, p in enumerate(R.DIFF_PARTS) for k, v in (
+            (0, ("{" if n == 0 else ",") + f' "{p}": ['), (2, f'"last-{p}"]' + ("}" if n == 3 else "")))],
+        "status string, kind int, text string")
+    line = F.when(F.col("kind") == 1, F.concat(F.lit('"'), "text", F.lit('",'))).otherwise(F.col("text"))
+    return rows.unionByName(marks).orderBy("status", "kind", "text").select(line.alias("value")).checkpoint()
+
+
 def hash_table_scan(spark, sf):
     """K4 + S10: the (id, md5) side table written and read back."""
     path = shared_path(spark, "hashes")

@@ -124,3 +124,19 @@ def test_legacy_diff_of_unknown_arrays_fails(spark, tmp_dir):
         out.write('{"added": [], "moved": ["x"]}')
     with pytest.raises(ValueError, match="moved"):
         R.read_diff(spark, tmp_dir, legacy=True)
+
+
+def test_the_writer_of_a_legacy_diff_only_copies(spark, tmp_dir):
+    """The one task that writes the object has nothing to sort; its lines
+    come in order from many tasks."""
+    from genoflux.queries.q_io import _legacy_lines
+    diff = spark.range(5_000).selectExpr("id", "array('added', 'changed', 'deleted', 'unchanged')[cast(id % 4 as int)] as status")
+    lines = _legacy_lines(diff).coalesce(1)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan
+    lines.write.text(f"{tmp_dir}/d")
+    assert spark.read.text(f"{tmp_dir}/d", wholetext=True).count() == 1
+    (whole,) = [r.value for r in spark.read.text(f"{tmp_dir}/d", wholetext=True).collect()]
+    got = json.loads(whole)
+    for n, part in enumerate(("added", "changed", "deleted", "unchanged")):
+        assert got[part] == [*sorted(str(i) for i in range(n, 5_000, 4)), f"last-{part}"]

@@ -48,9 +48,9 @@ def snapshot_diff(old: DataFrame, new: DataFrame, id_col: str = "id",
       in two statuses;
     * ``deleted`` = old ids absent from new.
 
-    One full join classifies all.  Every row it shuffles holds a digest, so
-    the bytes by which AQE puts shuffled partitions together tell how many
-    rows a task gets; ids alone may compress to a few bytes each, and a task
+    Every row that is shuffled holds a digest, also for the deleted ids: the
+    bytes by which AQE puts shuffled partitions together then tell how many
+    rows a task gets.  Ids alone may compress to a few bytes each, and a task
     would get tens of millions of them to sort.
     """
     o = old.select(F.col(id_col).alias("id"), F.col(hash_col).alias("old_md5"),
@@ -59,13 +59,19 @@ def snapshot_diff(old: DataFrame, new: DataFrame, id_col: str = "id",
         o = o.groupBy("id").agg(F.max_by("old_md5", "_ord").alias("old_md5"))
     else:
         o = o.groupBy("id").agg(F.max("old_md5").alias("old_md5"))
-    n = new.select(F.col(id_col).alias("id"), F.col(hash_col).alias("new_md5"), F.lit(True).alias("_new"))
-    return n.join(o, "id", "full").select(
+    n = new.select(F.col(id_col).alias("id"), F.col(hash_col).alias("new_md5"))
+    # new LEFT JOIN old: AQE can split a skewed new-side id (not possible for
+    # a full outer join), the old side is one row per id.
+    classified = n.join(o, "id", "left").select(
         "id",
-        F.when(F.col("_new").isNull(), F.lit(DELETED))
-        .when(F.col("old_md5").isNull(), F.lit(ADDED))
+        F.when(F.col("old_md5").isNull(), F.lit(ADDED))
         .when(F.col("old_md5") == F.col("new_md5"), F.lit(UNCHANGED))
         .otherwise(F.lit(CHANGED)).alias("status"))
+    new_ids = n.groupBy(F.col("id").alias("_nid")).agg(F.max("new_md5").alias("_any"))  # map-side combine of duplicates
+    # true of any two digests; it keeps them in the rows that are shuffled
+    held = F.coalesce(F.greatest("old_md5", "_any").cast("string"), F.lit("")) >= ""
+    deleted = o.join(new_ids, (F.col("id") == F.col("_nid")) & held, "left_anti").select("id", F.lit(DELETED).alias("status"))
+    return classified.unionByName(deleted)
 
 
 def diff_summary(diff: DataFrame) -> DataFrame:

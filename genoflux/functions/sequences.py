@@ -85,7 +85,8 @@ def insertions_by_gene(c, genes: Iterable[str]) -> Column:
 
 def sorted_map(m) -> Column:
     """Map with keys in ascending order (canonical serialisation)."""
-    return F.map_from_entries(F.array_sort(F.map_entries(_c(m))))
+    # sort_array is compiled; array_sort compares by a function called for each pair
+    return F.map_from_entries(F.sort_array(F.map_entries(_c(m))))
 
 
 def canonical_maps(c, kind: T.DataType) -> Column:

@@ -146,7 +146,7 @@ def extract_added_or_changed(entries: DataFrame, diff: DataFrame, entry_id: str
                              diff_covers_entries: bool = False,
                              max_bytes: int = BROADCAST_MAX_BYTES,
                              sizes: dict[str, int] | None = None,
-                             places: DataFrame | None = None) -> DataFrame:
+                             places: DataFrame | None = None, covered: bool = False) -> DataFrame:
     """Rows of ``entries`` whose id was added or changed.  A row with a null
     id, or with an id the diff does not know, is never among them.
 
@@ -154,7 +154,7 @@ def extract_added_or_changed(entries: DataFrame, diff: DataFrame, entry_id: str
     entries) the wide entries are filtered map-side against whichever id set
     measures small enough to broadcast: the added/changed ids (steady state:
     few records move) with a semi-join, else -- once the id columns prove
-    that the diff knows every entry -- the ids that are *only* unchanged with
+    that the diff knows every entry, or the caller knows it (``covered``) -- the ids that are *only* unchanged with
     an anti-join (an initial load, where everything is added).  Where neither
     is small but the entries carry ``FILE`` and ``ROW`` and ``places`` tells
     them by id (id, FILE, ROW), the rows to keep are sent as bitmaps, one bit
@@ -167,7 +167,7 @@ def extract_added_or_changed(entries: DataFrame, diff: DataFrame, entry_id: str
             return entries.join(F.broadcast(moving), entries[entry_id] == moving["id"], "left_semi")
         still = (diff.groupBy("id").agg(F.max(F.col("status").isin(ADDED, CHANGED)).alias("_m"))
                  .where(~F.col("_m")).select("id"))
-        if sizes.get(UNCHANGED, 0) <= max_bytes and _all_in_diff(entries, entry_id, diff):
+        if sizes.get(UNCHANGED, 0) <= max_bytes and (covered or _all_in_diff(entries, entry_id, diff)):
             return entries.where(F.col(entry_id).isNotNull()).join(
                 F.broadcast(still), entries[entry_id] == still["id"], "left_anti")
         if places is not None:

@@ -253,3 +253,25 @@ def zip_long(df: DataFrame, key: str, name_col: str, value_col: str,
     numbered = key_row_number(df, [key, name_col], order, rn, hot_rows, stats)
     return numbered.groupBy(key, rn).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(name_col), F.col(value_col)))).alias(out))
+
+
+def zip_names(df: DataFrame, key: str, name_col: str, value_col: str, order: Sequence[str] | str,
+              names: dict[str, str], rn: str = "rn", hot_rows: int | None = None,
+              stats: dict | None = None) -> DataFrame:
+    """``zip_long`` for a known list of names: one row per ``(key, rn)`` with
+    a column for each, called as ``names`` says.  A row without a name fails
+    the job; values of other names are left out.
+
+    No lists are built.  A group has one row per name at most, so the rows are
+    dealt by ``(key, rn)`` before they are grouped (nothing could be combined
+    sooner), and the sort that groups them also serves a merge join."""
+    limit = hot_limit(df, hot_rows)
+    stats = stats or key_stats([(df, [key, name_col])], limit)[0]
+    name = F.when(F.col(name_col).isNull(), F.raise_error(F.lit("row without name")).cast("string")).otherwise(
+        F.col(name_col))
+    rows = key_row_number(df, [key, name_col], order, rn, limit, stats).select(
+        key, rn, name.alias("_name"), F.col(value_col).alias("_value"))
+    if (stats["mx"] or 0) > 1:
+        rows = rows.repartition(key, rn)
+    return rows.groupBy(key, rn).agg(*[
+        F.max(F.when(F.col("_name") == F.lit(n), F.col("_value"))).alias(c) for n, c in names.items()])

@@ -22,11 +22,11 @@ from ..functions.sequences import insertion_list, insertions_by_gene
 from ..operators.frames import SEQUENCE_COLS, copy_column, override_when, q
 from ..operators.sets import distinct_values
 from ..operators.zipjoin import (content_ordinal, fallback_key, hot_limit, key_row_number,
-                                 key_stats, zip_long)
+                                 key_stats, zip_names)
 from .clean import FEED, LINEAGE_FIELDS, OPEN, CleanSpec, clean
 
 KEY, RN = "_key", "_rn"
-QC_PREFIX = "qc::"
+QC_PREFIX, GENE_PREFIX = "qc::", "gene::"
 
 
 def _keyed(df: DataFrame, primary: str, alternative: str, ordinal: str) -> DataFrame:
@@ -50,10 +50,9 @@ def _assemble(joined: DataFrame, base_cols: list[str], qc_cols: list[str], genes
             q(QC_PREFIX + c)
     ins = q(QC_PREFIX + "insertions") if "insertions" in qc_cols else F.lit(None).cast("string")
     aa_ins = q(QC_PREFIX + "aaInsertions") if "aaInsertions" in qc_cols else F.lit(None).cast("string")
-    genes_map = F.col("_genes")
     aa_pairs = []
     for g in genes:
-        aa_pairs += [F.lit(g), F.try_element_at(genes_map, F.lit(g))]
+        aa_pairs += [F.lit(g), q(GENE_PREFIX + g)]
     maps = {
         "aligned_nuc": F.create_map(F.lit("main"), F.col("_aligned")),
         "aligned_aa": F.create_map(*aa_pairs) if aa_pairs else F.create_map().cast("map<string,string>"),
@@ -73,7 +72,7 @@ def _assemble(joined: DataFrame, base_cols: list[str], qc_cols: list[str], genes
 
 def _join_inputs(base: DataFrame, base_key: str, qc: DataFrame, aligned: DataFrame,
                  translations: DataFrame, sequences: DataFrame | None, ordinal: str,
-                 hot_rows: int | None) -> tuple[DataFrame, list[str]]:
+                 hot_rows: int | None, genes: Sequence[str]) -> tuple[DataFrame, list[str]]:
     qc_cols = [c for c in qc.columns if c != ordinal]
     inputs = [(_keyed(base, base_key, "seqName", ordinal), [KEY]),
               (_keyed(qc, base_key, "seqName", ordinal), [KEY]),
@@ -99,7 +98,8 @@ def _join_inputs(base: DataFrame, base_key: str, qc: DataFrame, aligned: DataFra
     if sequences is not None:
         sn = number(3).select(KEY, RN, F.col("sequence").alias("_unaligned"))
         out = out.join(sn.hint("merge"), [KEY, RN], "left")
-    gn = zip_long(inputs[-1][0], KEY, "gene", "sequence", ordinal, RN, "_genes", limit, stats[-1])
+    gn = zip_names(inputs[-1][0], KEY, "gene", "sequence", ordinal, {g: GENE_PREFIX + g for g in genes}, RN,
+                   limit, stats[-1])
     out = out.join(gn.hint("merge"), [KEY, RN], "left")
     return out, qc_cols
 
@@ -112,7 +112,7 @@ def enrich_entries(entries: DataFrame, qc: DataFrame, aligned: DataFrame,
     cleaned entries carrying ``nextcladeDatasetVersion``."""
     base_cols = [c for c in entries.columns if c != ordinal]
     joined, qc_cols = _join_inputs(entries, "id", qc, aligned, translations, None,
-                                   ordinal, hot_rows)
+                                   ordinal, hot_rows, genes)
     out = clean(_assemble(joined, base_cols, qc_cols, genes, None), spec)
     return out.withColumn("nextcladeDatasetVersion", F.lit(dataset_version).cast("string"))
 
@@ -127,7 +127,7 @@ def enrich_open(metadata: DataFrame, qc: DataFrame, sequences: DataFrame, aligne
     # few keys, so they go before the joins
     metadata = metadata.where(q("strain").isNull() | ~q("strain").isin(list(spec.null_markers)))
     joined, qc_cols = _join_inputs(metadata, "strain", qc, aligned, translations, sequences,
-                                   ordinal, hot_rows)
+                                   ordinal, hot_rows, genes)
     assembled = _assemble(joined, base_cols, qc_cols, genes, "_unaligned")
     assembled = assembled.withColumn("id", q("strain")).select("id", *[
         q(c) for c in assembled.columns if c != "id"])

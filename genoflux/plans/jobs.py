@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import row_md5
-from ..operators.diff import FILE, ROW, extract_added_or_changed, extract_unchanged, snapshot_diff, with_place
-from ..operators.frames import flatten_publish, map_to_null, project_feed
+from ..operators.diff import DELETED, FILE, ROW, extract_added_or_changed, extract_unchanged, snapshot_diff, with_place
+from ..operators.frames import SEQUENCE_COLS, empty_map, flatten_publish, map_to_null, project_feed
 from ..operators.georules import map_locations
 from ..operators.sets import sort_output, union_all, union_distinct
 from .clean import FEED, FEED_NULL_MARKERS, OPEN, CleanSpec
@@ -43,7 +43,11 @@ def normalise_feed(feed: DataFrame, rules: DataFrame | None, framing: str = "pla
     e = project_feed(feed, ordinal=ORDINAL)
     e = map_to_null(e, FEED_NULL_MARKERS)
     if land:
-        e = with_place(land_table(e, "feed-landed"))
+        # the maps that are empty until the aligner has run are not written
+        full, empty = e.columns, [c for c in SEQUENCE_COLS if c != "unaligned_nuc"]
+        kinds = dict(e.dtypes)
+        landed = with_place(land_table(e.drop(*empty), "feed-landed"))
+        e = landed.withColumns({c: empty_map(kinds[c]) for c in empty}).select(*full, FILE, ROW)
     if rules is not None:
         e = map_locations(e, rules)
     return e.withColumn("md5", row_md5(e, [c for c in e.columns if c not in (ORDINAL, FILE, ROW)], framing))
@@ -98,8 +102,11 @@ def prepare(feed: DataFrame, rules: DataFrame | None, previous_hashes: DataFrame
         diff = cut_lineage(diff, "diff", path=at("diff"))
     places = hashes.select(F.col(id_col).alias("id"), FILE, ROW) if stage else None
     hashes = hashes.drop(FILE, ROW)
+    # The diff was written from the hashes, a row for each of theirs, and they
+    # from the landed rows: with as many rows it knows every entry's id.
+    covered = stage and hashes.count() == diff.where(F.col("status") != DELETED).count()
     changed = extract_added_or_changed(entries.drop("md5"), diff, id_col, diff_covers_entries=True,
-                                       places=places, max_bytes=max_bytes).drop(FILE, ROW)
+                                       places=places, max_bytes=max_bytes, covered=covered).drop(FILE, ROW)
     if sort_changed:
         changed = sort_output(changed, id_col, [ORDINAL] if ORDINAL in changed.columns else [])
     if stage:
